@@ -64,8 +64,14 @@ def update_where(df: DataFrame, values: Mapping[str, Any], criteria: str | Colum
 
 
 def delete_where(df: DataFrame, criteria: str | Column | None, observation: Observation | None = None) -> DataFrame:
-    """Drop rows where ``criteria`` holds; with ``observation``: ``deleted_rows``."""
-    hit = _criteria(criteria)
+    """Drop rows where ``criteria`` holds; with ``observation``: ``deleted_rows``.
+
+    The kept rows are written as ``c IS NULL OR NOT c`` (not ``NOT coalesce(c, false)``)
+    so that simple criteria still reach the Parquet scan as pushed filters.
+    """
     if observation is not None:
-        df = df.observe(observation, F.count_if(hit).alias("deleted_rows"))
-    return df.filter(~hit)
+        df = df.observe(observation, F.count_if(_criteria(criteria)).alias("deleted_rows"))
+    if criteria is None:
+        return df.filter(F.lit(False))
+    c = F.expr(criteria) if isinstance(criteria, str) else criteria
+    return df.filter(c.isNull() | ~c)
