@@ -46,3 +46,18 @@ def assert_unique(df: DataFrame, keys: list[str], what: str) -> None:
         raise ValueError(f"{what}: {row['nulls']} row(s) have a null in key {keys}")
     if row is not None and row["dups"]:
         raise ValueError(f"{what}: {row['dups']} key value(s) of {keys} repeat (up to {row['mx']} times)")
+
+
+def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
+    """Spread rows over the cluster's task slots when the scan yields fewer tasks.
+
+    A few large row groups scan as a few tasks, and every narrow step after
+    them (casts, hashing) would run on that few cores. Only then is a
+    round-robin repartition added (deterministic on retry: rows are sorted
+    before being dealt out); a big input with enough splits is left alone,
+    so no shuffle is added at scale.
+    """
+    if df.isStreaming:
+        return df
+    slots = min_tasks or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

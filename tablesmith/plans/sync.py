@@ -19,6 +19,7 @@ from tablesmith.functions.tokens import NA_TOKENS, PASS
 from tablesmith.operators.clean import null_tokens
 from tablesmith.operators.mapping import ColumnMap, parse_mapping, typed_column, validate_mapping
 from tablesmith.operators.rowid import ID, dedup, first_wins, row_id
+from tablesmith.operators.sizing import spread
 from tablesmith.sinks.files import as_text
 
 
@@ -43,7 +44,7 @@ def prepare(text: DataFrame, spec: SyncSpec) -> DataFrame:
     source_cols = [c for c in text.columns if c != spec.order_col]
     reserved = (ID, spec.order_col) if spec.order_col else (ID,)
     validate_mapping(spec.mapping, source_cols, reserved=reserved)
-    df = null_tokens(text, source_cols, spec.na_tokens)
+    df = null_tokens(spread(text), source_cols, spec.na_tokens)
     df = row_id(df, source_cols, sep=spec.sep)
     cols = [fx.col(ID)] + [typed_column(fx.col(m.source_key), m.data_type, number_type=spec.number_type,
                                         on_error=spec.on_error).alias(m.destination_key) for m in spec.mapping]

@@ -98,6 +98,7 @@ ORACLE: dict[str, str] = {
                     "o_orderpriority as priority, o_orderstatus as status from orders"),
     "sync_table": SYNC,
     "full_refresh": SYNC,
+    "landing_sync": SYNC,
     "csv_export": ("select " + ", ".join(f"cast({c} as varchar) as {c}" for c in ORDERS) + " from orders"),
     "csv_scan": (f"with {EXPORT}, dirty as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
                  "o_orderdate, case when cast(o_orderkey as bigint) % 13 = 0 "

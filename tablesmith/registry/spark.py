@@ -437,3 +437,21 @@ QUERIES: dict[str, Query] = {
     "ist_text": q_ist_text,
     "epoch_ms": q_epoch_ms,
 }
+
+
+# -- streaming --------------------------------------------------------------------------
+def q_landing_sync(spark, sf):
+    """Two export drops land in a folder; the stream runs after each and the target holds one row per id."""
+    from tablesmith.streaming import landing_sync
+    store, name = _store(spark), _name("orders_landed")
+    landing, ckpt = work_path(spark, "landing"), work_path(spark, "streams")
+    text = orders_export(spark, sf)
+    spec = SyncSpec(ORDERS_MAPPING, name)
+    drops = [text, text.filter(F.col("o_orderkey").cast("bigint") % 3 == 0)]  # a second, overlapping re-export
+    for i, drop in enumerate(drops):
+        csv_export(drop, f"{landing}/drop-{i}")
+        landing_sync(spark, landing, EXPORT_COLUMNS, spec, store, checkpoint=ckpt).awaitTermination()
+    return store.read(name)
+
+
+QUERIES["landing_sync"] = q_landing_sync

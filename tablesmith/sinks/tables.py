@@ -56,7 +56,15 @@ class TableStore:
         return self.spark.catalog.tableExists(name)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.table(table_name(name))
+        """The table's current rows. The file listing is refreshed first, so a write
+        made through another session (e.g. a streaming micro-batch) is seen."""
+        q = table_name(name)
+        self.spark.catalog.refreshTable(q)
+        return self.spark.table(q)
+
+    def with_session(self, spark: SparkSession) -> "TableStore":
+        """The same store used from another session (e.g. a streaming micro-batch)."""
+        return TableStore(spark, self.root, self.fmt)
 
     def location(self, name: str) -> str | None:
         rows = (self.spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(name)}")
