@@ -34,9 +34,12 @@ def lookup(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
         raise ValueError(f"looked-up column(s) {clash} already in the child table; rename first")
     side = (parent.select(fx.col(parent_col).alias(_KEY), *[fx.col(c) for c in cols])
             .filter(F.col(_KEY).isNotNull()))
-    if check_unique:
-        assert_unique(side, [_KEY], "lookup parent")
-    side = broadcast_if_small(side, broadcast_max_rows)
+    if check_unique:  # the uniqueness job also proves the parent's size bound
+        n = assert_unique(side, [_KEY], "lookup parent")
+        if broadcast_max_rows and n <= broadcast_max_rows:
+            side = F.broadcast(side)
+    else:
+        side = broadcast_if_small(side, broadcast_max_rows)
     return child.join(side, fx.col(child_col) == F.col(_KEY), "left").drop(_KEY)
 
 

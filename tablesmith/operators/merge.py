@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tablesmith.functions import expressions as fx
 from tablesmith.operators.rowid import ID, dedup, first_wins
-from tablesmith.operators.sizing import DEFAULT_BROADCAST_ROWS, assert_unique, broadcast_if_small
+from tablesmith.operators.sizing import DEFAULT_BROADCAST_ROWS, assert_unique, broadcast_if_small, has_more_rows_than
 
 _HIT = "_matched"
 _PFX = "_new_"
@@ -57,16 +57,24 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, check: b
         raise ValueError(f"batch lacks key column(s) {missing_keys}")
     batch = conform(batch, T.StructType([f for f in target.schema.fields if f.name in set(batch.columns)]),
                     allow_missing=False)
-    if check:
-        assert_unique(batch, keys, "upsert batch")
-    key_side = broadcast_if_small(batch.select(*[fx.col(k) for k in keys]), broadcast_max_rows)
+    if check:  # the uniqueness job also proves the batch's size bound
+        n = assert_unique(batch, keys, "upsert batch")
+        small = broadcast_max_rows is not None and 0 < broadcast_max_rows and n <= broadcast_max_rows
+    else:
+        small = broadcast_max_rows is not None and 0 < broadcast_max_rows and \
+            not has_more_rows_than(batch, broadcast_max_rows)
+
+    def side(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    key_side = side(batch.select(*[fx.col(k) for k in keys]))
     kept = target.join(key_side, on=keys, how="left_anti")
     if set(batch.columns) == set(tcols):
         return kept.unionByName(batch.select(*[fx.col(c) for c in tcols]))
     upd_cols = [c for c in batch.columns if c not in keys]
     changes = batch.select(*[fx.col(k) for k in keys], *[fx.col(c).alias(_PFX + c) for c in upd_cols],
                            F.lit(True).alias(_HIT))
-    changes = broadcast_if_small(changes, broadcast_max_rows)
+    changes = side(changes)
     matched = target.join(changes, on=keys, how="inner").select(
         *[(F.col(_PFX + c) if c in upd_cols else fx.col(c)).alias(c) for c in tcols])
     added = conform(batch.join(target.select(*[fx.col(k) for k in keys]), on=keys, how="left_anti"), target.schema)

@@ -30,22 +30,30 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
             .filter(F.col("_n") > 1))
 
 
-def assert_unique(df: DataFrame, keys: list[str], what: str) -> None:
-    """Raise when ``keys`` repeat or are null in ``df``.
+def key_stats(df: DataFrame, keys: list[str]):
+    """One job: number of distinct keys, keys that repeat (and the worst count), rows with a null key.
 
-    One job: a partial-aggregated count per key, then a one-row summary.
+    A partial-aggregated count per key, then a one-row summary.
     """
     from functools import reduce
 
     from tablesmith.functions.expressions import col
     any_null = reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
     per_key = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"), F.max(any_null).alias("_null"))
-    row = per_key.agg(F.count_if(F.col("_n") > 1).alias("dups"), F.max("_n").alias("mx"),
-                      F.sum(F.when(F.col("_null"), F.col("_n")).otherwise(F.lit(0))).alias("nulls")).first()
-    if row is not None and row["nulls"]:
+    return per_key.agg(F.count(F.lit(1)).alias("keys"), F.count_if(F.col("_n") > 1).alias("dups"),
+                       F.coalesce(F.max("_n"), F.lit(0)).alias("mx"),
+                       F.coalesce(F.sum(F.when(F.col("_null"), F.col("_n")).otherwise(F.lit(0))), F.lit(0))
+                       .alias("nulls")).first()
+
+
+def assert_unique(df: DataFrame, keys: list[str], what: str) -> int:
+    """Raise when ``keys`` repeat or are null in ``df``; returns the number of rows (= keys)."""
+    row = key_stats(df, keys)
+    if row["nulls"]:
         raise ValueError(f"{what}: {row['nulls']} row(s) have a null in key {keys}")
-    if row is not None and row["dups"]:
+    if row["dups"]:
         raise ValueError(f"{what}: {row['dups']} key value(s) of {keys} repeat (up to {row['mx']} times)")
+    return int(row["keys"])
 
 
 def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:

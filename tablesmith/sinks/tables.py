@@ -2,11 +2,19 @@
 
 Plain Parquet tables cannot be updated in place, so a change that rewrites
 rows (full refresh, truncate-add, update-add, save-as) writes a new version
-directory under the store root and then repoints the catalog table to it
+folder under the store root and then repoints the catalog table to it
 (``ALTER TABLE ... SET LOCATION``). Readers resolve the location once per
 query, a failed write leaves the previous version in place, and old
 versions stay on disk. Changes that only add rows (append, insert-ignore)
 write new files into the current version with ``insertInto``.
+
+A table may be *key-bucketed*: stored partitioned by
+``_bucket = pmod(xxhash64(keys), n)``. An update-add or insert-ignore on
+those keys then reads and rewrites only the buckets the batch touches and
+repoints just those partitions (``ALTER TABLE ... PARTITION ... SET
+LOCATION``), so a batch never rewrites the whole table. Each partition
+repoint is atomic and buckets hold disjoint keys, so a reader sees every key
+either before or after the batch, never twice.
 """
 
 from __future__ import annotations
@@ -15,17 +23,22 @@ import re
 import time
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesmith.functions.expressions import quote
+from tablesmith.functions.expressions import col, quote
 from tablesmith.operators.merge import conform, new_rows, upsert
 from tablesmith.operators.rowid import ID
 from tablesmith.session import work_path
 from tablesmith.sources.sql import table_name
 
+BUCKET = "_bucket"
+PROP_KEYS = "tablesmith.bucket_keys"
+PROP_BUCKETS = "tablesmith.buckets"
+
 
 def _sql_text(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -39,6 +52,29 @@ def _same_columns(a: T.StructType, b: T.StructType) -> bool:
     return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How a table's files are laid out: plain, or bucketed by a hash of ``keys``."""
+
+    keys: tuple[str, ...] = ()
+    buckets: int = 0
+
+    @property
+    def bucketed(self) -> bool:
+        return self.buckets > 0
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+
+def layout(bucket_keys: Sequence[str] | None = None, buckets: int | None = None) -> Layout | None:
+    if not bucket_keys and not buckets:
+        return None
+    if not bucket_keys or not buckets or buckets < 1:
+        raise ValueError("bucketing needs both bucket_keys and buckets >= 1")
+    return Layout(tuple(bucket_keys), int(buckets))
+
+
 class TableStore:
     """Catalog tables whose data lives in versioned folders under ``root``.
 
@@ -55,22 +91,46 @@ class TableStore:
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(name)
 
-    def read(self, name: str) -> DataFrame:
-        """The table's current rows. The file listing is refreshed first, so a write
-        made through another session (e.g. a streaming micro-batch) is seen."""
+    def _raw(self, name: str) -> DataFrame:
         q = table_name(name)
         self.spark.catalog.refreshTable(q)
         return self.spark.table(q)
 
+    def read(self, name: str) -> DataFrame:
+        """The table's current rows (bucket column hidden). The file listing is refreshed
+        first, so a write made through another session (a streaming micro-batch) is seen."""
+        df = self._raw(name)
+        return df.drop(BUCKET) if self.layout(name).bucketed else df
+
     def with_session(self, spark: SparkSession) -> "TableStore":
         """The same store used from another session (e.g. a streaming micro-batch)."""
         return TableStore(spark, self.root, self.fmt)
 
+    def layout(self, name: str) -> Layout:
+        props = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {table_name(name)}").collect()}
+        if PROP_BUCKETS in props:
+            return Layout(tuple(props[PROP_KEYS].split("\x1f")), int(props[PROP_BUCKETS]))
+        return Layout()
+
     def location(self, name: str) -> str | None:
         rows = (self.spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(name)}")
                 .filter(F.col("col_name") == "Location").collect())
         return rows[0]["data_type"] if rows else None
 
+    def buckets(self, name: str) -> set[int]:
+        """Bucket ids registered for a bucketed table."""
+        return {int(r["partition"].split("=", 1)[1])
+                for r in self.spark.sql(f"SHOW PARTITIONS {table_name(name)}").collect()}
+
+    def partition_locations(self, name: str) -> dict[int, str]:
+        """Bucket -> folder of a bucketed table."""
+        out = {}
+        for b in sorted(self.buckets(name)):
+            desc = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(name)} PARTITION ({BUCKET}={b})")
+            loc = desc.filter(F.col("col_name") == "Location").collect()
+            out[b] = loc[0]["data_type"] if loc else None
+        return out
+
     def drop(self, name: str) -> None:
         """Forget the table; its version folders are kept."""
         self.spark.sql(f"DROP TABLE IF EXISTS {table_name(name)}")
@@ -79,61 +139,138 @@ class TableStore:
         safe = re.sub(r"[^A-Za-z0-9_.-]", "_", name)
         return f"{self.root}/{safe}/v-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
 
-    def _point(self, name: str, path: str, schema: T.StructType) -> None:
+    def _write(self, df: DataFrame, path: str, lay: Layout) -> None:
+        if lay.bucketed:
+            df.withColumn(BUCKET, lay.bucket()).write.format(self.fmt).mode("errorifexists") \
+                .partitionBy(BUCKET).save(path)
+        else:
+            df.write.format(self.fmt).mode("errorifexists").save(path)
+
+    def _point(self, name: str, path: str, schema: T.StructType, lay: Layout) -> None:
         q = table_name(name)
-        if self.exists(name) and _same_columns(self.read(name).schema, schema):
+        if (not lay.bucketed and self.exists(name) and not self.layout(name).bucketed
+                and _same_columns(self.read(name).schema, schema)):
             self.spark.sql(f"ALTER TABLE {q} SET LOCATION {_sql_text(path)}")
         else:
             self.spark.sql(f"DROP TABLE IF EXISTS {q}")
-            self.spark.sql(f"CREATE TABLE {q} ({_columns_ddl(schema)}) USING {self.fmt} LOCATION {_sql_text(path)}")
+            if lay.bucketed:
+                props = f"{_sql_text(PROP_KEYS)} = {_sql_text(chr(31).join(lay.keys))}, " \
+                        f"{_sql_text(PROP_BUCKETS)} = {_sql_text(str(lay.buckets))}"
+                self.spark.sql(f"CREATE TABLE {q} ({_columns_ddl(schema)}, {quote(BUCKET)} int) USING {self.fmt} "
+                               f"PARTITIONED BY ({quote(BUCKET)}) LOCATION {_sql_text(path)} "
+                               f"TBLPROPERTIES ({props})")
+                self.spark.sql(f"MSCK REPAIR TABLE {q}")
+            else:
+                self.spark.sql(f"CREATE TABLE {q} ({_columns_ddl(schema)}) USING {self.fmt} "
+                               f"LOCATION {_sql_text(path)}")
         self.spark.catalog.refreshTable(q)
 
-    def publish(self, name: str, df: DataFrame) -> str:
+    def publish(self, name: str, df: DataFrame, lay: Layout | None = None) -> str:
         """Write ``df`` as the table's next version, then repoint the table to it."""
+        lay = lay or Layout()
+        missing = [k for k in lay.keys if k not in df.columns]
+        if missing:
+            raise ValueError(f"bucket key(s) {missing} not in the table")
         path = self._new_version(name)
-        df.write.format(self.fmt).mode("errorifexists").save(path)
-        self._point(name, path, df.schema)
+        self._write(df, path, lay)
+        self._point(name, path, df.schema, lay)
         return path
 
+    def _current_layout(self, name: str) -> Layout:
+        return self.layout(name) if self.exists(name) else Layout()
+
+    def _touched(self, batch: DataFrame, schema: T.StructType, lay: Layout) -> list[int]:
+        # Bucket ids the batch's keys fall in: at most ``lay.buckets`` values.
+        keys = batch.select(*[col(k).cast(schema[k].dataType).alias(k) for k in lay.keys])
+        return sorted(r[0] for r in keys.select(lay.bucket().alias("b")).distinct().collect())
+
     # -- load modes ------------------------------------------------------
-    def create_table(self, name: str, schema: T.StructType | str) -> str:
-        """Empty table from a design (StructType or DDL)."""
+    def create_table(self, name: str, schema: T.StructType | str, *, bucket_keys: Sequence[str] | None = None,
+                     buckets: int | None = None) -> str:
+        """Empty table from a design (StructType or DDL), optionally key-bucketed."""
         if self.exists(name):
             raise ValueError(f"table {name!r} exists")
-        return self.publish(name, self.spark.createDataFrame([], schema))
+        return self.publish(name, self.spark.createDataFrame([], schema), layout(bucket_keys, buckets))
 
-    def import_new_table(self, name: str, df: DataFrame) -> str:
+    def import_new_table(self, name: str, df: DataFrame, *, bucket_keys: Sequence[str] | None = None,
+                         buckets: int | None = None) -> str:
         """Create the table from ``df``; fails when it exists."""
         if self.exists(name):
             raise ValueError(f"table {name!r} exists")
-        return self.publish(name, df)
+        return self.publish(name, df, layout(bucket_keys, buckets))
+
+    def full_refresh(self, name: str, df: DataFrame, *, bucket_keys: Sequence[str] | None = None,
+                     buckets: int | None = None) -> str:
+        """Replace table and schema by ``df`` (stage the new version, then swap).
 
-    def full_refresh(self, name: str, df: DataFrame) -> str:
-        """Replace table and schema by ``df`` (stage the new version, then swap)."""
-        return self.publish(name, df)
+        The table keeps its bucketing unless a new one is given.
+        """
+        lay = layout(bucket_keys, buckets) or self._current_layout(name)
+        if lay.bucketed and any(k not in df.columns for k in lay.keys):
+            lay = Layout()
+        return self.publish(name, df, lay)
 
     def truncate_add(self, name: str, df: DataFrame) -> str:
-        """Replace all rows, keep the table's schema."""
-        return self.publish(name, conform(df, self.read(name).schema))
+        """Replace all rows, keep the table's schema and layout."""
+        return self.publish(name, conform(df, self.read(name).schema), self.layout(name))
 
     def append(self, name: str, df: DataFrame) -> None:
         """Add rows (new files in the current version)."""
-        conform(df, self.read(name).schema).write.insertInto(table_name(name))
+        lay = self.layout(name)
+        out = conform(df, self.read(name).schema)
+        if lay.bucketed:
+            out = out.withColumn(BUCKET, lay.bucket())
+        out.write.insertInto(table_name(name))
 
     def update_add(self, name: str, df: DataFrame, keys: Sequence[str], **kw) -> str:
-        """Update rows with matching keys, add the rest; writes a new version."""
-        return self.publish(name, upsert(self.read(name), df, keys, **kw))
+        """Update rows with matching keys, add the rest.
+
+        Bucketed on ``keys``: only touched buckets are read, merged, written
+        and repointed (when the batch touches most buckets, the whole table is
+        written once instead). Otherwise the merged table is written as a new
+        version.
+        """
+        lay = self.layout(name)
+        if not (lay.bucketed and tuple(keys) == lay.keys):
+            return self.publish(name, upsert(self.read(name), df, keys, **kw), lay)
+        current = self.read(name)
+        touched = self._touched(df, current.schema, lay)
+        if len(touched) * 2 > lay.buckets:  # most buckets change: one new version, one swap
+            return self.publish(name, upsert(current, df, keys, **kw), lay)
+        part = self._raw(name).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        path = self._new_version(name)
+        self._write(upsert(part, df, keys, **kw), path, lay)
+        q = table_name(name)
+        have = self.buckets(name)
+        for b in touched:
+            loc = _sql_text(f"{path}/{BUCKET}={b}")
+            if b in have:
+                self.spark.sql(f"ALTER TABLE {q} PARTITION ({quote(BUCKET)}={b}) SET LOCATION {loc}")
+            else:
+                self.spark.sql(f"ALTER TABLE {q} ADD PARTITION ({quote(BUCKET)}={b}) LOCATION {loc}")
+        self.spark.catalog.refreshTable(q)
+        return path
 
     def insert_ignore(self, name: str, df: DataFrame, keys: Sequence[str] = (ID,), order_by: str | None = None,
                       observation: Observation | None = None) -> None:
-        """Add batch rows whose key is absent (new files only; nothing rewritten)."""
-        add = new_rows(self.read(name), df, keys, order_by)
+        """Add batch rows whose key is absent (new files only; nothing rewritten).
+
+        Bucketed on ``keys``: the key check reads only the touched buckets.
+        """
+        lay = self.layout(name)
+        target = self.read(name)
+        if lay.bucketed and tuple(keys) == lay.keys:
+            touched = self._touched(df, target.schema, lay)
+            target = self._raw(name).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        add = new_rows(target, df, keys, order_by)
+        if lay.bucketed:
+            add = add.withColumn(BUCKET, lay.bucket())
         if observation is not None:
             add = add.observe(observation, F.count(F.lit(1)).alias("inserted_rows"))
         add.write.insertInto(table_name(name))
 
     def save_as(self, source: str, new_name: str) -> str:
-        """Copy a table under a new name."""
+        """Copy a table (and its layout) under a new name."""
         if self.exists(new_name):
             raise ValueError(f"table {new_name!r} exists")
-        return self.publish(new_name, self.read(source))
+        return self.publish(new_name, self.read(source), self.layout(source))

@@ -116,3 +116,36 @@ def test_append_checks_columns(spark, store):
     with pytest.raises(ValueError):
         store.append(name, spark.createDataFrame([(1,)], "zz int"))
     assert _rows(store.read(name)) == [(1, None)]
+
+
+def test_bucketed_update_add_rewrites_only_touched_buckets(spark, store):
+    o = table(spark, SF001, "orders")
+    plain, bucketed = _name("t_plain"), _name("t_bucketed")
+    store.import_new_table(plain, o)
+    store.import_new_table(bucketed, o, bucket_keys=["o_orderkey"], buckets=16)
+    assert store.read(bucketed).columns == o.columns
+    before = store.partition_locations(bucketed)
+    assert len(before) == 16
+    batch = o.filter("o_orderkey in (3, 4)").select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    batch = batch.unionByName(spark.createDataFrame([(10_000_000, 1.0)], "o_orderkey bigint, o_totalprice double"))
+    store.update_add(plain, batch, ["o_orderkey"])
+    store.update_add(bucketed, batch, ["o_orderkey"])
+    assert _rows(store.read(bucketed)) == _rows(store.read(plain))
+    after = store.partition_locations(bucketed)
+    moved = {b for b in after if after[b] != before.get(b)}
+    assert 1 <= len(moved) <= 3  # only the buckets of the three batch keys
+
+
+def test_bucketed_insert_ignore_and_append(spark, store):
+    o = table(spark, SF001, "orders")
+    name = _name("t_bucket_ins")
+    store.create_table(name, o.schema, bucket_keys=["o_orderkey"], buckets=8)
+    store.append(name, o.filter("o_orderkey % 2 = 0"))
+    store.insert_ignore(name, o, ["o_orderkey"])
+    store.insert_ignore(name, o, ["o_orderkey"])
+    assert _rows(store.read(name)) == _rows(o)
+    copy = name + "_copy"
+    store.save_as(name, copy)
+    assert store.layout(copy) == store.layout(name)
+    store.full_refresh(copy, o.limit(5))
+    assert store.layout(copy).bucketed and store.read(copy).count() == 5
