@@ -21,28 +21,41 @@ _ORDERABLE = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.Timest
 def profile_table(df: DataFrame, columns: Sequence[str] | None = None, *, exact: bool = True) -> DataFrame:
     """One row per column: ``col_name, n_rows, n_non_null, n_distinct, min_value, max_value``.
 
-    One pass over the table: count, non-null count, distinct count (exact by
-    default; ``exact=False`` uses HyperLogLog++ which needs no shuffle of
-    values), min and max in the column's own ordering, rendered as text.
-    The one-row result is turned into rows with ``stack``.
+    Two aggregations over the table, each planned for scale:
+
+    * count, non-null count, min and max in the column's own ordering: a
+      global aggregate, one partial row per task, no sort and no shuffle of rows;
+    * distinct counts: exact by default (Spark expands each row into one
+      (column, value) row per column and hash-aggregates them, combining
+      repeated values map-side), or HyperLogLog++ with ``exact=False``
+      (constant state per column, no shuffle of values).
+
+    Each one-row result is unpivoted with ``stack`` and the two are joined on
+    ``col_name`` (at most one row per column on each side).
     """
     names = list(columns) if columns is not None else df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
-    aggs: list[Column] = [F.count(F.lit(1)).alias("_n")]
+    src = df.select(*[fx.col(c).alias(f"_c{i}") for i, c in enumerate(names)])
+    basic: list[Column] = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(names):
-        x = fx.col(c)
+        x = F.col(f"_c{i}")
         orderable = isinstance(types[c], _ORDERABLE)
-        aggs += [
+        basic += [
             F.count(x).alias(f"_nn{i}"),
-            (F.count_distinct(x) if exact else F.approx_count_distinct(x)).alias(f"_nd{i}"),
             (F.min(x).cast("string") if orderable else F.lit(None).cast("string")).alias(f"_mn{i}"),
             (F.max(x).cast("string") if orderable else F.lit(None).cast("string")).alias(f"_mx{i}"),
         ]
-    one = df.agg(*aggs)
-    args = ", ".join(f"{_sql_str(c)}, _nn{i}, _nd{i}, _mn{i}, _mx{i}" for i, c in enumerate(names))
-    return one.select(F.col("_n"), F.expr(f"stack({len(names)}, {args}) as (col_name, n_non_null, n_distinct, "
-                                          f"min_value, max_value)")).select(
-        "col_name", F.col("_n").alias("n_rows"), "n_non_null", "n_distinct", "min_value", "max_value")
+    n = len(names)
+    stacked = ", ".join(f"{_sql_str(c)}, _nn{i}, _mn{i}, _mx{i}" for i, c in enumerate(names))
+    left = src.agg(*basic).select(
+        F.col("_n").alias("n_rows"),
+        F.expr(f"stack({n}, {stacked}) as (col_name, n_non_null, min_value, max_value)"))
+    dist = src.agg(*[(F.count_distinct(F.col(f"_c{i}")) if exact else F.approx_count_distinct(F.col(f"_c{i}")))
+                     .alias(f"_nd{i}") for i in range(n)])
+    right = dist.select(F.expr(f"stack({n}, " + ", ".join(f"{_sql_str(c)}, _nd{i}" for i, c in enumerate(names))
+                               + ") as (col_name, n_distinct)"))
+    return left.join(F.broadcast(right), "col_name").select(
+        "col_name", "n_rows", "n_non_null", "n_distinct", "min_value", "max_value")
 
 
 def _sql_str(s: str) -> str:
