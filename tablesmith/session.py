@@ -47,3 +47,35 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     tail = "/".join(p.strip("/") for p in parts if p)
     path = f"{shared_dir(spark)}/tablesmith/{tail}" if tail else f"{shared_dir(spark)}/tablesmith"
     return f"{path}/{uuid.uuid4().hex}" if unique else path
+
+
+MB = 1024 * 1024
+
+
+def scale_settings(input_bytes: int, *, partition_bytes: int = 256 * MB, max_shuffle_partitions: int = 200_000,
+                   broadcast_bytes: int = 64 * MB) -> dict[str, str]:
+    """SQL settings sized for an input of ``input_bytes``.
+
+    Shuffle partitions start at about ``partition_bytes`` of input each (so a
+    reduce task's share fits executor memory and spills rarely), AQE then
+    coalesces small ones and splits skewed ones at run time; scan splits are
+    ``partition_bytes`` too. Apply with ``apply_settings``.
+    """
+    parts = max(200, min(max_shuffle_partitions, -(-int(input_bytes) // partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    for k, v in settings.items():
+        spark.conf.set(k, v)

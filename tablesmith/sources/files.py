@@ -78,7 +78,8 @@ def mapping_scan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     Header names are kept as they are; ``position`` is the row order in
     the file, for mapping order.
     """
-    df = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path)
+    df = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").option("recursiveFileLookup", "true") \
+        .csv(path)
     need = [f.split()[0] for f in MAPPING_DDL.split(", ")]
     missing = [c for c in need if c not in df.columns]
     if missing:

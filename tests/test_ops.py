@@ -79,3 +79,24 @@ def test_update_job_state_reports_unknown_key(spark):
     jobs = jobs_frame(spark, SF001)
     out = jp.update_job_state(jobs, "no-such-job", "PASS", "PASS", updated_at=1)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, jobs.collect()))
+
+
+def test_schema_files_to_documents_and_jobs(spark):
+    import json
+
+    from tablesmith.plans.mappings import jobs_from_mappings, schema_csv_documents, schema_csv_mappings
+    from tablesmith.session import work_path
+    from tablesmith.sinks.files import csv_export
+    root = work_path(spark, "schemas")
+    n = table(spark, SF001, "nation")
+    for region in (0, 1):
+        rows = n.filter(F.col("n_regionkey") == region).orderBy("n_nationkey").select(
+            F.col("n_name").alias("source_key"), F.lower("n_name").alias("destination_key"),
+            F.lit("STRING").alias("data_type"))
+        csv_export(rows, f"{root}/region_{region}", single_file=True)
+    docs = {r["target_table"]: json.loads(r["document"]) for r in schema_csv_documents(spark, root).collect()}
+    assert set(docs) == {"region_0", "region_1"}
+    want = [r["n_name"] for r in n.filter("n_regionkey = 0").orderBy("n_nationkey").collect()]
+    assert [m["source_key"] for m in docs["region_0"]["column_mapping"]] == want
+    jobs = jobs_from_mappings(schema_csv_mappings(spark, root))
+    assert {r["status"] for r in jobs.collect()} == {"PENDING"} and jobs.count() == 2
