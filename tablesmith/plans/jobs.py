@@ -20,6 +20,9 @@ from tablesmith.functions import expressions as fx
 from tablesmith.functions.tokens import FAILED, PASS, PENDING
 from tablesmith.operators.sizing import broadcast_if_small
 from tablesmith.plans.sync import SyncSpec, mapping_from_rows, sync_table, text_export
+from tablesmith.session import work_path
+from tablesmith.sinks.files import csv_export
+from tablesmith.sources.files import csv_scan
 
 JOB_DDL = ("job_id string, source_table string, source_sql string, target_table string, "
            "column_mapping array<struct<source_key:string,destination_key:string,data_type:string>>, "
@@ -60,11 +63,22 @@ def _message(e: BaseException) -> str:
     return (text[0] if text else type(e).__name__)[:1000]
 
 
-def _run_one(spark: SparkSession, job, store, retries: int, source: Callable) -> tuple:
+def _export(spark: SparkSession, job, source: Callable, hop: str | None) -> DataFrame:
+    """The job's export as text: in-plan, or through CSV files in the shared folder (``hop="csv"``)."""
+    src = source(spark, job)
+    if hop is None:
+        return text_export(src)
+    if hop == "csv":
+        path = csv_export(src, work_path(spark, "exports", job["target_table"]))
+        return csv_scan(spark, path, na_tokens=None)
+    raise ValueError(f"unknown export hop {hop!r}; use None or 'csv'")
+
+
+def _run_one(spark: SparkSession, job, store, retries: int, source: Callable, hop: str | None = None) -> tuple:
     last = None
     for _ in range(retries + 1):
         try:
-            text = text_export(source(spark, job))
+            text = _export(spark, job, source, hop)
             spec = SyncSpec(mapping_from_rows(job["column_mapping"]), job["target_table"])
             res = sync_table(text, spec, store)
             return (job["job_id"], PASS, PASS, int(time.time()) * 1000, res.rows_read, res.rows_loaded)
@@ -81,12 +95,17 @@ def job_source(spark: SparkSession, job) -> DataFrame:
 
 
 def run_jobs(spark: SparkSession, jobs: DataFrame, store, *, pending: bool = False, where: str | None = None,
-             max_workers: int = 4, retries: int = 2, source: Callable = job_source) -> tuple[DataFrame, DataFrame]:
-    """Run due jobs (or those matching ``where``); returns ``(results, updated registry)``."""
+             max_workers: int = 4, retries: int = 2, source: Callable = job_source,
+             hop: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Run due jobs (or those matching ``where``); returns ``(results, updated registry)``.
+
+    ``hop="csv"`` exports each source to CSV files in the shared folder and
+    imports those (the file-based path); by default the export stays in-plan.
+    """
     chosen = jobs.filter(F.expr(where)) if where else due_jobs(jobs, pending)
     todo = chosen.collect()  # registry rows: one per job
     with ThreadPoolExecutor(max_workers=max(1, max_workers)) as pool:
-        rows = list(pool.map(lambda j: _run_one(spark, j, store, retries, source), todo))
+        rows = list(pool.map(lambda j: _run_one(spark, j, store, retries, source, hop), todo))
     results = spark.createDataFrame(rows, RESULT_DDL)
     return results, apply_job_results(jobs, results)
 

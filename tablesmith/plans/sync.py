@@ -39,12 +39,20 @@ class SyncSpec:
         self.mapping = parse_mapping(self.mapping)
 
 
-def prepare(text: DataFrame, spec: SyncSpec) -> DataFrame:
-    """Missing tokens -> null, id over every source column, mapped and typed columns (no dedup)."""
+def prepare(text: DataFrame, spec: SyncSpec, observation: Observation | None = None) -> DataFrame:
+    """Missing tokens -> null, id over every source column, mapped and typed columns (no dedup).
+
+    With ``observation``: ``rows_read`` and, per NUMBER source column,
+    ``bad_<column>`` (cells that are not numbers), counted on the same pass.
+    """
     source_cols = [c for c in text.columns if c != spec.order_col]
     reserved = (ID, spec.order_col) if spec.order_col else (ID,)
     validate_mapping(spec.mapping, source_cols, reserved=reserved)
     df = null_tokens(spread(text), source_cols, spec.na_tokens)
+    if observation is not None:
+        numbers = sorted({m.source_key for m in spec.mapping if m.data_type.upper() == "NUMBER"})
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows_read"),
+                        *[F.count_if(fx.bad_number(fx.col(c), spec.number_type)).alias(f"bad_{c}") for c in numbers])
     df = row_id(df, source_cols, sep=spec.sep)
     cols = [fx.col(ID)] + [typed_column(fx.col(m.source_key), m.data_type, number_type=spec.number_type,
                                         on_error=spec.on_error).alias(m.destination_key) for m in spec.mapping]
@@ -56,9 +64,7 @@ def prepare(text: DataFrame, spec: SyncSpec) -> DataFrame:
 def sync_rows(text: DataFrame, spec: SyncSpec, *, read_obs: Observation | None = None,
               load_obs: Observation | None = None) -> DataFrame:
     """The rows a sync loads: ``prepare`` then one row per id (first in load order when ``order_col``)."""
-    df = prepare(text, spec)
-    if read_obs is not None:
-        df = df.observe(read_obs, F.count(F.lit(1)).alias("rows_read"))
+    df = prepare(text, spec, read_obs)
     if spec.order_col:
         df = first_wins(df, [ID], spec.order_col).drop(spec.order_col)
     else:
@@ -81,6 +87,7 @@ class SyncResult:
     rows_read: int | None = None
     rows_loaded: int | None = None
     location: str | None = None
+    bad_numbers: dict | None = None
 
 
 def sync_table(text: DataFrame, spec: SyncSpec, store) -> SyncResult:
@@ -88,8 +95,9 @@ def sync_table(text: DataFrame, spec: SyncSpec, store) -> SyncResult:
     read_obs, load_obs = Observation("rows_read"), Observation("rows_loaded")
     rows = sync_rows(text, spec, read_obs=read_obs, load_obs=load_obs)
     path = store.full_refresh(spec.target_table, rows)
-    return SyncResult(spec.target_table, PASS, PASS, read_obs.get.get("rows_read"), load_obs.get.get("rows_loaded"),
-                      path)
+    read = read_obs.get
+    return SyncResult(spec.target_table, PASS, PASS, read.get("rows_read"), load_obs.get.get("rows_loaded"), path,
+                      {k[4:]: v for k, v in read.items() if k.startswith("bad_")})
 
 
 def mapping_from_rows(rows: Iterable) -> list[ColumnMap]:

@@ -149,3 +149,26 @@ def test_bucketed_insert_ignore_and_append(spark, store):
     assert store.layout(copy) == store.layout(name)
     store.full_refresh(copy, o.limit(5))
     assert store.layout(copy).bucketed and store.read(copy).count() == 5
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_view_export_and_import_formats(spark, store, fmt):
+    from tablesmith.sinks.files import view_export
+    from tablesmith.sources.files import read_file
+    o = table(spark, SF001, "orders")
+    path = view_export(o, work_path(spark, "fmt", fmt), fmt)
+    schema = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string")
+    opts = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"} if fmt == "csv" else None
+    back = read_file(spark, path, fmt, auto_identify=False, schema=None if fmt == "parquet" else schema, options=opts)
+    name = _name(f"t_{fmt}")
+    store.import_new_table(name, back)
+    assert _rows(store.read(name)) == _rows(o)
+
+
+def test_auto_identify_infers_types(spark):
+    from tablesmith.sources.files import read_file
+    o = table(spark, SF001, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    path = csv_export(o, work_path(spark, "auto"))
+    types = dict(read_file(spark, path, "csv", auto_identify=True).dtypes)
+    assert types == {"o_orderkey": "int", "o_totalprice": "double", "o_orderstatus": "string"}

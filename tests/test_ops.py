@@ -100,3 +100,21 @@ def test_schema_files_to_documents_and_jobs(spark):
     assert [m["source_key"] for m in docs["region_0"]["column_mapping"]] == want
     jobs = jobs_from_mappings(schema_csv_mappings(spark, root))
     assert {r["status"] for r in jobs.collect()} == {"PENDING"} and jobs.count() == 2
+
+
+def test_jobs_through_csv_files_match_in_plan_export(spark, store):
+    register_views(spark, SF001, "customer")
+    jobs = jobs_frame(spark, SF001).filter("job_id in ('0', '3')")
+    a, _ = jp.run_jobs(spark, jobs, store, pending=True)
+    b, _ = jp.run_jobs(spark, jobs, store, pending=True, hop="csv")
+    key = lambda df: sorted((r["job_id"], r["status"], r["rows_loaded"]) for r in df.collect())
+    assert key(a) == key(b)
+    assert {r["status"] for r in b.collect()} == {"PASS"}
+
+
+def test_sync_counts_bad_numbers_on_the_same_pass(spark, store):
+    from tablesmith.plans.sync import SyncSpec, sync_table
+    df = spark.createDataFrame([("1", "1,000.5"), ("2", "x"), ("3", None)], "k string, amt string")
+    res = sync_table(df, SyncSpec([("k", "key", "STRING"), ("amt", "amount", "NUMBER")], "t_bad_numbers",
+                                  on_error="null"), store)
+    assert res.rows_read == 3 and res.rows_loaded == 3 and res.bad_numbers == {"amt": 1}
