@@ -13,7 +13,7 @@ import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablesmith.functions import expressions as fx
@@ -38,24 +38,31 @@ def due_jobs(jobs: DataFrame, pending: bool = False) -> DataFrame:
     return jobs.filter(F.col("status") == F.lit(PENDING if pending else PASS))
 
 
-def apply_job_results(jobs: DataFrame, results: DataFrame, key: str = "job_id") -> DataFrame:
-    """Keyed write-back of ``status``, ``message``, ``updated_at`` (other jobs unchanged)."""
+def apply_job_results(jobs: DataFrame, results: DataFrame, key: str = "job_id",
+                      observation: Observation | None = None) -> DataFrame:
+    """Keyed write-back of ``status``, ``message``, ``updated_at`` (other jobs unchanged).
+
+    With ``observation``, ``matched`` reports how many registry rows were updated.
+    """
     res = results.select(fx.col(key), *[F.col(c).alias(f"_r_{c}") for c in ("status", "message", "updated_at")],
                          F.lit(True).alias("_hit"))
     joined = jobs.join(broadcast_if_small(res, MAX_JOBS_BROADCAST), on=key, how="left")
+    if observation is not None:
+        joined = joined.observe(observation, F.count_if(F.col("_hit").isNotNull()).alias("matched"))
     upd = {c: F.when(F.col("_hit"), F.col(f"_r_{c}")).otherwise(fx.col(c)).cast(jobs.schema[c].dataType)
            for c in ("status", "message", "updated_at")}
     return joined.withColumns(upd).select(*[fx.col(c) for c in jobs.columns])
 
 
 def update_job_state(jobs: DataFrame, job_id: str, status: str, message: str,
-                     updated_at: int | Column | None = None) -> DataFrame:
-    """Set status, message and ``updated_at`` (epoch ms, default now) on one job row."""
+                     updated_at: int | Column | None = None, observation: Observation | None = None) -> DataFrame:
+    """Set status, message and ``updated_at`` (epoch ms, default now) on one job row
+    (``observation`` reports ``matched``: 1, or 0 when no job has that id)."""
     ts = updated_at if isinstance(updated_at, Column) else (
         fx.now_epoch_ms() if updated_at is None else F.lit(int(updated_at)))
     one = jobs.sparkSession.range(1).select(F.lit(str(job_id)).alias("job_id"), F.lit(status).alias("status"),
                                             F.lit(message).alias("message"), ts.cast("bigint").alias("updated_at"))
-    return apply_job_results(jobs, one)
+    return apply_job_results(jobs, one, observation=observation)
 
 
 def _message(e: BaseException) -> str:

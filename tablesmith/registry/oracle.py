@@ -98,6 +98,8 @@ ORACLE: dict[str, str] = {
                     "o_orderpriority as priority, o_orderstatus as status from orders"),
     "sync_table": SYNC,
     "full_refresh": SYNC,
+    "load_history": (f"with s as ({SYNC}) select 'full_refresh' as mode, count(*) as rows_written from s "
+                     "union all select 'append', count(*) from s union all select 'insert_ignore', 0"),
     "landing_sync": SYNC,
     "csv_export": ("select " + ", ".join(f"cast({c} as varchar) as {c}" for c in ORDERS) + " from orders"),
     "csv_scan": (f"with {EXPORT}, dirty as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice, "

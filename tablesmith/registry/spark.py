@@ -439,6 +439,19 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def q_load_history(spark, sf):
+    """Loads recorded by the store: a full refresh, an append of the same rows, an insert-ignore of them."""
+    store, name = _store(spark), _name("orders_history")
+    rows = sync_rows(orders_export(spark, sf), SyncSpec(**ORDERS_SPEC))
+    store.full_refresh(name, rows)
+    store.append(name, rows)
+    store.insert_ignore(name, rows, ["id"])
+    return store.load_history(name).select("mode", "rows_written")
+
+
+QUERIES["load_history"] = q_load_history
+
+
 # -- streaming --------------------------------------------------------------------------
 def q_landing_sync(spark, sf):
     """Two export drops land in a folder; the stream runs after each and the target holds one row per id."""

@@ -35,6 +35,9 @@ from tablesmith.operators.rowid import ID
 from tablesmith.session import work_path
 from tablesmith.sources.sql import table_name
 
+LOAD_DDL = ("load_id string, table_name string, mode string, location string, rows_written bigint, "
+            "started_ms bigint, ended_ms bigint")
+
 BUCKET = "_bucket"
 PROP_KEYS = "tablesmith.bucket_keys"
 PROP_BUCKETS = "tablesmith.buckets"
@@ -86,6 +89,44 @@ class TableStore:
         self.spark = spark
         self.root = (root or work_path(spark, "tables", unique=False)).rstrip("/")
         self.fmt = fmt
+        self.history_path = f"{self.root}/_loads"
+
+    # -- load history ----------------------------------------------------
+    @staticmethod
+    def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+        obs = Observation(f"load_{uuid.uuid4().hex}")
+        return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+    def _log(self, name: str, mode: str, location: str | None, obs: Observation | None, started_ms: int) -> str:
+        """One history row per load (counted by an observation on the write itself)."""
+        load_id = uuid.uuid4().hex
+        rows = obs.get.get("rows") if obs is not None else None
+        row = (load_id, name, mode, location, rows, started_ms, int(time.time() * 1000))
+        # Its own folder per load: concurrent jobs never share a commit directory.
+        self.spark.createDataFrame([row], LOAD_DDL).coalesce(1).write.mode("errorifexists") \
+            .parquet(f"{self.history_path}/{load_id}")
+        return load_id
+
+    def load_history(self, name: str | None = None) -> DataFrame:
+        """Every load made through this store (optionally of one table)."""
+        try:
+            h = self.spark.read.schema(LOAD_DDL).option("recursiveFileLookup", "true").parquet(self.history_path)
+            h.limit(0).collect()
+        except Exception as e:  # no load yet
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            h = self.spark.createDataFrame([], LOAD_DDL)
+        return h.filter(F.col("table_name") == name) if name else h
+
+    def last_load(self, name: str):
+        """Details of the table's most recent load: mode, version folder, rows written, times."""
+        rows = self.load_history(name).orderBy(F.col("ended_ms").desc(), F.col("started_ms").desc()).limit(1) \
+            .collect()
+        return rows[0] if rows else None
+
+    def load_details(self, load_id: str):
+        rows = self.load_history().filter(F.col("load_id") == load_id).collect()
+        return rows[0] if rows else None
 
     # -- catalog ---------------------------------------------------------
     def exists(self, name: str) -> bool:
@@ -165,15 +206,18 @@ class TableStore:
                                f"LOCATION {_sql_text(path)}")
         self.spark.catalog.refreshTable(q)
 
-    def publish(self, name: str, df: DataFrame, lay: Layout | None = None) -> str:
+    def publish(self, name: str, df: DataFrame, lay: Layout | None = None, mode: str = "publish") -> str:
         """Write ``df`` as the table's next version, then repoint the table to it."""
+        started = int(time.time() * 1000)
         lay = lay or Layout()
         missing = [k for k in lay.keys if k not in df.columns]
         if missing:
             raise ValueError(f"bucket key(s) {missing} not in the table")
         path = self._new_version(name)
-        self._write(df, path, lay)
+        out, obs = self._observed(df)
+        self._write(out, path, lay)
         self._point(name, path, df.schema, lay)
+        self._log(name, mode, path, obs, started)
         return path
 
     def _current_layout(self, name: str) -> Layout:
@@ -190,14 +234,14 @@ class TableStore:
         """Empty table from a design (StructType or DDL), optionally key-bucketed."""
         if self.exists(name):
             raise ValueError(f"table {name!r} exists")
-        return self.publish(name, self.spark.createDataFrame([], schema), layout(bucket_keys, buckets))
+        return self.publish(name, self.spark.createDataFrame([], schema), layout(bucket_keys, buckets), "create")
 
     def import_new_table(self, name: str, df: DataFrame, *, bucket_keys: Sequence[str] | None = None,
                          buckets: int | None = None) -> str:
         """Create the table from ``df``; fails when it exists."""
         if self.exists(name):
             raise ValueError(f"table {name!r} exists")
-        return self.publish(name, df, layout(bucket_keys, buckets))
+        return self.publish(name, df, layout(bucket_keys, buckets), "import_new")
 
     def full_refresh(self, name: str, df: DataFrame, *, bucket_keys: Sequence[str] | None = None,
                      buckets: int | None = None) -> str:
@@ -208,19 +252,22 @@ class TableStore:
         lay = layout(bucket_keys, buckets) or self._current_layout(name)
         if lay.bucketed and any(k not in df.columns for k in lay.keys):
             lay = Layout()
-        return self.publish(name, df, lay)
+        return self.publish(name, df, lay, "full_refresh")
 
     def truncate_add(self, name: str, df: DataFrame) -> str:
         """Replace all rows, keep the table's schema and layout."""
-        return self.publish(name, conform(df, self.read(name).schema), self.layout(name))
+        return self.publish(name, conform(df, self.read(name).schema), self.layout(name), "truncateadd")
 
     def append(self, name: str, df: DataFrame) -> None:
         """Add rows (new files in the current version)."""
+        started = int(time.time() * 1000)
         lay = self.layout(name)
         out = conform(df, self.read(name).schema)
         if lay.bucketed:
             out = out.withColumn(BUCKET, lay.bucket())
+        out, obs = self._observed(out)
         out.write.insertInto(table_name(name))
+        self._log(name, "append", self.location(name), obs, started)
 
     def update_add(self, name: str, df: DataFrame, keys: Sequence[str], **kw) -> str:
         """Update rows with matching keys, add the rest.
@@ -232,14 +279,16 @@ class TableStore:
         """
         lay = self.layout(name)
         if not (lay.bucketed and tuple(keys) == lay.keys):
-            return self.publish(name, upsert(self.read(name), df, keys, **kw), lay)
+            return self.publish(name, upsert(self.read(name), df, keys, **kw), lay, "updateadd")
+        started = int(time.time() * 1000)
         current = self.read(name)
         touched = self._touched(df, current.schema, lay)
         if len(touched) * 2 > lay.buckets:  # most buckets change: one new version, one swap
-            return self.publish(name, upsert(current, df, keys, **kw), lay)
+            return self.publish(name, upsert(current, df, keys, **kw), lay, "updateadd")
         part = self._raw(name).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
         path = self._new_version(name)
-        self._write(upsert(part, df, keys, **kw), path, lay)
+        merged, obs = self._observed(upsert(part, df, keys, **kw))
+        self._write(merged, path, lay)
         q = table_name(name)
         have = self.buckets(name)
         for b in touched:
@@ -249,6 +298,7 @@ class TableStore:
             else:
                 self.spark.sql(f"ALTER TABLE {q} ADD PARTITION ({quote(BUCKET)}={b}) LOCATION {loc}")
         self.spark.catalog.refreshTable(q)
+        self._log(name, "updateadd", path, obs, started)
         return path
 
     def insert_ignore(self, name: str, df: DataFrame, keys: Sequence[str] = (ID,), order_by: str | None = None,
@@ -257,6 +307,7 @@ class TableStore:
 
         Bucketed on ``keys``: the key check reads only the touched buckets.
         """
+        started = int(time.time() * 1000)
         lay = self.layout(name)
         target = self.read(name)
         if lay.bucketed and tuple(keys) == lay.keys:
@@ -267,10 +318,22 @@ class TableStore:
             add = add.withColumn(BUCKET, lay.bucket())
         if observation is not None:
             add = add.observe(observation, F.count(F.lit(1)).alias("inserted_rows"))
+        add, obs = self._observed(add)
         add.write.insertInto(table_name(name))
+        self._log(name, "insert_ignore", self.location(name), obs, started)
 
     def save_as(self, source: str, new_name: str) -> str:
         """Copy a table (and its layout) under a new name."""
         if self.exists(new_name):
             raise ValueError(f"table {new_name!r} exists")
-        return self.publish(new_name, self.read(source), self.layout(source))
+        return self.publish(new_name, self.read(source), self.layout(source), "save_as")
+
+    def copy_tables(self, names: Sequence[str], dest_database: str) -> dict[str, str]:
+        """Copy tables (data and layout) into another database; returns ``name -> new name``."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(dest_database)}")
+        out = {}
+        for n in names:
+            new = f"{dest_database}.{n.split('.')[-1]}"
+            self.save_as(n, new)
+            out[n] = new
+        return out

@@ -172,3 +172,30 @@ def test_auto_identify_infers_types(spark):
     path = csv_export(o, work_path(spark, "auto"))
     types = dict(read_file(spark, path, "csv", auto_identify=True).dtypes)
     assert types == {"o_orderkey": "int", "o_totalprice": "double", "o_orderstatus": "string"}
+
+
+def test_load_history_records_every_write(spark):
+    from tablesmith.sinks.tables import TableStore
+    st = TableStore(spark, work_path(spark, "hist"))
+    assert st.last_load("nothing") is None
+    o = table(spark, SF001, "orders")
+    name = _name("t_hist")
+    st.import_new_table(name, o.filter("o_orderkey % 2 = 0"))
+    st.append(name, o.filter("o_orderkey % 2 = 1"))
+    st.insert_ignore(name, o, ["o_orderkey"])
+    st.update_add(name, o.filter("o_orderkey < 10"), ["o_orderkey"])
+    modes = [(r["mode"], r["rows_written"]) for r in st.load_history(name).orderBy("started_ms").collect()]
+    n = o.count()
+    assert modes == [("import_new", o.filter("o_orderkey % 2 = 0").count()),
+                     ("append", o.filter("o_orderkey % 2 = 1").count()), ("insert_ignore", 0), ("updateadd", n)]
+    last = st.last_load(name)
+    assert last["mode"] == "updateadd" and last["location"] == st.location(name).replace("file:", "")
+
+
+def test_copy_tables_to_another_database(spark, store):
+    o = table(spark, SF001, "orders")
+    name = _name("t_copy")
+    store.import_new_table(name, o)
+    dest = _name("db")
+    out = store.copy_tables([name], dest)
+    assert _rows(store.read(out[name])) == _rows(o)

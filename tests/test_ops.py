@@ -76,9 +76,14 @@ def test_due_jobs_never_picks_failed(spark):
 
 
 def test_update_job_state_reports_unknown_key(spark):
+    from pyspark.sql import Observation
     jobs = jobs_frame(spark, SF001)
-    out = jp.update_job_state(jobs, "no-such-job", "PASS", "PASS", updated_at=1)
+    miss, hit = Observation("miss"), Observation("hit")
+    out = jp.update_job_state(jobs, "no-such-job", "PASS", "PASS", updated_at=1, observation=miss)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, jobs.collect()))
+    assert miss.get["matched"] == 0
+    jp.update_job_state(jobs, "4", "PASS", "PASS", updated_at=1, observation=hit).collect()
+    assert hit.get["matched"] == 1
 
 
 def test_schema_files_to_documents_and_jobs(spark):
