@@ -67,18 +67,20 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, check: b
     def side(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
 
-    key_side = side(batch.select(*[fx.col(k) for k in keys]))
-    kept = target.join(key_side, on=keys, how="left_anti")
     if set(batch.columns) == set(tcols):
+        kept = target.join(side(batch.select(*[fx.col(k) for k in keys])), on=keys, how="left_anti")
         return kept.unionByName(batch.select(*[fx.col(c) for c in tcols]))
+    # Some columns only: one left join carries a match flag; matched rows take the
+    # batch's values (null included), the rest keep theirs.
     upd_cols = [c for c in batch.columns if c not in keys]
-    changes = batch.select(*[fx.col(k) for k in keys], *[fx.col(c).alias(_PFX + c) for c in upd_cols],
-                           F.lit(True).alias(_HIT))
-    changes = side(changes)
-    matched = target.join(changes, on=keys, how="inner").select(
-        *[(F.col(_PFX + c) if c in upd_cols else fx.col(c)).alias(c) for c in tcols])
+    changes = side(batch.select(*[fx.col(k) for k in keys], *[fx.col(c).alias(_PFX + c) for c in upd_cols],
+                                F.lit(True).alias(_HIT)))
+    hit = F.col(_HIT).isNotNull()
+    updated = target.join(changes, on=keys, how="left").select(
+        *[(F.when(hit, F.col(_PFX + c)).otherwise(fx.col(c)) if c in upd_cols else fx.col(c)).alias(c)
+          for c in tcols])
     added = conform(batch.join(target.select(*[fx.col(k) for k in keys]), on=keys, how="left_anti"), target.schema)
-    return kept.unionByName(matched).unionByName(added)
+    return updated.unionByName(added)
 
 
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str] = (ID,), order_by: str | None = None,

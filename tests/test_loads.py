@@ -199,3 +199,9 @@ def test_copy_tables_to_another_database(spark, store):
     dest = _name("db")
     out = store.copy_tables([name], dest)
     assert _rows(store.read(out[name])) == _rows(o)
+
+
+def test_partial_upsert_sets_given_columns_only(spark):
+    t = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "k int, s string, x double")
+    b = spark.createDataFrame([(2, None), (3, 9.0)], "k int, x double")
+    assert _rows(ts.upsert(t, b, ["k"])) == [(1, "a", 1.0), (2, "b", None), (3, None, 9.0)]
