@@ -120,3 +120,18 @@ def run_jobs(spark: SparkSession, jobs: DataFrame, store, *, pending: bool = Fal
 def refetch(spark: SparkSession, jobs: DataFrame, store, where: str, **kw) -> tuple[DataFrame, DataFrame]:
     """Re-run the sync for the jobs matching ``where``, whatever their status."""
     return run_jobs(spark, jobs, store, where=where, **kw)
+
+
+def run_registry(spark: SparkSession, store, registry_table: str, *, pending: bool = False,
+                 where: str | None = None, **kw) -> DataFrame:
+    """Run the due jobs of a registry table in ``store`` and write their status back.
+
+    The updated registry is published as the table's next version (the jobs
+    read the previous one), so a crash mid-run leaves the old statuses in
+    place. Returns the per-job results.
+    """
+    jobs = store.read(registry_table)
+    results, updated = run_jobs(spark, jobs, store, pending=pending, where=where, **kw)
+    results = results.cache()  # small: one row per job; reused below and by the caller
+    store.truncate_add(registry_table, updated)
+    return results

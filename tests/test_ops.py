@@ -123,3 +123,16 @@ def test_sync_counts_bad_numbers_on_the_same_pass(spark, store):
     res = sync_table(df, SyncSpec([("k", "key", "STRING"), ("amt", "amount", "NUMBER")], "t_bad_numbers",
                                   on_error="null"), store)
     assert res.rows_read == 3 and res.rows_loaded == 3 and res.bad_numbers == {"amt": 1}
+
+
+def test_registry_status_written_back(spark, store):
+    import uuid
+    register_views(spark, SF001, "customer")
+    name = f"registry_{uuid.uuid4().hex[:8]}"
+    store.import_new_table(name, jobs_frame(spark, SF001))
+    results = jp.run_registry(spark, store, name, pending=True)
+    assert {r["status"] for r in results.collect()} == {"PASS"}
+    after = {r["job_id"]: r["status"] for r in store.read(name).collect()}
+    assert all(after[str(k)] == "PASS" for k in range(0, 25, 3))
+    assert jp.due_jobs(store.read(name), pending=True).count() == 0  # nothing left pending
+    assert store.last_load(name)["mode"] == "truncateadd"
