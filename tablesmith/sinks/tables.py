@@ -19,13 +19,14 @@ either before or after the batch, never twice.
 
 from __future__ import annotations
 
+import json
 import re
 import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +36,8 @@ from tablesmith.operators.rowid import ID
 from tablesmith.session import work_path
 from tablesmith.sources.sql import table_name
 
+HISTORY_KEEP = 10
+PROP_LOADS = "tablesmith.loads"
 LOAD_DDL = ("load_id string, table_name string, mode string, location string, rows_written bigint, "
             "started_ms bigint, ended_ms bigint")
 
@@ -89,44 +92,45 @@ class TableStore:
         self.spark = spark
         self.root = (root or work_path(spark, "tables", unique=False)).rstrip("/")
         self.fmt = fmt
-        self.history_path = f"{self.root}/_loads"
 
     # -- load history ----------------------------------------------------
+    # The last HISTORY_KEEP loads of a table are kept as JSON in its catalog
+    # properties: durable with the table, written by one catalog call (no job).
     @staticmethod
     def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
         obs = Observation(f"load_{uuid.uuid4().hex}")
         return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
+    def _props(self, name: str) -> dict[str, str]:
+        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {table_name(name)}").collect()}
+
     def _log(self, name: str, mode: str, location: str | None, obs: Observation | None, started_ms: int) -> str:
-        """One history row per load (counted by an observation on the write itself)."""
+        """Record a load (rows counted by an observation on the write itself)."""
         load_id = uuid.uuid4().hex
-        rows = obs.get.get("rows") if obs is not None else None
-        row = (load_id, name, mode, location, rows, started_ms, int(time.time() * 1000))
-        # Its own folder per load: concurrent jobs never share a commit directory.
-        self.spark.createDataFrame([row], LOAD_DDL).coalesce(1).write.mode("errorifexists") \
-            .parquet(f"{self.history_path}/{load_id}")
+        entry = {"load_id": load_id, "mode": mode, "location": location,
+                 "rows_written": obs.get.get("rows") if obs is not None else None,
+                 "started_ms": started_ms, "ended_ms": int(time.time() * 1000)}
+        hist = (json.loads(self._props(name).get(PROP_LOADS, "[]")) + [entry])[-HISTORY_KEEP:]
+        self.spark.sql(f"ALTER TABLE {table_name(name)} SET TBLPROPERTIES "
+                       f"({_sql_text(PROP_LOADS)} = {_sql_text(json.dumps(hist, separators=(',', ':')))})")
         return load_id
 
-    def load_history(self, name: str | None = None) -> DataFrame:
-        """Every load made through this store (optionally of one table)."""
-        try:
-            h = self.spark.read.schema(LOAD_DDL).option("recursiveFileLookup", "true").parquet(self.history_path)
-            h.limit(0).collect()
-        except Exception as e:  # no load yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-            h = self.spark.createDataFrame([], LOAD_DDL)
-        return h.filter(F.col("table_name") == name) if name else h
+    def load_history(self, name: str) -> DataFrame:
+        """The table's recent loads (newest last): mode, version folder, rows written, times."""
+        hist = json.loads(self._props(name).get(PROP_LOADS, "[]")) if self.exists(name) else []
+        rows = [(h["load_id"], name, h["mode"], h["location"], h["rows_written"], h["started_ms"], h["ended_ms"])
+                for h in hist]
+        return self.spark.createDataFrame(rows, LOAD_DDL)
 
     def last_load(self, name: str):
-        """Details of the table's most recent load: mode, version folder, rows written, times."""
-        rows = self.load_history(name).orderBy(F.col("ended_ms").desc(), F.col("started_ms").desc()).limit(1) \
-            .collect()
-        return rows[0] if rows else None
+        """Details of the table's most recent load, or None."""
+        hist = json.loads(self._props(name).get(PROP_LOADS, "[]")) if self.exists(name) else []
+        if not hist:
+            return None
+        return Row(table_name=name, **hist[-1])
 
-    def load_details(self, load_id: str):
-        rows = self.load_history().filter(F.col("load_id") == load_id).collect()
-        return rows[0] if rows else None
+    def load_details(self, name: str, load_id: str):
+        return next((r for r in self.load_history(name).collect() if r["load_id"] == load_id), None)
 
     # -- catalog ---------------------------------------------------------
     def exists(self, name: str) -> bool:
@@ -148,7 +152,7 @@ class TableStore:
         return TableStore(spark, self.root, self.fmt)
 
     def layout(self, name: str) -> Layout:
-        props = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {table_name(name)}").collect()}
+        props = self._props(name)
         if PROP_BUCKETS in props:
             return Layout(tuple(props[PROP_KEYS].split("\x1f")), int(props[PROP_BUCKETS]))
         return Layout()
@@ -189,21 +193,25 @@ class TableStore:
 
     def _point(self, name: str, path: str, schema: T.StructType, lay: Layout) -> None:
         q = table_name(name)
-        if (not lay.bucketed and self.exists(name) and not self.layout(name).bucketed
+        exists = self.exists(name)
+        if (not lay.bucketed and exists and not self.layout(name).bucketed
                 and _same_columns(self.read(name).schema, schema)):
             self.spark.sql(f"ALTER TABLE {q} SET LOCATION {_sql_text(path)}")
         else:
+            history = self._props(name).get(PROP_LOADS) if exists else None
+            props = {PROP_LOADS: history} if history else {}
+            if lay.bucketed:
+                props.update({PROP_KEYS: chr(31).join(lay.keys), PROP_BUCKETS: str(lay.buckets)})
+            tbl = ("TBLPROPERTIES (" + ", ".join(f"{_sql_text(k)} = {_sql_text(v)}" for k, v in props.items()) + ")"
+                   if props else "")
             self.spark.sql(f"DROP TABLE IF EXISTS {q}")
             if lay.bucketed:
-                props = f"{_sql_text(PROP_KEYS)} = {_sql_text(chr(31).join(lay.keys))}, " \
-                        f"{_sql_text(PROP_BUCKETS)} = {_sql_text(str(lay.buckets))}"
                 self.spark.sql(f"CREATE TABLE {q} ({_columns_ddl(schema)}, {quote(BUCKET)} int) USING {self.fmt} "
-                               f"PARTITIONED BY ({quote(BUCKET)}) LOCATION {_sql_text(path)} "
-                               f"TBLPROPERTIES ({props})")
+                               f"PARTITIONED BY ({quote(BUCKET)}) LOCATION {_sql_text(path)} {tbl}")
                 self.spark.sql(f"MSCK REPAIR TABLE {q}")
             else:
                 self.spark.sql(f"CREATE TABLE {q} ({_columns_ddl(schema)}) USING {self.fmt} "
-                               f"LOCATION {_sql_text(path)}")
+                               f"LOCATION {_sql_text(path)} {tbl}")
         self.spark.catalog.refreshTable(q)
 
     def publish(self, name: str, df: DataFrame, lay: Layout | None = None, mode: str = "publish") -> str:

@@ -184,12 +184,14 @@ def test_load_history_records_every_write(spark):
     st.append(name, o.filter("o_orderkey % 2 = 1"))
     st.insert_ignore(name, o, ["o_orderkey"])
     st.update_add(name, o.filter("o_orderkey < 10"), ["o_orderkey"])
-    modes = [(r["mode"], r["rows_written"]) for r in st.load_history(name).orderBy("started_ms").collect()]
+    modes = [(r["mode"], r["rows_written"]) for r in st.load_history(name).collect()]
     n = o.count()
     assert modes == [("import_new", o.filter("o_orderkey % 2 = 0").count()),
                      ("append", o.filter("o_orderkey % 2 = 1").count()), ("insert_ignore", 0), ("updateadd", n)]
     last = st.last_load(name)
     assert last["mode"] == "updateadd" and last["location"] == st.location(name).replace("file:", "")
+    st.full_refresh(name, o.select("o_orderkey"))  # schema change: the table is re-created, history kept
+    assert [r["mode"] for r in st.load_history(name).collect()][-2:] == ["updateadd", "full_refresh"]
 
 
 def test_copy_tables_to_another_database(spark, store):
