@@ -84,8 +84,15 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, check: b
 
 
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str] = (ID,), order_by: str | None = None,
-             broadcast_max_rows: int | None = None) -> DataFrame:
-    """Batch rows (one per key) whose key is not in the target."""
+             broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Batch rows (one per key) whose key is not in the target.
+
+    A batch proven under ``broadcast_max_rows`` never shuffles the target:
+    the target's keys are semi-joined against the broadcast batch keys
+    (streamed once), the keys found (at most one per batch key) are
+    broadcast back, and the batch is anti-joined against them. A larger
+    batch uses a plain shuffled anti-join on the keys.
+    """
     keys = list(keys)
     if order_by:
         b = first_wins(batch, keys, order_by)
@@ -95,8 +102,10 @@ def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str] = (ID,), o
     else:
         b = dedup(conform(batch, target.schema), keys)
     tkeys = target.select(*[fx.col(k) for k in keys])
-    if broadcast_max_rows:
-        tkeys = broadcast_if_small(tkeys, broadcast_max_rows)
+    if broadcast_max_rows and not has_more_rows_than(b, broadcast_max_rows):
+        bkeys = F.broadcast(b.select(*[fx.col(k) for k in keys]))
+        present = tkeys.join(bkeys, on=keys, how="left_semi").distinct()
+        return b.join(F.broadcast(present), on=keys, how="left_anti")
     return b.join(tkeys, on=keys, how="left_anti")
 
 

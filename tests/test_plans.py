@@ -58,3 +58,14 @@ def test_first_wins_is_an_aggregate_not_a_window(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("id"), F.col("id").alias("pos"))
     plan = _plan(ts.first_wins(df, ["id"], "pos"))
     assert "Window" not in plan and "Aggregate" in plan
+
+
+def test_small_batch_insert_ignore_does_not_shuffle_target(spark):
+    from tablesmith.operators.merge import new_rows
+    o = spark.read.parquet(f"{SF001}/orders.parquet")
+    plan = _plan(new_rows(o, o.filter("o_orderkey < 50"), ["o_orderkey"]))
+    assert "LeftSemi" in plan and "LeftAnti" in plan
+    # the target's full rows are never exchanged; only the batch is reduced by key
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "o_custkey" not in line
