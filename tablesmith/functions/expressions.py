@@ -55,10 +55,13 @@ def to_number(c: Column, dtype: str = "double", on_error: str = "raise") -> Colu
     ``"null"`` turns it into null.
     """
     text = number_text(c)
-    if on_error == "raise":
-        return text.cast(dtype)
+    parsed = text.try_cast(dtype)
+    if on_error == "raise":  # explicit, so it holds whatever spark.sql.ansi.enabled says
+        return F.when(text.isNotNull() & parsed.isNull(),
+                      F.raise_error(F.concat(F.lit("CAST_INVALID_INPUT: not a number: '"), text, F.lit("'")))
+                      ).otherwise(parsed)
     if on_error == "null":
-        return text.try_cast(dtype)
+        return parsed
     raise ValueError(f"on_error must be 'raise' or 'null', not {on_error!r}")
 
 
@@ -84,6 +87,11 @@ def epoch_ms(ts: Column) -> Column:
     return F.unix_timestamp(ts.cast("timestamp_ntz")) * F.lit(1000)
 
 
+def utc_from_epoch_ms(ms: Column) -> Column:
+    """UTC wall-clock time stamp (timestamp_ntz) of epoch milliseconds, whatever the session zone."""
+    return F.timestamp_add("MILLISECOND", ms, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def now_epoch_ms() -> Column:
     """Current epoch milliseconds in whole seconds (job ``updated_at``)."""
     return F.unix_timestamp() * F.lit(1000)

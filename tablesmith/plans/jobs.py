@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablesmith.functions import expressions as fx
-from tablesmith.functions.tokens import FAILED, PASS, PENDING
+from tablesmith.functions.tokens import ALERT_ZONE, FAILED, PASS, PENDING
 from tablesmith.operators.sizing import broadcast_if_small
 from tablesmith.plans.sync import SyncSpec, mapping_from_rows, sync_table, text_export
 from tablesmith.session import work_path
@@ -65,6 +65,18 @@ def update_job_state(jobs: DataFrame, job_id: str, status: str, message: str,
     return apply_job_results(jobs, one, observation=observation)
 
 
+def failure_alerts(jobs: DataFrame, zone: str = ALERT_ZONE) -> DataFrame:
+    """One alert row per job not in PASS state: a subject stamped with the job's
+    ``updated_at`` in ``zone`` and a description naming source, target and message."""
+    stamp = fx.zone_text(fx.utc_from_epoch_ms(F.col("updated_at")), zone)
+    return jobs.filter(F.col("status") != F.lit(PASS)).select(
+        "job_id",
+        F.concat(F.lit("Table sync failed "), stamp).alias("subject"),
+        F.concat_ws("", F.lit("Sync of "), F.coalesce(F.col("source_table"), F.lit("?")), F.lit(" into "),
+                    F.col("target_table"), F.lit(" ended "), F.col("status"), F.lit(": "),
+                    F.coalesce(F.col("message"), F.lit("no message"))).alias("description"))
+
+
 def _message(e: BaseException) -> str:
     text = str(e).strip().splitlines()
     return (text[0] if text else type(e).__name__)[:1000]

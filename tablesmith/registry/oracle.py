@@ -174,6 +174,16 @@ ORACLE: dict[str, str] = {
                          "else case n_nationkey % 3 when 0 then 'PENDING' when 1 then 'PASS' else 'FAILED' end end "
                          "as status, case when n_nationkey = 7 then 'export failed' end as message, "
                          "case when n_nationkey = 7 then 1700000000000 else 0 end as updated_at from nation"),
+    "failure_alerts": ("with j as (select cast(n_nationkey as varchar) as job_id, 'customer' as source_table, "
+                       "'cust_nation_' || cast(n_nationkey as varchar) as target_table, "
+                       "case when n_nationkey = 7 then 'FAILED' else case n_nationkey % 3 when 0 then 'PENDING' "
+                       "when 1 then 'PASS' else 'FAILED' end end as status, "
+                       "case when n_nationkey = 7 then 'export failed' end as message, "
+                       "case when n_nationkey = 7 then 1700000000000 else 0 end as updated_at from nation) "
+                       "select job_id, 'Table sync failed ' || strftime(epoch_ms(updated_at) + "
+                       "interval '5 hours 30 minutes', '%d-%m-%Y %H:%M:%S') as subject, "
+                       "'Sync of ' || source_table || ' into ' || target_table || ' ended ' || status || ': ' || "
+                       "coalesce(message, 'no message') as description from j where status <> 'PASS'"),
     "sync_jobs": _job_run("PENDING"),
     "refetch": _job_run("FAILED"),
     "ist_text": ("select event_id, strftime(ts + interval '5 hours 30 minutes', '%d-%m-%Y %H:%M:%S') as ist_text "

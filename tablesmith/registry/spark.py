@@ -359,6 +359,11 @@ def q_update_job_state(spark, sf):
                                     updated_at=1_700_000_000_000).select("job_id", "status", "message", "updated_at")
 
 
+def q_failure_alerts(spark, sf):
+    jobs = jobplan.update_job_state(jobs_frame(spark, sf), "7", "FAILED", "export failed", updated_at=1_700_000_000_000)
+    return jobplan.failure_alerts(jobs)
+
+
 def _job_report(jobs: DataFrame, results: DataFrame, updated: DataFrame) -> DataFrame:
     return updated.join(results.select("job_id", "rows_loaded"), "job_id", "left") \
         .select("job_id", "target_table", "status", "message", "rows_loaded")
@@ -432,6 +437,7 @@ QUERIES: dict[str, Query] = {
     "load_audit": q_load_audit,
     "due_jobs": q_due_jobs,
     "update_job_state": q_update_job_state,
+    "failure_alerts": q_failure_alerts,
     "sync_jobs": q_sync_jobs,
     "refetch": q_refetch,
     "ist_text": q_ist_text,

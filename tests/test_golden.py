@@ -104,3 +104,15 @@ def test_row_counts_reported_by_observation(spark):
     obs = Observation("del")
     kept = ts.delete_where(df, "even", observation=obs).count()
     assert kept + obs.get["deleted_rows"] == 100
+
+
+def test_bad_number_raises_even_without_ansi(spark):
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = _one(spark, "1.2.3", names=["amt"])
+        with pytest.raises(Exception, match="not a number"):
+            ts.clean_numbers(df, ["amt"]).collect()
+        assert ts.clean_numbers(_one(spark, "1,5", names=["amt"]), ["amt"]).first()["amt"] == 15.0
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
