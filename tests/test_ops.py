@@ -136,3 +136,27 @@ def test_registry_status_written_back(spark, store):
     assert all(after[str(k)] == "PASS" for k in range(0, 25, 3))
     assert jp.due_jobs(store.read(name), pending=True).count() == 0  # nothing left pending
     assert store.last_load(name)["mode"] == "truncateadd"
+
+
+def test_cli_sync_and_jobs(spark, store, capsys):
+    import json
+    import uuid
+
+    from tablesmith import cli
+    from tablesmith.session import work_path
+    from tablesmith.sinks.files import csv_export
+    from tablesmith.registry.inputs import orders_export
+    root = store.root
+    export = csv_export(orders_export(spark, SF001), work_path(spark, "cli", "export"))
+    mapping = csv_export(spark.createDataFrame([("o_orderkey", "order_no", "STRING"), ("o_totalprice", "amount", "NUMBER")],
+                                               "source_key string, destination_key string, data_type string"),
+                         work_path(spark, "cli", "mapping"), single_file=True)
+    target = f"cli_{uuid.uuid4().hex[:8]}"
+    assert cli.main(["sync", "--export", export, "--mapping", mapping, "--target", target, "--root", root]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["status"] == "PASS" and out["rows_loaded"] == store.read(target).count()
+    register_views(spark, SF001, "customer")
+    reg = f"cli_reg_{uuid.uuid4().hex[:8]}"
+    store.import_new_table(reg, jobs_frame(spark, SF001).filter("job_id in ('0', '3')"))
+    assert cli.main(["jobs", "--registry", reg, "--pending", "--root", root]) == 0
+    assert {r["status"] for r in store.read(reg).collect()} == {"PASS"}
