@@ -25,7 +25,7 @@ def _text_schema(columns: Sequence[str]) -> T.StructType:
 
 def csv_scan(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, *,
              na_tokens: Iterable[str] | None = NA_TOKENS, multi_line: bool = True, with_position: bool = False,
-             strict: bool = True) -> DataFrame:
+             strict: bool = True, recursive: bool = False) -> DataFrame:
     """Exported CSV (header row) as text columns, missing-value tokens -> null.
 
     ``columns`` fixes the expected header (no schema read); otherwise the
@@ -34,9 +34,12 @@ def csv_scan(spark: SparkSession, path: str | Sequence[str], columns: Sequence[s
     task; exports come as many part files, which keeps the scan parallel).
     ``with_position`` adds ``pos`` = (file path, row order) for first-wins
     loads. ``strict`` fails on malformed records instead of nulling them.
+    ``recursive`` reads files in sub-folders too (folder names never become columns).
     """
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower()) \
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     if columns is not None:
         reader = reader.schema(_text_schema(columns)).option("enforceSchema", "false")
     else:
@@ -58,7 +61,7 @@ def read_file(spark: SparkSession, path: str, file_type: str = "csv", *, auto_id
     ft = file_type.lower()
     opts = dict(options or {})
     if ft == "csv":
-        r = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").options(**opts)
+        r = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").option("mode", "FAILFAST").options(**opts)
         if schema is not None:
             return null_tokens(r.schema(schema).csv(path), None)
         if auto_identify:

@@ -116,3 +116,11 @@ def test_bad_number_raises_even_without_ansi(spark):
         assert ts.clean_numbers(_one(spark, "1,5", names=["amt"]), ["amt"]).first()["amt"] == 15.0
     finally:
         spark.conf.set("spark.sql.ansi.enabled", prev)
+
+
+def test_typed_import_rejects_malformed_values(spark):
+    from tablesmith.sources.files import read_file
+    path = work_path(spark, "typed")
+    spark.createDataFrame([("a,b\n1,x\n2,3\n",)], "value string").coalesce(1).write.text(path)
+    with pytest.raises(Exception):
+        read_file(spark, path, "csv", auto_identify=False, schema="a int, b int").collect()
