@@ -124,3 +124,23 @@ def test_typed_import_rejects_malformed_values(spark):
     spark.createDataFrame([("a,b\n1,x\n2,3\n",)], "value string").coalesce(1).write.text(path)
     with pytest.raises(Exception):
         read_file(spark, path, "csv", auto_identify=False, schema="a int, b int").collect()
+
+
+def test_awkward_names_survive_sync_and_store(spark, store):
+    import uuid
+
+    from tablesmith.plans.sync import sync_table
+    df = spark.createDataFrame([("1", "2,5", "x"), ("1", "2,5", "x")], "`a.b` string, `c d` string, `e``f` string")
+    name = f"t_names_{uuid.uuid4().hex[:6]}"
+    spec = SyncSpec([("a.b", "key.no", "STRING"), ("c d", "amount due", "NUMBER"), ("e`f", "we`ird", "STRING")], name)
+    res = sync_table(df, spec, store)
+    out = store.read(name)
+    assert out.columns == ["id", "key.no", "amount due", "we`ird"] and res.rows_loaded == 1
+    assert tuple(out.first())[1:] == ("1", 25.0, "x")
+
+
+def test_decimal_numbers_keep_digits(spark):
+    from decimal import Decimal
+    df = _one(spark, "12,345,678,901,234,567.125", names=["amt"])
+    out = ts.type_map(df, [("amt", "amount", "NUMBER")], number_type="decimal(38,3)").first()["amt"]
+    assert out == Decimal("12345678901234567.125")
