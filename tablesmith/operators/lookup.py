@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.functions import expressions as fx
-from tablesmith.operators.sizing import DEFAULT_BROADCAST_ROWS, assert_unique, broadcast_if_small
+from tablesmith.operators.sizing import DEFAULT_BROADCAST_ROWS, assert_unique, broadcast_if_small, within
 
 _KEY = "_lookup_key"
 
@@ -34,9 +34,8 @@ def lookup(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
         raise ValueError(f"looked-up column(s) {clash} already in the child table; rename first")
     side = (parent.select(fx.col(parent_col).alias(_KEY), *[fx.col(c) for c in cols])
             .filter(F.col(_KEY).isNotNull()))
-    if check_unique:  # the uniqueness job also proves the parent's size bound
-        n = assert_unique(side, [_KEY], "lookup parent")
-        if broadcast_max_rows and n <= broadcast_max_rows:
+    if check_unique:  # the uniqueness job also measures the parent (rows and bytes) for the broadcast bound
+        if within(assert_unique(side, [_KEY], "lookup parent"), broadcast_max_rows):
             side = F.broadcast(side)
     else:
         side = broadcast_if_small(side, broadcast_max_rows)

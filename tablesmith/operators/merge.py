@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tablesmith.functions import expressions as fx
 from tablesmith.operators.rowid import ID, dedup, first_wins
-from tablesmith.operators.sizing import DEFAULT_BROADCAST_ROWS, assert_unique, broadcast_if_small, has_more_rows_than
+from tablesmith.operators.sizing import DEFAULT_BROADCAST_ROWS, assert_unique, fits_broadcast, within
 
 _HIT = "_matched"
 _PFX = "_new_"
@@ -57,12 +57,10 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, check: b
         raise ValueError(f"batch lacks key column(s) {missing_keys}")
     batch = conform(batch, T.StructType([f for f in target.schema.fields if f.name in set(batch.columns)]),
                     allow_missing=False)
-    if check:  # the uniqueness job also proves the batch's size bound
-        n = assert_unique(batch, keys, "upsert batch")
-        small = broadcast_max_rows is not None and 0 < broadcast_max_rows and n <= broadcast_max_rows
+    if check:  # the uniqueness job also measures the batch (rows and bytes) for the broadcast bound
+        small = within(assert_unique(batch, keys, "upsert batch"), broadcast_max_rows)
     else:
-        small = broadcast_max_rows is not None and 0 < broadcast_max_rows and \
-            not has_more_rows_than(batch, broadcast_max_rows)
+        small = fits_broadcast(batch, broadcast_max_rows)
 
     def side(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
@@ -102,7 +100,7 @@ def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str] = (ID,), o
     else:
         b = dedup(conform(batch, target.schema), keys)
     tkeys = target.select(*[fx.col(k) for k in keys])
-    if broadcast_max_rows and not has_more_rows_than(b, broadcast_max_rows):
+    if fits_broadcast(b.select(*[fx.col(k) for k in keys]), broadcast_max_rows):
         bkeys = F.broadcast(b.select(*[fx.col(k) for k in keys]))
         present = tkeys.join(bkeys, on=keys, how="left_semi").distinct()
         return b.join(F.broadcast(present), on=keys, how="left_anti")

@@ -1,14 +1,54 @@
-"""Size-checked broadcast and cheap bounded checks."""
+"""Size-checked broadcast and cheap bounded checks.
+
+A side is hinted for broadcast only after a job has measured it: its row
+count and its bytes (the text/binary length of every cell, fixed widths for
+the rest) must both be under the bounds. Beyond them the join stays a
+shuffle join, and AQE may still pick broadcast from measured shuffle sizes.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablesmith.functions.expressions import col
 
-# Rows a side may have to be hinted for broadcast. The check below proves the
-# bound before the hint is given; beyond it the join stays a shuffle join (and
-# AQE may still pick broadcast from measured sizes at run time).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def _width(t: T.DataType) -> int | None:
+    """Bytes of a fixed-width value; None for variable-width types."""
+    if isinstance(t, (T.BooleanType, T.ByteType)):
+        return 1
+    if isinstance(t, T.ShortType):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+        return 8
+    if isinstance(t, T.DecimalType):
+        return 16
+    if isinstance(t, T.NullType):
+        return 1
+    return None
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes a row takes: cell lengths for text/binary/nested values, the type's width otherwise."""
+    parts = []
+    for f in df.schema.fields:
+        w = _width(f.dataType)
+        if w is not None:
+            parts.append(F.lit(w))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(col(f.name)), F.lit(0)))
+        else:
+            parts.append(F.coalesce(F.octet_length(col(f.name).cast("string")), F.lit(0)))
+    return reduce(lambda a, b: a + b, parts, F.lit(8)).cast("bigint")
 
 
 def has_more_rows_than(df: DataFrame, n: int) -> bool:
@@ -16,44 +56,59 @@ def has_more_rows_than(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() > n
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; otherwise the plain side."""
-    if max_rows is None or max_rows <= 0:
-        return df
-    return df if has_more_rows_than(df, max_rows) else F.broadcast(df)
+def fits_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> bool:
+    """One job over at most ``max_rows + 1`` rows: True when both rows and bytes are in bounds."""
+    if not max_rows or max_rows <= 0:
+        return False
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
+    return row["n"] <= max_rows and (max_bytes is None or (row["b"] or 0) <= max_bytes)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only behind a measured bound; otherwise the plain side."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
+
+
+def within(stats, max_rows: int | None, max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether ``key_stats`` figures (rows, bytes) are under the broadcast bounds."""
+    if not max_rows or max_rows <= 0:
+        return False
+    return stats["rows"] <= max_rows and (max_bytes is None or (stats["bytes"] or 0) <= max_bytes)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once (a partial-aggregated shuffle on ``keys``)."""
-    from tablesmith.functions.expressions import col
     return (df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
             .filter(F.col("_n") > 1))
 
 
 def key_stats(df: DataFrame, keys: list[str]):
-    """One job: number of distinct keys, keys that repeat (and the worst count), rows with a null key.
+    """One job: distinct keys, repeated keys (and the worst count), rows with a null key,
+    total rows and total bytes (for the broadcast bound).
 
     A partial-aggregated count per key, then a one-row summary.
     """
-    from functools import reduce
-
-    from tablesmith.functions.expressions import col
     any_null = reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
-    per_key = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"), F.max(any_null).alias("_null"))
+    per_key = df.groupBy(*[col(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(any_null).alias("_null"), F.sum(row_bytes(df)).alias("_b"))
     return per_key.agg(F.count(F.lit(1)).alias("keys"), F.count_if(F.col("_n") > 1).alias("dups"),
                        F.coalesce(F.max("_n"), F.lit(0)).alias("mx"),
                        F.coalesce(F.sum(F.when(F.col("_null"), F.col("_n")).otherwise(F.lit(0))), F.lit(0))
-                       .alias("nulls")).first()
+                       .alias("nulls"),
+                       F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+                       F.coalesce(F.sum("_b"), F.lit(0)).alias("bytes")).first()
 
 
-def assert_unique(df: DataFrame, keys: list[str], what: str) -> int:
-    """Raise when ``keys`` repeat or are null in ``df``; returns the number of rows (= keys)."""
+def assert_unique(df: DataFrame, keys: list[str], what: str):
+    """Raise when ``keys`` repeat or are null in ``df``; returns the ``key_stats`` row."""
     row = key_stats(df, keys)
     if row["nulls"]:
         raise ValueError(f"{what}: {row['nulls']} row(s) have a null in key {keys}")
     if row["dups"]:
         raise ValueError(f"{what}: {row['dups']} key value(s) of {keys} repeat (up to {row['mx']} times)")
-    return int(row["keys"])
+    return row
 
 
 def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
@@ -63,7 +118,7 @@ def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
     them (casts, hashing) would run on that few cores. Only then is a
     round-robin repartition added (deterministic on retry: rows are sorted
     before being dealt out); a big input with enough splits is left alone,
-    so no shuffle is added at scale.
+    so no shuffle is added at scale. Opt-in: not used by the default plans.
     """
     if df.isStreaming:
         return df

@@ -69,3 +69,11 @@ def test_small_batch_insert_ignore_does_not_shuffle_target(spark):
     for line in plan.splitlines():
         if "Exchange hashpartitioning" in line:
             assert "o_custkey" not in line
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    wide = spark.range(1000).select(F.repeat(F.lit("x"), 10_000).alias("s"))  # ~10 MB of text
+    assert not sizing.fits_broadcast(wide, max_rows=10_000, max_bytes=1_000_000)
+    assert sizing.fits_broadcast(wide, max_rows=10_000, max_bytes=100_000_000)
+    stats = sizing.key_stats(wide.withColumn("k", F.monotonically_increasing_id()), ["k"])
+    assert stats["rows"] == 1000 and stats["bytes"] >= 10_000_000
