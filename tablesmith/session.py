@@ -79,3 +79,14 @@ def scale_settings(input_bytes: int, *, partition_bytes: int = 256 * MB, max_shu
 def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
     for k, v in settings.items():
         spark.conf.set(k, v)
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and return it with a fresh lineage.
+
+    For long chains of row/column changes applied in a loop: a reliable
+    checkpoint survives executor loss (it is written to the cluster's shared
+    folder, never kept on the executors).
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
