@@ -89,9 +89,12 @@ def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str] = (ID,), o
     the target's keys are semi-joined against the broadcast batch keys
     (streamed once), the keys found (at most one per batch key) are
     broadcast back, and the batch is anti-joined against them. A larger
-    batch uses a plain shuffled anti-join on the keys.
+    batch uses a plain shuffled anti-join on the keys. The bound is
+    measured on the raw batch keys (a scan, no shuffle): the deduplicated
+    batch can only be smaller.
     """
     keys = list(keys)
+    raw_keys = batch.select(*[fx.col(k).cast(target.schema[k].dataType).alias(k) for k in keys])
     if order_by:
         b = first_wins(batch, keys, order_by)
         if order_by not in target.columns:
@@ -100,7 +103,7 @@ def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str] = (ID,), o
     else:
         b = dedup(conform(batch, target.schema), keys)
     tkeys = target.select(*[fx.col(k) for k in keys])
-    if fits_broadcast(b.select(*[fx.col(k) for k in keys]), broadcast_max_rows):
+    if fits_broadcast(raw_keys, broadcast_max_rows):
         bkeys = F.broadcast(b.select(*[fx.col(k) for k in keys]))
         present = tkeys.join(bkeys, on=keys, how="left_semi").distinct()
         return b.join(F.broadcast(present), on=keys, how="left_anti")
