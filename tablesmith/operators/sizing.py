@@ -118,7 +118,7 @@ def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
     them (casts, hashing) would run on that few cores. Only then is a
     round-robin repartition added (deterministic on retry: rows are sorted
     before being dealt out); a big input with enough splits is left alone,
-    so no shuffle is added at scale. Opt-in: not used by the default plans.
+    so no shuffle is added at scale. Used by the sync plan (``SyncSpec.spread``).
     """
     if df.isStreaming:
         return df

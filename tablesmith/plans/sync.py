@@ -19,6 +19,7 @@ from tablesmith.functions.tokens import NA_TOKENS, PASS
 from tablesmith.operators.clean import null_tokens
 from tablesmith.operators.mapping import ColumnMap, parse_mapping, typed_column, validate_mapping
 from tablesmith.operators.rowid import ID, dedup, first_wins, row_id
+from tablesmith.operators.sizing import spread
 from tablesmith.sinks.files import as_text
 
 
@@ -33,6 +34,7 @@ class SyncSpec:
     number_type: str = "double"
     order_col: str | None = None
     na_tokens: Sequence[str] = field(default_factory=lambda: list(NA_TOKENS))
+    spread: bool = True
 
     def __post_init__(self) -> None:
         self.mapping = parse_mapping(self.mapping)
@@ -43,11 +45,14 @@ def prepare(text: DataFrame, spec: SyncSpec, observation: Observation | None = N
 
     With ``observation``: ``rows_read`` and, per NUMBER source column,
     ``bad_<column>`` (cells that are not numbers), counted on the same pass.
+    With ``spec.spread``, a scan that yields fewer tasks than the cluster has
+    slots is dealt out round-robin first, so the per-row work (tokens, hash,
+    casts) runs on every core; a scan with enough splits is left as it is.
     """
     source_cols = [c for c in text.columns if c != spec.order_col]
     reserved = (ID, spec.order_col) if spec.order_col else (ID,)
     validate_mapping(spec.mapping, source_cols, reserved=reserved)
-    df = null_tokens(text, source_cols, spec.na_tokens)
+    df = null_tokens(spread(text) if spec.spread else text, source_cols, spec.na_tokens)
     if observation is not None:
         numbers = sorted({m.source_key for m in spec.mapping if m.data_type.upper() == "NUMBER"})
         df = df.observe(observation, F.count(F.lit(1)).alias("rows_read"),

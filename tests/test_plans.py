@@ -77,3 +77,14 @@ def test_broadcast_bound_counts_bytes(spark):
     assert sizing.fits_broadcast(wide, max_rows=10_000, max_bytes=100_000_000)
     stats = sizing.key_stats(wide.withColumn("k", F.monotonically_increasing_id()), ["k"])
     assert stats["rows"] == 1000 and stats["bytes"] >= 10_000_000
+
+
+def test_sync_spreads_only_a_scan_with_too_few_tasks(spark):
+    from tablesmith.plans.sync import SyncSpec, sync_rows
+    spec = SyncSpec([ts.ColumnMap("a", "a", "STRING")], "t")
+    slots = spark.sparkContext.defaultParallelism
+    narrow = spark.range(0, 100, 1, 1).selectExpr("cast(id as string) as a")
+    wide = spark.range(0, 100, 1, slots).selectExpr("cast(id as string) as a")
+    assert "RoundRobinPartitioning" in _plan(sync_rows(narrow, spec))
+    assert "RoundRobinPartitioning" not in _plan(sync_rows(wide, spec))
+    assert "RoundRobinPartitioning" not in _plan(sync_rows(narrow, SyncSpec(spec.mapping, "t", spread=False)))
