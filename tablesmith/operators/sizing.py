@@ -51,18 +51,25 @@ def row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, parts, F.lit(8)).cast("bigint")
 
 
+def _count_and_bytes(df: DataFrame):
+    # A plain aggregate: each task sends one partial row, so no rows move.
+    # (A ``limit(n)`` first would ship up to n rows per task into a single
+    # task, nearly the whole side at scale.)
+    return df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
+
+
 def has_more_rows_than(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has more than ``n`` rows; reads at most ``n + 1`` rows per task."""
-    return df.limit(n + 1).count() > n
+    """True when ``df`` has more than ``n`` rows (one aggregated pass, no single-task limit)."""
+    return df.agg(F.count(F.lit(1)).alias("n")).first()["n"] > n
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS,
                    max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> bool:
-    """One job over at most ``max_rows + 1`` rows: True when both rows and bytes are in bounds."""
+    """One aggregated job (a pruned scan of ``df``): True when both rows and bytes are in bounds."""
     if not max_rows or max_rows <= 0:
         return False
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
-    return row["n"] <= max_rows and (max_bytes is None or (row["b"] or 0) <= max_bytes)
+    row = _count_and_bytes(df)
+    return row["n"] <= max_rows and (max_bytes is None or row["b"] <= max_bytes)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS,
