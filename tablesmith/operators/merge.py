@@ -77,8 +77,22 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, check: b
     updated = target.join(changes, on=keys, how="left").select(
         *[(F.when(hit, F.col(_PFX + c)).otherwise(fx.col(c)) if c in upd_cols else fx.col(c)).alias(c)
           for c in tcols])
-    added = conform(batch.join(target.select(*[fx.col(k) for k in keys]), on=keys, how="left_anti"), target.schema)
-    return updated.unionByName(added)
+    return updated.unionByName(conform(_absent(target, batch, keys, small), target.schema))
+
+
+def _absent(target: DataFrame, batch: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    """Batch rows whose key is not in the target.
+
+    Small batch: the target's keys stream through a semi-join against the
+    broadcast batch keys; the keys found (at most one per batch key) are
+    broadcast back into the anti-join, so no target key is shuffled. Large
+    batch: a shuffled anti-join on the keys.
+    """
+    tkeys = target.select(*[fx.col(k) for k in keys])
+    if not small:
+        return batch.join(tkeys, on=keys, how="left_anti")
+    present = tkeys.join(F.broadcast(batch.select(*[fx.col(k) for k in keys])), on=keys, how="left_semi").distinct()
+    return batch.join(F.broadcast(present), on=keys, how="left_anti")
 
 
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str] = (ID,), order_by: str | None = None,
@@ -102,12 +116,7 @@ def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str] = (ID,), o
         b = conform(b, target.schema)
     else:
         b = dedup(conform(batch, target.schema), keys)
-    tkeys = target.select(*[fx.col(k) for k in keys])
-    if fits_broadcast(raw_keys, broadcast_max_rows):
-        bkeys = F.broadcast(b.select(*[fx.col(k) for k in keys]))
-        present = tkeys.join(bkeys, on=keys, how="left_semi").distinct()
-        return b.join(F.broadcast(present), on=keys, how="left_anti")
-    return b.join(tkeys, on=keys, how="left_anti")
+    return _absent(target, b, keys, fits_broadcast(raw_keys, broadcast_max_rows))
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str] = (ID,),

@@ -88,3 +88,14 @@ def test_sync_spreads_only_a_scan_with_too_few_tasks(spark):
     assert "RoundRobinPartitioning" in _plan(sync_rows(narrow, spec))
     assert "RoundRobinPartitioning" not in _plan(sync_rows(wide, spec))
     assert "RoundRobinPartitioning" not in _plan(sync_rows(narrow, SyncSpec(spec.mapping, "t", spread=False)))
+
+
+def test_small_batch_partial_upsert_does_not_shuffle_target(spark):
+    o = spark.read.parquet(f"{SF001}/orders.parquet")
+    batch = o.filter("o_orderkey < 50").select("o_orderkey", (F.col("o_totalprice") * 2).alias("o_totalprice"))
+    plan = _plan(ts.upsert(o, batch, ["o_orderkey"]))
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    for line in plan.splitlines():  # neither the target's rows nor all its keys are exchanged
+        if "Exchange hashpartitioning" in line:
+            assert "o_custkey" not in line
+    assert "SortMergeJoin" not in plan
