@@ -29,6 +29,15 @@ def conform(batch: DataFrame, schema: T.StructType, *, allow_missing: bool = Tru
                           for f in schema.fields])
 
 
+def conform_batch(schema: T.StructType, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """An update batch in the target's types: the keys and any subset of target columns."""
+    missing_keys = [k for k in keys if k not in batch.columns]
+    if missing_keys:
+        raise ValueError(f"batch lacks key column(s) {missing_keys}")
+    return conform(batch, T.StructType([f for f in schema.fields if f.name in set(batch.columns)]),
+                   allow_missing=False)
+
+
 def append(target: DataFrame, batch: DataFrame) -> DataFrame:
     """All target rows plus all batch rows (bag union)."""
     return target.unionByName(conform(batch, target.schema))
@@ -40,7 +49,7 @@ def truncate_add(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, check: bool = True,
-           broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS, stats=None) -> DataFrame:
     """Update rows whose keys are in the batch, add the rest.
 
     Batch keys must be non-null and unique (checked when ``check``). When the
@@ -49,15 +58,14 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, check: b
     only those columns change on matched rows (a left join with a match
     flag) and new keys get nulls elsewhere. The batch side is broadcast
     only behind a proven row bound, so a small batch never shuffles the target.
+    ``stats``: the batch's ``key_stats`` when the caller already ran the check.
     """
     keys = list(keys)
     tcols = target.columns
-    missing_keys = [k for k in keys if k not in batch.columns]
-    if missing_keys:
-        raise ValueError(f"batch lacks key column(s) {missing_keys}")
-    batch = conform(batch, T.StructType([f for f in target.schema.fields if f.name in set(batch.columns)]),
-                    allow_missing=False)
-    if check:  # the uniqueness job also measures the batch (rows and bytes) for the broadcast bound
+    batch = conform_batch(target.schema, batch, keys)
+    if stats is not None:
+        small = within(stats, broadcast_max_rows)
+    elif check:  # the uniqueness job also measures the batch (rows and bytes) for the broadcast bound
         small = within(assert_unique(batch, keys, "upsert batch"), broadcast_max_rows)
     else:
         small = fits_broadcast(batch, broadcast_max_rows)

@@ -91,26 +91,30 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
             .filter(F.col("_n") > 1))
 
 
-def key_stats(df: DataFrame, keys: list[str]):
+def key_stats(df: DataFrame, keys: list[str], bucket: Column | None = None):
     """One job: distinct keys, repeated keys (and the worst count), rows with a null key,
     total rows and total bytes (for the broadcast bound).
 
-    A partial-aggregated count per key, then a one-row summary.
+    A partial-aggregated count per key, then a one-row summary. With
+    ``bucket`` (a function of the keys with few values, e.g. a hash bucket),
+    ``buckets`` lists the distinct values it takes, from the same job.
     """
     any_null = reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
+    extra_key = [F.max(bucket).alias("_bk")] if bucket is not None else []
+    extra = [F.sort_array(F.collect_set("_bk")).alias("buckets")] if bucket is not None else []
     per_key = df.groupBy(*[col(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(any_null).alias("_null"), F.sum(row_bytes(df)).alias("_b"))
+        F.count(F.lit(1)).alias("_n"), F.max(any_null).alias("_null"), F.sum(row_bytes(df)).alias("_b"), *extra_key)
     return per_key.agg(F.count(F.lit(1)).alias("keys"), F.count_if(F.col("_n") > 1).alias("dups"),
                        F.coalesce(F.max("_n"), F.lit(0)).alias("mx"),
                        F.coalesce(F.sum(F.when(F.col("_null"), F.col("_n")).otherwise(F.lit(0))), F.lit(0))
                        .alias("nulls"),
                        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-                       F.coalesce(F.sum("_b"), F.lit(0)).alias("bytes")).first()
+                       F.coalesce(F.sum("_b"), F.lit(0)).alias("bytes"), *extra).first()
 
 
-def assert_unique(df: DataFrame, keys: list[str], what: str):
+def assert_unique(df: DataFrame, keys: list[str], what: str, bucket: Column | None = None):
     """Raise when ``keys`` repeat or are null in ``df``; returns the ``key_stats`` row."""
-    row = key_stats(df, keys)
+    row = key_stats(df, keys, bucket)
     if row["nulls"]:
         raise ValueError(f"{what}: {row['nulls']} row(s) have a null in key {keys}")
     if row["dups"]:

@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesmith.functions.expressions import col, quote
-from tablesmith.operators.merge import conform, new_rows, upsert
+from tablesmith.operators.merge import conform, conform_batch, new_rows, upsert
+from tablesmith.operators.sizing import assert_unique, key_stats
 from tablesmith.operators.rowid import ID
 from tablesmith.session import work_path
 from tablesmith.sources.sql import table_name
@@ -290,12 +291,16 @@ class TableStore:
             return self.publish(name, upsert(self.read(name), df, keys, **kw), lay, "updateadd")
         started = int(time.time() * 1000)
         current = self.read(name)
-        touched = self._touched(df, current.schema, lay)
+        # One job checks the batch keys, measures the batch and lists the buckets it touches.
+        batch = conform_batch(current.schema, df, keys)
+        stats = (assert_unique(batch, list(keys), "upsert batch", bucket=lay.bucket()) if kw.get("check", True)
+                 else key_stats(batch, list(keys), bucket=lay.bucket()))
+        touched = list(stats["buckets"])
         if len(touched) * 2 > lay.buckets:  # most buckets change: one new version, one swap
-            return self.publish(name, upsert(current, df, keys, **kw), lay, "updateadd")
+            return self.publish(name, upsert(current, batch, keys, stats=stats, **kw), lay, "updateadd")
         part = self._raw(name).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
         path = self._new_version(name)
-        merged, obs = self._observed(upsert(part, df, keys, **kw))
+        merged, obs = self._observed(upsert(part, batch, keys, stats=stats, **kw))
         self._write(merged, path, lay)
         q = table_name(name)
         have = self.buckets(name)

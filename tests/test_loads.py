@@ -207,3 +207,13 @@ def test_partial_upsert_sets_given_columns_only(spark):
     t = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "k int, s string, x double")
     b = spark.createDataFrame([(2, None), (3, 9.0)], "k int, x double")
     assert _rows(ts.upsert(t, b, ["k"])) == [(1, "a", 1.0), (2, "b", None), (3, None, 9.0)]
+
+
+def test_bucketed_update_add_still_checks_batch_keys(spark, store):
+    o = table(spark, SF001, "orders")
+    name = _name("t_bucket_dup")
+    store.import_new_table(name, o, bucket_keys=["o_orderkey"], buckets=8)
+    dup = o.filter("o_orderkey = 3").select("o_orderkey", "o_totalprice")
+    with pytest.raises(ValueError, match="repeat"):
+        store.update_add(name, dup.unionByName(dup), ["o_orderkey"])
+    assert _rows(store.read(name)) == _rows(o)
