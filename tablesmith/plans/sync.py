@@ -2,7 +2,8 @@
 
 The whole path is one lazy plan: a narrow scan/projection stage (tokens,
 hash, casts, rename) and one shuffle on ``id`` for the dedup, with
-duplicates combined map-side first. Load metrics come from observations
+duplicates combined map-side first (a scan with fewer tasks than slots is
+first spread round-robin, see ``SyncSpec.spread``). Load metrics come from observations
 on that same plan, so auditing costs no extra pass.
 """
 
