@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import sys
 import types
@@ -109,4 +110,45 @@ def table(schema: pa.Schema, **columns) -> pa.RecordBatch:
                                        else columns[f.name].cast(f.type) for f in schema], schema=schema)
 
 
-_ANY = re.compile(r"\w")
+
+
+def slice_words(texts: Sequence[bytes | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the whitespace-separated words of some texts one after another, and where each text starts (and ends).
+
+    ``bytes.lower`` and ``bytes.split`` know ASCII only: A-Z, and the space and 9 to 13.
+    """
+    words = [(t.lower() if lower else t).split() if t else [] for t in texts]
+    starts = np.concatenate(([0], np.cumsum([len(w) for w in words], dtype=np.int64))).astype(np.int64)
+    return word_hashes(list(itertools.chain.from_iterable(words))), starts
+
+
+def in_parts(part: np.ndarray, parts: int, **arrays: np.ndarray) -> dict[int, dict[str, bytes]]:
+    """The arrays as bytes, split by ``part`` (order kept inside a part); parts without rows are left out."""
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    arrays = {k: v[order] for k, v in arrays.items()}
+    return {p: {k: v[a:b].tobytes() for k, v in arrays.items()} for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b}
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def merged(rows: DataFrame, part: str, blobs: dict[str, str], combine, schema: str, partitions: int) -> DataFrame:
+    """Bring the rows of a part together and call ``combine(part, {blob: array})``, which yields record batches.
+
+    ``blobs`` maps binary columns to numpy types. A task holds the arrays of its
+    own parts only; part ``p`` goes to task ``p`` modulo ``partitions``.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, dict[str, list[bytes]]] = {}
+        for batch in batches:
+            columns = {k: batch.column(k).to_pylist() for k in blobs}
+            for i, p in enumerate(batch.column(part).to_pylist()):
+                for k, own in held.setdefault(p, {k: [] for k in blobs}).items():
+                    own.append(columns[k][i])
+        while held:
+            p, own = held.popitem()
+            yield from combine(p, {k: [np.frombuffer(x, dtype=t) for x in own[k]] for k, t in blobs.items()})
+
+    return rows.repartitionById(partitions, F.col(part)).mapInArrow(run, schema)

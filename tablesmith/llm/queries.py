@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesmith.llm import decontaminate, langid, packing, quality, secrets, toxicity
+from tablesmith.llm import decontaminate, langid, packing, quality, secrets, substrings, toxicity
 from tablesmith.llm.common import crc_mod, read
 from tablesmith.llm.oracle import ORACLE  # noqa: F401
 from tablesmith.llm.sampling import labelled_sample
@@ -62,6 +62,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predictions(quality.score(read(spark, sf_dir, "documents"), model), quality.THRESHOLD)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeated(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -76,5 +81,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", in_fold(F.col("doc_id"), LANG_FOLDS, LANG_HELD_OUT).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secret_scan, op4_best_fit_packing, op5_quality, op9_decontamination,
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secret_scan, op4_best_fit_packing, op5_quality, op7_substring_dedup, op9_decontamination,
                                    op10_language_id)}
