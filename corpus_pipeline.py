@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesmith.llm import decontaminate, packing, secrets, toxicity
+from tablesmith.llm import decontaminate, packing, secret_scan, toxicity
 from tablesmith.llm.common import read
 from tablesmith.llm.queries import toxicity_model
 from tablesmith.session import work_path
@@ -28,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact(docs)
+    return secret_scan.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

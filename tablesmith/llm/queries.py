@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesmith.llm import decontaminate, langid, packing, quality, secrets, substrings, toxicity
+from tablesmith.llm import decontaminate, jaccard, langid, packing, quality, secret_scan, substrings, toxicity
 from tablesmith.llm.common import crc_mod, read
 from tablesmith.llm.oracle import ORACLE  # noqa: F401
 from tablesmith.llm.sampling import labelled_sample
@@ -43,14 +43,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(read(spark, sf_dir, "documents"))
+    found = secret_scan.find_secrets(read(spark, sf_dir, "documents"))
 
     def n(kind: str) -> Column:
         return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *[n(k) for k in secrets.KINDS],
-                        F.sha2(secrets.spans_text(F.col("found"), secrets.BASE_KINDS), 256).alias("base_sha256"),
-                        secrets.spans_text(F.col("found")).alias("spans"))
+    return found.select("doc_id", *[n(k) for k in secret_scan.KINDS],
+                        F.sha2(secret_scan.spans_text(F.col("found"), secret_scan.BASE_KINDS), 256).alias("base_sha256"),
+                        secret_scan.spans_text(F.col("found")).alias("spans"))
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predictions(quality.score(read(spark, sf_dir, "documents"), model), quality.THRESHOLD)
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(read(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeated(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -81,5 +85,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", in_fold(F.col("doc_id"), LANG_FOLDS, LANG_HELD_OUT).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secret_scan, op4_best_fit_packing, op5_quality, op7_substring_dedup, op9_decontamination,
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secret_scan, op4_best_fit_packing, op5_quality, op6_ngram_jaccard, op7_substring_dedup, op9_decontamination,
                                    op10_language_id)}
