@@ -15,9 +15,8 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tablesmith.llm import decontaminate, packing, secret_scan, toxicity
+from tablesmith.llm import decontaminate, jaccard, packing, secret_scan, toxicity
 from tablesmith.llm.common import read
 from tablesmith.llm.queries import toxicity_model
 from tablesmith.session import work_path
@@ -27,6 +26,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, toxicity_model(spark, sf_dir, docs))
 
 
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.one_of_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secret_scan.redact(docs)
 
@@ -35,7 +42,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, with_ids=False)
 
 
-STAGES = [("toxicity", drop_toxic), ("secrets", mask_secrets), ("packing", pack)]
+STAGES = [("toxicity", drop_toxic), ("ngram_jaccard", keep_one_of_each), ("decontamination", drop_contaminated),
+          ("secrets", mask_secrets), ("packing", pack)]
 
 #: Trained models and tokenizers have no SQL form; the stages are tested against brute force.
 ORACLE_SQL = None

@@ -205,3 +205,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
 def contaminated(n_hit, n_words):
     """The contamination rule: some word hit, and at least a twentieth of all words."""
     return (n_hit > 0) & (n_hit * 20 >= n_words)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """``docs`` without the rows whose id the contamination rule finds; rows with a null id stay."""
+    found = contamination(docs, benchmark, **options)
+    gone = found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesmith.llm import decontaminate, jaccard, langid, packing, quality, secret_scan, substrings, toxicity
-from tablesmith.llm.common import crc_mod, read
+from tablesmith.llm import chat, decontaminate, jaccard, langid, packing, quality, secret_scan, substrings, topk, toxicity
+from tablesmith.llm.common import crc_mod, read, saved
 from tablesmith.llm.oracle import ORACLE  # noqa: F401
 from tablesmith.llm.sampling import labelled_sample
 
@@ -53,6 +53,38 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.spans_text(F.col("found")).alias("spans"))
 
 
+#: Speaker markers that raw transcripts are written with, one style per conversation: (before, after, names).
+STYLES = [("", ": ", {"system": "System", "user": "User", "assistant": "Assistant", "tool": "Tool"}),
+          ("### ", "\n", {"system": "System", "user": "Human", "assistant": "AI", "tool": "Function"}),
+          ("[", "] ", {"system": "system", "user": "customer", "assistant": "agent", "tool": "tool"}),
+          ("<|", "|>", {"system": "system", "user": "user", "assistant": "assistant", "tool": "tool"}),
+          ("**", ":** ", {"system": "Context", "user": "Q", "assistant": "A", "tool": "Observation"})]
+
+
+def raw_transcripts(conversations: DataFrame) -> DataFrame:
+    """The conversations as raw text: turns end in an empty line and begin with the conversation's style of marker.
+
+    One turn in five carries no marker, so that roles have to be recovered from what surrounds it.
+    """
+    style = F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")) % len(STYLES)
+    marker = F.lit(None).cast("string")
+    for i, (before, after, names) in enumerate(STYLES):
+        name = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("role")]
+        marker = F.when(style == i, F.concat(F.lit(before), name, F.lit(after))).otherwise(marker)
+    bare = F.crc32(F.concat_ws(":", "conv_id", "turn").cast("binary")) % 5 == 0
+    text = F.concat(F.coalesce(F.when(~bare, marker), F.lit("")), F.coalesce("text", F.lit("")), F.lit("\n"))
+    return conversations.select("conv_id", "turn", "role", text.alias("text"))
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_transcripts(read(spark, sf_dir, "conversations"))
+    cut = saved(chat.blocks(raw, role_col="role"), "chat-blocks")
+    model = chat.train(cut.filter(~in_fold(F.col("conv"), LANG_FOLDS, LANG_HELD_OUT)))
+    found = chat.turns(cut, model)
+    return found.select(F.col("conv").cast("long").alias("conv_id"), "turn",
+                        in_fold(F.col("conv"), LANG_FOLDS, LANG_HELD_OUT).alias("held_out"), "role", "text", "rendered")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), with_ids=False)
 
@@ -71,6 +103,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -85,5 +121,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", in_fold(F.col("doc_id"), LANG_FOLDS, LANG_HELD_OUT).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secret_scan, op4_best_fit_packing, op5_quality, op6_ngram_jaccard, op7_substring_dedup, op9_decontamination,
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secret_scan, op3_chat_formatting, op4_best_fit_packing, op5_quality, op6_ngram_jaccard, op7_substring_dedup, op8_exact_top_k, op9_decontamination,
                                    op10_language_id)}
