@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesmith.functions.expressions import col
+from tablesmith.operators.sizing import broadcast_if_small
 from tablesmith.session import work_path
 
 U64 = np.uint64
@@ -42,6 +43,16 @@ def saved(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Ids that a join may broadcast, measured before it does; with more of them it shuffles.
+MAX_IDS, MAX_ID_BYTES = 2_000_000, 64 << 20
+
+
+def without_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id is in ``gone`` (one column); null ids stay."""
+    ids = saved(gone.toDF(id_col).na.drop().distinct(), "dropped-ids")
+    return docs.join(broadcast_if_small(ids, MAX_IDS, MAX_ID_BYTES), id_col, "left_anti").select(*map(col, docs.columns))
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows whose ``column`` holds about ``most`` bytes (one row at least)."""
     for batch in batches:

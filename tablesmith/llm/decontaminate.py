@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.functions.expressions import col
-from tablesmith.llm.common import alnum_words, as_bytes, id_text, runs, slices
+from tablesmith.llm.common import alnum_words, as_bytes, id_text, runs, slices, without_ids
 
 WINDOW = 13
 BENCHMARK_BYTES = 16 << 20
@@ -210,5 +210,4 @@ def contaminated(n_hit, n_words):
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows whose id the contamination rule finds; rows with a null id stay."""
     found = contamination(docs, benchmark, **options)
-    gone = found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return without_ids(docs, found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id"))

@@ -36,9 +36,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.common import (U64, as_bytes, id_text, in_parts, merged, mix, saved, shuffle_partitions,
-                                   slice_words, slices, window_hashes)
+from tablesmith.llm.common import (MAX_ID_BYTES, MAX_IDS, U64, as_bytes, id_text, in_parts, merged, mix, saved,
+                                   shuffle_partitions, slice_words, slices, window_hashes, without_ids)
 from tablesmith.llm.components import connected
+from tablesmith.operators.sizing import broadcast_if_small
 
 WIDTH = 5
 #: The similarity as a fraction, so that the test is exact in integers.
@@ -251,6 +252,7 @@ def _sets_of(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
                                               pa.array([s.tobytes() for s in sets], pa.binary())],
                                              names=["key", "n", "bits", "items"])
 
+    reps = broadcast_if_small(saved(reps, "representatives"), MAX_IDS, MAX_ID_BYTES)
     texts = id_text(docs).join(reps, "doc_id").select("key", "text").mapInArrow(run, "key long, n long, bits binary, items binary")
     return saved(texts.dropDuplicates(["key"]), "candidate-sets")
 
@@ -313,6 +315,5 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows with a null id stay; rows that repeat the id and the set of the one that stays, stay too.
     """
-    gone = components(docs).filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return without_ids(docs, components(docs).filter(F.col("doc_id") != F.col("component_id")).select("doc_id"))
 
