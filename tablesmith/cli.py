@@ -1,7 +1,7 @@
 """Command line: run the sync registry, or one table sync from an export folder.
 
     python -m tablesmith.cli jobs --registry sync_jobs [--pending] [--root DIR] [--workers 4]
-    python -m tablesmith.cli sync --export DIR --mapping schema.csv --target TABLE [--root DIR]
+    python -m tablesmith.cli sync --export DIR --mapping schema.csv --target TABLE [--root DIR] [--single-line]
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (so
 ``spark-submit`` settings apply); the store lives under ``--root`` or the
@@ -32,14 +32,20 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--mapping", required=True, help="schema CSV: source_key, destination_key, data_type")
     s.add_argument("--target", required=True)
     s.add_argument("--root")
+    s.add_argument("--single-line", action="store_true", help="no cell holds a line break: large files are split")
+    for sub_parser in (j, s):
+        sub_parser.add_argument("--input-gb", type=float, help="size of the input: shuffle and scan settings are derived from it")
     args = ap.parse_args(argv)
 
     from tablesmith.plans import jobs as jp
+    from tablesmith.session import apply_settings, scale_settings
     from tablesmith.plans.sync import SyncSpec, sync_table
     from tablesmith.sinks.tables import TableStore
     from tablesmith.sources.files import csv_scan, mapping_scan
 
     spark = SparkSession.builder.appName("tablesmith").getOrCreate()
+    if args.input_gb:
+        apply_settings(spark, scale_settings(int(args.input_gb * 1e9)))
     store = TableStore(spark, args.root)
     if args.cmd == "jobs":
         res = jp.run_registry(spark, store, args.registry, pending=args.pending, where=args.where,
@@ -48,7 +54,7 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(rows, default=str))
         return 0 if all(r["status"] == "PASS" for r in rows) else 1
     mapping = [r.asDict() for r in mapping_scan(spark, args.mapping).orderBy("position").collect()]  # one per column
-    res = sync_table(csv_scan(spark, args.export), SyncSpec(mapping, args.target), store)
+    res = sync_table(csv_scan(spark, args.export, multi_line=not args.single_line), SyncSpec(mapping, args.target), store)
     print(json.dumps(res.__dict__, default=str))
     return 0
 

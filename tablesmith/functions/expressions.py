@@ -21,6 +21,14 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def fresh(name: str, *used: Iterable[str]) -> str:
+    """``name``, with underscores in front until no column of ``used`` is called so (names compare without case)."""
+    taken = {c.lower() for columns in used for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def hash_text(c: Column, null_token: str = NULL_HASH_TOKEN) -> Column:
     """Text a cell contributes to a row id: its string form, or ``null_token`` when missing."""
     return F.coalesce(c.cast("string"), F.lit(null_token))
@@ -48,16 +56,33 @@ def number_text(c: Column) -> Column:
     return F.replace(c.cast("string"), F.lit(","), F.lit(""))
 
 
+# The number texts that load, after commas and surrounding white space are gone.
+NUMBER_PATTERN = r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
+_FLOATS = ("double", "float")
+
+
+def _parsed(text: Column, dtype: str) -> Column:
+    """The value of a text that is a number, null for any other text (``12D``, ``0x1p3``, ...) and for NaN."""
+    value = F.when(text.rlike(NUMBER_PATTERN), text).try_cast(dtype)
+    return nan_to_null(value) if dtype in _FLOATS else value
+
+
+def is_number(text: Column, dtype: str = "double") -> Column:
+    """Whether cleaned text stands for a number of this type (NaN does: it loads as null)."""
+    fits = F.when(text.rlike(NUMBER_PATTERN), text).try_cast(dtype).isNotNull()
+    return fits | text.rlike(r"^[+-]?(?i:nan)$")
+
+
 def to_number(c: Column, dtype: str = "double", on_error: str = "raise") -> Column:
-    """Parse number text (``1,234.50`` -> 1234.5).
+    """Parse number text (``1,234.50`` -> 1234.5; NaN -> null).
 
-    ``on_error="raise"`` fails the query on unparsable text (ANSI cast),
+    ``on_error="raise"`` fails the query on text that is no number,
     ``"null"`` turns it into null.
     """
-    text = number_text(c)
-    parsed = text.try_cast(dtype)
+    text = F.trim(number_text(c))
+    parsed = _parsed(text, dtype)
     if on_error == "raise":  # explicit, so it holds whatever spark.sql.ansi.enabled says
-        return F.when(text.isNotNull() & parsed.isNull(),
+        return F.when(text.isNotNull() & ~is_number(text, dtype),
                       F.raise_error(F.concat(F.lit("CAST_INVALID_INPUT: not a number: '"), text, F.lit("'")))
                       ).otherwise(parsed)
     if on_error == "null":
@@ -67,7 +92,7 @@ def to_number(c: Column, dtype: str = "double", on_error: str = "raise") -> Colu
 
 def bad_number(c: Column, dtype: str = "double") -> Column:
     """True where a cell has text that does not parse as a number."""
-    return c.isNotNull() & number_text(c).try_cast(dtype).isNull()
+    return c.isNotNull() & ~F.coalesce(is_number(F.trim(number_text(c)), dtype), F.lit(False))
 
 
 def boolean_text(c: Column) -> Column:
@@ -77,14 +102,28 @@ def boolean_text(c: Column) -> Column:
             .otherwise(c))
 
 
-def zone_text(ts: Column, zone: str = ALERT_ZONE, fmt: str = ALERT_FORMAT) -> Column:
-    """UTC wall-clock time stamp rendered in ``zone`` as ``fmt`` text."""
-    return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), ts.cast("timestamp_ntz")), fmt)
+def utc_clock(ts: Column, instant: bool = False) -> Column:
+    """UTC wall-clock time (timestamp_ntz): of a TIMESTAMP (``instant``) whatever the session zone, or as it stands."""
+    ntz = ts.cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ntz) if instant else ntz
+
+
+def zone_text(ts: Column, zone: str = ALERT_ZONE, fmt: str = ALERT_FORMAT, *, instant: bool = False) -> Column:
+    """A UTC wall-clock time (or, with ``instant``, a TIMESTAMP) rendered in ``zone`` as ``fmt`` text."""
+    return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_clock(ts, instant)), fmt)
+
+
+def epoch_ms(ts: Column, *, instant: bool = False) -> Column:
+    """Epoch milliseconds of a UTC wall-clock time (or, with ``instant``, a TIMESTAMP), truncated to whole seconds."""
+    if instant:
+        return F.floor(F.unix_millis(ts) / 1000).cast("bigint") * F.lit(1000)
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", start, F.date_trunc("second", ts.cast("timestamp_ntz")).cast("timestamp_ntz")) * F.lit(1000)
 
 
-def epoch_ms(ts: Column) -> Column:
-    """Epoch milliseconds of a UTC time stamp, truncated to whole seconds."""
-    return F.unix_timestamp(ts.cast("timestamp_ntz")) * F.lit(1000)
+def is_instant(df, name: str) -> bool:
+    """Whether a column is a TIMESTAMP (an instant, shown in the session's zone) and not a wall-clock time."""
+    return df.schema[name].dataType.typeName() == "timestamp"
 
 
 def utc_from_epoch_ms(ms: Column) -> Column:

@@ -29,7 +29,7 @@ def _free(df: DataFrame, name: str) -> None:
 def add_column(df: DataFrame, name: str, data_type: str) -> DataFrame:
     """New typed column, null for existing rows. ``data_type`` is a logical type or a Spark type name."""
     _free(df, name)
-    t = spark_type(data_type) if data_type.upper() in ("STRING", "NUMBER", "DATE", "BOOLEAN") else data_type
+    t = spark_type(data_type.upper()) if data_type.upper() in ("STRING", "NUMBER", "DATE", "BOOLEAN") else data_type
     return df.withColumn(name, F.lit(None).cast(t))
 
 

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from tablesmith.functions import expressions as fx
 from tablesmith.operators.sizing import DEFAULT_BROADCAST_ROWS, assert_unique, broadcast_if_small, within
 
-_KEY = "_lookup_key"
-
-
 def lookup(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
            columns: Sequence[str] | None = None, *, check_unique: bool = True,
            broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -32,14 +29,14 @@ def lookup(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
     clash = [c for c in cols if c.lower() in {x.lower() for x in child.columns}]
     if clash:
         raise ValueError(f"looked-up column(s) {clash} already in the child table; rename first")
-    side = (parent.select(fx.col(parent_col).alias(_KEY), *[fx.col(c) for c in cols])
-            .filter(F.col(_KEY).isNotNull()))
+    key = fx.fresh("_lookup_key", child.columns, parent.columns)
+    side = parent.select(fx.col(parent_col).alias(key), *[fx.col(c) for c in cols]).filter(fx.col(key).isNotNull())
     if check_unique:  # the uniqueness job also measures the parent (rows and bytes) for the broadcast bound
-        if within(assert_unique(side, [_KEY], "lookup parent"), broadcast_max_rows):
+        if within(assert_unique(side, [key], "lookup parent"), broadcast_max_rows):
             side = F.broadcast(side)
     else:
         side = broadcast_if_small(side, broadcast_max_rows)
-    return child.join(side, fx.col(child_col) == F.col(_KEY), "left").drop(_KEY)
+    return child.join(side, fx.col(child_col) == fx.col(key), "left").drop(fx.col(key))
 
 
 def remove_lookup(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -12,10 +12,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesmith.functions import expressions as fx
 from tablesmith.functions.tokens import FALLBACK_TYPE, LOGICAL_TYPES
-from tablesmith.operators.rowid import ID
+from tablesmith.operators.rowid import ID, source_names
 
 MAPPING_DDL = "source_key string, destination_key string, data_type string"
 
@@ -45,8 +46,8 @@ def parse_mapping(mapping: Iterable[ColumnMap | Mapping | Sequence]) -> list[Col
 
 
 def spark_type(data_type: str, number_type: str = "double") -> str:
-    """Logical type -> Spark type name; unknown logical types load as text."""
-    t = LOGICAL_TYPES.get(str(data_type).upper(), FALLBACK_TYPE)
+    """Logical type -> Spark type name; any other spelling (``number`` too) loads as text."""
+    t = LOGICAL_TYPES.get(str(data_type), FALLBACK_TYPE)
     return number_type if t == "double" else t
 
 
@@ -78,15 +79,19 @@ def validate_mapping(mapping: Sequence[ColumnMap], source_columns: Sequence[str]
         raise MappingError(f"empty destination name for {empty}")
 
 
-def typed_column(c: Column, data_type: str, *, number_type: str = "double", on_error: str = "raise") -> Column:
+def typed_column(c: Column, data_type: str, *, number_type: str = "double", on_error: str = "raise",
+                 source: T.DataType | None = None) -> Column:
     """Text cell -> value of the logical type.
 
-    NUMBER: thousands commas removed, parsed (error or null on bad text).
+    NUMBER: thousands commas removed, parsed (error or null on bad text); a
+    ``source`` that is numeric already is cast, without a detour through text.
     BOOLEAN: boolean spellings stored as ``true``/``false``.
     STRING, DATE and anything else: text as it is.
     """
-    t = str(data_type).upper()
+    t = str(data_type)
     if t == "NUMBER":
+        if isinstance(source, T.NumericType):
+            return fx.nan_to_null(c.cast(number_type)) if number_type in ("double", "float") else c.cast(number_type)
         return fx.to_number(c, number_type, on_error)
     if t == "BOOLEAN":
         return fx.boolean_text(c.cast("string"))
@@ -99,10 +104,10 @@ def type_map(df: DataFrame, mapping: Iterable, *, number_type: str = "double", o
     validate_mapping(maps, df.columns)
     types: dict[str, str] = {}
     for m in maps:
-        prev = types.setdefault(m.source_key, m.data_type.upper())
-        if prev != m.data_type.upper():
+        prev = types.setdefault(m.source_key, m.data_type)
+        if prev != m.data_type:
             raise MappingError(f"{m.source_key!r} mapped with two types ({prev}, {m.data_type}); use map_columns")
-    return df.withColumns({s: typed_column(fx.col(s), t, number_type=number_type, on_error=on_error)
+    return df.withColumns({s: typed_column(fx.col(s), t, number_type=number_type, on_error=on_error, source=df.schema[s].dataType)
                            for s, t in types.items()})
 
 
@@ -111,36 +116,40 @@ def map_columns(df: DataFrame, mapping: Iterable, *, id_col: str | None = ID, ca
     """Target projection: ``id_col`` first, then each destination in mapping order.
 
     Unmapped source columns are dropped. With ``cast`` every entry is typed
-    by its own logical type, so one source may feed several destinations.
+    by its own logical type, so one source may feed several destinations. A
+    source column that ``row_id`` moved out of the way is found by its own name.
     """
-    maps = parse_mapping(mapping)
-    validate_mapping(maps, df.columns, reserved=(id_col,) if id_col else ())
+    maps, names = parse_mapping(mapping), source_names(df)
+    validate_mapping(maps, list(names), reserved=(id_col,) if id_col else ())
     if id_col and id_col not in df.columns:
         raise MappingError(f"row id column {id_col!r} missing; run row_id first")
     cols = [fx.col(id_col)] if id_col else []
     for m in maps:
-        c = fx.col(m.source_key)
+        c = fx.col(names[m.source_key])
         if cast:
-            c = typed_column(c, m.data_type, number_type=number_type, on_error=on_error)
-        cols.append(c.alias(m.destination_key))
+            c = typed_column(c, m.data_type, number_type=number_type, on_error=on_error, source=df.schema[names[m.source_key]].dataType)
+        cols.append(c.alias(m.destination_key, metadata={}))
     return df.select(*cols)
 
 
 def mapping_collect(rows: DataFrame, group_cols: Sequence[str], order_col: str = "position",
-                    out_col: str = "column_mapping") -> DataFrame:
-    """Mapping rows -> one ``array<struct<source_key,destination_key,data_type>>`` per document.
+                    out_col: str = "column_mapping", entry_cols: Sequence[str] | None = None) -> DataFrame:
+    """Mapping rows -> one array of column entries per document.
 
-    A document groups the columns of one table, so each group is bounded by
-    a table's column count; order within it follows ``order_col``.
+    An entry has ``source_key, destination_key, data_type`` and then every other
+    column of the rows (``entry_cols``: just these others). A document groups
+    the columns of one table, so each group is bounded by a table's column
+    count; order within it follows ``order_col``.
     """
-    entry = F.struct(fx.col(order_col).alias("_pos"), F.col("source_key"), F.col("destination_key"),
-                     F.col("data_type"))
+    main = ["source_key", "destination_key", "data_type"]
+    others = [c for c in rows.columns if c not in {*group_cols, order_col, *main}] if entry_cols is None else list(entry_cols)
+    names = main + others
+    placed = F.struct(fx.col(order_col).alias("place"), F.struct(*[fx.col(c).alias(c) for c in names]).alias("entry"))
+    entries = fx.fresh("_entries", group_cols)
     return (rows.groupBy(*[fx.col(g) for g in group_cols])
-            .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
-            .select(*[fx.col(g) for g in group_cols],
-                    F.transform("_entries", lambda e: F.struct(e["source_key"].alias("source_key"),
-                                                               e["destination_key"].alias("destination_key"),
-                                                               e["data_type"].alias("data_type"))).alias(out_col)))
+            .agg(F.array_sort(F.collect_list(placed), lambda a, b: F.when(a["place"] < b["place"], -1)
+                              .when(a["place"] > b["place"], 1).otherwise(0)).alias(entries))
+            .select(*[fx.col(g) for g in group_cols], F.transform(fx.col(entries), lambda e: e["entry"]).alias(out_col)))
 
 
 def mapping_document(docs: DataFrame, fields: Sequence[str], mapping_col: str = "column_mapping",

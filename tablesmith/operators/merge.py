@@ -10,10 +10,8 @@ from pyspark.sql import types as T
 
 from tablesmith.functions import expressions as fx
 from tablesmith.operators.rowid import ID, dedup, first_wins
-from tablesmith.operators.sizing import DEFAULT_BROADCAST_ROWS, assert_unique, fits_broadcast, within
-
-_HIT = "_matched"
-_PFX = "_new_"
+from tablesmith.operators.sizing import DEFAULT_BROADCAST_ROWS, assert_unique, key_stats, within
+from tablesmith.session import staged
 
 
 def conform(batch: DataFrame, schema: T.StructType, *, allow_missing: bool = True) -> DataFrame:
@@ -52,40 +50,41 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, check: b
            broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS, stats=None) -> DataFrame:
     """Update rows whose keys are in the batch, add the rest.
 
-    Batch keys must be non-null and unique (checked when ``check``). When the
-    batch has every target column, matched target rows are replaced whole:
-    ``target anti-join batch keys`` plus the batch. When it has a subset,
-    only those columns change on matched rows (a left join with a match
-    flag) and new keys get nulls elsewhere. The batch side is broadcast
-    only behind a proven row bound, so a small batch never shuffles the target.
-    ``stats``: the batch's ``key_stats`` when the caller already ran the check.
+    Batch keys must be non-null and unique (checked when ``check``). The batch
+    is computed once, into the shared folder, then checked, measured and merged
+    (``stats``: its ``key_stats`` when the caller already stored and checked it).
+    When the batch has every target column, matched target rows are
+    replaced whole: ``target anti-join batch keys`` plus the batch. When it has
+    some columns, only those change on matched rows and new keys get nulls
+    elsewhere. A small batch (measured) is broadcast and never shuffles the
+    target; a larger one is merged in one full outer join with a match flag.
     """
     keys = list(keys)
     tcols = target.columns
-    batch = conform_batch(target.schema, batch, keys)
-    if stats is not None:
-        small = within(stats, broadcast_max_rows)
-    elif check:  # the uniqueness job also measures the batch (rows and bytes) for the broadcast bound
-        small = within(assert_unique(batch, keys, "upsert batch"), broadcast_max_rows)
+    if stats is None:
+        batch, _ = staged(conform_batch(target.schema, batch, keys))
+        stats = assert_unique(batch, keys, "upsert batch") if check else key_stats(batch, keys)
     else:
-        small = fits_broadcast(batch, broadcast_max_rows)
+        batch = conform_batch(target.schema, batch, keys)
+    small = within(stats, broadcast_max_rows)
 
     def side(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
 
     if set(batch.columns) == set(tcols):
         kept = target.join(side(batch.select(*[fx.col(k) for k in keys])), on=keys, how="left_anti")
-        return kept.unionByName(batch.select(*[fx.col(c) for c in tcols]))
-    # Some columns only: one left join carries a match flag; matched rows take the
-    # batch's values (null included), the rest keep theirs.
+        return kept.select(*[fx.col(c) for c in tcols]).unionByName(batch.select(*[fx.col(c) for c in tcols]))
     upd_cols = [c for c in batch.columns if c not in keys]
-    changes = side(batch.select(*[fx.col(k) for k in keys], *[fx.col(c).alias(_PFX + c) for c in upd_cols],
-                                F.lit(True).alias(_HIT)))
-    hit = F.col(_HIT).isNotNull()
-    updated = target.join(changes, on=keys, how="left").select(
-        *[(F.when(hit, F.col(_PFX + c)).otherwise(fx.col(c)) if c in upd_cols else fx.col(c)).alias(c)
+    hit = fx.fresh("_matched", tcols)
+    new = {c: fx.fresh(f"_new_{c}", tcols, [hit]) for c in upd_cols}
+    changes = side(batch.select(*[fx.col(k) for k in keys], *[fx.col(c).alias(new[c]) for c in upd_cols],
+                                F.lit(True).alias(hit)))
+    merged = target.join(changes, on=keys, how="left" if small else "full").select(
+        *[(F.when(fx.col(hit).isNotNull(), fx.col(new[c])).otherwise(fx.col(c)) if c in new else fx.col(c)).alias(c)
           for c in tcols])
-    return updated.unionByName(conform(_absent(target, batch, keys, small), target.schema))
+    if not small:
+        return merged
+    return merged.unionByName(conform(_absent(target, batch, keys, True), target.schema))
 
 
 def _absent(target: DataFrame, batch: DataFrame, keys: list[str], small: bool) -> DataFrame:
@@ -98,33 +97,37 @@ def _absent(target: DataFrame, batch: DataFrame, keys: list[str], small: bool) -
     """
     tkeys = target.select(*[fx.col(k) for k in keys])
     if not small:
-        return batch.join(tkeys, on=keys, how="left_anti")
+        return batch.join(tkeys, on=keys, how="left_anti").select(*[fx.col(c) for c in batch.columns])
     present = tkeys.join(F.broadcast(batch.select(*[fx.col(k) for k in keys])), on=keys, how="left_semi").distinct()
-    return batch.join(F.broadcast(present), on=keys, how="left_anti")
+    return batch.join(F.broadcast(present), on=keys, how="left_anti").select(*[fx.col(c) for c in batch.columns])
+
+
+def first_per_key(batch: DataFrame, schema: T.StructType, keys: Sequence[str], order_by: str | None = None) -> DataFrame:
+    """The batch in the target's columns and types, one row per key (the first by ``order_by``, when given)."""
+    keys = list(keys)
+    if not order_by:
+        return dedup(conform(batch, schema), keys)
+    first = first_wins(batch, keys, order_by)
+    return conform(first if order_by in schema.fieldNames() else first.drop(fx.col(order_by)), schema)
 
 
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str] = (ID,), order_by: str | None = None,
-             broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Batch rows (one per key) whose key is not in the target.
-
-    A batch proven under ``broadcast_max_rows`` never shuffles the target:
-    the target's keys are semi-joined against the broadcast batch keys
-    (streamed once), the keys found (at most one per batch key) are
-    broadcast back, and the batch is anti-joined against them. A larger
-    batch uses a plain shuffled anti-join on the keys. The bound is
-    measured on the raw batch keys (a scan, no shuffle): the deduplicated
-    batch can only be smaller.
+             broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS, stats=None) -> DataFrame:
+    """Batch rows (one per key) whose key is not in the target. Null keys are rejected, as a primary key does.
+
+    The batch is reduced to one row per key and computed once, into the shared
+    folder, then checked and measured (``stats``: its ``key_stats`` when the
+    caller did so). A batch under the bound never shuffles the target: the
+    target's keys are semi-joined against the broadcast batch keys (streamed
+    once), the keys found (at most one per batch key) are broadcast back, and
+    the batch is anti-joined against them. A larger batch uses a plain
+    shuffled anti-join on the keys.
     """
     keys = list(keys)
-    raw_keys = batch.select(*[fx.col(k).cast(target.schema[k].dataType).alias(k) for k in keys])
-    if order_by:
-        b = first_wins(batch, keys, order_by)
-        if order_by not in target.columns:
-            b = b.drop(fx.col(order_by))
-        b = conform(b, target.schema)
-    else:
-        b = dedup(conform(batch, target.schema), keys)
-    return _absent(target, b, keys, fits_broadcast(raw_keys, broadcast_max_rows))
+    if stats is None:
+        batch, _ = staged(first_per_key(batch, target.schema, keys, order_by))
+        stats = assert_unique(batch, keys, "insert batch")
+    return _absent(target, batch, keys, within(stats, broadcast_max_rows))
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str] = (ID,),

@@ -1,6 +1,6 @@
 """Table and column profiles, report specs, load audits.
 
-All are single aggregations with partial (map-side) aggregation, so hot
+All are aggregations with partial (map-side) aggregation, so hot
 values are combined inside each task before the shuffle.
 """
 
@@ -18,44 +18,35 @@ from tablesmith.functions import expressions as fx
 _ORDERABLE = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
-def profile_table(df: DataFrame, columns: Sequence[str] | None = None, *, exact: bool = True) -> DataFrame:
+def profile_table(df: DataFrame, columns: Sequence[str] | None = None, *, exact: bool = False) -> DataFrame:
     """One row per column: ``col_name, n_rows, n_non_null, n_distinct, min_value, max_value``.
 
-    Two aggregations over the table, each planned for scale:
-
-    * count, non-null count, min and max in the column's own ordering: a
-      global aggregate, one partial row per task, no sort and no shuffle of rows;
-    * distinct counts: exact by default (Spark expands each row into one
-      (column, value) row per column and hash-aggregates them, combining
-      repeated values map-side), or HyperLogLog++ with ``exact=False``
-      (constant state per column, no shuffle of values).
-
-    Each one-row result is unpivoted with ``stack`` and the two are joined on
-    ``col_name`` (at most one row per column on each side).
+    One aggregate over the table: counts, minimum and maximum in the column's
+    own ordering, and distinct counts by HyperLogLog++ (constant state per
+    column); each task sends one partial row, no row is shuffled. ``exact=True``
+    counts distinct values exactly instead, in a second aggregate: Spark expands
+    each row into one (column, value) row per column, combines repeats map-side
+    and shuffles the rest, which is most of the table for unique columns.
     """
     names = list(columns) if columns is not None else df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
-    src = df.select(*[fx.col(c).alias(f"_c{i}") for i, c in enumerate(names)])
-    basic: list[Column] = [F.count(F.lit(1)).alias("_n")]
+    src = df.select(*[fx.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    aggs: list[Column] = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(names):
-        x = F.col(f"_c{i}")
-        orderable = isinstance(types[c], _ORDERABLE)
-        basic += [
-            F.count(x).alias(f"_nn{i}"),
-            (F.min(x).cast("string") if orderable else F.lit(None).cast("string")).alias(f"_mn{i}"),
-            (F.max(x).cast("string") if orderable else F.lit(None).cast("string")).alias(f"_mx{i}"),
-        ]
-    n = len(names)
-    stacked = ", ".join(f"{_sql_str(c)}, _nn{i}, _mn{i}, _mx{i}" for i, c in enumerate(names))
-    left = src.agg(*basic).select(
-        F.col("_n").alias("n_rows"),
-        F.expr(f"stack({n}, {stacked}) as (col_name, n_non_null, min_value, max_value)"))
-    dist = src.agg(*[(F.count_distinct(F.col(f"_c{i}")) if exact else F.approx_count_distinct(F.col(f"_c{i}")))
-                     .alias(f"_nd{i}") for i in range(n)])
-    right = dist.select(F.expr(f"stack({n}, " + ", ".join(f"{_sql_str(c)}, _nd{i}" for i, c in enumerate(names))
-                               + ") as (col_name, n_distinct)"))
-    return left.join(F.broadcast(right), "col_name").select(
-        "col_name", "n_rows", "n_non_null", "n_distinct", "min_value", "max_value")
+        x, orderable = F.col(f"c{i}"), isinstance(types[c], _ORDERABLE)
+        aggs += [F.count(x).alias(f"nn{i}"),
+                 (F.min(x).cast("string") if orderable else F.lit(None).cast("string")).alias(f"mn{i}"),
+                 (F.max(x).cast("string") if orderable else F.lit(None).cast("string")).alias(f"mx{i}"),
+                 (F.lit(None).cast("bigint") if exact else F.approx_count_distinct(x)).alias(f"nd{i}")]
+    stacked = ", ".join(f"{_sql_str(c)}, nn{i}, nd{i}, mn{i}, mx{i}" for i, c in enumerate(names))
+    out = src.agg(*aggs).select(F.col("n").alias("n_rows"), F.expr(
+        f"stack({len(names)}, {stacked}) as (col_name, n_non_null, n_distinct, min_value, max_value)"))
+    if exact:
+        dist = src.agg(*[F.count_distinct(F.col(f"c{i}")).alias(f"nd{i}") for i in range(len(names))])
+        right = dist.select(F.expr(f"stack({len(names)}, " + ", ".join(f"{_sql_str(c)}, nd{i}" for i, c in enumerate(names))
+                                   + ") as (col_name, n_distinct)"))       # one row per column
+        out = out.drop("n_distinct").join(F.broadcast(right), "col_name")
+    return out.select("col_name", "n_rows", "n_non_null", "n_distinct", "min_value", "max_value")
 
 
 def _sql_str(s: str) -> str:
@@ -95,12 +86,17 @@ _MEASURES = {
 
 
 def similar_report(df: DataFrame, spec: ReportSpec, column_map: Mapping[str, str] | None = None) -> DataFrame:
-    """Build ``spec`` (made on a reference table) on ``df``, columns renamed by ``column_map``."""
-    cmap = dict(column_map or {})
-
-    def on(c: str) -> Column:
-        return fx.col(cmap.get(c, c))
+    """Build ``spec`` (made on a reference table) on ``df``, whose columns go by other names (``column_map``).
 
+    ``df`` is seen under the reference table's names, so that groups, measures
+    and filters all apply as they are written.
+    """
+    cmap = dict(column_map or {})
+    missing = [c for c in cmap.values() if c not in df.columns]
+    if missing:
+        raise ValueError(f"column(s) {missing} not found")
+    kept = [c for c in df.columns if c.lower() not in {k.lower() for k in cmap}]
+    df = df.select(*[fx.col(new).alias(old) for old, new in cmap.items()], *[fx.col(c) for c in kept])
     for flt in spec.filters:
         df = df.filter(F.expr(flt))
     aliases = list(spec.group_aliases or spec.group_by)
@@ -108,11 +104,11 @@ def similar_report(df: DataFrame, spec: ReportSpec, column_map: Mapping[str, str
     for fn, c, alias in spec.measures:
         if fn not in _MEASURES:
             raise ValueError(f"unknown measure {fn!r}; use one of {sorted(_MEASURES)}")
-        e = _MEASURES[fn](None if c == "*" else on(c))
+        e = _MEASURES[fn](None if c == "*" else fx.col(c))
         if spec.round_to is not None and fn in ("sum", "avg"):
             e = F.round(e, spec.round_to)
         aggs.append(e.alias(alias))
-    return df.groupBy(*[on(g).alias(a) for g, a in zip(spec.group_by, aliases)]).agg(*aggs)
+    return df.groupBy(*[fx.col(g).alias(a) for g, a in zip(spec.group_by, aliases)]).agg(*aggs)
 
 
 def load_audit(prepared: DataFrame, *, id_col: str = "id", null_columns: Sequence[str] = (),

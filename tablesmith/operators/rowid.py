@@ -18,17 +18,36 @@ from tablesmith.functions.tokens import NULL_HASH_TOKEN
 ID = "id"
 
 
+SOURCE_NAME = "tablesmith.source_name"
+
+
+def source_names(df: DataFrame) -> dict[str, str]:
+    """Source column -> its present name: columns that ``row_id`` moved out of the way go by their old name."""
+    out = {c: c for c in df.columns}
+    for f in df.schema.fields:
+        if SOURCE_NAME in (f.metadata or {}):
+            out[f.metadata[SOURCE_NAME]] = f.name
+            out.pop(f.name, None)
+    return out
+
+
 def row_id(df: DataFrame, columns: Sequence[str] | None = None, *, id_col: str = ID, sep: str = "",
            null_token: str = NULL_HASH_TOKEN) -> DataFrame:
     """Add ``id_col`` = SHA-256 hex of the row's cells as text, joined with ``sep``.
 
     The default joins with no separator, so ``("ab","c")`` and ``("a","bc")``
     share an id; pass ``sep`` (e.g. ``"\\x1f"``) to tell them apart. Missing
-    cells contribute ``null_token``. An existing ``id_col`` is never hashed
-    over itself: it is left out of the default column list and replaced.
+    cells contribute ``null_token``. Every source column is hashed, one called
+    ``id_col`` too: its values stay readable under a new name (``source_id``,
+    or the first free name like it), and mappings still find it as ``id_col``.
     """
-    cols = list(columns) if columns is not None else [c for c in df.columns if c != id_col]
-    return df.withColumn(id_col, fx.row_hash(cols, sep, null_token))
+    cols = list(columns) if columns is not None else df.columns
+    moved = fx.fresh(f"source_{id_col}", df.columns)
+    hashed = fx.row_hash(cols, sep, null_token)
+    if id_col not in df.columns:
+        return df.withColumn(id_col, hashed)
+    return df.select(*[fx.col(c).alias(moved, metadata={SOURCE_NAME: c}) if c == id_col else fx.col(c) for c in df.columns],
+                     hashed.alias(id_col))
 
 
 def dedup(df: DataFrame, keys: Sequence[str] = (ID,)) -> DataFrame:
@@ -37,7 +56,7 @@ def dedup(df: DataFrame, keys: Sequence[str] = (ID,)) -> DataFrame:
 
 
 def first_wins(df: DataFrame, keys: Sequence[str] = (ID,), order_by: str | Sequence[str] = "pos") -> DataFrame:
-    """One row per key: the one with the smallest ``order_by`` (load position).
+    """One row per key: the one with the smallest ``order_by`` (load position; a null position comes last).
 
     Written as ``min(struct(order, row))`` per key: a partial aggregate, so
     a hot key is reduced inside each task before anything is shuffled
@@ -47,8 +66,9 @@ def first_wins(df: DataFrame, keys: Sequence[str] = (ID,), order_by: str | Seque
     keys = list(keys)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[fx.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[fx.col(c) for c in rest])
-    best = df.groupBy(*[fx.col(k) for k in keys]).agg(F.min(packed).alias("_best"))
-    return best.select(*[fx.col(k) for k in keys],
-                       *[F.col("_best").getField(f"_o{i}").alias(c) for i, c in enumerate(order)],
-                       *[F.col("_best").getField(c).alias(c) for c in rest]).select(*[fx.col(c) for c in df.columns])
+    fields = [x for i, c in enumerate(order) for x in (fx.col(c).isNull().alias(f"n{i}"), fx.col(c).alias(f"o{i}"))]
+    fields += [fx.col(c).alias(f"r{i}") for i, c in enumerate(rest)]
+    best = fx.fresh("_best", df.columns)
+    picked = df.groupBy(*[fx.col(k) for k in keys]).agg(F.min(F.struct(*fields)).alias(best))
+    name = {**{c: f"o{i}" for i, c in enumerate(order)}, **{c: f"r{i}" for i, c in enumerate(rest)}}
+    return picked.select(*[fx.col(c) if c in keys else fx.col(best)[name[c]].alias(c) for c in df.columns])

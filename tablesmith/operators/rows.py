@@ -12,6 +12,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesmith.functions import expressions as fx
 
@@ -27,6 +28,19 @@ def _types(df: DataFrame) -> dict[str, Any]:
     return {f.name: f.dataType for f in df.schema.fields}
 
 
+def _fits(value: Any, t: T.DataType) -> bool:
+    """Whether a Python value can stand in a column of this type as it is."""
+    try:
+        T._make_type_verifier(t)(value)
+        return True
+    except Exception:
+        return False
+
+
+def _text(value: Any) -> str:
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
 def add_rows(df: DataFrame, rows: Sequence[Mapping[str, Any]]) -> DataFrame:
     """Append rows given as name -> value; missing names are null, values cast to the column type."""
     types = _types(df)
@@ -36,10 +50,14 @@ def add_rows(df: DataFrame, rows: Sequence[Mapping[str, Any]]) -> DataFrame:
             raise ValueError(f"unknown column(s) {unknown}")
     if not rows:
         return df
-    structs = [F.struct(*[F.lit(r.get(c)).cast(t).alias(c) for c, t in types.items()]) for r in rows]
-    spark = df.sparkSession
-    new = spark.range(1).select(F.inline(F.array(*structs)))
-    return df.unionByName(new)
+    # One local relation, whatever the number of rows: values as text or as they are, then cast to the column's type.
+    given = [[r.get(c) for r in rows] for c in types]
+    as_text = [any(v is not None and not _fits(v, t) for v in own) for own, t in zip(given, types.values())]
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType() if text else t)
+                           for i, (text, t) in enumerate(zip(as_text, types.values()))])
+    data = [tuple(None if v is None else _text(v) if text else v for v, text in zip(row, as_text)) for row in zip(*given)]
+    new = df.sparkSession.createDataFrame(data, schema)
+    return df.unionByName(new.select(*[F.col(f"c{i}").cast(t).alias(c) for i, (c, t) in enumerate(types.items())]))
 
 
 def update_where(df: DataFrame, values: Mapping[str, Any], criteria: str | Column | None,

@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesmith.functions.expressions import col
+from tablesmith.functions.expressions import col, fresh
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+#: Raw cell bytes; the hash table of a broadcast takes several times as much.
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _width(t: T.DataType) -> int | None:
@@ -58,11 +59,6 @@ def _count_and_bytes(df: DataFrame):
     return df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
 
 
-def has_more_rows_than(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has more than ``n`` rows (one aggregated pass, no single-task limit)."""
-    return df.agg(F.count(F.lit(1)).alias("n")).first()["n"] > n
-
-
 def fits_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS,
                    max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> bool:
     """One aggregated job (a pruned scan of ``df``): True when both rows and bytes are in bounds."""
@@ -85,12 +81,6 @@ def within(stats, max_rows: int | None, max_bytes: int | None = DEFAULT_BROADCAS
     return stats["rows"] <= max_rows and (max_bytes is None or (stats["bytes"] or 0) <= max_bytes)
 
 
-def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that occur more than once (a partial-aggregated shuffle on ``keys``)."""
-    return (df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > 1))
-
-
 def key_stats(df: DataFrame, keys: list[str], bucket: Column | None = None):
     """One job: distinct keys, repeated keys (and the worst count), rows with a null key,
     total rows and total bytes (for the broadcast bound).
@@ -100,16 +90,16 @@ def key_stats(df: DataFrame, keys: list[str], bucket: Column | None = None):
     ``buckets`` lists the distinct values it takes, from the same job.
     """
     any_null = reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
-    extra_key = [F.max(bucket).alias("_bk")] if bucket is not None else []
-    extra = [F.sort_array(F.collect_set("_bk")).alias("buckets")] if bucket is not None else []
+    n, null, size, bk = (fresh(x, keys) for x in ("_n", "_null", "_b", "_bk"))
+    extra_key = [F.max(bucket).alias(bk)] if bucket is not None else []
+    extra = [F.sort_array(F.collect_set(bk)).alias("buckets")] if bucket is not None else []
     per_key = df.groupBy(*[col(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(any_null).alias("_null"), F.sum(row_bytes(df)).alias("_b"), *extra_key)
-    return per_key.agg(F.count(F.lit(1)).alias("keys"), F.count_if(F.col("_n") > 1).alias("dups"),
-                       F.coalesce(F.max("_n"), F.lit(0)).alias("mx"),
-                       F.coalesce(F.sum(F.when(F.col("_null"), F.col("_n")).otherwise(F.lit(0))), F.lit(0))
-                       .alias("nulls"),
-                       F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-                       F.coalesce(F.sum("_b"), F.lit(0)).alias("bytes"), *extra).first()
+        F.count(F.lit(1)).alias(n), F.max(any_null).alias(null), F.sum(row_bytes(df)).alias(size), *extra_key)
+    return per_key.agg(F.count(F.lit(1)).alias("keys"), F.count_if(F.col(n) > 1).alias("dups"),
+                       F.coalesce(F.max(n), F.lit(0)).alias("mx"),
+                       F.coalesce(F.sum(F.when(F.col(null), F.col(n)).otherwise(F.lit(0))), F.lit(0)).alias("nulls"),
+                       F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
+                       F.coalesce(F.sum(size), F.lit(0)).alias("bytes"), *extra).first()
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str, bucket: Column | None = None):
@@ -121,17 +111,3 @@ def assert_unique(df: DataFrame, keys: list[str], what: str, bucket: Column | No
         raise ValueError(f"{what}: {row['dups']} key value(s) of {keys} repeat (up to {row['mx']} times)")
     return row
 
-
-def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Spread rows over the cluster's task slots when the scan yields fewer tasks.
-
-    A few large row groups scan as a few tasks, and every narrow step after
-    them (casts, hashing) would run on that few cores. Only then is a
-    round-robin repartition added (deterministic on retry: rows are sorted
-    before being dealt out); a big input with enough splits is left alone,
-    so no shuffle is added at scale. Used by the sync plan (``SyncSpec.spread``).
-    """
-    if df.isStreaming:
-        return df
-    slots = min_tasks or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

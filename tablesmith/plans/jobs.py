@@ -12,7 +12,9 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
+from pyspark.errors import AnalysisException, IllegalArgumentException, ParseException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,9 @@ JOB_DDL = ("job_id string, source_table string, source_sql string, target_table
            "status string, message string, updated_at bigint")
 RESULT_DDL = "job_id string, status string, message string, updated_at bigint, rows_read bigint, rows_loaded bigint"
 
+#: The columns that a finished run sets.
+STATE = ("status", "message", "updated_at")
+
 # Registry rows a status write-back may broadcast: one per job.
 MAX_JOBS_BROADCAST = 100_000
 
@@ -44,13 +49,13 @@ def apply_job_results(jobs: DataFrame, results: DataFrame, key: str = "job_id",
 
     With ``observation``, ``matched`` reports how many registry rows were updated.
     """
-    res = results.select(fx.col(key), *[F.col(c).alias(f"_r_{c}") for c in ("status", "message", "updated_at")],
-                         F.lit(True).alias("_hit"))
+    hit = fx.fresh("_hit", jobs.columns)
+    new = {c: fx.fresh(f"_new_{c}", jobs.columns) for c in STATE}
+    res = results.select(fx.col(key), *[F.col(c).alias(new[c]) for c in STATE], F.lit(True).alias(hit))
     joined = jobs.join(broadcast_if_small(res, MAX_JOBS_BROADCAST), on=key, how="left")
     if observation is not None:
-        joined = joined.observe(observation, F.count_if(F.col("_hit").isNotNull()).alias("matched"))
-    upd = {c: F.when(F.col("_hit"), F.col(f"_r_{c}")).otherwise(fx.col(c)).cast(jobs.schema[c].dataType)
-           for c in ("status", "message", "updated_at")}
+        joined = joined.observe(observation, F.count_if(fx.col(hit).isNotNull()).alias("matched"))
+    upd = {c: F.when(fx.col(hit), fx.col(new[c])).otherwise(fx.col(c)).cast(jobs.schema[c].dataType) for c in STATE}
     return joined.withColumns(upd).select(*[fx.col(c) for c in jobs.columns])
 
 
@@ -65,21 +70,34 @@ def update_job_state(jobs: DataFrame, job_id: str, status: str, message: str,
     return apply_job_results(jobs, one, observation=observation)
 
 
-def failure_alerts(jobs: DataFrame, zone: str = ALERT_ZONE) -> DataFrame:
-    """One alert row per job not in PASS state: a subject stamped with the job's
-    ``updated_at`` in ``zone`` and a description naming source, target and message."""
+def failure_alerts(jobs: DataFrame, results: DataFrame, zone: str = ALERT_ZONE) -> DataFrame:
+    """One alert row per job that this run's ``results`` report as FAILED: a subject stamped with the end of the run
+    in ``zone`` and a description naming source, target and message."""
+    failed = results.filter(F.col("status") == F.lit(FAILED)).select("job_id", "message", "updated_at")
+    named = jobs.select("job_id", "source_table", "target_table")
     stamp = fx.zone_text(fx.utc_from_epoch_ms(F.col("updated_at")), zone)
-    return jobs.filter(F.col("status") != F.lit(PASS)).select(
+    return named.join(broadcast_if_small(failed, MAX_JOBS_BROADCAST), "job_id").select(
         "job_id",
         F.concat(F.lit("Table sync failed "), stamp).alias("subject"),
         F.concat_ws("", F.lit("Sync of "), F.coalesce(F.col("source_table"), F.lit("?")), F.lit(" into "),
-                    F.col("target_table"), F.lit(" ended "), F.col("status"), F.lit(": "),
+                    F.col("target_table"), F.lit(" ended FAILED: "),
                     F.coalesce(F.col("message"), F.lit("no message"))).alias("description"))
 
 
 def _message(e: BaseException) -> str:
-    text = str(e).strip().splitlines()
-    return (text[0] if text else type(e).__name__)[:1000]
+    return str(e) or type(e).__name__
+
+
+#: Error conditions of Spark that the same data would meet again.
+_DATA_ERRORS = ("CAST_INVALID_INPUT", "USER_RAISED_EXCEPTION", "MALFORMED", "CSV header does not conform", "DIVIDE_BY_ZERO",
+                "ARITHMETIC_OVERFLOW", "not a number")
+
+
+def is_transient(e: BaseException) -> bool:
+    """Whether a run may succeed when it is tried again: not after errors of the mapping, the query or the data."""
+    if isinstance(e, (AnalysisException, ParseException, IllegalArgumentException, ValueError, TypeError, KeyError)):
+        return False
+    return not any(x in str(e) for x in _DATA_ERRORS)
 
 
 def _export(spark: SparkSession, job, source: Callable, hop: str | None) -> DataFrame:
@@ -103,6 +121,8 @@ def _run_one(spark: SparkSession, job, store, retries: int, source: Callable, ho
             return (job["job_id"], PASS, PASS, int(time.time()) * 1000, res.rows_read, res.rows_loaded)
         except Exception as e:  # one job's failure is recorded, never raised to the loop
             last = e
+            if not is_transient(e):
+                break
     return (job["job_id"], FAILED, _message(last), int(time.time()) * 1000, None, None)
 
 
@@ -115,16 +135,25 @@ def job_source(spark: SparkSession, job) -> DataFrame:
 
 def run_jobs(spark: SparkSession, jobs: DataFrame, store, *, pending: bool = False, where: str | None = None,
              max_workers: int = 4, retries: int = 2, source: Callable = job_source,
-             hop: str | None = None) -> tuple[DataFrame, DataFrame]:
+             hop: str | None = None, on_result: Callable | None = None) -> tuple[DataFrame, DataFrame]:
     """Run due jobs (or those matching ``where``); returns ``(results, updated registry)``.
 
+    Transient failures are tried again ``retries`` times. ``on_result`` is
+    called with each job's result row (RESULT_DDL) as the job ends.
+
     ``hop="csv"`` exports each source to CSV files in the shared folder and
     imports those (the file-based path); by default the export stays in-plan.
     """
     chosen = jobs.filter(F.expr(where)) if where else due_jobs(jobs, pending)
     todo = chosen.collect()  # registry rows: one per job
+    def one(job) -> tuple:
+        row = _run_one(spark, job, store, retries, source, hop)
+        if on_result is not None:
+            on_result(row)
+        return row
+
     with ThreadPoolExecutor(max_workers=max(1, max_workers)) as pool:
-        rows = list(pool.map(lambda j: _run_one(spark, j, store, retries, source, hop), todo))
+        rows = list(pool.map(one, todo))
     results = spark.createDataFrame(rows, RESULT_DDL)
     return results, apply_job_results(jobs, results)
 
@@ -138,12 +167,18 @@ def run_registry(spark: SparkSession, store, registry_table: str, *, pending: bo
                  where: str | None = None, **kw) -> DataFrame:
     """Run the due jobs of a registry table in ``store`` and write their status back.
 
-    The updated registry is published as the table's next version (the jobs
-    read the previous one), so a crash mid-run leaves the old statuses in
-    place. Returns the per-job results.
+    Each job's status is written by key as the job ends, against the registry
+    as it then is: rows that others add or change meanwhile stay, and a crash
+    loses the status of running jobs only. Returns the per-job results.
     """
-    jobs = store.read(registry_table)
-    results, updated = run_jobs(spark, jobs, store, pending=pending, where=where, **kw)
-    results = results.cache()  # small: one row per job; reused below and by the caller
-    store.truncate_add(registry_table, updated)
+    jobs, writing = store.read(registry_table), Lock()
+
+    def write_back(row: tuple) -> None:
+        job_id, status, message, updated_at = row[:4]
+        with writing:  # one writer at a time in this process; the store's version check guards against others
+            state = spark.createDataFrame([(job_id, status, message, updated_at)],
+                                          "job_id string, status string, message string, updated_at bigint")
+            store.update_matching(registry_table, state, ["job_id"])
+
+    results, _ = run_jobs(spark, jobs, store, pending=pending, where=where, on_result=write_back, **kw)
     return results

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesmith.functions import expressions as fx
 from tablesmith.functions.tokens import PENDING
 from tablesmith.operators.mapping import mapping_collect, mapping_document
 from tablesmith.sinks.files import write_documents
@@ -30,13 +31,14 @@ def schema_csv_mappings(spark: SparkSession, paths: str | Sequence[str], *, view
     Positions follow row order within each file (schema files are small and
     scan as one split each).
     """
-    rows = mapping_scan(spark, paths).withColumn("_file", F.input_file_name())
-    base = F.regexp_extract("_file", r"([^/]+?)(\.[^./]*)?(/part-[^/]*)?$", 1)
-    rows = rows.select(
+    scanned = mapping_scan(spark, paths)
+    base = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.[^./]*)?(/part-[^/]*)?$", 1)
+    others = [c for c in scanned.columns if c not in {*DOC_FIELDS, "position", "source_key", "destination_key", "data_type"}]
+    rows = scanned.select(
         F.lit(view_id).cast("string").alias("view_id") if view_id is not None else base.alias("view_id"),
         F.lit(source_table).alias("source_table") if source_table is not None else base.alias("source_table"),
         F.lit(target_table).alias("target_table") if target_table is not None else base.alias("target_table"),
-        "position", "source_key", "destination_key", "data_type")
+        "position", "source_key", "destination_key", "data_type", *[fx.col(c) for c in others])
     return mapping_collect(rows, DOC_FIELDS, "position")
 
 
@@ -53,5 +55,6 @@ def jobs_from_mappings(docs: DataFrame, mapping_col: str = "column_mapping") ->
     """New registry rows (``PENDING``) from ``schema_csv_mappings``: one sync job per table."""
     return docs.select(
         F.col("target_table").alias("job_id"), F.col("source_table"), F.lit(None).cast("string").alias("source_sql"),
-        F.col("target_table"), F.col(mapping_col).alias("column_mapping"), F.lit(PENDING).alias("status"),
+        F.col("target_table"), F.transform(mapping_col, lambda e: F.struct(*[e[k].alias(k) for k in (
+            "source_key", "destination_key", "data_type")])).alias("column_mapping"), F.lit(PENDING).alias("status"),
         F.lit(None).cast("string").alias("message"), F.lit(0).cast("bigint").alias("updated_at"))

@@ -2,8 +2,7 @@
 
 The whole path is one lazy plan: a narrow scan/projection stage (tokens,
 hash, casts, rename) and one shuffle on ``id`` for the dedup, with
-duplicates combined map-side first (a scan with fewer tasks than slots is
-first spread round-robin, see ``SyncSpec.spread``). Load metrics come from observations
+duplicates combined map-side first. Load metrics come from observations
 on that same plan, so auditing costs no extra pass.
 """
 
@@ -19,8 +18,7 @@ from tablesmith.functions import expressions as fx
 from tablesmith.functions.tokens import NA_TOKENS, PASS
 from tablesmith.operators.clean import null_tokens
 from tablesmith.operators.mapping import ColumnMap, parse_mapping, typed_column, validate_mapping
-from tablesmith.operators.rowid import ID, dedup, first_wins, row_id
-from tablesmith.operators.sizing import spread
+from tablesmith.operators.rowid import ID, dedup, first_wins
 from tablesmith.sinks.files import as_text
 
 
@@ -35,7 +33,6 @@ class SyncSpec:
     number_type: str = "double"
     order_col: str | None = None
     na_tokens: Sequence[str] = field(default_factory=lambda: list(NA_TOKENS))
-    spread: bool = True
 
     def __post_init__(self) -> None:
         self.mapping = parse_mapping(self.mapping)
@@ -46,21 +43,19 @@ def prepare(text: DataFrame, spec: SyncSpec, observation: Observation | None = N
 
     With ``observation``: ``rows_read`` and, per NUMBER source column,
     ``bad_<column>`` (cells that are not numbers), counted on the same pass.
-    With ``spec.spread``, a scan that yields fewer tasks than the cluster has
-    slots is dealt out round-robin first, so the per-row work (tokens, hash,
-    casts) runs on every core; a scan with enough splits is left as it is.
     """
     source_cols = [c for c in text.columns if c != spec.order_col]
     reserved = (ID, spec.order_col) if spec.order_col else (ID,)
     validate_mapping(spec.mapping, source_cols, reserved=reserved)
-    df = null_tokens(spread(text) if spec.spread else text, source_cols, spec.na_tokens)
+    df = null_tokens(text, source_cols, spec.na_tokens)
     if observation is not None:
-        numbers = sorted({m.source_key for m in spec.mapping if m.data_type.upper() == "NUMBER"})
+        numbers = sorted({m.source_key for m in spec.mapping if m.data_type == "NUMBER"})
         df = df.observe(observation, F.count(F.lit(1)).alias("rows_read"),
                         *[F.count_if(fx.bad_number(fx.col(c), spec.number_type)).alias(f"bad_{c}") for c in numbers])
-    df = row_id(df, source_cols, sep=spec.sep)
-    cols = [fx.col(ID)] + [typed_column(fx.col(m.source_key), m.data_type, number_type=spec.number_type,
-                                        on_error=spec.on_error).alias(m.destination_key) for m in spec.mapping]
+    # The hash covers every source column, one called ``id`` too; its values stay there for the mapping.
+    cols = [fx.row_hash(source_cols, spec.sep).alias(ID)] + [
+        typed_column(fx.col(m.source_key), m.data_type, number_type=spec.number_type, on_error=spec.on_error)
+        .alias(m.destination_key) for m in spec.mapping]
     if spec.order_col:
         cols.append(fx.col(spec.order_col))
     return df.select(*cols)

@@ -20,6 +20,13 @@ LINEITEM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
 CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
+_ODD = ("case when {k} % 17 = 0 then '12D' when {k} % 19 = 0 then '0x1p3' when {k} % 23 = 0 then ' NaN' "
+        "when {k} % 29 = 0 then '5f' when {k} % 31 = 0 then ' ' || {c} || ' ' else {c} end")
+_ODD_VALUE = ("case when {k} % 17 = 0 or {k} % 19 = 0 or {k} % 23 = 0 or {k} % 29 = 0 then null "
+              "else cast(replace({c}, ',', '') as double) end")
+_ODD_BAD = "({k} % 17 = 0 or {k} % 19 = 0 or ({k} % 23 <> 0 and {k} % 29 = 0))"
+
+
 def _hash(cols: list[str]) -> str:
     return "sha256(" + " || ".join(f"coalesce(cast({c} as varchar), 'nan')" for c in cols) + ")"
 
@@ -41,20 +48,26 @@ SYNC = (f"with {EXPORT}, {CLEAN} select distinct {_hash(ORDERS)} as id, o_orderk
         "o_orderpriority as priority, o_orderstatus as status from clean")
 
 _MAP_ENTRY = ("{'source_key': n_name, 'destination_key': lower(replace(n_name, ' ', '_')), "
-              f"'data_type': {TYPES_ARRAY}[n_regionkey % 5 + 1]}}")
+              f"'data_type': {TYPES_ARRAY}[n_regionkey % 5 + 1], "
+              "'comment': 'column ' || cast(n_nationkey as varchar)}")
 
 _JOBS = ("jobs as (select n_nationkey, cast(n_nationkey as varchar) as job_id, "
          "'cust_nation_' || cast(n_nationkey as varchar) as target_table, "
          "case n_nationkey % 3 when 0 then 'PENDING' when 1 then 'PASS' else 'FAILED' end as status, "
          "cast(null as varchar) as message from nation)")
-_CUST_COUNTS = "counts as (select c_nationkey, count(*) as n from customer group by c_nationkey)"
+_CUST_COUNTS = ("counts as (select c_nationkey, count(*) as n, round(sum(c_acctbal), 2) as balance, min(c_name) as first_name "
+                "from customer group by c_nationkey)")
 
 
 def _job_run(state: str) -> str:
     return (f"with {_JOBS}, {_CUST_COUNTS} select job_id, target_table, "
             f"case when status = '{state}' then 'PASS' else status end as status, "
             f"case when status = '{state}' then 'PASS' else message end as message, "
-            f"case when status = '{state}' then coalesce(counts.n, 0) end as rows_loaded "
+            f"case when status = '{state}' then coalesce(counts.n, 0) end as rows_loaded, "
+            f"case when status = '{state}' then coalesce(counts.n, 0) end as n_rows, "
+            f"case when status = '{state}' then counts.balance end as balance, "
+            f"case when status = '{state}' then counts.first_name end as first_name, "
+            f"case when status = '{state}' then coalesce(counts.n, 0) end as n_ids "
             "from jobs left join counts on jobs.n_nationkey = counts.c_nationkey")
 
 
@@ -72,16 +85,26 @@ _FULL_BATCH = ("b as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice
                "union all select o_orderkey + 1000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
                "o_orderpriority from orders where o_orderkey % 100 = 0)")
 
+_CHILD = ("select * replace (case when c_custkey % 7 = 0 then c_nationkey + 100 else c_nationkey end as c_nationkey) "
+          "from customer")
+
 ORACLE: dict[str, str] = {
     "row_id": (f"with li as (select * replace (nullif(l_returnflag, 'R') as l_returnflag) from lineitem) "
-               f"select l_orderkey, l_linenumber, {_hash(LINEITEM)} as id from li"),
-    "clean_numbers": ("select o_orderkey, format('{:,.2f}', o_totalprice) as amount_text, "
-                      "cast(replace(format('{:,.2f}', o_totalprice), ',', '') as double) as amount from orders"),
+               f"select l_orderkey, l_linenumber, l_linestatus as source_id, {_hash(LINEITEM)} as id from li"),
+    "clean_numbers": (f"with t as (select o_orderkey as k, format('{{:,.2f}}', o_totalprice) as c from orders) "
+                      f"select k as o_orderkey, {_ODD.format(k='k', c='c')} as amount_text, "
+                      f"{_ODD_VALUE.format(k='k', c='c')} as amount, {_ODD_BAD.format(k='k')} as bad from t"),
+    "sync_source_id": (f"with {EXPORT}, odd as (select * replace ({_ODD.format(k='cast(o_orderkey as bigint)', c='o_totalprice')} "
+                       f"as o_totalprice), cast(o_orderkey as bigint) as k, o_totalprice as plain from export), "
+                       f"clean as (select {_na(ORDERS)}, k, plain from odd) "
+                       f"select distinct {_hash(ORDERS)} as id, o_custkey as customer, o_orderkey as order_no, "
+                       f"{_ODD_VALUE.format(k='k', c='plain')} as amount from clean"),
     "dedup": (f"select distinct {_hash(ORDERS)} as id, o_orderkey, o_totalprice "
               "from (select * from orders union all select * from orders)"),
-    "first_wins": ("select id, o_orderkey, o_custkey, o_totalprice from (select *, row_number() over "
-                   "(partition by id order by o_orderkey) as rn from (select "
+    "first_wins": ("select id, pos, o_orderkey, o_custkey, o_totalprice from (select *, row_number() over "
+                   "(partition by id order by pos nulls last, o_orderkey) as rn from (select "
                    "sha256(coalesce(o_orderstatus, 'nan') || coalesce(o_orderpriority, 'nan')) as id, "
+                   "case when o_orderkey % 5 <> 1 then o_orderkey end as pos, "
                    "o_orderkey, o_custkey, o_totalprice from orders)) where rn = 1"),
     "null_normalise": (f"with d as (select o_orderkey, case when o_orderkey % 40 < {len(NA_TOKENS)} "
                        f"then {NA_ARRAY}[o_orderkey % 40 + 1] else o_orderpriority end as o_orderpriority, "
@@ -98,8 +121,10 @@ ORACLE: dict[str, str] = {
                     "o_orderpriority as priority, o_orderstatus as status from orders"),
     "sync_table": SYNC,
     "full_refresh": SYNC,
-    "load_history": (f"with s as ({SYNC}) select 'full_refresh' as mode, count(*) as rows_written from s "
-                     "union all select 'append', count(*) from s union all select 'insert_ignore', 0"),
+    "load_history": (f"with s as ({SYNC}) select 'full_refresh' as mode, count(*) as rows_written, true as is_first from s "
+                     "union all select 'append', count(s.id), false from range(12) k(i) left join s "
+                     "on cast(s.order_no as bigint) % 12 = k.i group by k.i "
+                     "union all select 'insert_ignore', 0, false"),
     "landing_sync": SYNC,
     "csv_export": ("select " + ", ".join(f"cast({c} as varchar) as {c}" for c in ORDERS) + " from orders"),
     "csv_scan": (f"with {EXPORT}, dirty as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
@@ -108,8 +133,11 @@ ORACLE: dict[str, str] = {
                  f"from export) select {_na(ORDERS)} from dirty"),
     "view_export": ("select o_custkey, count(*) as n_orders, max(o_totalprice) as max_price "
                     "from orders group by o_custkey"),
-    "select_all": "select * from orders",
-    "inline_rows": "select * from customer",
+    "select_all": ("select o_orderkey, c_name, o_totalprice * 2 as doubled from orders join customer "
+                   "on o_custkey = c_custkey"),
+    "inline_rows": ("select c_custkey, n_name as nation, r_name as region from customer "
+                    "left join nation on c_nationkey = n_nationkey left join region on n_regionkey = r_regionkey"),
+    "text_rows": "select * replace (lower(c_name) as c_name) from customer",
     "add_row": ("select * from orders union all select 1000000001, 1, 'O', 10.5, "
                 "TIMESTAMP '2024-01-02 00:00:00', '1-URGENT' "
                 "union all select 1000000002, null, null, null, null, null"),
@@ -127,10 +155,15 @@ ORACLE: dict[str, str] = {
                    "from orders group by o_orderstatus"),
     "param_query": ("select o_orderkey, o_totalprice from orders "
                     "where o_totalprice > 200000.0 and o_orderstatus = 'F'"),
-    "import_new_table": "select * from orders",
-    "import_append": "select * from orders",
-    "save_as": "select * from orders",
-    "create_table": "select * from orders",
+    "import_new_table": ("select o_orderkey, o_custkey, o_orderstatus, case when o_orderkey % 11 <> 0 then o_totalprice end "
+                         "as o_totalprice, o_orderdate, case when o_orderkey % 7 <> 0 then o_orderpriority end "
+                         "as o_orderpriority from orders"),
+    "import_append": ("select * replace (case when o_orderkey % 2 = 1 then o_totalprice + 1 else o_totalprice end "
+                      "as o_totalprice) from orders where o_orderkey % 2 in (0, 1) union all "
+                      "select o_orderkey, o_custkey, null, null, null, null from orders where o_orderkey % 10 = 1"),
+    "save_as": ("select *, 'copy' as of from orders union all select *, 'source' from orders where o_orderstatus = 'F'"),
+    "create_table": ("select cast(null as varchar) as o_note, o_custkey, o_orderkey, "
+                     "cast(cast(o_totalprice as decimal(18,2)) as double) as o_totalprice, 0 as rows_at_first from orders"),
     "import_truncateadd": "select * from orders where o_orderstatus = 'F'",
     "import_updateadd": (f"with {_PARTIAL_BATCH} select coalesce(o.o_orderkey, b.o_orderkey) as o_orderkey, "
                          "o.o_custkey, o.o_orderstatus, "
@@ -154,19 +187,22 @@ ORACLE: dict[str, str] = {
     "show_columns": "select p_partkey, p_name, p_type, p_retailprice from part",
     "apply_formulas": ("select l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) as revenue, "
                        "l_extendedprice * (1 - l_discount) * (1 + l_tax) as charge from lineitem"),
-    "lookup": ("select c.*, n.n_name, n.n_regionkey from customer c left join "
-               "(select * from nation where n_regionkey <> 1) n on c.c_nationkey = n.n_nationkey"),
-    "remove_lookup": "select * from customer",
+    "lookup": (f"with c as ({_CHILD}) select c.*, n.n_name, n.n_regionkey from c left join nation n "
+               "on c.c_nationkey = n.n_nationkey"),
+    "remove_lookup": (f"with c as ({_CHILD}) select c.*, n.n_name from c left join nation n "
+                      "on c.c_nationkey = n.n_nationkey"),
     "profile_table": _profile(CUSTOMER, "customer"),
     "profile_column": "select cast(event_type as varchar) as value, count(*) as n from events group by event_type",
     "similar_report": ("select o_orderstatus as group_key, count(*) as n, round(sum(o_totalprice), 2) as total, "
-                       "min(o_totalprice) as lo, max(o_totalprice) as hi from orders group by o_orderstatus"),
-    "load_audit": (f"with {EXPORT}, {CLEAN}, ided as (select *, {_hash(ORDERS)} as id from clean) "
+                       "min(o_totalprice) as lo, max(o_totalprice) as hi from orders "
+                       "where o_totalprice > 50000 and o_orderstatus <> 'P' group by o_orderstatus"),
+    "load_audit": (f"with {EXPORT}, odd as (select * replace ({_ODD.format(k='cast(o_orderkey as bigint)', c='o_totalprice')} "
+                   f"as o_totalprice), {_ODD_BAD.format(k='cast(o_orderkey as bigint)')} as bad from export), "
+                   f"clean as (select {_na(ORDERS)}, bad from odd), ided as (select *, {_hash(ORDERS)} as id from clean) "
                    "select count(*) as rows_read, count(distinct id) as rows_loaded, "
                    "count(*) - count(distinct id) as duplicate_rows, "
                    "count(*) filter (where o_orderpriority is null) as nulls_o_orderpriority, "
-                   "count(*) filter (where o_totalprice is not null and "
-                   "try_cast(replace(o_totalprice, ',', '') as double) is null) as bad_o_totalprice from ided"),
+                   "count(*) filter (where bad) as bad_o_totalprice from ided"),
     "due_jobs": ("select cast(n_nationkey as varchar) as job_id, "
                  "'cust_nation_' || cast(n_nationkey as varchar) as target_table, 'PENDING' as status "
                  "from nation where n_nationkey % 3 = 0"),
@@ -174,19 +210,15 @@ ORACLE: dict[str, str] = {
                          "else case n_nationkey % 3 when 0 then 'PENDING' when 1 then 'PASS' else 'FAILED' end end "
                          "as status, case when n_nationkey = 7 then 'export failed' end as message, "
                          "case when n_nationkey = 7 then 1700000000000 else 0 end as updated_at from nation"),
-    "failure_alerts": ("with j as (select cast(n_nationkey as varchar) as job_id, 'customer' as source_table, "
-                       "'cust_nation_' || cast(n_nationkey as varchar) as target_table, "
-                       "case when n_nationkey = 7 then 'FAILED' else case n_nationkey % 3 when 0 then 'PENDING' "
-                       "when 1 then 'PASS' else 'FAILED' end end as status, "
-                       "case when n_nationkey = 7 then 'export failed' end as message, "
-                       "case when n_nationkey = 7 then 1700000000000 else 0 end as updated_at from nation) "
-                       "select job_id, 'Table sync failed ' || strftime(epoch_ms(updated_at) + "
-                       "interval '5 hours 30 minutes', '%d-%m-%Y %H:%M:%S') as subject, "
-                       "'Sync of ' || source_table || ' into ' || target_table || ' ended ' || status || ': ' || "
-                       "coalesce(message, 'no message') as description from j where status <> 'PASS'"),
+    "failure_alerts": ("select cast(n_nationkey as varchar) as job_id, 'Table sync failed ' || "
+                       "strftime(epoch_ms(1700000000000 + n_nationkey * 60000) + interval '5 hours 30 minutes', "
+                       "'%d-%m-%Y %H:%M:%S') as subject, 'Sync of customer into cust_nation_' || n_nationkey || "
+                       "' ended FAILED: ' || case when n_nationkey % 4 = 0 then 'export failed' || chr(10) || 'at line 2' "
+                       "else 'no message' end as description from nation where n_nationkey % 3 = 0 and n_nationkey % 2 = 0"),
     "sync_jobs": _job_run("PENDING"),
     "refetch": _job_run("FAILED"),
-    "ist_text": ("select event_id, strftime(ts + interval '5 hours 30 minutes', '%d-%m-%Y %H:%M:%S') as ist_text "
-                 "from events"),
-    "epoch_ms": "select event_id, cast(floor(epoch(ts)) as bigint) * 1000 as epoch_ms from events",
+    "ist_text": ("select event_id, strftime(ts + interval '5 hours 30 minutes', '%d-%m-%Y %H:%M:%S') as ist_text, "
+                 "strftime(ts + interval '5 hours 30 minutes', '%d-%m-%Y %H:%M:%S') as ist_text_of_instant from events"),
+    "epoch_ms": ("select event_id, cast(floor(epoch(ts)) as bigint) * 1000 as epoch_ms, "
+                 "cast(floor(epoch(ts)) as bigint) * 1000 as epoch_ms_of_instant from events"),
 }

@@ -17,7 +17,7 @@ from tablesmith.registry.inputs import (EXPORT_COLUMNS, ORDERS_MAPPING, jobs_fra
 from tablesmith.session import work_path
 from tablesmith.sinks.files import csv_export, view_export, write_documents
 from tablesmith.sinks.tables import TableStore
-from tablesmith.sources.files import csv_scan, mapping_scan, parse_text_rows, read_file
+from tablesmith.sources.files import csv_scan, inline_rows, mapping_scan, parse_text_rows, read_file
 from tablesmith.sources.sql import Variables, select_all, sql_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,13 +37,23 @@ ORDERS_SPEC = dict(mapping=ORDERS_MAPPING, target_table="orders_synced")
 
 # -- projections / ids ----------------------------------------------------
 def q_row_id(spark, sf):
-    li = table(spark, sf, "lineitem").withColumn("l_returnflag", F.nullif("l_returnflag", F.lit("R")))
-    return ts.row_id(li).select("l_orderkey", "l_linenumber", "id")
+    """The source has a column ``id`` of its own: hashed like any other, readable afterwards."""
+    li = table(spark, sf, "lineitem").withColumn("l_returnflag", F.nullif("l_returnflag", F.lit("R"))) \
+        .withColumnRenamed("l_linestatus", "id")
+    return ts.row_id(li).select("l_orderkey", "l_linenumber", "source_id", "id")
+
+
+def _odd_numbers(c):
+    """Number text with spellings that load as null: no numbers (bad), and NaN (missing)."""
+    k = F.col("o_orderkey")
+    return (F.when(k % 17 == 0, F.lit("12D")).when(k % 19 == 0, F.lit("0x1p3")).when(k % 23 == 0, F.lit(" NaN"))
+            .when(k % 29 == 0, F.lit("5f")).when(k % 31 == 0, F.concat(F.lit(" "), c, F.lit(" "))).otherwise(c))
 
 
 def q_clean_numbers(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey", F.format_number("o_totalprice", 2).alias("amount_text"))
-    return ts.clean_numbers(o.withColumn("amount", F.col("amount_text")), ["amount"])
+    o = table(spark, sf, "orders").select("o_orderkey", _odd_numbers(F.format_number("o_totalprice", 2)).alias("amount_text"))
+    return ts.clean_numbers(o.withColumn("amount", F.col("amount_text")), ["amount"], on_error="null") \
+        .withColumn("bad", fx.bad_number(F.col("amount_text")))
 
 
 def q_dedup(spark, sf):
@@ -52,9 +62,11 @@ def q_dedup(spark, sf):
 
 
 def q_first_wins(spark, sf):
+    """The position is missing on the first orders of each group: the others win over them."""
     o = table(spark, sf, "orders")
-    keyed = ts.row_id(o, ["o_orderstatus", "o_orderpriority"])
-    return ts.first_wins(keyed.select("id", "o_orderkey", "o_custkey", "o_totalprice"), ["id"], "o_orderkey")
+    keyed = ts.row_id(o, ["o_orderstatus", "o_orderpriority"]) \
+        .withColumn("pos", F.when(F.col("o_orderkey") % 5 != 1, F.col("o_orderkey")))
+    return ts.first_wins(keyed.select("id", "pos", "o_orderkey", "o_custkey", "o_totalprice"), ["id"], "pos")
 
 
 def q_null_normalise(spark, sf):
@@ -97,6 +109,14 @@ def q_sync_table(spark, sf):
     return sync_rows(orders_export(spark, sf), SyncSpec(**ORDERS_SPEC))
 
 
+def q_sync_source_id(spark, sf):
+    """A sync whose export has a column ``id`` and odd numbers; bad ones load as null."""
+    text = orders_export(spark, sf).withColumn("o_totalprice", _odd_numbers(F.col("o_totalprice"))) \
+        .withColumnRenamed("o_custkey", "id")
+    mapping = [("id", "customer", "STRING"), ("o_orderkey", "order_no", "STRING"), ("o_totalprice", "amount", "NUMBER")]
+    return sync_rows(text, SyncSpec(mapping, "orders_with_id", on_error="null"))
+
+
 def q_full_refresh(spark, sf):
     store, name = _store(spark), _name("orders_synced")
     spec = SyncSpec(ORDERS_MAPPING, name)
@@ -133,15 +153,28 @@ def q_view_export(spark, sf):
 
 
 def q_select_all(spark, sf):
-    register_views(spark, sf, "orders")
-    return select_all(spark, "orders")
+    """A catalog view over orders and customer, read whole."""
+    name = _name("orders_named")
+    table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")) \
+        .select("o_orderkey", "c_name", (F.col("o_totalprice") * 2).alias("doubled")).createOrReplaceTempView(name)
+    return select_all(spark, name)
 
 
 def q_inline_rows(spark, sf):
+    """Raw text given in a call, the nations with their regions as a user would paste them, looked up by the customers."""
+    lines = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")) \
+        .select(F.to_csv(F.struct("n_nationkey", "n_name", "r_name")).alias("line")).orderBy("n_nationkey").collect()
+    text = "\n".join(["key,nation,region", *[r["line"] for r in lines]])      # the call's argument: one line per nation
+    given = inline_rows(spark, text, work_dir=work_path(spark, "inline"), schema="key int, nation string, region string")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    return c.join(given, F.col("c_nationkey") == F.col("key"), "left").select("c_custkey", "nation", "region")
+
+
+def q_text_rows(spark, sf):
     c = table(spark, sf, "customer")
     lines = c.select(F.to_csv(F.struct(*c.columns)).alias("line"))
     return parse_text_rows(lines, "line", "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
-                                          "c_mktsegment string")
+                                          "c_mktsegment string").withColumn("c_name", F.lower("c_name"))
 
 
 def q_add_row(spark, sf):
@@ -154,6 +187,11 @@ def q_add_row(spark, sf):
 
 
 # -- mapping documents ------------------------------------------------------
+def _schema_rows(spark, sf):
+    """Mapping rows with one header more than the three that a mapping needs."""
+    return mapping_rows(spark, sf).withColumn("comment", F.concat(F.lit("column "), F.col("position").cast("string")))
+
+
 def q_mapping_scan(spark, sf):
     rows = mapping_rows(spark, sf).select("source_key", "destination_key", "data_type")
     path = csv_export(rows, work_path(spark, "schemas", "nation"))
@@ -161,13 +199,13 @@ def q_mapping_scan(spark, sf):
 
 
 def q_mapping_collect(spark, sf):
-    docs = ts.mapping_collect(mapping_rows(spark, sf), ["target_table"], "position")
+    docs = ts.mapping_collect(_schema_rows(spark, sf).drop("view_id", "source_table"), ["target_table"], "position")
     return docs.select("target_table", F.size("column_mapping").cast("bigint").alias("n_columns"),
                        F.to_json("column_mapping").alias("column_mapping_json"))
 
 
 def q_mapping_json(spark, sf):
-    docs = ts.mapping_collect(mapping_rows(spark, sf), ["view_id", "source_table", "target_table"], "position")
+    docs = ts.mapping_collect(_schema_rows(spark, sf), ["view_id", "source_table", "target_table"], "position")
     path = write_documents(ts.mapping_document(docs, ["view_id", "source_table", "target_table"]), "document",
                            work_path(spark, "mappings"))
     return spark.read.text(path).select(F.col("value").alias("document"))
@@ -190,7 +228,11 @@ def q_param_query(spark, sf):
 # -- loads --------------------------------------------------------------------
 def q_import_new_table(spark, sf):
     store, name = _store(spark), _name("orders_imported")
-    path = csv_export(table(spark, sf, "orders"), work_path(spark, "exports", "orders"))
+    """The file has missing-value tokens in text and number cells."""
+    k = F.col("o_orderkey")
+    dirty = table(spark, sf, "orders").withColumn("o_orderpriority", F.when(k % 7 == 0, "N/A").otherwise(F.col("o_orderpriority"))) \
+        .withColumn("o_totalprice", F.when(k % 11 == 0, "NA").otherwise(F.col("o_totalprice").cast("string")))
+    path = csv_export(dirty, work_path(spark, "exports", "orders"))
     df = read_file(spark, path, "csv", auto_identify=False,
                    schema="o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
                           "o_orderdate timestamp_ntz, o_orderpriority string",
@@ -203,7 +245,8 @@ def q_import_append(spark, sf):
     store, name = _store(spark), _name("orders_appended")
     o = table(spark, sf, "orders")
     store.import_new_table(name, o.filter(F.col("o_orderkey") % 2 == 0))
-    store.append(name, o.filter(F.col("o_orderkey") % 2 == 1))
+    store.append(name, o.filter(F.col("o_orderkey") % 2 == 1).withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    store.append(name, o.filter(F.col("o_orderkey") % 10 == 1).select("o_orderkey", "o_custkey"))  # other columns null
     return store.read(name)
 
 
@@ -211,15 +254,18 @@ def q_save_as(spark, sf):
     store, name = _store(spark), _name("orders_src")
     store.import_new_table(name, table(spark, sf, "orders"))
     store.save_as(name, name + "_copy")
-    return store.read(name + "_copy")
+    store.truncate_add(name, table(spark, sf, "orders").filter("o_orderstatus = 'F'"))   # the copy stays as it was
+    return store.read(name + "_copy").withColumn("of", F.lit("copy")) \
+        .unionByName(store.read(name).withColumn("of", F.lit("source")))
 
 
 def q_create_table(spark, sf):
     store, name = _store(spark), _name("orders_designed")
     o = table(spark, sf, "orders")
-    store.create_table(name, o.schema)
-    store.append(name, o)
-    return store.read(name)
+    store.create_table(name, "o_note string, o_custkey bigint, o_orderkey bigint, o_totalprice decimal(18,2)")
+    empty = store.read(name).agg(F.count(F.lit(1)).alias("rows_at_first"))
+    store.append(name, o.select("o_orderkey", "o_custkey", "o_totalprice"))
+    return store.read(name).withColumn("o_totalprice", F.col("o_totalprice").cast("double")).crossJoin(F.broadcast(empty))
 
 
 def q_import_truncateadd(spark, sf):
@@ -313,8 +359,10 @@ def q_apply_formulas(spark, sf):
 
 
 def _lookup(spark, sf):
-    nation = table(spark, sf, "nation").filter(F.col("n_regionkey") != 1)
-    return ts.lookup(table(spark, sf, "customer"), "c_nationkey", nation, "n_nationkey", ["n_name", "n_regionkey"])
+    """Customers, some with a nation that there is not."""
+    k = F.col("c_nationkey")
+    child = table(spark, sf, "customer").withColumn("c_nationkey", F.when(F.col("c_custkey") % 7 == 0, k + 100).otherwise(k))
+    return ts.lookup(child, "c_nationkey", table(spark, sf, "nation"), "n_nationkey", ["n_name", "n_regionkey"])
 
 
 def q_lookup(spark, sf):
@@ -322,12 +370,12 @@ def q_lookup(spark, sf):
 
 
 def q_remove_lookup(spark, sf):
-    return ts.remove_lookup(_lookup(spark, sf), ["n_name", "n_regionkey"])
+    return ts.remove_lookup(_lookup(spark, sf), ["n_regionkey"])
 
 
 # -- aggregations ----------------------------------------------------------------
 def q_profile_table(spark, sf):
-    return ts.profile_table(table(spark, sf, "customer"))
+    return ts.profile_table(table(spark, sf, "customer"), exact=True)
 
 
 def q_profile_column(spark, sf):
@@ -335,6 +383,7 @@ def q_profile_column(spark, sf):
 
 
 EVENTS_REPORT = ts.ReportSpec(group_by=["event_type"], group_aliases=["group_key"], round_to=2,
+                              filters=["value > 50000", "event_type <> 'P'"],
                               measures=[("count", "*", "n"), ("sum", "value", "total"), ("min", "value", "lo"),
                                         ("max", "value", "hi")])
 
@@ -345,7 +394,7 @@ def q_similar_report(spark, sf):
 
 
 def q_load_audit(spark, sf):
-    text = ts.null_tokens(orders_export(spark, sf))
+    text = ts.null_tokens(orders_export(spark, sf).withColumn("o_totalprice", _odd_numbers(F.col("o_totalprice"))))
     return ts.load_audit(ts.row_id(text), null_columns=["o_orderpriority"], number_columns=["o_totalprice"])
 
 
@@ -360,36 +409,57 @@ def q_update_job_state(spark, sf):
 
 
 def q_failure_alerts(spark, sf):
-    jobs = jobplan.update_job_state(jobs_frame(spark, sf), "7", "FAILED", "export failed", updated_at=1_700_000_000_000)
-    return jobplan.failure_alerts(jobs)
-
-
-def _job_report(jobs: DataFrame, results: DataFrame, updated: DataFrame) -> DataFrame:
-    return updated.join(results.select("job_id", "rows_loaded"), "job_id", "left") \
-        .select("job_id", "target_table", "status", "message", "rows_loaded")
+    """A run of the pending jobs in which every second one failed; the others of the registry did not run."""
+    jobs = jobs_frame(spark, sf)
+    k = F.col("job_id").cast("int")
+    results = jobplan.due_jobs(jobs, pending=True).select(
+        "job_id", F.when(k % 2 == 0, "FAILED").otherwise("PASS").alias("status"),
+        F.when(k % 4 == 0, "export failed\nat line 2").alias("message"),
+        (F.lit(1_700_000_000_000) + k * 60_000).alias("updated_at"))
+    return jobplan.failure_alerts(jobs, results)
+
+
+def _job_report(store, jobs: DataFrame, results: DataFrame, updated: DataFrame) -> DataFrame:
+    """Statuses, and what the tables of the jobs that ran now hold."""
+    loaded = None
+    for r in results.filter("status = 'PASS'").join(jobs.select("job_id", "target_table"), "job_id").collect():
+        one = store.read(r["target_table"]).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("balance"), 2).alias("balance"), F.min("name").alias("first_name"),
+            F.count_distinct("id").alias("n_ids")).withColumn("job_id", F.lit(r["job_id"]))
+        loaded = one if loaded is None else loaded.unionByName(one)
+    return updated.join(results.select("job_id", "rows_loaded"), "job_id", "left").join(loaded, "job_id", "left") \
+        .select("job_id", "target_table", "status", "message", "rows_loaded", "n_rows", "balance", "first_name", "n_ids")
 
 
 def q_sync_jobs(spark, sf):
     register_views(spark, sf, "customer")
-    jobs = jobs_frame(spark, sf)
-    results, updated = jobplan.run_jobs(spark, jobs, _store(spark), pending=True)
-    return _job_report(jobs, results, updated)
+    jobs, store = jobs_frame(spark, sf), _store(spark)
+    results, updated = jobplan.run_jobs(spark, jobs, store, pending=True)
+    return _job_report(store, jobs, results, updated)
 
 
 def q_refetch(spark, sf):
     register_views(spark, sf, "customer")
-    jobs = jobs_frame(spark, sf)
-    results, updated = jobplan.refetch(spark, jobs, _store(spark), "status = 'FAILED'")
-    return _job_report(jobs, results, updated)
+    jobs, store = jobs_frame(spark, sf), _store(spark)
+    results, updated = jobplan.refetch(spark, jobs, store, "status = 'FAILED'")
+    return _job_report(store, jobs, results, updated)
 
 
 # -- scalar functions ----------------------------------------------------------------
+def _instants(spark, sf):
+    """Event times as they stand (UTC wall clock) and as TIMESTAMPs of the same instants, in whatever session zone."""
+    e, start = table(spark, sf, "events"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return e.withColumn("at", F.timestamp_micros(F.timestamp_diff("MICROSECOND", start, F.col("ts"))))
+
+
 def q_ist_text(spark, sf):
-    return table(spark, sf, "events").select("event_id", fx.zone_text(F.col("ts")).alias("ist_text"))
+    return _instants(spark, sf).select("event_id", fx.zone_text(F.col("ts")).alias("ist_text"),
+                                       fx.zone_text(F.col("at"), instant=True).alias("ist_text_of_instant"))
 
 
 def q_epoch_ms(spark, sf):
-    return table(spark, sf, "events").select("event_id", fx.epoch_ms(F.col("ts")).alias("epoch_ms"))
+    return _instants(spark, sf).select("event_id", fx.epoch_ms(F.col("ts")).alias("epoch_ms"),
+                                       fx.epoch_ms(F.col("at"), instant=True).alias("epoch_ms_of_instant"))
 
 
 QUERIES: dict[str, Query] = {
@@ -407,6 +477,8 @@ QUERIES: dict[str, Query] = {
     "view_export": q_view_export,
     "select_all": q_select_all,
     "inline_rows": q_inline_rows,
+    "text_rows": q_text_rows,
+    "sync_source_id": q_sync_source_id,
     "add_row": q_add_row,
     "mapping_scan": q_mapping_scan,
     "mapping_collect": q_mapping_collect,
@@ -446,13 +518,17 @@ QUERIES: dict[str, Query] = {
 
 
 def q_load_history(spark, sf):
-    """Loads recorded by the store: a full refresh, an append of the same rows, an insert-ignore of them."""
+    """Every load that the store recorded: a full refresh, twelve appends of a twelfth each, an insert-ignore of it all."""
     store, name = _store(spark), _name("orders_history")
     rows = sync_rows(orders_export(spark, sf), SyncSpec(**ORDERS_SPEC))
     store.full_refresh(name, rows)
-    store.append(name, rows)
+    stored = store.read(name)
+    for k in range(12):
+        store.append(name, stored.filter(F.col("order_no").cast("bigint") % 12 == k))
     store.insert_ignore(name, rows, ["id"])
-    return store.load_history(name).select("mode", "rows_written")
+    first = store.load_history(name).first()
+    found = store.load_details(name, first["load_id"])          # the oldest load is found by its id
+    return store.load_history(name).select("mode", "rows_written", (F.col("load_id") == found["load_id"]).alias("is_first"))
 
 
 QUERIES["load_history"] = q_load_history
@@ -469,7 +545,7 @@ def q_landing_sync(spark, sf):
     drops = [text, text.filter(F.col("o_orderkey").cast("bigint") % 3 == 0)]  # a second, overlapping re-export
     for i, drop in enumerate(drops):
         csv_export(drop, f"{landing}/drop-{i}")
-        landing_sync(spark, landing, EXPORT_COLUMNS, spec, store, checkpoint=ckpt).awaitTermination()
+        landing_sync(spark, landing, EXPORT_COLUMNS, spec, store, checkpoint=ckpt, buckets=8).awaitTermination()
     return store.read(name)
 
 

@@ -31,11 +31,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder: ``spark.checkpoint.dir`` as set on the session.
 
-    Only when nothing is set (a bare local session, as in tests) do we pick a
-    scratch folder of our own and register it as the checkpoint dir.
+    Only when nothing is set on a ``local[...]`` master (as in tests) do we pick a
+    scratch folder of our own; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tablesmith-")
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
@@ -52,8 +54,7 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
 MB = 1024 * 1024
 
 
-def scale_settings(input_bytes: int, *, partition_bytes: int = 256 * MB, max_shuffle_partitions: int = 200_000,
-                   broadcast_bytes: int = 64 * MB) -> dict[str, str]:
+def scale_settings(input_bytes: int, *, partition_bytes: int = 256 * MB, broadcast_bytes: int = 64 * MB) -> dict[str, str]:
     """SQL settings sized for an input of ``input_bytes``.
 
     Shuffle partitions start at about ``partition_bytes`` of input each (so a
@@ -61,7 +62,7 @@ def scale_settings(input_bytes: int, *, partition_bytes: int = 256 * MB, max_shu
     coalesces small ones and splits skewed ones at run time; scan splits are
     ``partition_bytes`` too. Apply with ``apply_settings``.
     """
-    parts = max(200, min(max_shuffle_partitions, -(-int(input_bytes) // partition_bytes)))
+    parts = max(200, -(-int(input_bytes) // partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -90,3 +91,16 @@ def cut_lineage(df):
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged(df):
+    """``df`` computed once into the shared folder: (the stored rows, their folder)."""
+    path = work_path(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library made, through Hadoop's file systems."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(jpath, True)

@@ -1,20 +1,28 @@
-"""Versioned catalog tables.
-
-Plain Parquet tables cannot be updated in place, so a change that rewrites
-rows (full refresh, truncate-add, update-add, save-as) writes a new version
-folder under the store root and then repoints the catalog table to it
-(``ALTER TABLE ... SET LOCATION``). Readers resolve the location once per
-query, a failed write leaves the previous version in place, and old
-versions stay on disk. Changes that only add rows (append, insert-ignore)
-write new files into the current version with ``insertInto``.
-
-A table may be *key-bucketed*: stored partitioned by
-``_bucket = pmod(xxhash64(keys), n)``. An update-add or insert-ignore on
-those keys then reads and rewrites only the buckets the batch touches and
-repoints just those partitions (``ALTER TABLE ... PARTITION ... SET
-LOCATION``), so a batch never rewrites the whole table. Each partition
-repoint is atomic and buckets hold disjoint keys, so a reader sees every key
-either before or after the batch, never twice.
+"""Versioned tables: immutable part folders behind a view that is swapped in one catalog call.
+
+A load never touches files that readers see. It writes a new part folder,
+records a commit, and points the table's view (``ALTER VIEW``, one catalog
+update) at the new list of parts. Readers see the table before or after
+a load, never a half of it, and a load that fails at any step before the
+commit leaves the previous version as it is.
+
+Commits are small JSON files, one per version, in the table's ``_commits``
+folder: schema, layout, live parts and the load's audit entry. A commit is
+created exclusively (create-if-absent of the next number), so of two writers
+that started from the same version only one gets it. The other one reads the
+new version and does its work again (update-add, insert-ignore) or adds its part
+to it (append); whatever an append wrote stays. Commits are never rewritten or
+trimmed: they are the load history. Exclusive creation is what the shared
+folder's file system has to offer (HDFS and local file systems do).
+
+A table may be *key-bucketed*: its parts are partitioned by
+``pmod(xxhash64(keys), n)``. An update-add or insert-ignore on those keys reads
+only the buckets that the batch touches; an update-add writes those buckets
+anew, and one commit makes the new part live for all of them at once and the old
+parts dead for them. Rows are brought together by bucket before they are
+written, so a load leaves about one file per bucket. ``compact`` rewrites a
+table of many parts as one; ``expire_versions`` deletes parts that only old
+versions use.
 """
 
 from __future__ import annotations
@@ -23,45 +31,40 @@ import json
 import re
 import time
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field, replace
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesmith.functions.expressions import col, quote
-from tablesmith.operators.merge import conform, conform_batch, new_rows, upsert
-from tablesmith.operators.sizing import assert_unique, key_stats
+from tablesmith.functions.expressions import col, fresh, quote
+from tablesmith.operators.merge import conform, conform_batch, first_per_key, new_rows, upsert
 from tablesmith.operators.rowid import ID
-from tablesmith.session import work_path
+from tablesmith.operators.sizing import assert_unique, key_stats
+from tablesmith.session import delete_path, staged, work_path
 from tablesmith.sources.sql import table_name
 
-HISTORY_KEEP = 10
-PROP_LOADS = "tablesmith.loads"
 LOAD_DDL = ("load_id string, table_name string, mode string, location string, rows_written bigint, "
-            "started_ms bigint, ended_ms bigint")
+            "updated bigint, added bigint, started_ms bigint, ended_ms bigint")
+#: Times an update-add or insert-ignore starts again after another writer was faster.
+RETRIES = 5
+#: Seconds after which a claim without its commit is taken for a dead writer's (between the two lies one rename).
+STALE_CLAIM_S = 60
 
-BUCKET = "_bucket"
-PROP_KEYS = "tablesmith.bucket_keys"
-PROP_BUCKETS = "tablesmith.buckets"
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer committed first."""
 
 
 def _sql_text(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _columns_ddl(schema: T.StructType) -> str:
-    return ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
-
-
-def _same_columns(a: T.StructType, b: T.StructType) -> bool:
-    return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
-
-
 @dataclass(frozen=True)
 class Layout:
-    """How a table's files are laid out: plain, or bucketed by a hash of ``keys``."""
+    """How a table's rows are laid out: plain, or bucketed by a hash of ``keys``."""
 
     keys: tuple[str, ...] = ()
     buckets: int = 0
@@ -82,8 +85,44 @@ def layout(bucket_keys: Sequence[str] | None = None, buckets: int | None = None)
     return Layout(tuple(bucket_keys), int(buckets))
 
 
+@dataclass(frozen=True)
+class Part:
+    """A folder of rows; of a bucketed table, the buckets it has and those of them that are live."""
+
+    path: str
+    has: tuple[int, ...] | None = None
+    live: tuple[int, ...] | None = None
+
+    def without(self, buckets: set[int]) -> Part | None:
+        live = tuple(b for b in self.live if b not in buckets)
+        return replace(self, live=live) if live else None
+
+
+@dataclass(frozen=True)
+class Version:
+    """One committed state of a table."""
+
+    number: int
+    schema: T.StructType
+    lay: Layout
+    bucket_col: str | None
+    parts: tuple[Part, ...]
+    load: dict = field(default_factory=dict)
+
+    def to_json(self) -> str:
+        return json.dumps({"number": self.number, "schema": self.schema.json(), "keys": self.lay.keys, "buckets": self.lay.buckets,
+                           "bucket_col": self.bucket_col, "parts": [[p.path, p.has, p.live] for p in self.parts], "load": self.load})
+
+    @staticmethod
+    def from_json(text: str) -> Version:
+        d = json.loads(text)
+        tup = lambda x: None if x is None else tuple(x)
+        return Version(d["number"], T.StructType.fromJson(json.loads(d["schema"])), Layout(tuple(d["keys"]), d["buckets"]),
+                       d["bucket_col"], tuple(Part(p, tup(h), tup(v)) for p, h, v in d["parts"]), d["load"])
+
+
 class TableStore:
-    """Catalog tables whose data lives in versioned folders under ``root``.
+    """Tables whose parts and commits live under ``root``, each readable by name through its view.
 
     ``root`` defaults to ``<spark.checkpoint.dir>/tablesmith/tables``, the
     cluster's shared folder.
@@ -94,150 +133,242 @@ class TableStore:
         self.root = (root or work_path(spark, "tables", unique=False)).rstrip("/")
         self.fmt = fmt
 
-    # -- load history ----------------------------------------------------
-    # The last HISTORY_KEEP loads of a table are kept as JSON in its catalog
-    # properties: durable with the table, written by one catalog call (no job).
-    @staticmethod
-    def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
-        obs = Observation(f"load_{uuid.uuid4().hex}")
-        return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-    def _props(self, name: str) -> dict[str, str]:
-        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {table_name(name)}").collect()}
-
-    def _log(self, name: str, mode: str, location: str | None, obs: Observation | None, started_ms: int) -> str:
-        """Record a load (rows counted by an observation on the write itself)."""
-        load_id = uuid.uuid4().hex
-        entry = {"load_id": load_id, "mode": mode, "location": location,
-                 "rows_written": obs.get.get("rows") if obs is not None else None,
-                 "started_ms": started_ms, "ended_ms": int(time.time() * 1000)}
-        hist = (json.loads(self._props(name).get(PROP_LOADS, "[]")) + [entry])[-HISTORY_KEEP:]
-        self.spark.sql(f"ALTER TABLE {table_name(name)} SET TBLPROPERTIES "
-                       f"({_sql_text(PROP_LOADS)} = {_sql_text(json.dumps(hist, separators=(',', ':')))})")
-        return load_id
+    def with_session(self, spark: SparkSession) -> "TableStore":
+        """The same store used from another session (e.g. a streaming micro-batch)."""
+        return TableStore(spark, self.root, self.fmt)
 
-    def load_history(self, name: str) -> DataFrame:
-        """The table's recent loads (newest last): mode, version folder, rows written, times."""
-        hist = json.loads(self._props(name).get(PROP_LOADS, "[]")) if self.exists(name) else []
-        rows = [(h["load_id"], name, h["mode"], h["location"], h["rows_written"], h["started_ms"], h["ended_ms"])
-                for h in hist]
-        return self.spark.createDataFrame(rows, LOAD_DDL)
+    # -- commits -------------------------------------------------------------
+    def _folder(self, name: str) -> str:
+        return f"{self.root}/{re.sub(r'[^A-Za-z0-9_.-]', '_', name.lower())}"
 
-    def last_load(self, name: str):
-        """Details of the table's most recent load, or None."""
-        hist = json.loads(self._props(name).get(PROP_LOADS, "[]")) if self.exists(name) else []
-        if not hist:
-            return None
-        return Row(table_name=name, **hist[-1])
+    def _fs(self, path: str):
+        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), jpath
 
-    def load_details(self, name: str, load_id: str):
-        return next((r for r in self.load_history(name).collect() if r["load_id"] == load_id), None)
+    def _commit_file(self, name: str, number: int) -> str:
+        return f"{self._folder(name)}/_commits/{number:010d}.json"
 
-    # -- catalog ---------------------------------------------------------
-    def exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(name)
+    def _latest_number(self, name: str) -> int:
+        fs, path = self._fs(f"{self._folder(name)}/_commits")
+        if not fs.exists(path):
+            return 0
+        found = [re.fullmatch(r"(\d{10})\.json", f.getPath().getName()) for f in fs.listStatus(path)]
+        return max((int(m[1]) for m in found if m), default=0)
 
-    def _raw(self, name: str) -> DataFrame:
-        q = table_name(name)
-        self.spark.catalog.refreshTable(q)
-        return self.spark.table(q)
+    def version(self, name: str) -> Version | None:
+        """The table's current version (None: no such table)."""
+        number = self._latest_number(name)
+        if not number:
+            return None
+        fs, path = self._fs(self._commit_file(name, number))
+        stream = fs.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        v = Version.from_json(text)
+        return None if v.load.get("mode") == "drop" else v
+
+    def _create_exclusively(self, path: str, text: str) -> bool:
+        """Create the file with all of its text unless it exists; False when another writer has it or is just making it.
+
+        A claim, created if absent, decides between writers; one that its writer
+        left behind for ``STALE_CLAIM_S`` without the file is cleared.
+        """
+        fs, target = self._fs(path)
+        fs.mkdirs(target.getParent())
+        _, claim = self._fs(path + ".claim")
+        if fs.exists(target):
+            return False
+        if fs.exists(claim) and time.time() * 1000 - fs.getFileStatus(claim).getModificationTime() > STALE_CLAIM_S * 1000:
+            fs.delete(claim, False)
+        _, own = self._fs(f"{path}.{uuid.uuid4().hex}.tmp")
+        out = fs.create(own, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        try:
+            fs.create(claim, False).close()
+        except Exception as e:
+            fs.delete(own, False)
+            if "AlreadyExists" in str(e) or "already exists" in str(e):
+                return False
+            raise
+        return bool(fs.rename(own, target))
+
+    def _commit(self, name: str, base: Version | None, schema: T.StructType, lay: Layout, bucket_col: str | None,
+                parts: Sequence[Part], load: dict) -> Version:
+        number = self._latest_number(name)
+        if number != (base.number if base else number if self.version(name) is None else -1):
+            raise ConcurrentWrite(f"table {name!r} is at version {number}")
+        new = Version(number + 1, schema, lay, bucket_col, tuple(parts), load)
+        if not self._create_exclusively(self._commit_file(name, new.number), new.to_json()):
+            raise ConcurrentWrite(f"version {new.number} of table {name!r} was taken")
+        self._swap(name)
+        return new
+
+    def _swap(self, name: str) -> None:
+        """Point the name at the newest version: one catalog call, again if a newer one came meanwhile."""
+        while True:
+            v = self.version(name)
+            if v is None:
+                self.spark.sql(f"DROP VIEW IF EXISTS {table_name(name)}")
+                return
+            # ALTER VIEW is one catalog update; CREATE OR REPLACE would drop the view first.
+            if not self.spark.catalog.tableExists(name):
+                self.spark.sql(f"CREATE VIEW IF NOT EXISTS {table_name(name)} AS {self._view_sql(v)}")
+            self.spark.sql(f"ALTER VIEW {table_name(name)} AS {self._view_sql(v)}")
+            if self._latest_number(name) == v.number:
+                return
+
+    def _groups(self, v: Version) -> list[tuple[list[str], tuple[int, ...] | None]]:
+        """Part folders that one scan reads, and the buckets to read if not all: plain parts together, bucketed ones each."""
+        if not v.lay.bucketed:
+            return [([p.path for p in v.parts], None)]
+        return [([p.path], None if p.live == p.has else p.live) for p in v.parts]
+
+    def _view_sql(self, v: Version) -> str:
+        columns = ", ".join(quote(f.name) for f in v.schema.fields)
+        selects = []
+        for paths, live in self._groups(v):
+            where = f" WHERE {quote(v.bucket_col)} IN ({', '.join(map(str, live))})" if live is not None else ""
+            folder, names = paths[0].rsplit("/", 1)[0], [p.rsplit("/", 1)[1] for p in paths]
+            path = paths[0] if len(paths) == 1 else f"{folder}/{{{','.join(names)}}}"
+            selects.append(f"SELECT {columns} FROM {self.fmt}.`{path}`{where}")
+        return " UNION ALL ".join(selects)
+
+    # -- reading ---------------------------------------------------------------
+    def exists(self, name: str) -> bool:
+        return self.version(name) is not None or self.spark.catalog.tableExists(name)
+
+    def _frame(self, v: Version, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Rows of a version (of the given buckets only), without its bucket column."""
+        names = [f.name for f in v.schema.fields]
+        schema = T.StructType([*v.schema.fields, *([T.StructField(v.bucket_col, T.IntegerType())] if v.bucket_col else [])])
+        frames = []
+        for paths, live in self._groups(v):
+            df = self.spark.read.schema(schema).format(self.fmt).load(paths)
+            if live is not None:
+                df = df.filter(col(v.bucket_col).isin(list(live)))
+            if buckets is not None:
+                df = df.filter(col(v.bucket_col).isin(list(buckets)))
+            frames.append(df.select(*map(col, names)))
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionAll(f)
+        return out
 
     def read(self, name: str) -> DataFrame:
-        """The table's current rows (bucket column hidden). The file listing is refreshed
-        first, so a write made through another session (a streaming micro-batch) is seen."""
-        df = self._raw(name)
-        return df.drop(BUCKET) if self.layout(name).bucketed else df
+        """The table's current rows. A name that is no table of this store is read from the catalog."""
+        v = self.version(name)
+        return self._frame(v) if v is not None else self.spark.table(table_name(name))
 
-    def with_session(self, spark: SparkSession) -> "TableStore":
-        """The same store used from another session (e.g. a streaming micro-batch)."""
-        return TableStore(spark, self.root, self.fmt)
+    def _need(self, name: str) -> Version:
+        v = self.version(name)
+        if v is None:
+            raise ValueError(f"no table {name!r}")
+        return v
 
     def layout(self, name: str) -> Layout:
-        props = self._props(name)
-        if PROP_BUCKETS in props:
-            return Layout(tuple(props[PROP_KEYS].split("\x1f")), int(props[PROP_BUCKETS]))
-        return Layout()
+        v = self.version(name)
+        return v.lay if v else Layout()
 
     def location(self, name: str) -> str | None:
-        rows = (self.spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(name)}")
-                .filter(F.col("col_name") == "Location").collect())
-        return rows[0]["data_type"] if rows else None
+        """The folder that the table's last load wrote (None: no such table)."""
+        v = self.version(name)
+        return v.load.get("location") if v else None
+
+    def bucket_parts(self, name: str) -> dict[int, list[str]]:
+        """Bucket -> part folders that hold its live rows."""
+        out: dict[int, list[str]] = {}
+        for p in self._need(name).parts:
+            for b in p.live or ():
+                out.setdefault(b, []).append(p.path)
+        return out
+
+    # -- load history ------------------------------------------------------------
+    def load_history(self, name: str) -> DataFrame:
+        """Every load of the table, oldest first by ``started_ms``: mode, folder, row counts, times."""
+        fs, path = self._fs(f"{self._folder(name)}/_commits")
+        if not fs.exists(path):
+            return self.spark.createDataFrame([], LOAD_DDL)
+        rows = self.spark.read.schema(f"number bigint, load struct<{', '.join(f.replace(' ', ':', 1) for f in LOAD_DDL.split(', '))}>") \
+            .option("pathGlobFilter", "*.json").json(f"{self._folder(name)}/_commits")
+        return rows.filter(F.col("load.load_id").isNotNull()).sort("number").select("load.*")
 
-    def buckets(self, name: str) -> set[int]:
-        """Bucket ids registered for a bucketed table."""
-        return {int(r["partition"].split("=", 1)[1])
-                for r in self.spark.sql(f"SHOW PARTITIONS {table_name(name)}").collect()}
+    def last_load(self, name: str):
+        """Details of the table's most recent load, or None."""
+        v = self.version(name)
+        return Row(**v.load) if v else None
 
-    def partition_locations(self, name: str) -> dict[int, str]:
-        """Bucket -> folder of a bucketed table."""
-        out = {}
-        for b in sorted(self.buckets(name)):
-            desc = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(name)} PARTITION ({BUCKET}={b})")
-            loc = desc.filter(F.col("col_name") == "Location").collect()
-            out[b] = loc[0]["data_type"] if loc else None
-        return out
+    def load_details(self, name: str, load_id: str):
+        return self.load_history(name).filter(F.col("load_id") == load_id).first()
 
+    # -- writing -----------------------------------------------------------------
     def drop(self, name: str) -> None:
-        """Forget the table; its version folders are kept."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {table_name(name)}")
-
-    def _new_version(self, name: str) -> str:
-        safe = re.sub(r"[^A-Za-z0-9_.-]", "_", name)
-        return f"{self.root}/{safe}/v-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-
-    def _write(self, df: DataFrame, path: str, lay: Layout) -> None:
-        if lay.bucketed:
-            df.withColumn(BUCKET, lay.bucket()).write.format(self.fmt).mode("errorifexists") \
-                .partitionBy(BUCKET).save(path)
-        else:
-            df.write.format(self.fmt).mode("errorifexists").save(path)
-
-    def _point(self, name: str, path: str, schema: T.StructType, lay: Layout) -> None:
-        q = table_name(name)
-        exists = self.exists(name)
-        if (not lay.bucketed and exists and not self.layout(name).bucketed
-                and _same_columns(self.read(name).schema, schema)):
-            self.spark.sql(f"ALTER TABLE {q} SET LOCATION {_sql_text(path)}")
-        else:
-            history = self._props(name).get(PROP_LOADS) if exists else None
-            props = {PROP_LOADS: history} if history else {}
-            if lay.bucketed:
-                props.update({PROP_KEYS: chr(31).join(lay.keys), PROP_BUCKETS: str(lay.buckets)})
-            tbl = ("TBLPROPERTIES (" + ", ".join(f"{_sql_text(k)} = {_sql_text(v)}" for k, v in props.items()) + ")"
-                   if props else "")
-            self.spark.sql(f"DROP TABLE IF EXISTS {q}")
-            if lay.bucketed:
-                self.spark.sql(f"CREATE TABLE {q} ({_columns_ddl(schema)}, {quote(BUCKET)} int) USING {self.fmt} "
-                               f"PARTITIONED BY ({quote(BUCKET)}) LOCATION {_sql_text(path)} {tbl}")
-                self.spark.sql(f"MSCK REPAIR TABLE {q}")
-            else:
-                self.spark.sql(f"CREATE TABLE {q} ({_columns_ddl(schema)}) USING {self.fmt} "
-                               f"LOCATION {_sql_text(path)} {tbl}")
-        self.spark.catalog.refreshTable(q)
+        """Forget the table; its folders and its history are kept."""
+        v = self.version(name)
+        if v is not None:
+            self._commit(name, v, v.schema, Layout(), None, (), {"mode": "drop"})
+
+    def _write(self, name: str, df: DataFrame, lay: Layout, bucket_col: str | None) -> tuple[Part, int]:
+        """``df`` as a new part folder; (part, rows)."""
+        obs = Observation(f"load_{uuid.uuid4().hex}")
+        path = f"{self._folder(name)}/v-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        if not lay.bucketed:
+            df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(self.fmt).save(path)
+            return Part(path), self._observed(obs, path)
+        # Rows of a bucket come together before they are written (a large bucket is split by Spark).
+        rows = df.withColumn(bucket_col, lay.bucket()).observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", col(bucket_col))
+        rows.write.format(self.fmt).partitionBy(bucket_col).save(path)
+        fs, jpath = self._fs(path)
+        found = [re.fullmatch(r".*=(\d+)", f.getPath().getName()) for f in fs.listStatus(jpath)]
+        has = tuple(sorted(int(m[1]) for m in found if m))
+        if not has:     # no rows: a folder without files has no schema of its own
+            df.limit(0).withColumn(bucket_col, F.lit(0)).write.format(self.fmt).mode("overwrite").save(path)
+            return Part(path, has, has), 0
+        return Part(path, has, has), self._observed(obs, path)
+
+    def _observed(self, obs: Observation, path: str) -> int:
+        """Rows written; counted from the files where Spark's optimiser took the observation out with an empty plan."""
+        try:
+            return obs.get.get("rows") or 0
+        except Py4JError:
+            return self.spark.read.format(self.fmt).load(path).count()
+
+    def _load(self, name: str, mode: str, part: Part | None, rows: int, started: int, updated: int | None = None,
+              added: int | None = None) -> dict:
+        return {"load_id": uuid.uuid4().hex, "table_name": name, "mode": mode, "location": part.path if part else None,
+                "rows_written": rows, "updated": updated, "added": added, "started_ms": started,
+                "ended_ms": int(time.time() * 1000)}
+
+    def _check_free(self, name: str) -> None:
+        if self.version(name) is None and self.spark.catalog.tableExists(name):
+            raise ValueError(f"{name!r} is a table or view that this store did not make")
+
+    def _again(self, work: Callable[[], str]) -> str:
+        """Run ``work`` on the current version; again when another writer committed meanwhile."""
+        for left in range(RETRIES, -1, -1):
+            try:
+                return work()
+            except ConcurrentWrite:
+                if not left:
+                    raise
+                time.sleep(0.2 * (RETRIES + 1 - left))
+        raise AssertionError
 
     def publish(self, name: str, df: DataFrame, lay: Layout | None = None, mode: str = "publish") -> str:
-        """Write ``df`` as the table's next version, then repoint the table to it."""
-        started = int(time.time() * 1000)
-        lay = lay or Layout()
+        """Write ``df`` as the table's next version, replacing all its rows."""
+        started, lay = int(time.time() * 1000), lay or Layout()
+        self._check_free(name)
         missing = [k for k in lay.keys if k not in df.columns]
         if missing:
             raise ValueError(f"bucket key(s) {missing} not in the table")
-        path = self._new_version(name)
-        out, obs = self._observed(df)
-        self._write(out, path, lay)
-        self._point(name, path, df.schema, lay)
-        self._log(name, mode, path, obs, started)
-        return path
-
-    def _current_layout(self, name: str) -> Layout:
-        return self.layout(name) if self.exists(name) else Layout()
-
-    def _touched(self, batch: DataFrame, schema: T.StructType, lay: Layout) -> list[int]:
-        # Bucket ids the batch's keys fall in: at most ``lay.buckets`` values.
-        keys = batch.select(*[col(k).cast(schema[k].dataType).alias(k) for k in lay.keys])
-        return sorted(r[0] for r in keys.select(lay.bucket().alias("b")).distinct().collect())
-
-    # -- load modes ------------------------------------------------------
+        bucket_col = fresh("_bucket", df.columns) if lay.bucketed else None
+        part, rows = self._write(name, df, lay, bucket_col)
+        return self._again(lambda: self._commit(name, self.version(name), _plain(df.schema), lay, bucket_col, [part],
+                                                self._load(name, mode, part, rows, started)).load["location"])
+
+    # -- load modes ----------------------------------------------------------------
     def create_table(self, name: str, schema: T.StructType | str, *, bucket_keys: Sequence[str] | None = None,
                      buckets: int | None = None) -> str:
         """Empty table from a design (StructType or DDL), optionally key-bucketed."""
@@ -254,86 +385,138 @@ class TableStore:
 
     def full_refresh(self, name: str, df: DataFrame, *, bucket_keys: Sequence[str] | None = None,
                      buckets: int | None = None) -> str:
-        """Replace table and schema by ``df`` (stage the new version, then swap).
-
-        The table keeps its bucketing unless a new one is given.
-        """
-        lay = layout(bucket_keys, buckets) or self._current_layout(name)
+        """Replace table and schema by ``df``. The table keeps its bucketing unless a new one is given."""
+        lay = layout(bucket_keys, buckets) or self.layout(name)
         if lay.bucketed and any(k not in df.columns for k in lay.keys):
             lay = Layout()
         return self.publish(name, df, lay, "full_refresh")
 
     def truncate_add(self, name: str, df: DataFrame) -> str:
         """Replace all rows, keep the table's schema and layout."""
-        return self.publish(name, conform(df, self.read(name).schema), self.layout(name), "truncateadd")
+        v = self._need(name)
+        return self.publish(name, conform(df, v.schema), v.lay, "truncateadd")
 
-    def append(self, name: str, df: DataFrame) -> None:
-        """Add rows (new files in the current version)."""
-        started = int(time.time() * 1000)
-        lay = self.layout(name)
-        out = conform(df, self.read(name).schema)
-        if lay.bucketed:
-            out = out.withColumn(BUCKET, lay.bucket())
-        out, obs = self._observed(out)
-        out.write.insertInto(table_name(name))
-        self._log(name, "append", self.location(name), obs, started)
+    def _add_part(self, name: str, df: DataFrame, mode: str, expected: Version, rebase: bool, started: int) -> str:
+        part, rows = self._write(name, df, expected.lay, expected.bucket_col)
+
+        def commit() -> str:
+            v = self._need(name)
+            if v.number != expected.number and not (rebase and v.schema == expected.schema and v.lay == expected.lay):
+                raise ConcurrentWrite(f"table {name!r} changed")
+            keep = v.parts if not rows else (*[p for p in v.parts if p.live is None or p.live], part)
+            return self._commit(name, v, v.schema, v.lay, v.bucket_col, keep or (part,),
+                                self._load(name, mode, part, rows, started, 0, rows)).load["location"]
+
+        return self._again(commit) if rebase else commit()
+
+    def append(self, name: str, df: DataFrame) -> str:
+        """Add rows as a new part. Another writer's commit meanwhile is kept, too."""
+        v, started = self._need(name), int(time.time() * 1000)
+        return self._add_part(name, conform(df, v.schema), "append", v, True, started)
 
     def update_add(self, name: str, df: DataFrame, keys: Sequence[str], **kw) -> str:
-        """Update rows with matching keys, add the rest.
+        """Update rows with matching keys, add the rest; the audit entry has both counts.
 
-        Bucketed on ``keys``: only touched buckets are read, merged, written
-        and repointed (when the batch touches most buckets, the whole table is
-        written once instead). Otherwise the merged table is written as a new
-        version.
+        The batch is computed once, into the shared folder. Of a table bucketed
+        on ``keys`` only the buckets that the batch touches are read and written.
         """
-        lay = self.layout(name)
-        if not (lay.bucketed and tuple(keys) == lay.keys):
-            return self.publish(name, upsert(self.read(name), df, keys, **kw), lay, "updateadd")
         started = int(time.time() * 1000)
-        current = self.read(name)
-        # One job checks the batch keys, measures the batch and lists the buckets it touches.
-        batch = conform_batch(current.schema, df, keys)
-        stats = (assert_unique(batch, list(keys), "upsert batch", bucket=lay.bucket()) if kw.get("check", True)
-                 else key_stats(batch, list(keys), bucket=lay.bucket()))
-        touched = list(stats["buckets"])
-        if len(touched) * 2 > lay.buckets:  # most buckets change: one new version, one swap
-            return self.publish(name, upsert(current, batch, keys, stats=stats, **kw), lay, "updateadd")
-        part = self._raw(name).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        path = self._new_version(name)
-        merged, obs = self._observed(upsert(part, batch, keys, stats=stats, **kw))
-        self._write(merged, path, lay)
-        q = table_name(name)
-        have = self.buckets(name)
-        for b in touched:
-            loc = _sql_text(f"{path}/{BUCKET}={b}")
-            if b in have:
-                self.spark.sql(f"ALTER TABLE {q} PARTITION ({quote(BUCKET)}={b}) SET LOCATION {loc}")
-            else:
-                self.spark.sql(f"ALTER TABLE {q} ADD PARTITION ({quote(BUCKET)}={b}) LOCATION {loc}")
-        self.spark.catalog.refreshTable(q)
-        self._log(name, "updateadd", path, obs, started)
-        return path
+        batch, path = staged(conform_batch(self._need(name).schema, df, keys))
+        try:
+            return self._again(lambda: self._update_add(name, batch, list(keys), started, **kw))
+        finally:
+            delete_path(self.spark, path)
+
+    def _update_add(self, name: str, batch: DataFrame, keys: list[str], started: int, check: bool = True, **kw) -> str:
+        v = self._need(name)
+        own = v.lay.bucketed and tuple(keys) == v.lay.keys
+        bucket = v.lay.bucket() if own else None
+        # One job checks the batch's keys, measures it and lists the buckets it touches.
+        stats = (assert_unique(batch, keys, "upsert batch", bucket=bucket) if check else key_stats(batch, keys, bucket=bucket))
+        touched = set(stats["buckets"]) if own else None
+        if own and not touched:
+            return self._commit(name, v, v.schema, v.lay, v.bucket_col, v.parts,
+                                self._load(name, "updateadd", None, 0, started, 0, 0)).load["location"]
+        part_rows = self._frame(v, sorted(touched)) if own else self._frame(v)
+        part, rows = self._write(name, upsert(part_rows, batch, keys, stats=stats, **kw), v.lay, v.bucket_col)
+        kept = [p for p in (q.without(touched) for q in v.parts if q.live) if p] if own else []
+        added = rows - self._count(v, sorted(touched) if own else None)
+        return self._commit(name, v, v.schema, v.lay, v.bucket_col, [*kept, part],
+                            self._load(name, "updateadd", part, rows, started, stats["rows"] - added, added)).load["location"]
+
+    def update_matching(self, name: str, df: DataFrame, keys: Sequence[str]) -> str:
+        """Set the batch's columns on the rows with its keys; keys that the table lacks are passed over."""
+        started = int(time.time() * 1000)
+        batch, path = staged(conform_batch(self._need(name).schema, df, keys))
+
+        def work() -> str:
+            v = self._need(name)
+            present = batch.join(self._frame(v).select(*map(col, keys)), on=list(keys), how="left_semi").select(*map(col, batch.columns))
+            return self._update_add(name, present, list(keys), started)
+
+        try:
+            return self._again(work)
+        finally:
+            delete_path(self.spark, path)
+
+    def _count(self, v: Version, buckets: Sequence[int] | None) -> int:
+        """Rows of a version (of some buckets): Parquet footers, no column is read."""
+        return self._frame(v, buckets).count()
 
     def insert_ignore(self, name: str, df: DataFrame, keys: Sequence[str] = (ID,), order_by: str | None = None,
-                      observation: Observation | None = None) -> None:
-        """Add batch rows whose key is absent (new files only; nothing rewritten).
+                      observation: Observation | None = None) -> str:
+        """Add batch rows whose key is absent (a new part; nothing is rewritten). Null keys are rejected.
 
-        Bucketed on ``keys``: the key check reads only the touched buckets.
+        The batch is computed and reduced to one row per key once, into the
+        shared folder. Of a table bucketed on ``keys``, only the buckets that
+        the batch touches are searched.
         """
-        started = int(time.time() * 1000)
-        lay = self.layout(name)
-        target = self.read(name)
-        if lay.bucketed and tuple(keys) == lay.keys:
-            touched = self._touched(df, target.schema, lay)
-            target = self._raw(name).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        add = new_rows(target, df, keys, order_by)
-        if lay.bucketed:
-            add = add.withColumn(BUCKET, lay.bucket())
+        started, v = int(time.time() * 1000), self._need(name)
+        batch, path = staged(first_per_key(df, v.schema, keys, order_by))
+        try:
+            return self._again(lambda: self._insert_ignore(name, batch, list(keys), observation, started))
+        finally:
+            delete_path(self.spark, path)
+
+    def _insert_ignore(self, name: str, batch: DataFrame, keys: list[str], observation: Observation | None, started: int) -> str:
+        v = self._need(name)
+        own = v.lay.bucketed and tuple(keys) == v.lay.keys
+        stats = assert_unique(batch, keys, "insert batch", bucket=v.lay.bucket() if own else None)
+        target = self._frame(v, sorted(stats["buckets"])) if own and stats["buckets"] else self._frame(v)
+        add = new_rows(target, batch, keys, stats=stats)
         if observation is not None:
             add = add.observe(observation, F.count(F.lit(1)).alias("inserted_rows"))
-        add, obs = self._observed(add)
-        add.write.insertInto(table_name(name))
-        self._log(name, "insert_ignore", self.location(name), obs, started)
+        return self._add_part(name, add, "insert_ignore", v, False, started)
+
+    def compact(self, name: str) -> str:
+        """The same rows as one part."""
+        def work() -> str:
+            started, v = int(time.time() * 1000), self._need(name)
+            part, rows = self._write(name, self._frame(v), v.lay, v.bucket_col)
+            return self._commit(name, v, v.schema, v.lay, v.bucket_col, [part],
+                                self._load(name, "compact", part, rows, started)).load["location"]
+        return self._again(work)
+
+    def n_parts(self, name: str) -> int:
+        return len(self._need(name).parts)
+
+    def expire_versions(self, name: str, keep: int = 2) -> list[str]:
+        """Delete the part folders that none of the last ``keep`` versions uses; returns them. Commits stay."""
+        last, used, every = self._latest_number(name), set(), set()
+        for number in range(1, last + 1):
+            fs, path = self._fs(self._commit_file(name, number))
+            stream = fs.open(path)
+            try:
+                v = Version.from_json(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            finally:
+                stream.close()
+            paths = {p.path for p in v.parts}
+            every |= paths
+            if number > last - max(1, keep):
+                used |= paths
+        for path in sorted(every - used):
+            delete_path(self.spark, path)
+        return sorted(every - used)
 
     def save_as(self, source: str, new_name: str) -> str:
         """Copy a table (and its layout) under a new name."""
@@ -350,3 +533,8 @@ class TableStore:
             self.save_as(n, new)
             out[n] = new
         return out
+
+
+def _plain(schema: T.StructType) -> T.StructType:
+    """Names and types only (all nullable, no metadata): what the files hold."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])

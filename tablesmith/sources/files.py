@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,52 +23,96 @@ def _text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def csv_reader(reader, *, multi_line: bool = True, strict: bool = True, recursive: bool = False):
+    """The options every CSV source shares: quoting, strictness (malformed records fail, and every file's header is checked)."""
+    return reader.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower()).option("enforceSchema", "false") \
+        .option("mode", "FAILFAST" if strict else "PERMISSIVE").option("recursiveFileLookup", str(recursive).lower())
+
+
+def _first_header(spark: SparkSession, path, recursive: bool) -> list[str]:
+    return spark.read.options(**CSV_OPTIONS).option("inferSchema", "false") \
+        .option("recursiveFileLookup", str(recursive).lower()).csv(path).columns
+
+
 def csv_scan(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, *,
              na_tokens: Iterable[str] | None = NA_TOKENS, multi_line: bool = True, with_position: bool = False,
              strict: bool = True, recursive: bool = False) -> DataFrame:
     """Exported CSV (header row) as text columns, missing-value tokens -> null.
 
-    ``columns`` fixes the expected header (no schema read); otherwise the
-    header of the first file names the columns, all as text. ``multi_line``
-    keeps quoted line breaks inside one cell (each file is then read by one
-    task; exports come as many part files, which keeps the scan parallel).
+    ``columns`` fixes the expected header; otherwise the header of the first
+    file names the columns, all as text. Either way every file must have that
+    header, in that order, or the scan fails. ``multi_line`` keeps quoted line
+    breaks inside one cell (each file is then read by one task; exports come as
+    many part files); without it large files are split.
     ``with_position`` adds ``pos`` = (file path, row order) for first-wins
     loads. ``strict`` fails on malformed records instead of nulling them.
     ``recursive`` reads files in sub-folders too (folder names never become columns).
     """
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower()) \
-        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    if columns is not None:
-        reader = reader.schema(_text_schema(columns)).option("enforceSchema", "false")
-    else:
-        reader = reader.option("inferSchema", "false")
-    df = reader.csv(path if isinstance(path, str) else list(path))
+    path = path if isinstance(path, str) else list(path)
+    names = list(columns) if columns is not None else _first_header(spark, path, recursive)
+    df = csv_reader(spark.read, multi_line=multi_line, strict=strict, recursive=recursive).schema(_text_schema(names)).csv(path)
     if with_position:
         df = df.withColumn(POS, F.struct(F.input_file_name().alias("file"),
                                          F.monotonically_increasing_id().alias("row")))
     return null_tokens(df, [c for c in df.columns if c != POS], na_tokens) if na_tokens is not None else df
 
 
+#: Types that detection tries, in this order; text otherwise.
+_DETECTED = ("int", "bigint", "double", "boolean", "date", "timestamp")
+
+
+def _detected(df: DataFrame) -> DataFrame:
+    """Text columns cast to the first type that all their values have (one aggregate over the table)."""
+    def bad(c: Column, t: str) -> Column:
+        if t == "double":
+            return fx.bad_number(c) | c.contains(",")
+        return c.isNotNull() & c.try_cast(t).isNull()
+
+    if not df.columns:
+        return df
+    tests = [F.max(bad(fx.col(c), t)).alias(f"b{i}_{t}") for i, c in enumerate(df.columns) for t in _DETECTED]
+    found = df.agg(*tests).first()
+    types = [next((t for t in _DETECTED if found[f"b{i}_{t}"] is False), "string") for i in range(len(df.columns))]
+    return df.select(*[fx.col(c).cast(t).alias(c) for c, t in zip(df.columns, types)])
+
+
+def _typed(c: Column, t: T.DataType, options: dict) -> Column:
+    """Text to a declared type; a cell that does not parse fails the load."""
+    if isinstance(t, T.StringType):
+        return c
+    if isinstance(t, T.NumericType):
+        return fx.to_number(c, t.simpleString())
+    if isinstance(t, T.TimestampNTZType) and "timestampNTZFormat" in options:
+        value = F.try_to_timestamp(c, F.lit(options["timestampNTZFormat"])).cast("timestamp_ntz")
+    elif isinstance(t, T.TimestampType) and "timestampFormat" in options:
+        value = F.try_to_timestamp(c, F.lit(options["timestampFormat"]))
+    elif isinstance(t, T.DateType) and "dateFormat" in options:
+        value = F.try_to_timestamp(c, F.lit(options["dateFormat"])).cast("date")
+    else:
+        value = c.try_cast(t)
+    return F.when(c.isNotNull() & value.isNull(), F.raise_error(F.concat(
+        F.lit(f"CAST_INVALID_INPUT: not a {t.simpleString()}: '"), c, F.lit("'")))).otherwise(value)
+
+
 def read_file(spark: SparkSession, path: str, file_type: str = "csv", *, auto_identify: bool = True,
-              schema: str | T.StructType | None = None, options: dict | None = None) -> DataFrame:
-    """A file to import: csv, json or parquet.
+              schema: str | T.StructType | None = None, options: dict | None = None, multi_line: bool = True) -> DataFrame:
+    """A file to import: csv, json or parquet; malformed records fail, in csv missing-value tokens are null.
 
-    csv with ``auto_identify``: header + inferred types (the service's
-    "detect format"); without it the caller gives ``schema`` (text if none).
+    csv: the cells are scanned as text; with ``schema`` they are then parsed to
+    its types, else with ``auto_identify`` to the types that all values have,
+    else they stay text.
     """
-    ft = file_type.lower()
-    opts = dict(options or {})
+    ft, opts = file_type.lower(), dict(options or {})
     if ft == "csv":
-        r = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").option("mode", "FAILFAST").options(**opts)
+        declared = None
         if schema is not None:
-            return null_tokens(r.schema(schema).csv(path), None)
-        if auto_identify:
-            return r.option("inferSchema", "true").csv(path)
-        return csv_scan(spark, path)
+            declared = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+        df = csv_scan(spark, path, declared.names if declared else None, multi_line=multi_line)
+        if declared is not None:
+            return df.select(*[_typed(fx.col(f.name), f.dataType, opts).alias(f.name) for f in declared.fields])
+        return _detected(df) if auto_identify else df
     if ft == "json":
-        r = spark.read.options(**opts)
+        r = spark.read.option("mode", "FAILFAST").options(**opts)
         return (r.schema(schema) if schema is not None else r).json(path)
     if ft == "parquet":
         return spark.read.options(**opts).parquet(path)
@@ -79,10 +123,9 @@ def mapping_scan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Schema CSV (``source_key, destination_key, data_type`` + any other columns) as rows.
 
     Header names are kept as they are; ``position`` is the row order in
-    the file, for mapping order.
+    the file, for mapping order. All files have one header (else the scan fails).
     """
-    df = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").option("recursiveFileLookup", "true") \
-        .csv(path)
+    df = csv_scan(spark, path, na_tokens=None, recursive=True)
     need = [f.split()[0] for f in MAPPING_DDL.split(", ")]
     missing = [c for c in need if c not in df.columns]
     if missing:
@@ -92,9 +135,9 @@ def mapping_scan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 def parse_text_rows(lines: DataFrame, text_col: str, schema: str | T.StructType, file_type: str = "csv",
                     options: dict | None = None) -> DataFrame:
-    """A column of raw CSV/JSON records -> typed rows (one record per cell)."""
+    """A column of raw CSV/JSON records -> typed rows (one record per cell); malformed records and cells fail."""
     opts = {k: v for k, v in CSV_OPTIONS.items() if k != "header"} if file_type == "csv" else {}
-    opts.update(options or {})
+    opts = {"mode": "FAILFAST", **opts, **(options or {})}
     ddl = schema if isinstance(schema, str) else ", ".join(
         f"{fx.quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     if file_type == "csv":

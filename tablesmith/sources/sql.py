@@ -22,11 +22,6 @@ def select_all(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def view_source(spark: SparkSession, view: str | DataFrame) -> DataFrame:
-    """A table, view or DataFrame as an export source."""
-    return spark.table(view) if isinstance(view, str) else view
-
-
 @dataclass
 class Variable:
     name: str

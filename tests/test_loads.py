@@ -124,14 +124,14 @@ def test_bucketed_update_add_rewrites_only_touched_buckets(spark, store):
     store.import_new_table(plain, o)
     store.import_new_table(bucketed, o, bucket_keys=["o_orderkey"], buckets=16)
     assert store.read(bucketed).columns == o.columns
-    before = store.partition_locations(bucketed)
+    before = store.bucket_parts(bucketed)
     assert len(before) == 16
     batch = o.filter("o_orderkey in (3, 4)").select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
     batch = batch.unionByName(spark.createDataFrame([(10_000_000, 1.0)], "o_orderkey bigint, o_totalprice double"))
     store.update_add(plain, batch, ["o_orderkey"])
     store.update_add(bucketed, batch, ["o_orderkey"])
     assert _rows(store.read(bucketed)) == _rows(store.read(plain))
-    after = store.partition_locations(bucketed)
+    after = store.bucket_parts(bucketed)
     moved = {b for b in after if after[b] != before.get(b)}
     assert 1 <= len(moved) <= 3  # only the buckets of the three batch keys
 
@@ -217,3 +217,196 @@ def test_bucketed_update_add_still_checks_batch_keys(spark, store):
     with pytest.raises(ValueError, match="repeat"):
         store.update_add(name, dup.unionByName(dup), ["o_orderkey"])
     assert _rows(store.read(name)) == _rows(o)
+
+
+# -- safe publishing -----------------------------------------------------------------
+def test_failed_schema_change_keeps_the_table(spark, store):
+    """A refresh that the catalog or the writer refuses leaves the table as it was; odd nested names load."""
+    name = _name("t_nested")
+    store.import_new_table(name, spark.createDataFrame([(1, "a")], "a int, b string"))
+    nested = spark.createDataFrame([((1,),)], "s struct<`x y`:int>")
+    store.full_refresh(name, nested)
+    assert store.read(name).first()["s"]["x y"] == 1 and spark.table(name).count() == 1
+    broken = nested.withColumn("boom", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception):
+        store.full_refresh(name, broken)
+    assert store.read(name).columns == ["s"] and spark.table(name).columns == ["s"]
+
+
+def test_swap_failure_leaves_a_readable_table(spark, store, monkeypatch):
+    """The writer dies after its commit, before the view is replaced: nothing is lost, the next load repairs the view."""
+    name, o = _name("t_die"), table(spark, SF001, "orders")
+    store.import_new_table(name, o.filter("o_orderkey % 2 = 0"))
+    monkeypatch.setattr(type(store), "_swap", lambda self, n: (_ for _ in ()).throw(RuntimeError("died")))
+    with pytest.raises(RuntimeError):
+        store.append(name, o.filter("o_orderkey % 2 = 1"))
+    monkeypatch.undo()
+    assert store.read(name).count() == o.count()
+    store.append(name, o.limit(1))
+    assert spark.table(name).count() == o.count() + 1
+
+
+def test_bucketed_update_add_is_all_or_nothing(spark, store, monkeypatch):
+    """A writer that dies before its commit changes no bucket."""
+    name, o = _name("t_atomic"), table(spark, SF001, "orders")
+    store.import_new_table(name, o, bucket_keys=["o_orderkey"], buckets=8)
+    monkeypatch.setattr(type(store), "_commit", lambda self, *a: (_ for _ in ()).throw(RuntimeError("died")))
+    with pytest.raises(RuntimeError):
+        store.update_add(name, o.select("o_orderkey", F.lit(1.0).alias("o_totalprice")), ["o_orderkey"])
+    monkeypatch.undo()
+    assert _rows(store.read(name)) == _rows(o) == _rows(spark.table(name))
+    store.update_add(name, o.select("o_orderkey", F.lit(1.0).alias("o_totalprice")), ["o_orderkey"])
+    assert {r["o_totalprice"] for r in spark.table(name).collect()} == {1.0}
+
+
+@pytest.mark.parametrize("buckets", [None, 8])
+def test_append_during_update_add_is_kept(spark, store, monkeypatch, buckets):
+    name, o = _name("t_race"), table(spark, SF001, "orders")
+    store.import_new_table(name, o, **({"bucket_keys": ["o_orderkey"], "buckets": buckets} if buckets else {}))
+    added = o.limit(3).withColumn("o_orderkey", F.col("o_orderkey") + 10_000_000)
+    write, raced = type(store)._write, []
+
+    def slow(self, n, df, *a):
+        out = write(self, n, df, *a)
+        if n == name and not raced:     # another writer commits between this one's write and its commit
+            raced.append(1)
+            self.append(name, added)
+        return out
+
+    monkeypatch.setattr(type(store), "_write", slow)
+    batch = o.filter("o_orderkey < 100").select("o_orderkey", F.lit(5.0).alias("o_totalprice"))
+    store.update_add(name, batch, ["o_orderkey"])
+    monkeypatch.undo()
+    got = {r["o_orderkey"]: r["o_totalprice"] for r in store.read(name).collect()}
+    assert len(got) == store.read(name).count() == o.count() + 3
+    assert {got[r["o_orderkey"]] for r in batch.collect()} == {5.0}
+
+
+def test_two_insert_ignores_add_a_key_once(spark, store, monkeypatch):
+    name, o = _name("t_two"), table(spark, SF001, "orders")
+    store.create_table(name, o.schema)
+    write, raced = type(store)._write, []
+
+    def slow(self, n, df, *a):
+        out = write(self, n, df, *a)
+        if n == name and not raced:
+            raced.append(1)
+            self.insert_ignore(name, o.filter("o_orderkey < 50"), ["o_orderkey"])
+        return out
+
+    monkeypatch.setattr(type(store), "_write", slow)
+    store.insert_ignore(name, o, ["o_orderkey"])
+    monkeypatch.undo()
+    assert _rows(store.read(name)) == _rows(o)
+
+
+def test_concurrent_appends_are_all_kept(spark, store):
+    from concurrent.futures import ThreadPoolExecutor
+    name = _name("t_threads")
+    store.create_table(name, "a int")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: store.append(name, spark.createDataFrame([(k,)], "a int")), range(4)))
+    assert _rows(store.read(name)) == [(k,) for k in range(4)] == _rows(spark.table(name))
+
+
+def test_history_is_whole_and_loads_are_found_by_id(spark, store):
+    name = _name("t_many")
+    store.create_table(name, "a int")
+    for k in range(13):
+        store.append(name, spark.createDataFrame([(k,)], "a int"))
+    history = store.load_history(name).collect()
+    assert [h["mode"] for h in history] == ["create"] + ["append"] * 13
+    first = store.load_details(name, history[0]["load_id"])
+    assert first["mode"] == "create" and store.load_details(name, "no such load") is None
+
+
+def test_update_counts_and_compaction(spark, store):
+    name, o = _name("t_counts"), table(spark, SF001, "orders")
+    store.import_new_table(name, o, bucket_keys=["o_orderkey"], buckets=4)
+    batch = o.filter("o_orderkey < 100").unionByName(o.filter("o_orderkey < 50").withColumn("o_orderkey", F.col("o_orderkey") + 10**8))
+    n, m = o.filter("o_orderkey < 100").count(), o.filter("o_orderkey < 50").count()
+    store.update_add(name, batch, ["o_orderkey"])
+    assert (store.last_load(name)["updated"], store.last_load(name)["added"]) == (n, m)
+    store.append(name, o.limit(0))
+    before = _rows(store.read(name))
+    store.compact(name)
+    assert store.n_parts(name) == 1 and _rows(store.read(name)) == before == _rows(spark.table(name))
+    gone = store.expire_versions(name, keep=1)
+    assert gone and _rows(store.read(name)) == before and store.expire_versions(name, keep=1) == gone
+
+
+def test_bucketed_files_are_bounded(spark, store):
+    """About one file per bucket, however many tasks write."""
+    import glob
+    name = _name("t_files")
+    wide = spark.range(0, 20_000, 1, 8).selectExpr("id as k", "cast(id as string) as v")
+    store.import_new_table(name, wide, bucket_keys=["k"], buckets=16)
+    files = glob.glob(store.location(name).replace("file:", "") + "/*/*.parquet")
+    assert 16 <= len(files) <= 32
+
+
+def test_bucket_column_name_may_be_taken(spark, store):
+    name = _name("t_taken")
+    df = spark.createDataFrame([(1, 7), (2, 8)], "k int, _bucket int")
+    store.import_new_table(name, df, bucket_keys=["k"], buckets=2)
+    store.update_add(name, spark.createDataFrame([(2, 9)], "k int, _bucket int"), ["k"])
+    assert _rows(store.read(name)) == [(1, 7), (2, 9)]
+
+
+def test_location_column_and_foreign_names(spark, store):
+    name = _name("t_loc")
+    store.import_new_table(name, spark.createDataFrame([("x",)], "Location string"))
+    assert "/v-" in store.location(name)
+    other = _name("t_foreign")
+    spark.sql(f"create table {other} (a int) using parquet")
+    with pytest.raises(ValueError):
+        store.full_refresh(other, spark.createDataFrame([(1,)], "a int"))
+    assert spark.table(other).count() == 0
+
+
+def _counted(spark, df):
+    """``df`` with a column that counts how often its rows are computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def tick(x):
+        seen.add(1)
+        return x
+
+    return df.withColumn("o_custkey", tick.asNondeterministic()("o_custkey")), seen
+
+
+@pytest.mark.parametrize("what", ["update_add", "update_add_some", "insert_ignore", "upsert"])
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_a_batch_is_computed_once(spark, store, what, buckets):
+    o = table(spark, SF001, "orders")
+    batch, seen = _counted(spark, o.filter("o_orderkey < 200"))
+    name = _name("t_once")
+    if what != "upsert":
+        store.import_new_table(name, o.filter("o_orderkey % 2 = 0"),
+                               **({"bucket_keys": ["o_orderkey"], "buckets": buckets} if buckets else {}))
+    if what == "insert_ignore":
+        store.insert_ignore(name, batch, ["o_orderkey"])
+    elif what == "upsert":
+        ts.upsert(o, batch, ["o_orderkey"]).write.format("noop").mode("overwrite").save()
+    else:
+        store.update_add(name, batch if what == "update_add" else batch.select("o_orderkey", "o_custkey"), ["o_orderkey"])
+    assert seen.value == o.filter("o_orderkey < 200").count()
+
+
+def test_null_keys_are_rejected(spark, store):
+    name = _name("t_null")
+    store.create_table(name, "id string, a int")
+    for _ in range(2):
+        with pytest.raises(ValueError, match="null"):
+            store.insert_ignore(name, spark.createDataFrame([(None, 1), ("x", 2)], "id string, a int"))
+    assert store.read(name).count() == 0
+
+
+def test_large_partial_upsert_is_one_join(spark):
+    o = table(spark, SF001, "orders")
+    batch = o.filter("o_orderkey % 3 = 0").select("o_orderkey", F.lit(None).cast("double").alias("o_totalprice")) \
+        .unionByName(o.filter("o_orderkey < 30").select((F.col("o_orderkey") + 10**7).alias("o_orderkey"), "o_totalprice"))
+    small, large = (ts.upsert(o, batch, ["o_orderkey"], broadcast_max_rows=n) for n in (10**6, 0))
+    assert large._jdf.queryExecution().executedPlan().toString().count("Join ") == 1
+    assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))

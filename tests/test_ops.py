@@ -50,8 +50,8 @@ def test_lookup_keeps_every_child(spark):
 
 def test_profile_exact_and_approx(spark):
     c = table(spark, SF001, "customer")
-    exact = {r["col_name"]: r for r in ts.profile_table(c).collect()}
-    approx = {r["col_name"]: r for r in ts.profile_table(c, exact=False).collect()}
+    exact = {r["col_name"]: r for r in ts.profile_table(c, exact=True).collect()}
+    approx = {r["col_name"]: r for r in ts.profile_table(c).collect()}
     assert exact["c_custkey"]["n_distinct"] == c.count()
     assert abs(approx["c_custkey"]["n_distinct"] - c.count()) <= 0.05 * c.count()
 
@@ -135,7 +135,51 @@ def test_registry_status_written_back(spark, store):
     after = {r["job_id"]: r["status"] for r in store.read(name).collect()}
     assert all(after[str(k)] == "PASS" for k in range(0, 25, 3))
     assert jp.due_jobs(store.read(name), pending=True).count() == 0  # nothing left pending
-    assert store.last_load(name)["mode"] == "truncateadd"
+    assert store.last_load(name)["mode"] == "updateadd"
+
+
+def test_registry_rows_added_meanwhile_stay(spark, store, monkeypatch):
+    import uuid
+    register_views(spark, SF001, "customer")
+    name = f"registry_{uuid.uuid4().hex[:8]}"
+    jobs = jobs_frame(spark, SF001)
+    store.import_new_table(name, jobs.filter("job_id in ('0', '3')"))
+    run, added = jp._run_one, []
+
+    def one(*a):
+        if not added:
+            added.append(1)
+            store.append(name, jobs.filter("job_id = '6'"))
+        return run(*a)
+
+    monkeypatch.setattr(jp, "_run_one", one)
+    jp.run_registry(spark, store, name, pending=True, max_workers=1)
+    assert {r["job_id"]: r["status"] for r in store.read(name).collect()} == {"0": "PASS", "3": "PASS", "6": "PENDING"}
+
+
+def test_only_transient_errors_are_retried(spark, store):
+    register_views(spark, SF001, "customer")
+    jobs = jobs_frame(spark, SF001).filter("job_id in ('0', '3')")
+    calls = []
+
+    def source(error):
+        def of(spark, job):
+            calls.append(job["job_id"])
+            raise error
+        return of
+
+    for error, runs in ((ValueError("bad mapping\nline two " + "x" * 2000), 1), (ConnectionError("lost"), 3)):
+        calls.clear()
+        results, _ = jp.run_jobs(spark, jobs, store, pending=True, retries=2, source=source(error))
+        assert len(calls) == 2 * runs
+        assert {r["message"] for r in results.collect()} == {str(error)}       # the whole text
+
+
+def test_alerts_are_for_this_runs_failures(spark):
+    jobs = jobs_frame(spark, SF001)
+    results = spark.createDataFrame([("0", "FAILED", "m", 0, None, None), ("3", "PASS", "PASS", 0, 1, 1)], jp.RESULT_DDL)
+    got = jp.failure_alerts(jobs, results).collect()
+    assert [r["job_id"] for r in got] == ["0"] and got[0]["subject"] == "Table sync failed 01-01-1970 05:30:00"
 
 
 def test_cli_sync_and_jobs(spark, store, capsys):
@@ -170,3 +214,159 @@ def test_cut_lineage_keeps_rows(spark):
     cut = cut_lineage(df)
     assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, df.collect()))
     assert "Scan parquet" not in cut._jdf.queryExecution().executedPlan().toString()
+
+
+# -- strictness ---------------------------------------------------------------------
+def _files(tmp_path, **texts):
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    return str(tmp_path)
+
+
+def test_headers_must_agree(spark, tmp_path):
+    from tablesmith.sources.files import csv_scan, mapping_scan, read_file
+    path = _files(tmp_path, a="x,y\n1,2\n", b="y,x\n8,9\n")
+    for scan in (lambda: csv_scan(spark, path), lambda: csv_scan(spark, path, ["x", "y"]), lambda: csv_scan(spark, path, multi_line=False),
+                 lambda: read_file(spark, path), lambda: read_file(spark, path, schema="x int, y int")):
+        with pytest.raises(Exception, match="header"):
+            scan().collect()
+    other = tmp_path / "maps"
+    other.mkdir()
+    path = _files(other, a="source_key,destination_key,data_type\ns,d,STRING\n", b="destination_key,source_key,data_type\nd2,s2,STRING\n")
+    with pytest.raises(Exception, match="header"):
+        mapping_scan(spark, path).collect()
+
+
+def test_landing_rejects_bad_files(spark, tmp_path, store):
+    import uuid
+    from tablesmith.plans.sync import SyncSpec
+    from tablesmith.session import work_path
+    from tablesmith.streaming import landing_sync
+    for k, text in enumerate(("b,a\n1,2\n", "a,b\nonly\n")):
+        folder = tmp_path / str(k)
+        folder.mkdir()
+        spec = SyncSpec([("a", "a", "STRING"), ("b", "b", "STRING")], f"t_landed_{uuid.uuid4().hex[:8]}")
+        with pytest.raises(Exception):
+            landing_sync(spark, _files(folder, f=text), ["a", "b"], spec, store, checkpoint=work_path(spark, "streams")).awaitTermination()
+        assert store.read(spec.target_table).count() == 0
+
+
+def test_malformed_records_fail(spark, tmp_path):
+    from tablesmith.sources.files import csv_scan, parse_text_rows, read_file
+    (tmp_path / "x.json").write_text('{"a": 1}\n{oops\n')
+    with pytest.raises(Exception):
+        read_file(spark, str(tmp_path / "x.json"), "json", schema="a int").collect()
+    lines = spark.createDataFrame([("1,2",), ("1,2,3",), ("x,2",)], "line string")
+    for bad in ("line = '1,2,3'", "line = 'x,2'"):
+        with pytest.raises(Exception):
+            parse_text_rows(lines.filter(bad), "line", "a int, b int").collect()
+    assert parse_text_rows(lines.filter("line = '1,2'"), "line", "a int, b int").first() == (1, 2)
+    with pytest.raises(Exception):
+        csv_scan(spark, _files(tmp_path, short="a,b\nonly\n") + "/short.csv").collect()
+
+
+def test_missing_tokens_in_typed_and_detected_csv(spark, tmp_path):
+    from tablesmith.sources.files import read_file
+    path = _files(tmp_path, f="n,t,w,z\n1,NA,2024-01-02,12D\nNA,x,N/A,1\n")
+    got = read_file(spark, path)
+    assert dict(got.dtypes) == {"n": "int", "t": "string", "w": "date", "z": "string"}
+    assert [r["n"] for r in got.collect()] == [1, None]
+    typed = read_file(spark, path, schema="n double, t string, w date, z string").collect()
+    assert typed[1]["n"] is None and typed[1]["w"] is None
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_file(spark, path, schema="n int, t string, w date, z double").collect()
+
+
+def test_numbers_are_strict(spark):
+    from tablesmith.functions import expressions as fx
+    cells = ["1,234.50", "12D", "5f", "0x1p3", " NaN", "nan", " 7 ", "-1e3", ".5", "5.", "1_000", "inf", None, "", "+3"]
+    got = [tuple(r) for r in spark.createDataFrame([(c,) for c in cells], "c string").select(
+        fx.to_number(F.col("c"), on_error="null"), fx.bad_number(F.col("c"))).collect()]
+    assert got == [(1234.5, False), (None, True), (None, True), (None, True), (None, False), (None, False), (7.0, False),
+                   (-1000.0, False), (0.5, False), (5.0, False), (None, True), (float("inf"), False), (None, False), (None, True),
+                   (3.0, False)]
+
+
+def test_a_source_column_called_id(spark):
+    from tablesmith.plans.sync import SyncSpec, sync_rows
+    df = spark.createDataFrame([("x", "ab"), ("y", "ab")], "id string, c string")
+    got = ts.dedup(ts.row_id(df))
+    assert got.count() == 2 and {r["source_id"] for r in got.collect()} == {"x", "y"}
+    mapped = ts.map_columns(ts.row_id(df), [("id", "key", "STRING"), ("c", "c", "STRING")])
+    assert {r["key"] for r in mapped.collect()} == {"x", "y"} and mapped.columns == ["id", "key", "c"]
+    assert {r["key"] for r in sync_rows(df, SyncSpec([("id", "key", "STRING")], "t")).collect()} == {"x", "y"}
+
+
+def test_names_of_users_columns_do_not_clash(spark):
+    df = spark.createDataFrame([(1, 2, 3), (1, 1, 4)], "k int, _o0 int, _best int")
+    assert ts.first_wins(df, ["k"], "_o0").collect() == [(1, 1, 4)]
+    t = spark.createDataFrame([(1, "a", 5)], "_n int, _matched string, _new__matched int")
+    batch = spark.createDataFrame([(1, "b"), (2, "c")], "_n int, _matched string")
+    assert sorted(map(tuple, ts.upsert(t, batch, ["_n"]).collect()), key=str) == [(1, "b", 5), (2, "c", None)]
+    child = spark.createDataFrame([(1, 9)], "_lookup_key int, x int")
+    parent = spark.createDataFrame([(1, "n")], "id int, name string")
+    assert ts.lookup(child, "_lookup_key", parent, "id").collect() == [(1, 9, "n")]
+
+
+def test_null_positions_lose(spark):
+    df = spark.createDataFrame([("a", None, "late"), ("a", 1, "first"), ("b", None, "only")], "id string, pos int, v string")
+    assert sorted(map(tuple, ts.first_wins(df).collect())) == [("a", 1, "first"), ("b", None, "only")]
+
+
+def test_similar_report_carries_filters(spark):
+    df = spark.createDataFrame([("x", 1.0, "p"), ("x", 5.0, "q"), ("y", 9.0, "r")], "g string, v double, kind string")
+    spec = ts.ReportSpec(["kind"], [("sum", "value", "total")], filters=["value > 2"])
+    assert sorted(map(tuple, ts.similar_report(df, spec, {"kind": "g", "value": "v"}).collect())) == [("x", 5.0), ("y", 9.0)]
+
+
+def test_time_stamps_outside_utc(spark):
+    from tablesmith.functions import expressions as fx
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.sql("select timestamp_millis(1704067200123) as at, timestamp_ntz'2024-01-01 00:00:00.123' as wall")
+    try:
+        for z in ("Asia/Kolkata", "UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            r = df.select(fx.epoch_ms(F.col("at"), instant=True), fx.epoch_ms(F.col("wall")),
+                          fx.zone_text(F.col("at"), instant=fx.is_instant(df, "at")), fx.zone_text(F.col("wall"), instant=fx.is_instant(df, "wall"))).first()
+            assert tuple(r) == (1704067200000, 1704067200000, "01-01-2024 05:30:00", "01-01-2024 05:30:00"), z
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_mapping_documents_keep_every_header(spark, tmp_path):
+    import json
+    from tablesmith.plans.mappings import jobs_from_mappings, schema_csv_documents, schema_csv_mappings
+    path = _files(tmp_path, t="source_key,destination_key,data_type,note,unit\na,b,STRING,n1,kg\nc,d,NUMBER,,m\n")
+    doc = json.loads(schema_csv_documents(spark, path).first()["document"])
+    assert doc["column_mapping"][0] == {"source_key": "a", "destination_key": "b", "data_type": "STRING", "note": "n1", "unit": "kg"}
+    assert [set(e) for e in json.loads(jobs_from_mappings(schema_csv_mappings(spark, path)).toJSON().first())["column_mapping"]] == [
+        {"source_key", "destination_key", "data_type"}] * 2
+
+
+def test_many_added_rows(spark):
+    import datetime
+    df = spark.createDataFrame([(1, "a", 1.5, datetime.date(2024, 1, 1))], "k bigint, s string, x double, d date")
+    got = ts.add_rows(df, [{"k": i, "x": i, "d": "2024-02-03"} for i in range(3000)] + [{"s": 5, "k": "7"}])
+    assert got.count() == 3002
+    assert got.filter("k = 2999").first() == (2999, None, 2999.0, datetime.date(2024, 2, 3))
+    assert got.filter("s = '5'").first()["k"] == 7
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from tablesmith.session import shared_dir
+
+    class Conf(dict):
+        def get(self, k, d=None):
+            return d
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())

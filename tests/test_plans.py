@@ -79,15 +79,17 @@ def test_broadcast_bound_counts_bytes(spark):
     assert stats["rows"] == 1000 and stats["bytes"] >= 10_000_000
 
 
-def test_sync_spreads_only_a_scan_with_too_few_tasks(spark):
+def test_building_a_sync_starts_no_job(spark):
     from tablesmith.plans.sync import SyncSpec, sync_rows
-    spec = SyncSpec([ts.ColumnMap("a", "a", "STRING")], "t")
-    slots = spark.sparkContext.defaultParallelism
-    narrow = spark.range(0, 100, 1, 1).selectExpr("cast(id as string) as a")
-    wide = spark.range(0, 100, 1, slots).selectExpr("cast(id as string) as a")
-    assert "RoundRobinPartitioning" in _plan(sync_rows(narrow, spec))
-    assert "RoundRobinPartitioning" not in _plan(sync_rows(wide, spec))
-    assert "RoundRobinPartitioning" not in _plan(sync_rows(narrow, SyncSpec(spec.mapping, "t", spread=False)))
+    o = spark.read.parquet(f"{SF001}/orders.parquet")
+    grouped = o.groupBy("o_custkey").agg(F.max("o_orderpriority").alias("p")).selectExpr("cast(o_custkey as string) as a", "p")
+    tracker, group = spark.sparkContext.statusTracker(), "plan-only"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        sync_rows(grouped, SyncSpec([ts.ColumnMap("a", "a", "STRING")], "t"))
+        assert not tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_small_batch_partial_upsert_does_not_shuffle_target(spark):
