@@ -202,18 +202,33 @@ def repeated(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM) -> DataFr
             lost = order[ids[row[order]] > smallest]
         else:
             lost = np.arange(len(place))
-        lost = lost[np.argsort(row[lost], kind="stable")]
-        if len(lost):
-            doc = row[lost]
-            begin = np.flatnonzero(np.diff(doc, prepend=-1))
-            offsets = np.append(begin, len(doc)).astype(np.int64) * 4
-            for a in range(0, len(begin), 10_000):
-                b = min(len(begin), a + 10_000)
-                own = offsets[a:b + 1]
-                at = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((own - own[0]).astype(np.int32).tobytes()),
-                                                               pa.py_buffer(place[lost][own[0] // 4:own[-1] // 4].astype("<i4").tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(ids[doc[begin[a:b]]]), pa.array(digests[doc[begin[a:b]]]), at],
-                                                 names=["doc_id", "digest", "at"])
+        doc, digest = ids[row[lost]], digests[row[lost]]
+        order = np.lexsort((place[lost], digest, doc))
+        doc, digest, at = doc[order], digest[order], place[lost][order]
+        to = (mix(doc.view(U64) ^ mix(digest.view(U64))) % U64(parts)).astype(np.int64)
+        found = in_parts(to, parts, ids=doc, digests=digest, at=at)
+        rows = []
+        for p, x in found.items():      # a document once, with the number of its positions
+            begin = _change(x["ids"], x["digests"])
+            rows.append((p, *(np.frombuffer(x[k], "<i8")[begin].tobytes() for k in ("ids", "digests")), x["at"],
+                         np.diff(np.append(begin, len(x["at"]) // 4)).astype("<u4").tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary() if i else pa.int32()) for i in range(5)],
+                                         names=["part", "ids", "digests", "at", "counts"])
+
+    def gather(part: int, found: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        """Positions by document: everything about a document meets in one part."""
+        counts = np.concatenate(found["counts"]).astype(np.int64)
+        doc, digest = (np.repeat(np.concatenate(found[k]), counts) for k in ("ids", "digests"))
+        order = np.lexsort((digest, doc))
+        doc, digest, at = doc[order], digest[order], np.concatenate(found["at"])[order].astype("<i4")
+        new = np.ones(len(doc), dtype=bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (digest[1:] != digest[:-1])
+        begin = np.append(np.flatnonzero(new), len(doc))
+        for a in range(0, len(begin) - 1, 1000):
+            cut = begin[a:a + 1001]
+            own = pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(((cut - cut[0]) * 4).astype(np.int32).tobytes()),
+                                                                   pa.py_buffer(at[cut[0]:cut[-1]].tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(doc[cut[:-1]]), pa.array(digest[cut[:-1]]), own], names=["doc_id", "digest", "at"])
 
     blobs = {"first": "<u8", "second": "<u4", "doc": "<u4", "place": "<i4", "ids": "<i8", "digests": "<i8"}
     own = id_text(docs).filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()) \
@@ -222,12 +237,24 @@ def repeated(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM) -> DataFr
     # Settled rows (part -1) are dealt out by their content.
     rows = rows.withColumn("part", F.when(F.col("part") < 0, F.pmod(F.xxhash64("digests"), F.lit(parts)).cast("int") + parts)
                            .otherwise(F.col("part")))
-    return merged(rows, "part", blobs, combine, "doc_id long, digest long, at binary", parts)
+    lost = merged(rows, "part", blobs, combine, "part int, ids binary, digests binary, at binary, counts binary", parts)
+    return merged(lost, "part", {"ids": "<i8", "digests": "<i8", "at": "<i4", "counts": "<u4"}, gather,
+                  "doc_id long, digest long, at binary", parts)
+
+
+def _change(*columns: bytes) -> np.ndarray:
+    """Where a run of equal (id, digest) begins."""
+    new = np.zeros(len(columns[0]) // 8, dtype=bool)
+    for c in columns:
+        x = np.frombuffer(c, "<i8")
+        new[1:] |= x[1:] != x[:-1]
+    new[:1] = True
+    return np.flatnonzero(new)
 
 
 def remove_repeated(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed and ``kept`` (the words left, joined by one space) of every row."""
-    found = repeated(docs, width=width, gram=gram).groupBy("doc_id", "digest").agg(F.collect_list("at").alias("at"))
+    found = repeated(docs, width=width, gram=gram)
     rows = id_text(docs).withColumn("digest", F.xxhash64("text")).join(found.hint("shuffle_hash"), ["doc_id", "digest"], "left")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +264,7 @@ def remove_repeated(docs: DataFrame, *, width: int = WIDTH, gram: int = GRAM) ->
                 words = text.split() if text else []
                 n_words.append(len(words))
                 if blobs:
-                    at = np.frombuffer(b"".join(blobs), "<i4")
+                    at = np.frombuffer(blobs, "<i4")
                     edge = np.bincount(at, minlength=len(words) + 1) - np.bincount(at + width, minlength=len(words) + 1)
                     left = np.cumsum(edge)[:len(words)] <= 0
                     words = [w for w, k in zip(words, left.tolist()) if k]
