@@ -5,11 +5,11 @@ misspelt and inflected forms that were never seen share most of their vectors
 with the forms that were. The n-gram vectors of a passage of ``PASSAGE`` words
 are averaged (per word, then over the passage, in which a repeated word counts
 once and a short one is filled up with zeros) and a linear softmax over the
-average gives the passage's probability. A document scores as its most toxic passage:
-an insult in a long text is not averaged away. Embeddings and softmax are
-trained together, on the passage of each training document that
-scores highest at the time (for documents of either label) and on random
-passages of documents with label 0.
+average gives the passage's probability. A document goes by its two most toxic
+passages: insults in a long text are not averaged away, and one unlucky word is
+not enough. Embeddings and softmax are trained together, on the two passages of
+each training document that score highest at the time (whatever its label) and
+on random passages of documents with label 0.
 
 At scoring the softmax is folded into one number per n-gram bucket, so a text
 costs a few array operations per byte; texts are scored whole.
@@ -40,7 +40,7 @@ RATE = 14.0
 TRAIN_BYTES, LEAST_ROUNDS, MOST_ROUNDS = 120 << 20, 12, 60
 THRESHOLD = 0.7
 #: Bytes of text whose n-grams are held at once.
-HELD_BYTES = 1 << 20
+HELD_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -108,7 +108,7 @@ class Model:
     bias: float
 
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
-        best = np.full(len(texts), -np.inf)
+        best = np.full((len(texts), 2), -np.inf)
         begin = 0
         while begin < len(texts):
             end, held = begin, 0
@@ -116,10 +116,28 @@ class Model:
                 held += len(texts[end] or b"")
                 end += 1
             for part in _cut(texts[begin]) if end == begin + 1 else (texts[begin:end],):
-                text, margin = passage_margins(grams(part), self.folded)
-                np.maximum.at(best, begin + (text if end > begin + 1 else np.zeros_like(text)), margin)
+                own = two_best(*passage_margins(grams(part), self.folded), end - begin)
+                best[begin:end] = np.sort(np.concatenate((best[begin:end], own), axis=1), axis=1)[:, -2:]
             begin = end
-        return np.where(np.isneginf(best), 0.0, 1 / (1 + np.exp(-np.clip(best + self.bias, -700, 700))))
+        return np.where(np.isneginf(best[:, 1]), 0.0, 1 / (1 + np.exp(-np.clip(document_margin(best) + self.bias, -700, 700))))
+
+
+def two_best(text: np.ndarray, margin: np.ndarray, n: int) -> np.ndarray:
+    """Per text its second best and best passage margin (-inf where there is none)."""
+    out = np.full((n, 2), -np.inf)
+    order = np.lexsort((margin, text))
+    text, margin = text[order], margin[order]
+    last = np.flatnonzero(np.diff(text, append=-1))
+    out[text[last], 1] = margin[last]
+    second = last[(last > 0)]
+    second = second[text[second - 1] == text[second]]
+    out[text[second], 0] = margin[second - 1]
+    return out
+
+
+def document_margin(best: np.ndarray) -> np.ndarray:
+    """Mean of the two best passages; a text of one passage goes by that one."""
+    return np.where(np.isneginf(best[:, 0]), best[:, 1], best.mean(axis=1))
 
 
 def _cut(text: bytes | None) -> Iterator[list[bytes | None]]:
@@ -164,7 +182,9 @@ def train(rows: list[tuple[bytes, int]], *, rate: float = RATE, seed: int = 7) -
             text, margin = passage_margins(g, folded)
             y = label[np.array(block)[text]]
             by = np.lexsort((margin, text))
-            top = by[np.flatnonzero(np.diff(text[by], append=-1))]
+            last = np.flatnonzero(np.diff(text[by], append=-1))
+            before = last[last > 0]
+            top = by[np.concatenate((last, before[text[by[before - 1]] == text[by[before]]] - 1))]
             if 4 * k < rounds:         # no passage is known to be the toxic one yet
                 top = np.flatnonzero(y == 1)
             free = np.flatnonzero(y == 0)
@@ -225,7 +245,7 @@ def without_toxic(docs: DataFrame, model: Model, *, threshold: float = THRESHOLD
     at = docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text_col):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             yield batch.filter(pa.array(shared.value.scores(texts) < threshold))
 

@@ -50,6 +50,8 @@ def test_jaccard_matches_brute_force(spark):
 def test_jaccard_thresholds_chains_and_groups(spark, monkeypatch):
     """Pairs at and around the threshold, a chain of links, and a large group, with tiny blocks in the second pass."""
     monkeypatch.setattr(jaccard, "BLOCK", 4)
+    monkeypatch.setattr(jaccard, "TURNS", 1)
+    monkeypatch.setattr(jaccard, "NEXT", 1)
     rng = np.random.default_rng(3)
     rows, words = {}, [f"w{i}" for i in range(400)]
     for g in range(25):
@@ -240,7 +242,7 @@ def test_classifiers_on_held_out_rows(spark):
     labels = table("labels", "/root/testdata/sf0.1")
     assert f1(queries.op5_quality(spark, "/root/testdata/sf0.1").toPandas(), labels, "quality") > 0.98
     got = queries.op1_toxicity(spark, "/root/testdata/sf0.1").toPandas()
-    assert got.score.between(0, 1).all() and f1(got, labels, "toxic") > 0.8
+    assert got.score.between(0, 1).all() and f1(got, labels, "toxic") > 0.88
     assert (got.held_out == got.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 3 == 1)).all()
 
 
