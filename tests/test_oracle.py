@@ -3,12 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
-from tests.conftest import SF01
+from tablesmith.registry.oracle import ORACLE
+from tablesmith.registry.spark import QUERIES
+from tests.conftest import ROOT, SF01
 from tools.check_oracle import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -17,6 +16,28 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("left", ["nothing", "pipeline", "empty folder"])
+def test_entry_without_the_optional_package(tmp_path, left):
+    """The library and its entry work where the training-data operators are deleted; a broken import is not hidden."""
+    import shutil
+    import subprocess
+    import sys
+    shutil.copytree(f"{ROOT}/tablesmith", tmp_path / "tablesmith", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{ROOT}/__spark_entry__.py", tmp_path)
+    if left == "pipeline":
+        (tmp_path / "corpus_pipeline.py").write_text("from tablesmith.llm import queries\n")
+    elif left == "empty folder":
+        (tmp_path / "tablesmith" / "llm").mkdir()
+        (tmp_path / "corpus_pipeline.py").write_text("from tablesmith.llm import queries\n")
+    say = [sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()))"]
+    out = subprocess.run(say, cwd=tmp_path, capture_output=True, text=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ""})
+    assert out.stdout.strip() == str(len(QUERIES)), out.stderr
+    (tmp_path / "corpus_pipeline.py").write_text("import no_such_module\n")
+    out = subprocess.run(say, cwd=tmp_path, capture_output=True, text=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ""})
+    assert "no_such_module" in out.stderr and out.returncode
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
