@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.functions.expressions import col
-from tablesmith.llm.common import saved, shuffle_partitions
+from tablesmith.llm.common import MAX_ID_BYTES, saved, saved_for_join, shuffle_partitions
 
 ROLES = ("system", "user", "assistant", "tool")
 #: Speaker words and the role that each usually names (fixed values).
@@ -191,6 +191,11 @@ def _streamed(rows: DataFrame, step, schema: str, ascending: bool) -> DataFrame:
     return ordered.mapInArrow(run, schema)
 
 
+def _small(per_block: DataFrame, what: str) -> DataFrame:
+    """A few numbers per block, stored; broadcast when measured to be small, so that the blocks' texts stay where they are."""
+    return saved_for_join(per_block, what, 24, MAX_ID_BYTES)
+
+
 def turns(cut: DataFrame, model: Model) -> DataFrame:
     """conv, turn (from 0), role, text and rendered, of blocks that are a stored table."""
     shared = cut.sparkSession.sparkContext.broadcast(model)
@@ -214,7 +219,7 @@ def turns(cut: DataFrame, model: Model) -> DataFrame:
 
     measured = cut.select("conv", "block", "numbers").mapInArrow(spans, "conv string, block long, span binary")
     scored = _streamed(measured, forward, "conv string, block long, span binary, before binary, best int", True)
-    borders = _streamed(scored, backward, "conv string, block long, entry int, last int", False)
+    borders = _small(_streamed(scored, backward, "conv string, block long, entry int, last int", False).drop("conv"), "borders")
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,15 +235,16 @@ def turns(cut: DataFrame, model: Model) -> DataFrame:
                 (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string()))],
                 names=["conv", "block", "part", "begins", "role", "text"])
 
-    parts = saved(cut.select("conv", "block", "numbers", "texts").join(borders.select("block", "entry", "last"), "block")
+    parts = saved(cut.select("conv", "block", "numbers", "texts").join(borders, "block")
                   .select("conv", "block", "numbers", "texts", "entry", "last")
                   .mapInArrow(decode, "conv string, block long, part int, begins int, role string, text string"), "turn-parts")
 
     def number(state, row):
         return (state or 0) + row["begins"], (row["conv"], row["block"], state or 0)
 
-    numbered = _streamed(parts.select("conv", "block", "begins").distinct(), number, "conv string, block long, so_far long", True)
-    whole = parts.join(numbered.select("block", "so_far"), "block") \
+    numbered = _small(_streamed(parts.select("conv", "block", "begins").distinct(), number,
+                                "conv string, block long, so_far long", True).drop("conv"), "turn-numbers")
+    whole = parts.join(numbered, "block") \
         .groupBy("conv", (F.col("so_far") + F.col("part")).alias("turn")) \
         .agg(F.sort_array(F.collect_list(F.struct("block", "role", "text"))).alias("parts"))
     text = F.array_join(F.transform("parts", lambda p: p["text"]), "\n")

@@ -14,12 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesmith.functions.expressions import col
-from tablesmith.operators.sizing import broadcast_if_small
 from tablesmith.session import work_path
 
 U64 = np.uint64
 #: Bytes of text handled at once inside a task.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -36,21 +35,45 @@ def crc_mod(id_column: Column, n: int) -> Column:
     return F.crc32(id_column.cast("string").cast("binary")) % F.lit(n)
 
 
-def saved(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` once to the cluster's shared folder and read it back (cuts lineage, survives lost executors)."""
+#: Rows of a stored table's file, where a bound of its rows is known beforehand.
+ROWS_A_FILE = 250_000
+
+
+def saved(df: DataFrame, what: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` once to the cluster's shared folder and read it back (cuts lineage, survives lost executors).
+
+    ``rows``: a measured bound of its rows; the last stage then has as many
+    tasks as that is worth, however many partitions shuffles are set to.
+    """
     path = work_path(df.sparkSession, "llm", what)
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(max(1, -(-rows // ROWS_A_FILE)))).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def saved_measured(df: DataFrame, what: str, measure: Column | None = None, rows: int | None = None) -> tuple[DataFrame, int, int]:
+    """``saved``, with the number of rows and the sum of ``measure``, taken from what was written."""
+    out = saved(df, what, rows)
+    if measure is None:
+        return out, out.count(), 0          # footers only
+    found = out.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(measure), F.lit(0)).alias("sum")).first()
+    return out, found["rows"], found["sum"]
+
+
+def saved_for_join(df: DataFrame, what: str, size: Column | int, most_bytes: int, rows: int | None = None) -> DataFrame:
+    """``saved``, hinted for broadcast if it has at most MAX_IDS rows and ``most_bytes``; ``size``: a row's bytes."""
+    out, found, total = saved_measured(df, what, None if isinstance(size, int) else size, rows)
+    total = found * size if isinstance(size, int) else total
+    return F.broadcast(out) if found <= MAX_IDS and total <= most_bytes else out
+
+
 #: Ids that a join may broadcast, measured before it does; with more of them it shuffles.
 MAX_IDS, MAX_ID_BYTES = 2_000_000, 64 << 20
 
 
 def without_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose id is in ``gone`` (one column); null ids stay."""
-    ids = saved(gone.toDF(id_col).na.drop().distinct(), "dropped-ids")
-    return docs.join(broadcast_if_small(ids, MAX_IDS, MAX_ID_BYTES), id_col, "left_anti").select(*map(col, docs.columns))
+    ids = saved_for_join(gone.toDF(id_col).na.drop().distinct(), "dropped-ids", 8, MAX_ID_BYTES)
+    return docs.join(ids, id_col, "left_anti").select(*map(col, docs.columns))
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -63,6 +86,18 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
         cuts = np.flatnonzero(np.diff(run)) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
             yield batch.slice(a, b - a)
+            give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker shares its executor's memory with the JVM, and lives through many tasks."""
+    pa.default_memory_pool().release_unused()
+    cache = worker_cache()
+    if "malloc_trim" not in cache:
+        import ctypes
+        cache["malloc_trim"] = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+    if cache["malloc_trim"] is not None:
+        cache["malloc_trim"](0)
 
 
 def as_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
@@ -160,6 +195,7 @@ def merged(rows: DataFrame, part: str, blobs: dict[str, str], combine, schema: s
                     own.append(columns[k][i])
         while held:
             p, own = held.popitem()
+            give_back()
             yield from combine(p, {k: [np.frombuffer(x, dtype=t) for x in own[k]] for k, t in blobs.items()})
 
     return rows.repartitionById(partitions, F.col(part)).mapInArrow(run, schema)
