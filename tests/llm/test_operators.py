@@ -52,6 +52,7 @@ def test_jaccard_thresholds_chains_and_groups(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 4)
     monkeypatch.setattr(jaccard, "TURNS", 1)
     monkeypatch.setattr(jaccard, "NEXT", 1)
+    monkeypatch.setattr(jaccard, "SMALL", 3)
     rng = np.random.default_rng(3)
     rows, words = {}, [f"w{i}" for i in range(400)]
     for g in range(25):
