@@ -82,7 +82,38 @@ _OP9 = (
     "sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated "
     "from d left join k on k.doc_id = d.doc_id left join m on m.doc_id = d.doc_id")
 
+_OP12 = (
+    f"with recursive p as (select doc_id, coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWER.format(c='text')}, "
+    "'[.,;:!?\\x0A-\\x0D]')) as piece from documents), "
+    "w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from p), "
+    "n as (select lang, sum(len(w)) as n from w group by lang), "
+    "g as (select lang, m, array_to_string(w[i:i+m-1], ' ') as g from w, unnest([1, 2, 3, 4]) as s(m), unnest(range(1, len(w) - m + 2)) as u(i)), "
+    "f as (select lang, m, g, count(*) as f from g group by all having count(*) >= 30), "
+    "c as (select *, string_split(g, ' ') as w from f where m > 1), "
+    "k as (select c.lang, c.g, c.f as a, k, l.f as l, r.f as r, cast(2000000::hugeint * c.f // (l.f + r.f) as bigint) as score "
+    "from c, unnest(range(1, m)) as u(k) join f l on l.lang = c.lang and l.g = array_to_string(c.w[1:k], ' ') "
+    "join f r on r.lang = c.lang and r.g = array_to_string(c.w[k+1:], ' ')), "
+    "b as (select * from k qualify row_number() over (partition by lang, g order by score, k) = 1), "
+    "s as (select lang, array_to_string(w[i:i+z-1], ' ') as g, max(f) as f from c, unnest([2, 3]) as s(z), unnest(range(1, m - z + 2)) as u(i) "
+    "where z < m group by 1, 2) "
+    "select b.lang, rank, phrase, a, l, r, n.n as n, score from (select b.lang, b.g as phrase, a, l, r, score, row_number() over "
+    "(partition by b.lang order by score desc, a desc, b.g) as rank from b left join s on s.lang = b.lang and s.g = b.g "
+    "where s.f is null or 100 * s.f < 80 * a) b join n on n.lang = b.lang where rank <= 2000")
+
+_OP13 = (
+    "with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, "
+    "list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings where embedding is not null and label is not null "
+    "and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0), "
+    "s as (select q.vec_id as anchor_id, v.vec_id, q.label = v.label as same, cast(list_dot_product(q.e, v.e) as bigint) as score "
+    "from v q, v where q.vec_id % 100 = 0 and q.vec_id <> v.vec_id), "
+    "p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same "
+    "qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5) "
+    "select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as rank, "
+    "vec_id as negative_id, positive_score, score as negative_score from p join s on s.anchor_id = p.anchor_id "
+    "where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score "
+    "qualify row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) <= 10")
+
 ORACLE: dict[str, str] = {
     "op2_secret_scan": _OP2, "op6_ngram_jaccard": _OP6, "op7_substring_dedup": _OP7, "op8_exact_top_k": _OP8,
-    "op9_decontamination": _OP9,
+    "op9_decontamination": _OP9, "op12_collocations": _OP12, "op13_hard_negatives": _OP13,
 }

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesmith.llm import chat, decontaminate, jaccard, langid, packing, quality, secret_scan, substrings, topk, toxicity
+from tablesmith.llm import (chat, collocations, decontaminate, fingerprints, jaccard, langid, negatives, packing, quality, secret_scan,
+                            substrings, topk, toxicity)
 from tablesmith.llm.common import crc_mod, read, saved
 from tablesmith.llm.oracle import ORACLE  # noqa: F401
 from tablesmith.llm.sampling import labelled_sample
@@ -121,5 +122,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", in_fold(F.col("doc_id"), LANG_FOLDS, LANG_HELD_OUT).alias("held_out"), "lang_pred", "score")
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.edited_pairs(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_secret_scan, op3_chat_formatting, op4_best_fit_packing, op5_quality, op6_ngram_jaccard, op7_substring_dedup, op8_exact_top_k, op9_decontamination,
-                                   op10_language_id)}
+                                   op10_language_id, op11_fingerprints, op12_collocations, op13_hard_negatives)}

@@ -1,6 +1,7 @@
 """Plain single-machine forms of the operators, to compare with."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -86,3 +87,71 @@ def contamination(docs, items, width=13):
                     found |= own
         out[i] = (len(w), len(hit), sorted(found))
     return out
+
+
+def collocations(rows, least=30, top=2000, covered=80):
+    """[(lang, text)] -> {(lang, phrase): (rank, a, l, r, n, score)}."""
+    count, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for m in range(1, 5):
+                count.update((lang, tuple(w[i:i + m])) for i in range(len(w) - m + 1))
+    found, around = {}, Counter()
+    for (lang, p), a in count.items():
+        if len(p) > 1 and a >= least:
+            cuts = [(2000000 * a // (count[lang, p[:k]] + count[lang, p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            found[lang, p] = (score, a, count[lang, p[:k]], count[lang, p[k:]])
+            for m in range(2, len(p)):
+                for i in range(len(p) - m + 1):
+                    around[lang, p[i:i + m]] = max(around[lang, p[i:i + m]], a)
+    out = {}
+    for lang in n:
+        own = [(-s, -a, " ".join(p).encode(), l, r) for (g, p), (s, a, l, r) in found.items() if g == lang and 100 * around[g, p] < covered * a]
+        for rank, (s, a, phrase, l, r) in enumerate(sorted(own)[:top], 1):
+            out[lang, phrase.decode()] = (rank, -a, l, r, n[lang], -s)
+    return out
+
+
+def _score(x, y):
+    return min(max(sum(a * b for a, b in zip(x, y)), -2 ** 63), 2 ** 63 - 1)
+
+
+def _whole(v, scale=256):
+    return [int(min(max(math.floor(x * scale), -2 ** 62), 2 ** 62)) for x in v]
+
+
+def usable(v):
+    return v is not None and all(x is not None and math.isfinite(x) for x in v)
+
+
+def top_k(rows, is_query, k=5):
+    """[(id, vector)] -> [(query_id, rank, id, score)]; of rows under one query id the first by vector is the query."""
+    rows = [(i, v) for i, v in rows if i is not None and usable(v)]
+    out = []
+    for q in sorted({i for i, _ in rows if is_query(i)}):
+        own = _whole(min(v for i, v in rows if i == q))
+        found = sorted((-_score(own, _whole(v)), i) for i, v in rows if i != q and len(v) == len(own))[:k]
+        out += [(q, rank, i, -s) for rank, (s, i) in enumerate(found, 1)]
+    return out
+
+
+def negatives(rows, is_anchor, positives=5, k=10):
+    """[(id, label, vector)] -> [(anchor, positive, rank, negative, positive score, negative score)]."""
+    rows = [(i, y, _whole(v)) for i, y, v in rows if i is not None and y is not None and usable(v)]
+    out = []
+    for a in sorted({i for i, _, _ in rows if is_anchor(i)}):
+        _, label, own = min((i, y, v) for i, y, v in rows if i == a)
+        scored = {(-_score(own, v), i, y) for i, y, v in rows if i != a and len(v) == len(own)}
+        for s, p in sorted({(s, i) for s, i, y in scored if y == label})[:positives]:
+            near = sorted({(t, i) for t, i, y in scored if y != label and -30 * s <= -100 * t <= -90 * s})[:k]
+            out += [(a, p, rank, i, -s, -t) for rank, (t, i) in enumerate(near, 1)]
+    return out
+
+
+def byte_shingles(text, width=8):
+    b = text.encode()
+    return {b[i:i + width] for i in range(len(b) - width + 1)} if len(b) >= width else {b} - {b""}
