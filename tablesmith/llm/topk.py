@@ -9,22 +9,28 @@ keeps a heap of nodes by the least distance that they can hold, opens the best
 one, and skips an entry without computing its distance when the stored
 distances show by the triangle inequality that it is out of reach.
 
+The queries of a block search a tree together: a node is opened for those of
+them that it can still hold something for, and a page is scored for all of these
+in one matrix product.
+
 Distribution: the rows are cut into trees of at most ``TREE`` points, built
 where the rows are read, and the queries into blocks of at most ``BLOCK``; each
-(tree, block) pair is one unit of bounded size, and the k best of each tree are
-merged per query. Nothing grows with the table but the number of units.
+(tree, block) pair is one unit of bounded size, dealt over groups of trees, and
+the k best of each tree are merged per query. Nothing grows with the table but
+the number of units.
 
 Defined results: rows with a null vector, or with a null or non-finite
 component, take no part, nor do rows with a null id; a vector of another length
 than a query's is no candidate of it; equal scores go to the smaller id;
 repeated rows count as often as they occur (a query never finds rows under its
-own id); extra columns are ignored; an empty table gives no rows.
+own id), and of different rows under one query's id the first by vector is the
+query; scores and components beyond a long's range: see ``vectors``; extra
+columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import heapq
-import io
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,8 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.functions.expressions import col
-from tablesmith.llm.common import saved
+from tablesmith.llm.common import saved, saved_measured
+from tablesmith.llm.vectors import LONG, chunks, gathered, highest, packed, paired, products, small, unpacked, vector_rows
 
 TOP = 5
 PAGE = 64
@@ -80,122 +86,104 @@ def _divide(points: np.ndarray, seed: int) -> list[np.ndarray]:
     return groups if len(groups) > 1 else np.array_split(np.arange(len(points)), fan)
 
 
-#: Slack of distances against rounding: scores are integers, a bound is relaxed by this share and amount.
-SLACK, LEAST = 1e-9, 1e-6
+#: Slack of distances against rounding, as a share of the largest distance of the space.
+SLACK = 1e-6
+
+
+def _distances(points: np.ndarray, objects: np.ndarray) -> np.ndarray:
+    squares = (points ** 2).sum(axis=1)[:, None] + (objects ** 2).sum(axis=1) - 2.0 * (points @ objects.T)
+    return np.sqrt(np.maximum(squares, 0.0))
 
 
-def best_first(tree: dict[str, np.ndarray], query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own_id: int,
-               reach2: float, k: int) -> list[tuple[int, int]]:
-    """The k best (score, id) by score, then smaller id. ``reach2``: |q|^2 + M^2."""
-    point = np.append(query, 0.0)
-    best: list[tuple[int, int]] = []              # heap of (score, -id): the worst first
-    limit = np.inf                                # distance beyond which nothing can enter
-    heap: list[tuple[float, int, float | None]] = [(0.0, 0, None)]      # least distance, page, distance to its object
+def best_first(tree: dict[str, np.ndarray], queries: np.ndarray, own_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, ids), a row of k for each query: by score, then smaller id; unused places hold the least long.
+
+    A heap holds nodes by the least distance at which any query may find something in them.
+    """
+    n, most = len(queries), float(tree["most"])
+    points = np.column_stack((queries, np.zeros(n)))
+    reach2 = (queries ** 2).sum(axis=1) + most
+    slack = SLACK * (np.sqrt(reach2) + np.sqrt(most)) + 1e-6
+    scores, ids = np.full((n, k), LONG[0]), np.full((n, k), LONG[1])
+    limit = np.full(n, np.inf)                    # distance beyond which nothing can enter
+    heap: list[tuple[float, int, np.ndarray, np.ndarray | None]] = [(0.0, 0, np.zeros(n), None)]
     while heap:
-        least, number, to_object = heapq.heappop(heap)
-        if least > limit:
+        least, number, low, to_object = heapq.heappop(heap)
+        if least > limit.max(initial=-np.inf):
             break
         at = np.arange(tree["first"][number], tree["first"][number + 1])
-        if to_object is not None and limit < np.inf:    # triangle inequality: no distance is computed for what it leaves out
-            at = at[np.abs(to_object - tree["to_own"][at]) - tree["radius"][at] <= limit]
-        if not len(at):
+        who = np.flatnonzero(low <= limit)
+        if to_object is not None and len(who):    # triangle inequality: no distance is computed for what it leaves out
+            within = np.abs(to_object[who][:, None] - tree["to_own"][at]) - tree["radius"][at] <= (limit + slack)[who][:, None]
+            at, who = at[within.any(axis=0)], who[within.any(axis=1)]
+        if not len(at) or not len(who):
             continue
         child = tree["child"][at]
         if not tree["leaf"][number]:
-            d = np.linalg.norm(tree["object"][at] - point, axis=1)
-            low = np.maximum(d - tree["radius"][at], 0.0)
-            for page, dist, bound in zip(child.tolist(), d.tolist(), low.tolist()):
-                if bound <= limit:
-                    heapq.heappush(heap, (bound, page, dist))
+            d = np.full((n, len(at)), np.inf)
+            d[who] = _distances(points[who], tree["object"][at])
+            bound = np.maximum(d - tree["radius"][at] - slack[:, None], 0.0)
+            for j, page in enumerate(child.tolist()):
+                if (bound[:, j] <= limit).any():
+                    heapq.heappush(heap, (float(bound[:, j].min()), page, bound[:, j], d[:, j]))
+            continue
+        found, their = products(tree["vectors"][child], queries[who]), tree["ids"][child]
+        own = their[None, :] == own_ids[who][:, None]
+        better = np.flatnonzero(((found >= scores[who, -1][:, None]) & ~own).any(axis=1))
+        if not len(better):
             continue
-        scores = vectors[child] @ query
-        if len(best) == k:
-            child, scores = child[scores >= best[0][0]], scores[scores >= best[0][0]]
-        for score, vec_id in zip(scores.astype(np.int64).tolist(), ids[child].tolist()):
-            if vec_id == own_id:
-                continue
-            if len(best) < k:
-                heapq.heappush(best, (score, -vec_id))
-            elif (score, -vec_id) > best[0]:
-                heapq.heapreplace(best, (score, -vec_id))
-        if len(best) == k:
-            limit = np.sqrt(max(reach2 - 2.0 * best[0][0], 0.0)) * (1 + SLACK) + LEAST
-    return [(s, -i) for s, i in sorted(best, reverse=True)]
-
-
-def integer_vectors(table: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """vec_id and v = floor(scale x) per component, of the rows that take part."""
-    x = col(vec_col).cast("array<double>")
-    finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
-    return table.filter(col(id_col).isNotNull() & x.isNotNull() & finite) \
-        .select(col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * scale).cast("double")).alias("v"))
-
-
-def _chunks(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, matrix) of at most ``most`` rows with vectors of one length, filled across batches."""
-    held: dict[int, list[tuple[int, list]]] = {}
-    for batch in batches:
-        for vec_id, v in zip(batch.column("vec_id").to_pylist(), batch.column("v").to_pylist()):
-            own = held.setdefault(len(v), [])
-            own.append((vec_id, v))
-            if len(own) == most:
-                yield np.array([i for i, _ in own]), np.array([x for _, x in own], dtype=np.float64).reshape(most, -1)
-                own.clear()
-    for own in held.values():
-        if own:
-            yield np.array([i for i, _ in own]), np.array([x for _, x in own], dtype=np.float64).reshape(len(own), -1)
-
-
-def trees(vectors: DataFrame) -> DataFrame:
+        who = who[better]
+        # A query's own rows go last, behind unused places.
+        s = np.concatenate((scores[who], np.where(own[better], LONG[0], found[better])), axis=1)
+        i = np.concatenate((ids[who], np.where(own[better], LONG[1], their[None, :])), axis=1)
+        order = np.lexsort((i, ~s), axis=1)[:, :k]
+        scores[who], ids[who] = np.take_along_axis(s, order, axis=1), np.take_along_axis(i, order, axis=1)
+        full = ids[who, -1] != LONG[1]
+        far = np.sqrt(np.maximum(reach2[who] - 2.0 * scores[who, -1].astype(np.float64), 0.0)) + slack[who]
+        limit[who] = np.where(full, far, np.inf)
+    return scores, ids
+
+
+def trees(vectors: DataFrame, scale: float) -> DataFrame:
     """One row per M-tree of at most TREE points: dim, and the tree with its vectors as bytes."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, matrix in _chunks(batches, TREE):
-            squares = (matrix ** 2).sum(axis=1)
-            points = np.column_stack((matrix, np.sqrt(squares.max() - squares)))
-            blob = io.BytesIO()
-            np.savez(blob, ids=ids, vectors=matrix.astype(np.float32 if np.abs(matrix).max(initial=0) < 1 << 24 else np.float64),
-                     most=squares.max(), **build(points))
-            yield pa.RecordBatch.from_arrays([pa.array([matrix.shape[1]], pa.int32()), pa.array([blob.getvalue()], pa.binary())],
-                                             names=["dim", "tree"])
+        for c in chunks(batches, TREE, scale):
+            squares = (c["v"] ** 2).sum(axis=1)
+            points = np.column_stack((c["v"], np.sqrt(squares.max() - squares)))
+            blob = packed(ids=c["vec_id"], vectors=small(c["v"]), most=squares.max(), **build(points))
+            yield pa.RecordBatch.from_arrays([pa.array([c["v"].shape[1]], pa.int32()), pa.array([blob], pa.binary())], names=["dim", "block"])
 
-    return vectors.mapInArrow(run, "dim int, tree binary")
+    return vectors.mapInArrow(run, "dim int, block binary")
 
 
-def query_blocks(queries: DataFrame) -> DataFrame:
+def query_blocks(queries: DataFrame, scale: float) -> DataFrame:
     """One row per block of at most BLOCK queries: dim, ids and vectors as bytes."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, matrix in _chunks(batches, BLOCK):
-            yield pa.RecordBatch.from_arrays([pa.array([matrix.shape[1]], pa.int32()), pa.array([ids.astype("<i8").tobytes()], pa.binary()),
-                                              pa.array([matrix.astype("<f8").tobytes()], pa.binary())], names=["dim", "ids", "vectors"])
+        for c in chunks(batches, BLOCK, scale):
+            yield pa.RecordBatch.from_arrays([pa.array([c["v"].shape[1]], pa.int32()), pa.array([packed(**c)], pa.binary())],
+                                             names=["dim", "queries"])
 
-    return queries.mapInArrow(run, "dim int, ids binary, vectors binary")
+    return gathered(queries, BLOCK).mapInArrow(run, "dim int, queries binary")
 
 
 def top_k(table: DataFrame, is_query, *, k: int = TOP, id_col: str = "vec_id", vec_col: str = "embedding",
           scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest products of every row for which ``is_query`` (a condition on vec_id) holds."""
-    vectors = integer_vectors(table, id_col, vec_col, scale)
-    forest = saved(trees(vectors), "trees")
-    # A few blocks hold all queries of a few scan tasks: gathered first, so that blocks are full.
-    gathered = vectors.filter(is_query).repartition(F.pmod(F.xxhash64("vec_id"), F.lit(16)))
-    blocks = saved(query_blocks(gathered), "query-blocks")
+    vectors = vector_rows(table, id_col, vec_col)
+    forest, n_trees, _ = saved_measured(trees(vectors, scale), "trees")
+    queries = saved(vectors.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
+    blocks = saved(query_blocks(queries, scale), "query-blocks")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for blob, dim, own, vecs in zip(*(batch.column(c).to_pylist() for c in ("tree", "dim", "ids", "vectors"))):
-                tree = dict(np.load(io.BytesIO(blob)))
-                ids, matrix, most = tree["ids"], tree["vectors"].astype(np.float64), float(tree["most"])
-                query_ids = np.frombuffer(own, "<i8")
-                queries = np.frombuffer(vecs, "<f8").reshape(len(query_ids), dim)
-                rows = [(int(q), s, i) for q, x in zip(query_ids, queries)
-                        for s, i in best_first(tree, x, matrix, ids, int(q), float(x @ x) + most, k)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(3)],
-                                                 names=["query_id", "score", "vec_id"])
+            for raw, own in zip(batch.column("block"), batch.column("queries")):
+                tree, block = unpacked(raw.as_py()), unpacked(own.as_py())
+                tree["vectors"] = tree["vectors"].astype(np.float64)
+                scores, ids = best_first(tree, block["v"], block["vec_id"], k)
+                used = ids != LONG[1]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(block["vec_id"], used.sum(axis=1))), pa.array(scores[used]),
+                                                  pa.array(ids[used])], names=["query_id", "score", "vec_id"])
 
     # Blocks of queries against trees, unit by unit: the stated query set against all rows.
-    units = forest.join(blocks, "dim").repartition(F.xxhash64("tree"), F.xxhash64("ids"))
-    found = units.mapInArrow(run, "query_id long, score long, vec_id long")
-    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("v")))), 1, k)
-    return found.groupBy("query_id").agg(best.alias("best")) \
-        .select("query_id", F.posexplode("best").alias("place", "b")) \
-        .select("query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("b.v").alias("vec_id"), (-F.col("b.s")).alias("score"))
+    found = paired(forest, n_trees, blocks).mapInArrow(run, "query_id long, score long, vec_id long")
+    return highest(found, ["query_id"], "score", "vec_id", k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
