@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.llm.common import saved, saved_measured
-from tablesmith.llm.vectors import chunks, gathered, highest, packed, paired, products, small, unpacked, vector_rows
+from tablesmith.llm.vectors import LONG, chunks, gathered, highest, packed, paired, products, small, unpacked, vector_rows
 
 ROWS, ANCHORS = 4096, 256
 #: Segments at the levels of refinement.
@@ -56,9 +56,9 @@ def summaries(matrix: np.ndarray, segments: int) -> np.ndarray:
 
 
 def bounds(own: np.ndarray, others: np.ndarray, slack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least and largest score that one row's summaries allow with each of ``others``."""
-    n = len(own) // 2
-    middle, spread = others[:, :n] @ own[:n], others[:, n:] @ own[n:] + slack
+    """Least and largest scores that the summaries of some rows allow with each of ``others``."""
+    n = own.shape[1] // 2
+    middle, spread = own[:, :n] @ others[:, :n].T, own[:, n:] @ others[:, n:].T + slack
     return middle - spread, middle + spread
 
 
@@ -73,24 +73,10 @@ def _first(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return order[np.concatenate(([True], ~again))[:len(order)]][:k]
 
 
-#: Rounding of the bounds, as a share of the product of two lengths.
-SLACK = 1e-9
-
-
-def best_alike(block: dict[str, np.ndarray], anchor: np.ndarray, levels: list[np.ndarray], rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, scores) of the k highest of ``rows`` of a block."""
-    slack = SLACK * np.linalg.norm(anchor) * block["norm"] + 1e-6
-    for i, own in enumerate(levels):
-        if len(rows) <= k:
-            break
-        low, high = bounds(own, block[f"level{i}"][rows], slack[rows])
-        # Rows that agree in id and score count once, so limits come from rows of different ids.
-        _, one = np.unique(block["vec_id"][rows], return_index=True)
-        if len(one) >= k:
-            rows = rows[high >= np.partition(low[one], len(one) - k)[len(one) - k]]
-    scores = products(block["v"][rows], anchor[None])[0]
-    at = _first(scores, block["vec_id"][rows], k)
-    return block["vec_id"][rows][at], scores[at]
+def _kth(values: np.ndarray, k: int, least) -> np.ndarray:
+    """Each row's k-th highest value (``least`` where there are fewer)."""
+    n = values.shape[1]
+    return np.partition(values, n - k, axis=1)[:, n - k] if n >= k else np.full(len(values), least)
 
 
 def windows(positive: int, low: int = LOW, high: int = HIGH) -> tuple[int, int]:
@@ -98,31 +84,39 @@ def windows(positive: int, low: int = LOW, high: int = HIGH) -> tuple[int, int]:
     return -((-low * positive) // 100), high * positive // 100
 
 
-def best_within(block: dict[str, np.ndarray], anchor: np.ndarray, levels: list[np.ndarray], rows: np.ndarray,
-                wanted: list[tuple[int, int]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each (least, largest) score: (ids, scores) of the k highest of ``rows`` within."""
-    slack = SLACK * np.linalg.norm(anchor) * block["norm"] + 1e-6
-    for i, own in enumerate(levels):
-        if not len(rows):
-            break
-        low, high = bounds(own, block[f"level{i}"][rows], slack[rows])
-        left = np.zeros(len(rows), dtype=bool)
-        for a, b in wanted:
-            if a > b:
-                continue
-            least = float(a)
-            sure = np.flatnonzero((high <= b) & (low >= a))       # within for certain
-            sure = sure[np.unique(block["vec_id"][rows[sure]], return_index=True)[1]]
-            if len(sure) >= k:
-                least = max(least, np.partition(low[sure], len(sure) - k)[len(sure) - k])
-            left |= (high >= least) & (low <= b)
-        rows = rows[left]
-    ids, scores = block["vec_id"][rows], products(block["v"][rows], anchor[None])[0]
+#: Rounding of the bounds, as a share of the product of two lengths. Anchors that are taken through the levels together.
+SLACK, TOGETHER = 1e-9, 64
+
+
+def best_within(block: dict[str, np.ndarray], anchors: dict[str, np.ndarray], allowed: np.ndarray, least: np.ndarray, largest: np.ndarray,
+                k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each anchor, (ids, scores) of the k highest of its ``allowed`` rows with a score from ``least`` to ``largest``.
+
+    At each level a row stays while its bounds reach into the window, above what
+    k rows have for certain. Rows that stay for any anchor go to the next level,
+    and at last into one exact product.
+    """
+    at, least_f, largest_f = np.arange(len(block["vec_id"])), least.astype(np.float64), largest.astype(np.float64)
+    one = np.zeros(len(at), dtype=bool)                 # rows that agree in id and score count once: of an id one row sets limits
+    one[np.unique(block["vec_id"], return_index=True)[1]] = True
+    for i in range(len(LEVELS)):
+        some = allowed.any(axis=0)
+        at, allowed = at[some], allowed[:, some]
+        slack = SLACK * anchors["norm"][:, None] * block["norm"][at] + 1e-6
+        low, high = bounds(anchors[f"level{i}"], block[f"level{i}"][at], slack)
+        sure = allowed & one[at] & (high <= largest_f[:, None]) & (low >= least_f[:, None])
+        limit = np.maximum(least_f, _kth(np.where(sure, low, -np.inf), k, -np.inf))
+        allowed = allowed & (high >= limit[:, None]) & (low <= largest_f[:, None])
+    some = allowed.any(axis=0)
+    at, allowed = at[some], allowed[:, some]
+    scores, ids = products(block["v"][at], anchors["v"]), block["vec_id"][at]
+    allowed = allowed & (scores >= least[:, None]) & (scores <= largest[:, None])
+    allowed &= scores >= _kth(np.where(allowed & one[at], scores, LONG[0]), k, LONG[0])[:, None]
     out = []
-    for a, b in wanted:
-        within = np.flatnonzero((scores >= a) & (scores <= b)) if a <= b else np.empty(0, dtype=np.int64)
-        at = within[_first(scores[within], ids[within], k)]
-        out.append((ids[at], scores[at]))
+    for own, score in zip(allowed, scores):
+        own = np.flatnonzero(own)
+        own = own[_first(score[own], ids[own], k)]
+        out.append((ids[own], score[own]))
     return out
 
 
@@ -146,8 +140,8 @@ def anchor_blocks(anchors: DataFrame, scale: float, others: list[str]) -> DataFr
     return gathered(anchors, ANCHORS).mapInArrow(run, "dim int, anchors binary")
 
 
-def _units(pairs: DataFrame, one, schema: str) -> DataFrame:
-    """``one(block, anchors, i, levels)`` yields tuples of longs for each anchor of each unit."""
+def _units(pairs: DataFrame, of, schema: str) -> DataFrame:
+    """``of(block, anchors)`` yields tuples of longs for the anchors of a unit, a few of which are given at a time."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,9 +149,10 @@ def _units(pairs: DataFrame, one, schema: str) -> DataFrame:
             for raw, own in zip(batch.column("block"), batch.column("anchors")):
                 block, anchors = unpacked(raw.as_py()), unpacked(own.as_py())
                 block["v"] = block["v"].astype(np.float64)
-                levels = [v for k, v in sorted(_levels(anchors["v"]).items()) if k.startswith("level")]
-                rows = [r for i in range(len(anchors["v"])) for r in one(block, anchors, i, [x[i] for x in levels])]
-                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(len(names))], names=names)
+                anchors |= _levels(anchors["v"])
+                for k in range(0, len(anchors["v"]), TOGETHER):
+                    rows = list(of(block, {n: x[k:k + TOGETHER] for n, x in anchors.items()}))
+                    yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(len(names))], names=names)
 
     return pairs.mapInArrow(run, schema)
 
@@ -171,10 +166,11 @@ def mine(table: DataFrame, is_anchor: Column, *, id_col: str = "vec_id", vec_col
     anchors = saved(rows.filter(is_anchor).groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("a"))
                     .select("vec_id", "a.label", "a.v"), "anchors")
 
-    def alike(block, a, i, levels):
-        same = np.flatnonzero((block["label"] == a["label"][i]) & (block["vec_id"] != a["vec_id"][i]))
-        for v, s in zip(*best_alike(block, a["v"][i], levels, same, positives)):
-            yield int(a["vec_id"][i]), int(v), int(s)
+    def alike(block, a):
+        same = (block["label"] == a["label"][:, None]) & (block["vec_id"] != a["vec_id"][:, None])
+        every = np.full(len(same), LONG[0]), np.full(len(same), LONG[1])
+        for anchor, (ids, scores) in zip(a["vec_id"].tolist(), best_within(block, a, same, *every, positives)):
+            yield from ((anchor, v, s) for v, s in zip(ids.tolist(), scores.tolist()))
 
     first = saved(anchor_blocks(anchors, scale, ["label"]), "anchor-blocks")
     found = _units(paired(blocks, n_blocks, first), alike, "anchor_id long, positive_id long, positive_score long").distinct()
@@ -183,12 +179,13 @@ def mine(table: DataFrame, is_anchor: Column, *, id_col: str = "vec_id", vec_col
     # One row per anchor and positive; a positive's window of scores depends on its score alone.
     wanted = anchors.join(best.withColumnRenamed("anchor_id", "vec_id"), "vec_id")
 
-    def unlike(block, a, i, levels):
-        rows = np.flatnonzero((block["label"] != a["label"][i]) & (block["vec_id"] != a["vec_id"][i]))
-        positive = int(a["positive_score"][i])
-        [(ids, scores)] = best_within(block, a["v"][i], levels, rows, [windows(positive, low, high)], negatives)
-        for v, s in zip(ids, scores):
-            yield int(a["vec_id"][i]), int(a["positive_id"][i]), positive, int(v), int(s)
+    def unlike(block, a):
+        spans = [windows(p, low, high) for p in a["positive_score"].tolist()]
+        least, largest = (np.array(x, dtype=np.int64) for x in zip(*spans))
+        other = (block["label"] != a["label"][:, None]) & (block["vec_id"] != a["vec_id"][:, None]) & (least <= largest)[:, None]
+        for i, (ids, scores) in enumerate(best_within(block, a, other, least, largest, negatives)):
+            own = int(a["vec_id"][i]), int(a["positive_id"][i]), int(a["positive_score"][i])
+            yield from ((*own, v, s) for v, s in zip(ids.tolist(), scores.tolist()))
 
     second = saved(anchor_blocks(wanted, scale, ["label", "positive_id", "positive_score"]), "anchor-blocks")
     found = _units(paired(blocks, n_blocks, second), unlike,

@@ -204,7 +204,8 @@ def test_summaries_bound_every_score():
     rows, own = np.floor(rng.normal(0, 300, (200, 37))), np.floor(rng.normal(0, 300, (1, 37)))
     true = vectors.products(rows, own)[0]
     for n in (1, 3, 16, 37, 50):
-        low, high = negatives.bounds(negatives.summaries(own, n)[0], negatives.summaries(rows, n), 1e-9 * np.linalg.norm(rows, axis=1) * np.linalg.norm(own))
+        low, high = (x[0] for x in negatives.bounds(negatives.summaries(own, n), negatives.summaries(rows, n),
+                                            1e-9 * np.linalg.norm(rows, axis=1) * np.linalg.norm(own)))
         assert (low <= true).all() and (true <= high).all()
         if n >= 37:
             assert np.allclose(low, high)
