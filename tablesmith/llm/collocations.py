@@ -20,7 +20,7 @@ are whole word numbers, so sums never mix two phrases.
 Scale: shards bound the memory of a task, sums are dealt by a hash of the phrase
 over parts whose number follows the words of the input, after each shard has
 counted its own; a phrase meets at most once per shard. Nothing passes through
-the driver but the sizes of the parts.
+the driver but two numbers.
 
 Defined results: a null text is empty, a null language ``und``; a null or repeated
 id does not matter, every row counts; empty texts and tables give nothing; ties
@@ -40,9 +40,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesmith.functions.expressions import col
-from tablesmith.llm.common import U64, give_back, in_parts, merged, mix, runs, saved, saved_measured, shuffle_partitions, slices
+from tablesmith.llm.common import U64, give_back, in_parts, merged, mix, runs, saved, shuffle_partitions, slices
 
-SHARD = 1 << 22
+SHARD = 1 << 21
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: A phrase goes where a longer one has this share (percent) of its occurrences.
 COVERED = 80
@@ -63,16 +63,19 @@ def words(text: bytes) -> list[bytes]:
 # -- the index of a shard ------------------------------------------------------------------
 def _order(seq: np.ndarray, depth: int) -> np.ndarray:
     """Places sorted by the ``depth`` words that begin there (around the end); equal ones keep their order."""
-    rank, have = seq.astype(np.int64), 1
+    rank, have = seq, 1
     while True:
-        key = rank * (int(rank.max()) + 1) + np.roll(rank, -have) if depth > have else rank
-        order = np.argsort(key, kind="stable")
+        key = rank.astype(np.int64)
+        if depth > have:
+            key *= int(rank.max()) + 1
+            key += np.roll(rank, -have)
+        order = np.argsort(key, kind="stable").astype(np.int32)
         have *= 2
         if have >= depth:
             return order
-        changes = np.concatenate(([0], (np.diff(key[order]) != 0).astype(np.int64)))
-        rank = np.empty_like(key)
-        rank[order] = np.cumsum(changes)
+        key = key[order]
+        rank = np.empty(len(seq), dtype=np.int32)
+        rank[order] = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
 
 
 class Index:
@@ -80,24 +83,28 @@ class Index:
     the order of what follows, where each word's places begin, and where a place's predecessor lies."""
 
     def __init__(self, seq: np.ndarray, depth: int) -> None:
+        seq = seq.astype(np.int32)
         order = _order(seq, depth)
         self.before = seq[order - 1]
-        self.first = np.searchsorted(seq[order], np.arange(int(seq.max(initial=0)) + 2))
-        self.to_before = np.empty(len(seq), dtype=np.int64)
-        self.to_before[np.argsort(self.before, kind="stable")] = np.arange(len(seq))
+        self.first = np.searchsorted(seq[order], np.arange(int(seq.max(initial=0)) + 2)).astype(np.int32)
+        self.to_before = np.empty(len(seq), dtype=np.int32)
+        self.to_before[np.argsort(self.before, kind="stable")] = np.arange(len(seq), dtype=np.int32)
 
     def extend(self, low: np.ndarray, high: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, ...]:
         """Each interval by each word before it: (which interval, the word, low, high, low in the other index)."""
         sizes = high - low
-        which, rows = np.repeat(np.arange(len(low)), sizes), np.repeat(low, sizes) + runs(sizes)
-        key = which * (int(self.before.max(initial=0)) + 1) + self.before[rows]
-        order = np.argsort(key, kind="stable")
-        start = np.flatnonzero(np.concatenate(([True], np.diff(key[order]) != 0)))[:len(order)]
-        count = np.diff(np.append(start, len(order)))
+        which = np.repeat(np.arange(len(low), dtype=np.int32), sizes)
+        rows = (np.repeat(low, sizes) + runs(sizes)).astype(np.int32)
+        key = which * np.int64(int(self.before.max(initial=0)) + 1) + self.before[rows]
+        order = np.argsort(key, kind="stable").astype(np.int32)
+        key = key[order]
+        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))[:len(order)]
+        del key
+        count = np.diff(np.append(start, len(order))).astype(np.int32)
         at = order[start]                                   # the first row of each, so the first of its new interval
         own, word, to = which[at], self.before[rows[at]], self.to_before[rows[at]]
         # In the other index the rows of an interval are sorted by this very word, breaks first.
-        beside = other[own] + start - (np.cumsum(sizes) - sizes)[own]
+        beside = (other[own] + start - (np.cumsum(sizes) - sizes)[own]).astype(np.int32)
         real = word > 0
         return own[real], word[real], to[real], (to + count)[real], beside[real]
 
@@ -238,13 +245,22 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, text_col: str = "text", l
     cut = saved(shards(docs, text_col, lang_col), "phrase-shards")
     sizes = cut.groupBy("lang").agg(F.sum("n").alias("n"))
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    spark, parts = docs.sparkSession, max(shuffle_partitions(docs.sparkSession), -(-total // PART_WORDS))
+    parts = max(shuffle_partitions(docs.sparkSession), -(-total // PART_WORDS))
 
+    # Each word's rows (one per shard that has it) meet once: they get its sum, and its number among the frequent ones.
+    deals = 8 * parts
     own = cut.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("idx", "w")) \
-        .select("shard", "lang", "idx", F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
-    vocabulary, n_words, _ = saved_measured(own.groupBy("lang", "word").agg(F.sum("c").alias("f")).filter(F.col("f") >= least), "phrase-words")
-    vocabulary = saved(_numbered(vocabulary, ["lang", "word"], max(8 * shuffle_partitions(spark), -(-n_words // 200_000))), "phrase-words")
-    named = saved(own.join(vocabulary, ["lang", "word"]).groupBy("shard").agg(F.collect_list(F.struct("idx", "number")).alias("w"))
+        .select("shard", "lang", "idx", F.col("w.words").alias("word"), F.col("w.counts").alias("c")) \
+        .withColumn("deal", F.pmod(F.xxhash64("lang", "word"), F.lit(deals))).repartition(F.col("deal"))
+    same = Window.partitionBy("deal", "lang", "word")
+    frequent = own.withColumn("f", F.sum("c").over(same)).filter(F.col("f") >= least)
+    place = F.dense_rank().over(Window.partitionBy("deal").orderBy("lang", "word"))
+    frequent = saved(frequent.withColumn("number", (place - 1) * deals + F.col("deal") + 1)
+                     .withColumn("first", F.row_number().over(same.orderBy("shard", "idx")) == 1).drop("deal", "c"), "phrase-words")
+    if (frequent.agg(F.max("number")).first()[0] or 0) >= 1 << 32:
+        raise ValueError("more frequent words than 32 bits number")
+    vocabulary = frequent.filter("first").select("number", "lang", "word", "f")
+    named = saved(frequent.groupBy("shard").agg(F.collect_list(F.struct("idx", "number")).alias("w"))
                   .select("shard", F.col("w.idx").alias("idx"), F.col("w.number").alias("number")), "phrase-names")
     named = cut.select("shard", "low", "high").join(named, "shard")
 
@@ -321,18 +337,6 @@ def _phrases(one: np.ndarray, two: np.ndarray, sums: np.ndarray) -> pa.RecordBat
                                       names=["w1", "w2", "w3", "w4", "f"])
 
 
-def _numbered(rows: DataFrame, keys: list[str], parts: int) -> DataFrame:
-    """``rows`` with a ``number`` from 1 without gaps: places inside hashed parts, after the parts before (their sizes pass the driver)."""
-    part = rows.withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
-    sizes = {r["part"]: r["count"] for r in part.groupBy("part").count().collect()}
-    if sum(sizes.values()) >= 1 << 32:
-        raise ValueError("more than 2^32 frequent words")
-    before = np.cumsum([0, *[sizes.get(p, 0) for p in range(parts)]])[:-1].tolist()
-    starts = F.broadcast(rows.sparkSession.createDataFrame(list(enumerate(before)), "part int, start long"))
-    place = F.row_number().over(Window.partitionBy("part").orderBy(*keys))
-    return part.withColumn("place", place).join(starts, "part").withColumn("number", F.col("start") + F.col("place")).drop("part", "place", "start")
-
-
 # -- collocations -----------------------------------------------------------------------------------
 W = ["w1", "w2", "w3", "w4"]
 
