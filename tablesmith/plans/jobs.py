@@ -22,7 +22,7 @@ from tablesmith.functions import expressions as fx
 from tablesmith.functions.tokens import ALERT_ZONE, FAILED, PASS, PENDING
 from tablesmith.operators.sizing import broadcast_if_small
 from tablesmith.plans.sync import SyncSpec, mapping_from_rows, sync_table, text_export
-from tablesmith.session import work_path
+from tablesmith.session import delete_path, work_path
 from tablesmith.sinks.files import csv_export
 from tablesmith.sources.files import csv_scan
 
@@ -31,6 +31,9 @@ JOB_DDL = ("job_id string, source_table string, source_sql string, target_table
            "status string, message string, updated_at bigint")
 RESULT_DDL = "job_id string, status string, message string, updated_at bigint, rows_read bigint, rows_loaded bigint"
 
+#: An optional registry column: a criteria that cuts a job's share out of its ``source_table``.
+SOURCE_WHERE = "source_where"
+
 #: The columns that a finished run sets.
 STATE = ("status", "message", "updated_at")
 
@@ -111,11 +114,12 @@ def _export(spark: SparkSession, job, source: Callable, hop: str | None) -> Data
     raise ValueError(f"unknown export hop {hop!r}; use None or 'csv'")
 
 
-def _run_one(spark: SparkSession, job, store, retries: int, source: Callable, hop: str | None = None) -> tuple:
+def _run_one(spark: SparkSession, job, store, retries: int, source: Callable, hop: str | None = None,
+             exported: DataFrame | None = None) -> tuple:
     last = None
     for _ in range(retries + 1):
         try:
-            text = _export(spark, job, source, hop)
+            text = _export(spark, job, source, hop) if exported is None else exported
             spec = SyncSpec(mapping_from_rows(job["column_mapping"]), job["target_table"])
             res = sync_table(text, spec, store)
             return (job["job_id"], PASS, PASS, int(time.time()) * 1000, res.rows_read, res.rows_loaded)
@@ -126,16 +130,71 @@ def _run_one(spark: SparkSession, job, store, retries: int, source: Callable, ho
     return (job["job_id"], FAILED, _message(last), int(time.time()) * 1000, None, None)
 
 
+def _criteria(job) -> str | None:
+    return job[SOURCE_WHERE] if SOURCE_WHERE in job and job[SOURCE_WHERE] else None
+
+
 def job_source(spark: SparkSession, job) -> DataFrame:
-    """The export of a job: its SQL when given, else its whole source table."""
+    """The export of a job: its SQL when given, else its source table (cut by ``source_where`` where the registry has that)."""
     if job["source_sql"]:
         return spark.sql(job["source_sql"])
-    return spark.table(job["source_table"])
+    table, where = spark.table(job["source_table"]), _criteria(job)
+    return table if where is None else table.filter(where)
+
+
+def _routed(spark: SparkSession, source_table: str, jobs: list) -> tuple[DataFrame, list]:
+    """One scan of a table for many jobs: its rows as exported text, once for each job (``_job``) whose criteria takes them;
+    and the jobs. One whose criteria is no condition on that table is left out (it fails on its own)."""
+    table, taken, own = spark.table(source_table), [], []
+    for job in jobs:
+        try:
+            where = F.lit(True) if _criteria(job) is None else F.expr(_criteria(job))
+            table.filter(where).schema      # analysed, not run
+        except Exception:
+            continue
+        taken.append(F.when(where, F.lit(len(own))))
+        own.append(job)
+    name = fx.fresh("_job", table.columns)
+    routes = F.array_compact(F.array(*taken)) if taken else F.array().cast("array<int>")
+    routed = table.select(*[fx.col(c) for c in table.columns], routes.alias(name))
+    return routed.select(*[fx.col(c).cast("string").alias(c) for c in table.columns], F.explode(fx.col(name)).alias(name)), own
+
+
+def shared_exports(spark: SparkSession, jobs: list) -> tuple[dict[str, DataFrame], list[str]]:
+    """Exports of jobs that name the same source table: each such table is scanned once and its rows are written to a folder
+    per job in the shared folder. (job_id -> export as text, folders to delete at the end.)
+
+    Rows of a job come together before they are written; a job with a large share
+    is split over tasks. A table whose scan fails is left to its jobs one by one.
+    """
+    groups: dict[str, list] = {}
+    for job in jobs:
+        if not job["source_sql"] and job["source_table"]:
+            groups.setdefault(job["source_table"], []).append(job)
+    exports, folders = {}, []
+    for source_table, own in groups.items():
+        if len(own) < 2:
+            continue
+        path = work_path(spark, "exports", "shared")
+        folders.append(path)
+        try:
+            rows, own = _routed(spark, source_table, own)
+            name = rows.columns[-1]
+            rows.hint("rebalance", fx.col(name)).write.partitionBy(name).parquet(path)
+            text = rows.schema[:-1]
+            fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+            for k, job in enumerate(own):
+                folder = f"{path}/{name}={k}"
+                there = fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder))
+                exports[job["job_id"]] = spark.read.schema(text).parquet(folder) if there else spark.createDataFrame([], text)
+        except Exception:
+            continue
+    return exports, folders
 
 
 def run_jobs(spark: SparkSession, jobs: DataFrame, store, *, pending: bool = False, where: str | None = None,
              max_workers: int = 4, retries: int = 2, source: Callable = job_source,
-             hop: str | None = None, on_result: Callable | None = None) -> tuple[DataFrame, DataFrame]:
+             hop: str | None = None, on_result: Callable | None = None, share: bool = True) -> tuple[DataFrame, DataFrame]:
     """Run due jobs (or those matching ``where``); returns ``(results, updated registry)``.
 
     Transient failures are tried again ``retries`` times. ``on_result`` is
@@ -143,17 +202,25 @@ def run_jobs(spark: SparkSession, jobs: DataFrame, store, *, pending: bool = Fal
 
     ``hop="csv"`` exports each source to CSV files in the shared folder and
     imports those (the file-based path); by default the export stays in-plan.
+    Jobs that name one source table (no SQL of their own) ``share`` a scan of it;
+    each then loads on its own, so one that fails stops none of the others.
     """
     chosen = jobs.filter(F.expr(where)) if where else due_jobs(jobs, pending)
     todo = chosen.collect()  # registry rows: one per job
+    exports, folders = shared_exports(spark, todo) if share and hop is None and source is job_source else ({}, [])
+
     def one(job) -> tuple:
-        row = _run_one(spark, job, store, retries, source, hop)
+        row = _run_one(spark, job, store, retries, source, hop, exports.get(job["job_id"]))
         if on_result is not None:
             on_result(row)
         return row
 
-    with ThreadPoolExecutor(max_workers=max(1, max_workers)) as pool:
-        rows = list(pool.map(one, todo))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, max_workers)) as pool:
+            rows = list(pool.map(one, todo))
+    finally:
+        for path in folders:
+            delete_path(spark, path)
     results = spark.createDataFrame(rows, RESULT_DDL)
     return results, apply_job_results(jobs, results)
 

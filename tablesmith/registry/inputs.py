@@ -74,17 +74,25 @@ def _entry(src: str, dst: str, typ: str) -> Column:
     return F.struct(F.lit(src).alias("source_key"), F.lit(dst).alias("destination_key"), F.lit(typ).alias("data_type"))
 
 
-def jobs_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job registry: one job per nation syncing that nation's customers; status by key % 3."""
+def jobs_frame(spark: SparkSession, sf_dir: str, run: str = "") -> DataFrame:
+    """Job registry: one job per nation syncing that nation's customers; status by key % 3. ``run`` ends the target names."""
     k = F.col("n_nationkey")
     return table(spark, sf_dir, "nation").select(
         k.cast("string").alias("job_id"),
         F.lit("customer").alias("source_table"),
         F.concat(F.lit("select * from customer where c_nationkey = "), k.cast("string")).alias("source_sql"),
-        F.concat(F.lit("cust_nation_"), k.cast("string")).alias("target_table"),
+        F.concat(F.lit("cust_nation_"), k.cast("string"), F.lit(run)).alias("target_table"),
         F.array(*[_entry(m.source_key, m.destination_key, m.data_type) for m in CUSTOMER_MAPPING]).alias(
             "column_mapping"),
         F.when(k % 3 == 0, F.lit("PENDING")).when(k % 3 == 1, F.lit("PASS")).otherwise(F.lit("FAILED")).alias("status"),
         F.lit(None).cast("string").alias("message"),
         F.lit(0).cast("bigint").alias("updated_at"),
     )
+
+
+def shared_jobs_frame(spark: SparkSession, sf_dir: str, run: str = "") -> DataFrame:
+    """The same jobs, all pending, as criteria on one source table; one of them names a column that there is not."""
+    k = F.col("job_id").cast("int")
+    where = F.when(k == 7, F.lit("no_such_column = 1")).otherwise(F.concat(F.lit("c_nationkey = "), F.col("job_id")))
+    return jobs_frame(spark, sf_dir, run).withColumns({"source_sql": F.lit(None).cast("string"), "status": F.lit("PENDING"),
+                                                       "source_where": where})

@@ -222,3 +222,34 @@ ORACLE: dict[str, str] = {
     "epoch_ms": ("select event_id, cast(floor(epoch(ts)) as bigint) * 1000 as epoch_ms, "
                  "cast(floor(epoch(ts)) as bigint) * 1000 as epoch_ms_of_instant from events"),
 }
+
+# -- changes of stored tables, shared scans, files in blocks -----------------------------------------
+_LATER = ("(select o_orderkey, o_custkey, case when o_orderkey % 10 = 3 then 'X' else o_orderstatus end as o_orderstatus, o_totalprice, "
+          "o_orderdate, o_orderpriority from orders where o_orderkey % 11 <> 0) as orders")
+_SYNC_LATER = SYNC.replace("from orders", f"from {_LATER}")
+_PART = "cast(null as varchar) as p_name, p_brand, cast(null as double) as p_type"
+
+ORACLE |= {
+    "sync_jobs_shared": (
+        f"with {_CUST_COUNTS} select cast(n_nationkey as varchar) as job_id, 'cust_nation_' || n_nationkey as target_table, "
+        "case when n_nationkey = 7 then 'FAILED' else 'PASS' end as status, case when n_nationkey = 7 then 'true' else 'PASS' end as message, "
+        "case when n_nationkey <> 7 then coalesce(n, 0) end as rows_loaded, case when n_nationkey <> 7 then coalesce(n, 0) end as n_rows, "
+        "case when n_nationkey <> 7 then balance end as balance, case when n_nationkey <> 7 then first_name end as first_name, "
+        "case when n_nationkey <> 7 then coalesce(n, 0) end as n_ids from nation left join counts on c_nationkey = n_nationkey"),
+    "update_where_stored": (f"select *, (select count(*) from orders where {UPDATE_CRITERIA}) as n_updated from ({ORACLE['update_where']})"),
+    "delete_where_stored": ("select *, (select count(*) from orders where o_orderkey % 3 = 1 and o_orderstatus = 'F') as n_deleted from orders "
+                            "where not (o_orderkey % 3 = 1 and o_orderstatus = 'F')"),
+    "add_row_stored": ("select *, 2 as n_added from (select * from orders union all select 1000000001, null, null, null, "
+                       "TIMESTAMP '2024-01-02 00:00:00', null union all select 1000000002, null, null, 1.5, null, null)"),
+    "columns_stored": (f"select p_partkey, p_name as p_title, p_retailprice, {_PART} from part union all by name "
+                       "select p_partkey + 1000000 as p_partkey, cast(null as varchar) as p_title, cast(null as double) as p_retailprice, "
+                       "upper(p_name) as p_name, p_brand, cast(p_size as double) as p_type from part where p_partkey % 10 = 0"),
+    "refresh_difference": (f"with a as ({SYNC}), b as ({_SYNC_LATER}) select *, (select count(*) from b where id not in (select id from a)) as n_added, "
+                           "(select count(*) from a where id not in (select id from b)) as n_removed, 0 as n_written_again from b"),
+    "load_details": ("select which, true as by_id, 'append' as mode, status, says_why, (select count(*) from orders where o_orderstatus = 'F') as n_rows "
+                     "from (values ('good', 'COMPLETED', false), ('wrong', 'FAILED', true)) as v(which, status, says_why)"),
+    "save_as_shared": ("select *, 'source' as of from orders where o_orderkey % 3 <> 1 union all by name "
+                       "select * replace (case when o_orderkey % 3 = 2 then 'C' else o_orderstatus end as o_orderstatus), 'copy' as of from orders"),
+    "csv_scan_split": ORACLE["csv_scan"],
+    "first_wins_file": "select cast(o_custkey as varchar) as o_custkey, cast(max(o_orderkey) as varchar) as o_orderkey from orders group by o_custkey",
+}

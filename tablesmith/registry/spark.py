@@ -13,7 +13,7 @@ from tablesmith.functions.tokens import NA_TOKENS
 from tablesmith.plans import jobs as jobplan
 from tablesmith.plans.sync import SyncSpec, sync_rows, sync_table
 from tablesmith.registry.inputs import (EXPORT_COLUMNS, ORDERS_MAPPING, jobs_frame, mapping_rows, orders_export,
-                                        register_views, table)
+                                        register_views, shared_jobs_frame, table)
 from tablesmith.session import work_path
 from tablesmith.sinks.files import csv_export, view_export, write_documents
 from tablesmith.sinks.tables import TableStore
@@ -227,8 +227,8 @@ def q_param_query(spark, sf):
 
 # -- loads --------------------------------------------------------------------
 def q_import_new_table(spark, sf):
-    store, name = _store(spark), _name("orders_imported")
     """The file has missing-value tokens in text and number cells."""
+    store, name = _store(spark), _name("orders_imported")
     k = F.col("o_orderkey")
     dirty = table(spark, sf, "orders").withColumn("o_orderpriority", F.when(k % 7 == 0, "N/A").otherwise(F.col("o_orderpriority"))) \
         .withColumn("o_totalprice", F.when(k % 11 == 0, "NA").otherwise(F.col("o_totalprice").cast("string")))
@@ -419,30 +419,38 @@ def q_failure_alerts(spark, sf):
     return jobplan.failure_alerts(jobs, results)
 
 
-def _job_report(store, jobs: DataFrame, results: DataFrame, updated: DataFrame) -> DataFrame:
-    """Statuses, and what the tables of the jobs that ran now hold."""
-    loaded = None
-    for r in results.filter("status = 'PASS'").join(jobs.select("job_id", "target_table"), "job_id").collect():
-        one = store.read(r["target_table"]).agg(
+def _job_report(store, run: str, results: DataFrame, updated: DataFrame) -> DataFrame:
+    """Statuses, and what the tables of the jobs that ran now hold; target names without the end that this run gave them."""
+    spark = updated.sparkSession
+    loaded = spark.createDataFrame([], "n_rows bigint, balance double, first_name string, n_ids bigint, job_id string")
+    for r in results.filter("status = 'PASS'").join(updated.select("job_id", "target_table"), "job_id").collect():
+        loaded = loaded.unionByName(store.read(r["target_table"]).agg(
             F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("balance"), 2).alias("balance"), F.min("name").alias("first_name"),
-            F.count_distinct("id").alias("n_ids")).withColumn("job_id", F.lit(r["job_id"]))
-        loaded = one if loaded is None else loaded.unionByName(one)
+            F.count_distinct("id").alias("n_ids")).withColumn("job_id", F.lit(r["job_id"])))
     return updated.join(results.select("job_id", "rows_loaded"), "job_id", "left").join(loaded, "job_id", "left") \
+        .withColumn("target_table", F.replace("target_table", F.lit(run), F.lit(""))) \
         .select("job_id", "target_table", "status", "message", "rows_loaded", "n_rows", "balance", "first_name", "n_ids")
 
 
 def q_sync_jobs(spark, sf):
     register_views(spark, sf, "customer")
-    jobs, store = jobs_frame(spark, sf), _store(spark)
-    results, updated = jobplan.run_jobs(spark, jobs, store, pending=True)
-    return _job_report(store, jobs, results, updated)
+    run, store = _name(""), _store(spark)
+    return _job_report(store, run, *jobplan.run_jobs(spark, jobs_frame(spark, sf, run), store, pending=True))
 
 
 def q_refetch(spark, sf):
     register_views(spark, sf, "customer")
-    jobs, store = jobs_frame(spark, sf), _store(spark)
-    results, updated = jobplan.refetch(spark, jobs, store, "status = 'FAILED'")
-    return _job_report(store, jobs, results, updated)
+    run, store = _name(""), _store(spark)
+    return _job_report(store, run, *jobplan.refetch(spark, jobs_frame(spark, sf, run), store, "status = 'FAILED'"))
+
+
+def q_sync_jobs_shared(spark, sf):
+    """Twenty-five jobs over one table, which is scanned once; the one whose criteria is wrong fails alone."""
+    register_views(spark, sf, "customer")
+    run, store = _name(""), _store(spark)
+    report = _job_report(store, run, *jobplan.run_jobs(spark, shared_jobs_frame(spark, sf, run), store, pending=True))
+    return report.withColumn("message", F.when(F.col("status") == "FAILED", F.col("message").contains("no_such_column").cast("string"))
+                             .otherwise(F.col("message")))
 
 
 # -- scalar functions ----------------------------------------------------------------
@@ -550,3 +558,112 @@ def q_landing_sync(spark, sf):
 
 
 QUERIES["landing_sync"] = q_landing_sync
+
+
+# -- changes of stored tables ---------------------------------------------------------------
+def _stored_orders(spark, sf, **layout):
+    """Orders as a stored table of three parts, or bucketed."""
+    store, name, o = _store(spark), _name("orders_stored"), table(spark, sf, "orders")
+    if layout:
+        store.import_new_table(name, o, **layout)
+    else:
+        store.import_new_table(name, o.filter("o_orderkey % 3 = 0"))
+        store.append(name, o.filter("o_orderkey % 3 = 1"))
+        store.append(name, o.filter("o_orderkey % 3 = 2"))
+    return store, name
+
+
+def q_update_where_stored(spark, sf):
+    store, name = _stored_orders(spark, sf, bucket_keys=["o_orderkey"], buckets=16)
+    done = store.update_where(name, {"o_orderpriority": "0-CRITICAL", "o_custkey": 0}, UPDATE_CRITERIA)
+    return store.read(name).withColumn("n_updated", F.lit(done["updated_rows"]).cast("bigint"))
+
+
+def q_delete_where_stored(spark, sf):
+    store, name = _stored_orders(spark, sf)
+    n = store.delete_where(name, "o_orderkey % 3 = 1 and o_orderstatus = 'F'")
+    return store.read(name).withColumn("n_deleted", F.lit(n).cast("bigint"))
+
+
+def q_add_row_stored(spark, sf):
+    store, name = _stored_orders(spark, sf)
+    done = store.add_rows(name, [{"o_orderkey": 1_000_000_001, "o_orderdate": "2024-01-02 00:00:00"}, {"o_orderkey": 1_000_000_002, "o_totalprice": "1.5"}])
+    return store.read(name).withColumn("n_added", F.lit(done["added_rows"]).cast("bigint"))
+
+
+def q_columns_stored(spark, sf):
+    """A name is given away and taken anew, a column is dropped and comes back empty, one is hidden; no file is rewritten."""
+    store, name, p = _store(spark), _name("parts_stored"), table(spark, sf, "part")
+    store.import_new_table(name, p)
+    store.rename_column(name, "p_name", "p_title")
+    store.add_column(name, "p_name", "STRING")
+    store.delete_column(name, "p_type")
+    store.add_column(name, "p_type", "NUMBER")
+    store.hide_columns(name, ["p_brand", "p_size"])
+    store.append(name, p.filter("p_partkey % 10 = 0").select((F.col("p_partkey") + 1_000_000).alias("p_partkey"), F.upper("p_name").alias("p_name"),
+                                                             "p_brand", F.col("p_size").cast("double").alias("p_type")))
+    store.show_columns(name, ["p_brand"])
+    return store.read(name)
+
+
+def _changed_orders(spark, sf):
+    """A later export: some orders are gone, some have another status."""
+    o = orders_export(spark, sf)
+    k = F.col("o_orderkey").cast("bigint")
+    return o.filter(k % 11 != 0).withColumn("o_orderstatus", F.when(k % 10 == 3, F.lit("X")).otherwise(F.col("o_orderstatus")))
+
+
+def q_refresh_difference(spark, sf):
+    """A sync, the sync of a later export, and the same again: what was added, what was dropped, and that the last wrote nothing."""
+    store, name = _store(spark), _name("orders_refreshed")
+    store.create_table(name, "id string, order_no string, amount double, order_date string, priority string, status string", bucket_keys=["id"], buckets=16)
+    spec = SyncSpec(ORDERS_MAPPING, name)
+    loads = []
+    for export in (orders_export, _changed_orders, _changed_orders):
+        sync_table(export(spark, sf), spec, store, difference=True)
+        loads.append(store.last_load(name))
+    return store.read(name).withColumns({"n_added": F.lit(loads[1]["added"]), "n_removed": F.lit(loads[1]["removed"]),
+                                         "n_written_again": F.lit(loads[2]["rows_written"]).cast("bigint")})
+
+
+def q_load_details(spark, sf):
+    """Loads by their ids: one that was waited for, and one that failed."""
+    store, name, o = _store(spark), _name("orders_loads"), table(spark, sf, "orders")
+    store.create_table(name, o.schema)
+    good = store.start_load("append", name, o.filter("o_orderstatus = 'F'"))
+    wrong = store.start_load("append", name, o.withColumn("no_such_column", F.lit(1)))
+    rows = [("good", good.wait()), ("wrong", wrong.wait())]
+    found = [(k, d["load_id"] == h.load_id, d["mode"], d["status"], "no_such_column" in (d["message"] or ""))
+             for (k, d), h in zip(rows, (good, wrong))]
+    return spark.createDataFrame(found, "which string, by_id boolean, mode string, status string, says_why boolean") \
+        .withColumn("n_rows", F.lit(store.read(name).count()))
+
+
+def q_save_as_shared(spark, sf):
+    """A copy of the same parts, changed on its own, after the versions behind both were expired."""
+    store, name = _stored_orders(spark, sf)
+    store.save_as(name, name + "_copy")
+    store.delete_where(name, "o_orderkey % 3 = 1")
+    store.update_where(name + "_copy", {"o_orderstatus": "C"}, "o_orderkey % 3 = 2")
+    for n in (name, name + "_copy"):
+        store.expire_versions(n, keep=1)
+    return store.read(name).withColumn("of", F.lit("source")).unionByName(store.read(name + "_copy").withColumn("of", F.lit("copy")))
+
+
+# -- large CSV files -------------------------------------------------------------------------
+def q_csv_scan_split(spark, sf):
+    """The dirty export, with quoted line breaks, read in blocks."""
+    return csv_scan(spark, csv_export(_dirty_export(spark, sf), work_path(spark, "exports", "orders_dirty")), EXPORT_COLUMNS, split=True)
+
+
+def q_first_wins_file(spark, sf):
+    """The first row of each customer in the order of the files: their latest order, as these were exported by falling key."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice").orderBy(F.col("o_orderkey").desc())
+    scan = csv_scan(spark, csv_export(o, work_path(spark, "exports", "orders_sorted")), split=True, with_position=True)
+    return ts.first_wins(scan, ["o_custkey"], "pos").select("o_custkey", "o_orderkey")
+
+
+QUERIES |= {"sync_jobs_shared": q_sync_jobs_shared, "update_where_stored": q_update_where_stored, "delete_where_stored": q_delete_where_stored,
+            "add_row_stored": q_add_row_stored, "columns_stored": q_columns_stored, "refresh_difference": q_refresh_difference,
+            "load_details": q_load_details, "save_as_shared": q_save_as_shared, "csv_scan_split": q_csv_scan_split,
+            "first_wins_file": q_first_wins_file}

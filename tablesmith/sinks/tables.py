@@ -21,21 +21,23 @@ only the buckets that the batch touches; an update-add writes those buckets
 anew, and one commit makes the new part live for all of them at once and the old
 parts dead for them. Rows are brought together by bucket before they are
 written, so a load leaves about one file per bucket. ``compact`` rewrites a
-table of many parts as one; ``expire_versions`` deletes parts that only old
-versions use.
+table of many parts as one. ``save_as`` makes a table of the same parts;
+``expire_versions`` deletes parts that no version still kept uses, of the table
+itself or of one that shares them. Row and column changes and the refresh by
+difference are in ``changes``, the entries of running and failed loads in
+``loads``.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import time
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import replace
 
 from py4j.protocol import Py4JError
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,10 +46,13 @@ from tablesmith.operators.merge import conform, conform_batch, first_per_key, ne
 from tablesmith.operators.rowid import ID
 from tablesmith.operators.sizing import assert_unique, key_stats
 from tablesmith.session import delete_path, staged, work_path
+from tablesmith.sinks.changes import ColumnChanges, Refresh, RowChanges
+from tablesmith.sinks.loads import LoadJobs, load_id, tracked
+from tablesmith.sinks.versions import Layout, Part, Version, layout, plain
 from tablesmith.sources.sql import table_name
 
 LOAD_DDL = ("load_id string, table_name string, mode string, location string, rows_written bigint, "
-            "updated bigint, added bigint, started_ms bigint, ended_ms bigint")
+            "updated bigint, added bigint, removed bigint, started_ms bigint, ended_ms bigint")
 #: Times an update-add or insert-ignore starts again after another writer was faster.
 RETRIES = 5
 #: Seconds after which a claim without its commit is taken for a dead writer's (between the two lies one rename).
@@ -62,66 +67,7 @@ def _sql_text(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-@dataclass(frozen=True)
-class Layout:
-    """How a table's rows are laid out: plain, or bucketed by a hash of ``keys``."""
-
-    keys: tuple[str, ...] = ()
-    buckets: int = 0
-
-    @property
-    def bucketed(self) -> bool:
-        return self.buckets > 0
-
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*[col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
-
-
-def layout(bucket_keys: Sequence[str] | None = None, buckets: int | None = None) -> Layout | None:
-    if not bucket_keys and not buckets:
-        return None
-    if not bucket_keys or not buckets or buckets < 1:
-        raise ValueError("bucketing needs both bucket_keys and buckets >= 1")
-    return Layout(tuple(bucket_keys), int(buckets))
-
-
-@dataclass(frozen=True)
-class Part:
-    """A folder of rows; of a bucketed table, the buckets it has and those of them that are live."""
-
-    path: str
-    has: tuple[int, ...] | None = None
-    live: tuple[int, ...] | None = None
-
-    def without(self, buckets: set[int]) -> Part | None:
-        live = tuple(b for b in self.live if b not in buckets)
-        return replace(self, live=live) if live else None
-
-
-@dataclass(frozen=True)
-class Version:
-    """One committed state of a table."""
-
-    number: int
-    schema: T.StructType
-    lay: Layout
-    bucket_col: str | None
-    parts: tuple[Part, ...]
-    load: dict = field(default_factory=dict)
-
-    def to_json(self) -> str:
-        return json.dumps({"number": self.number, "schema": self.schema.json(), "keys": self.lay.keys, "buckets": self.lay.buckets,
-                           "bucket_col": self.bucket_col, "parts": [[p.path, p.has, p.live] for p in self.parts], "load": self.load})
-
-    @staticmethod
-    def from_json(text: str) -> Version:
-        d = json.loads(text)
-        tup = lambda x: None if x is None else tuple(x)
-        return Version(d["number"], T.StructType.fromJson(json.loads(d["schema"])), Layout(tuple(d["keys"]), d["buckets"]),
-                       d["bucket_col"], tuple(Part(p, tup(h), tup(v)) for p, h, v in d["parts"]), d["load"])
-
-
-class TableStore:
+class TableStore(RowChanges, ColumnChanges, Refresh, LoadJobs):
     """Tables whose parts and commits live under ``root``, each readable by name through its view.
 
     ``root`` defaults to ``<spark.checkpoint.dir>/tablesmith/tables``, the
@@ -160,47 +106,66 @@ class TableStore:
         number = self._latest_number(name)
         if not number:
             return None
-        fs, path = self._fs(self._commit_file(name, number))
-        stream = fs.open(path)
+        v = Version.from_json(self._text(self._commit_file(name, number)))
+        return None if v.load.get("mode") == "drop" else v
+
+    def _text(self, path: str) -> str:
+        fs, jpath = self._fs(path)
+        stream = fs.open(jpath)
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        v = Version.from_json(text)
-        return None if v.load.get("mode") == "drop" else v
 
     def _create_exclusively(self, path: str, text: str) -> bool:
-        """Create the file with all of its text unless it exists; False when another writer has it or is just making it.
+        """Create the file with all of its text unless it exists; False when another writer has it.
 
-        A claim, created if absent, decides between writers; one that its writer
-        left behind for ``STALE_CLAIM_S`` without the file is cleared.
+        A claim, created if absent, decides between writers, and says whose it is.
+        While another's claim stands its commit is waited for; a claim left behind
+        for ``STALE_CLAIM_S`` without the file is cleared, and a writer whose claim
+        was cleared so gives up.
         """
         fs, target = self._fs(path)
         fs.mkdirs(target.getParent())
         _, claim = self._fs(path + ".claim")
-        if fs.exists(target):
-            return False
-        if fs.exists(claim) and time.time() * 1000 - fs.getFileStatus(claim).getModificationTime() > STALE_CLAIM_S * 1000:
-            fs.delete(claim, False)
-        _, own = self._fs(f"{path}.{uuid.uuid4().hex}.tmp")
+        owner = uuid.uuid4().hex
+        while True:
+            if fs.exists(target):
+                return False
+            try:
+                out = fs.create(claim, False)
+                out.write(bytearray(owner.encode()))
+                out.close()
+                break
+            except Exception as e:
+                if "AlreadyExists" not in str(e) and "already exists" not in str(e):
+                    raise
+            try:
+                if time.time() * 1000 - fs.getFileStatus(claim).getModificationTime() > STALE_CLAIM_S * 1000:
+                    fs.delete(claim, False)
+            except Exception:       # gone meanwhile
+                continue
+            time.sleep(0.1)
+        _, own = self._fs(f"{path}.{owner}.tmp")
         out = fs.create(own, False)
         out.write(bytearray(text.encode()))
         out.close()
-        try:
-            fs.create(claim, False).close()
-        except Exception as e:
+        if self._owner(path + ".claim") != owner or fs.exists(target):
             fs.delete(own, False)
-            if "AlreadyExists" in str(e) or "already exists" in str(e):
-                return False
-            raise
+            return False
         return bool(fs.rename(own, target))
 
-    def _commit(self, name: str, base: Version | None, schema: T.StructType, lay: Layout, bucket_col: str | None,
-                parts: Sequence[Part], load: dict) -> Version:
+    def _owner(self, claim: str) -> str | None:
+        try:
+            return self._text(claim)
+        except Exception:           # cleared by another writer
+            return None
+
+    def _commit(self, name: str, base: Version | None, new: Version) -> Version:
         number = self._latest_number(name)
         if number != (base.number if base else number if self.version(name) is None else -1):
             raise ConcurrentWrite(f"table {name!r} is at version {number}")
-        new = Version(number + 1, schema, lay, bucket_col, tuple(parts), load)
+        new = replace(new, number=number + 1)
         if not self._create_exclusively(self._commit_file(name, new.number), new.to_json()):
             raise ConcurrentWrite(f"version {new.number} of table {name!r} was taken")
         self._swap(name)
@@ -220,47 +185,72 @@ class TableStore:
             if self._latest_number(name) == v.number:
                 return
 
-    def _groups(self, v: Version) -> list[tuple[list[str], tuple[int, ...] | None]]:
-        """Part folders that one scan reads, and the buckets to read if not all: plain parts together, bucketed ones each."""
-        if not v.lay.bucketed:
-            return [([p.path for p in v.parts], None)]
-        return [([p.path], None if p.live == p.has else p.live) for p in v.parts]
+    def _groups(self, v: Version) -> list[tuple[list[Part], tuple[int, ...] | None]]:
+        """Parts that one scan reads, and the buckets to read if not all: plain parts with the same columns together, bucketed ones each."""
+        if v.lay.bucketed:
+            return [([p], None if p.live == p.has else p.live) for p in v.parts]
+        alike: dict[tuple[str, ...], list[Part]] = {}
+        for p in v.parts:
+            alike.setdefault(tuple(sorted(p.lacks)), []).append(p)
+        return [(parts, None) for parts in alike.values()]
 
     def _view_sql(self, v: Version) -> str:
-        columns = ", ".join(quote(f.name) for f in v.schema.fields)
+        def column(f: T.StructField, lacks: tuple[str, ...]) -> str:
+            own = v.stored_name(f.name)
+            if own in lacks:
+                return f"CAST(NULL AS {T.StructType([T.StructField('c', f.dataType)]).toDDL().split(' ', 1)[1]}) AS {quote(f.name)}"
+            return quote(own) if own == f.name else f"{quote(own)} AS {quote(f.name)}"
+
+        visible = [f for f in v.schema.fields if f.name not in v.hidden]
         selects = []
-        for paths, live in self._groups(v):
+        for parts, live in self._groups(v):
             where = f" WHERE {quote(v.bucket_col)} IN ({', '.join(map(str, live))})" if live is not None else ""
-            folder, names = paths[0].rsplit("/", 1)[0], [p.rsplit("/", 1)[1] for p in paths]
-            path = paths[0] if len(paths) == 1 else f"{folder}/{{{','.join(names)}}}"
-            selects.append(f"SELECT {columns} FROM {self.fmt}.`{path}`{where}")
+            folders: dict[str, list[str]] = {}          # a table saved from another has parts in both folders
+            for p in parts:
+                folder, own = p.path.rsplit("/", 1)
+                folders.setdefault(folder, []).append(own)
+            for folder, names in folders.items():
+                path = f"{folder}/{names[0]}" if len(names) == 1 else f"{folder}/{{{','.join(names)}}}"
+                selects.append(f"SELECT {', '.join(column(f, parts[0].lacks) for f in visible)} FROM {self.fmt}.`{path}`{where}")
         return " UNION ALL ".join(selects)
 
     # -- reading ---------------------------------------------------------------
     def exists(self, name: str) -> bool:
         return self.version(name) is not None or self.spark.catalog.tableExists(name)
 
-    def _frame(self, v: Version, buckets: Sequence[int] | None = None) -> DataFrame:
-        """Rows of a version (of the given buckets only), without its bucket column."""
-        names = [f.name for f in v.schema.fields]
-        schema = T.StructType([*v.schema.fields, *([T.StructField(v.bucket_col, T.IntegerType())] if v.bucket_col else [])])
+    def _scans(self, v: Version, buckets: Sequence[int] | None = None) -> list[DataFrame]:
+        """The stored rows of each group of parts, under their stored names."""
+        fields = [T.StructField(v.stored_name(f.name), f.dataType) for f in v.schema.fields]
+        schema = T.StructType([*fields, *([T.StructField(v.bucket_col, T.IntegerType())] if v.bucket_col else [])])
         frames = []
-        for paths, live in self._groups(v):
-            df = self.spark.read.schema(schema).format(self.fmt).load(paths)
+        for parts, live in self._groups(v):
+            df = self.spark.read.schema(schema).format(self.fmt).load([p.path for p in parts])
             if live is not None:
                 df = df.filter(col(v.bucket_col).isin(list(live)))
             if buckets is not None:
                 df = df.filter(col(v.bucket_col).isin(list(buckets)))
-            frames.append(df.select(*map(col, names)))
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionAll(f)
-        return out
+            frames.append(df)
+        return frames
 
-    def read(self, name: str) -> DataFrame:
-        """The table's current rows. A name that is no table of this store is read from the catalog."""
+    def _frame(self, v: Version, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Rows of a version (of the given buckets only), hidden columns too, without its bucket column."""
+        columns = [col(v.stored_name(f.name)).alias(f.name) for f in v.schema.fields]
+        return _union([df.select(*columns) for df in self._scans(v, buckets)])
+
+    def _placed(self, v: Version, part: str, bucket: str) -> DataFrame:
+        """The rows with the name of their part's folder and their bucket (null where there are none)."""
+        where = F.regexp_extract(F.col("_metadata.file_path"), r"/(v-[0-9]+-[0-9a-f]+)/[^/]*(?:/[^/]*)?$", 1).alias(part)
+        own = (col(v.bucket_col) if v.bucket_col else F.lit(None).cast("int")).alias(bucket)
+        return _union([df.select(*[col(v.stored_name(f.name)).alias(f.name) for f in v.schema.fields], where, own) for df in self._scans(v)])
+
+    def read(self, name: str, hidden: bool = False) -> DataFrame:
+        """The table's current rows (with ``hidden``, its hidden columns too). A name that is no table of this store is read
+        from the catalog."""
         v = self.version(name)
-        return self._frame(v) if v is not None else self.spark.table(table_name(name))
+        if v is None:
+            return self.spark.table(table_name(name))
+        rows = self._frame(v)
+        return rows if hidden or not v.hidden else rows.select(*[col(f.name) for f in v.schema.fields if f.name not in v.hidden])
 
     def _need(self, name: str) -> Version:
         v = self.version(name)
@@ -300,31 +290,30 @@ class TableStore:
         v = self.version(name)
         return Row(**v.load) if v else None
 
-    def load_details(self, name: str, load_id: str):
-        return self.load_history(name).filter(F.col("load_id") == load_id).first()
-
     # -- writing -----------------------------------------------------------------
     def drop(self, name: str) -> None:
         """Forget the table; its folders and its history are kept."""
         v = self.version(name)
         if v is not None:
-            self._commit(name, v, v.schema, Layout(), None, (), {"mode": "drop"})
+            self._commit(name, v, Version(0, v.schema, Layout(), None, (), {"mode": "drop"}))
 
-    def _write(self, name: str, df: DataFrame, lay: Layout, bucket_col: str | None) -> tuple[Part, int]:
-        """``df`` as a new part folder; (part, rows)."""
+    def _write(self, name: str, df: DataFrame, v: Version) -> tuple[Part, int]:
+        """``df``, with the version's columns, as a new part folder of its layout; (part, rows)."""
         obs = Observation(f"load_{uuid.uuid4().hex}")
         path = f"{self._folder(name)}/v-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-        if not lay.bucketed:
-            df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(self.fmt).save(path)
+        columns = [col(f.name).alias(v.stored_name(f.name)) for f in v.schema.fields]
+        if not v.lay.bucketed:
+            df.select(*columns).observe(obs, F.count(F.lit(1)).alias("rows")).write.format(self.fmt).save(path)
             return Part(path), self._observed(obs, path)
         # Rows of a bucket come together before they are written (a large bucket is split by Spark).
-        rows = df.withColumn(bucket_col, lay.bucket()).observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", col(bucket_col))
-        rows.write.format(self.fmt).partitionBy(bucket_col).save(path)
+        rows = df.select(*columns, v.lay.bucket().alias(v.bucket_col)).observe(obs, F.count(F.lit(1)).alias("rows")) \
+            .hint("rebalance", col(v.bucket_col))
+        rows.write.format(self.fmt).partitionBy(v.bucket_col).save(path)
         fs, jpath = self._fs(path)
         found = [re.fullmatch(r".*=(\d+)", f.getPath().getName()) for f in fs.listStatus(jpath)]
         has = tuple(sorted(int(m[1]) for m in found if m))
         if not has:     # no rows: a folder without files has no schema of its own
-            df.limit(0).withColumn(bucket_col, F.lit(0)).write.format(self.fmt).mode("overwrite").save(path)
+            df.limit(0).select(*columns, F.lit(0).alias(v.bucket_col)).write.format(self.fmt).mode("overwrite").save(path)
             return Part(path, has, has), 0
         return Part(path, has, has), self._observed(obs, path)
 
@@ -336,9 +325,9 @@ class TableStore:
             return self.spark.read.format(self.fmt).load(path).count()
 
     def _load(self, name: str, mode: str, part: Part | None, rows: int, started: int, updated: int | None = None,
-              added: int | None = None) -> dict:
-        return {"load_id": uuid.uuid4().hex, "table_name": name, "mode": mode, "location": part.path if part else None,
-                "rows_written": rows, "updated": updated, "added": added, "started_ms": started,
+              added: int | None = None, removed: int | None = None) -> dict:
+        return {"load_id": load_id(), "table_name": name, "mode": mode, "location": part.path if part else None,
+                "rows_written": rows, "updated": updated, "added": added, "removed": removed, "started_ms": started,
                 "ended_ms": int(time.time() * 1000)}
 
     def _check_free(self, name: str) -> None:
@@ -356,19 +345,21 @@ class TableStore:
                 time.sleep(0.2 * (RETRIES + 1 - left))
         raise AssertionError
 
-    def publish(self, name: str, df: DataFrame, lay: Layout | None = None, mode: str = "publish") -> str:
-        """Write ``df`` as the table's next version, replacing all its rows."""
+    def publish(self, name: str, df: DataFrame, lay: Layout | None = None, mode: str = "publish", content: str | None = None,
+                like: Version | None = None) -> str:
+        """Write ``df`` as the table's next version, replacing all its rows (``like``: under that version's columns)."""
         started, lay = int(time.time() * 1000), lay or Layout()
         self._check_free(name)
         missing = [k for k in lay.keys if k not in df.columns]
         if missing:
             raise ValueError(f"bucket key(s) {missing} not in the table")
-        bucket_col = fresh("_bucket", df.columns) if lay.bucketed else None
-        part, rows = self._write(name, df, lay, bucket_col)
-        return self._again(lambda: self._commit(name, self.version(name), _plain(df.schema), lay, bucket_col, [part],
-                                                self._load(name, mode, part, rows, started)).load["location"])
+        new = like or Version(0, plain(df.schema), lay, fresh("_bucket", df.columns) if lay.bucketed else None, ())
+        part, rows = self._write(name, df, new)
+        return self._again(lambda: self._commit(name, self.version(name), new.next(
+            [part], self._load(name, mode, part, rows, started), content=content)).load["location"])
 
     # -- load modes ----------------------------------------------------------------
+    @tracked
     def create_table(self, name: str, schema: T.StructType | str, *, bucket_keys: Sequence[str] | None = None,
                      buckets: int | None = None) -> str:
         """Empty table from a design (StructType or DDL), optionally key-bucketed."""
@@ -376,6 +367,7 @@ class TableStore:
             raise ValueError(f"table {name!r} exists")
         return self.publish(name, self.spark.createDataFrame([], schema), layout(bucket_keys, buckets), "create")
 
+    @tracked
     def import_new_table(self, name: str, df: DataFrame, *, bucket_keys: Sequence[str] | None = None,
                          buckets: int | None = None) -> str:
         """Create the table from ``df``; fails when it exists."""
@@ -383,6 +375,7 @@ class TableStore:
             raise ValueError(f"table {name!r} exists")
         return self.publish(name, df, layout(bucket_keys, buckets), "import_new")
 
+    @tracked
     def full_refresh(self, name: str, df: DataFrame, *, bucket_keys: Sequence[str] | None = None,
                      buckets: int | None = None) -> str:
         """Replace table and schema by ``df``. The table keeps its bucketing unless a new one is given."""
@@ -391,29 +384,32 @@ class TableStore:
             lay = Layout()
         return self.publish(name, df, lay, "full_refresh")
 
+    @tracked
     def truncate_add(self, name: str, df: DataFrame) -> str:
         """Replace all rows, keep the table's schema and layout."""
         v = self._need(name)
-        return self.publish(name, conform(df, v.schema), v.lay, "truncateadd")
+        return self.publish(name, conform(df, v.schema), v.lay, "truncateadd", like=v)
 
     def _add_part(self, name: str, df: DataFrame, mode: str, expected: Version, rebase: bool, started: int) -> str:
-        part, rows = self._write(name, df, expected.lay, expected.bucket_col)
+        part, rows = self._write(name, df, expected)
+        shape = lambda v: (v.schema, v.lay, sorted(v.stored))
 
         def commit() -> str:
             v = self._need(name)
-            if v.number != expected.number and not (rebase and v.schema == expected.schema and v.lay == expected.lay):
+            if v.number != expected.number and not (rebase and shape(v) == shape(expected)):
                 raise ConcurrentWrite(f"table {name!r} changed")
             keep = v.parts if not rows else (*[p for p in v.parts if p.live is None or p.live], part)
-            return self._commit(name, v, v.schema, v.lay, v.bucket_col, keep or (part,),
-                                self._load(name, mode, part, rows, started, 0, rows)).load["location"]
+            return self._commit(name, v, v.next(keep or (part,), self._load(name, mode, part, rows, started, 0, rows))).load["location"]
 
         return self._again(commit) if rebase else commit()
 
+    @tracked
     def append(self, name: str, df: DataFrame) -> str:
         """Add rows as a new part. Another writer's commit meanwhile is kept, too."""
         v, started = self._need(name), int(time.time() * 1000)
         return self._add_part(name, conform(df, v.schema), "append", v, True, started)
 
+    @tracked
     def update_add(self, name: str, df: DataFrame, keys: Sequence[str], **kw) -> str:
         """Update rows with matching keys, add the rest; the audit entry has both counts.
 
@@ -435,15 +431,15 @@ class TableStore:
         stats = (assert_unique(batch, keys, "upsert batch", bucket=bucket) if check else key_stats(batch, keys, bucket=bucket))
         touched = set(stats["buckets"]) if own else None
         if own and not touched:
-            return self._commit(name, v, v.schema, v.lay, v.bucket_col, v.parts,
-                                self._load(name, "updateadd", None, 0, started, 0, 0)).load["location"]
+            return self._commit(name, v, v.next(v.parts, self._load(name, "updateadd", None, 0, started, 0, 0))).load["location"]
         part_rows = self._frame(v, sorted(touched)) if own else self._frame(v)
-        part, rows = self._write(name, upsert(part_rows, batch, keys, stats=stats, **kw), v.lay, v.bucket_col)
+        part, rows = self._write(name, upsert(part_rows, batch, keys, stats=stats, **kw), v)
         kept = [p for p in (q.without(touched) for q in v.parts if q.live) if p] if own else []
         added = rows - self._count(v, sorted(touched) if own else None)
-        return self._commit(name, v, v.schema, v.lay, v.bucket_col, [*kept, part],
-                            self._load(name, "updateadd", part, rows, started, stats["rows"] - added, added)).load["location"]
+        load = self._load(name, "updateadd", part, rows, started, stats["rows"] - added, added)
+        return self._commit(name, v, v.next([*kept, part], load)).load["location"]
 
+    @tracked
     def update_matching(self, name: str, df: DataFrame, keys: Sequence[str]) -> str:
         """Set the batch's columns on the rows with its keys; keys that the table lacks are passed over."""
         started = int(time.time() * 1000)
@@ -463,6 +459,7 @@ class TableStore:
         """Rows of a version (of some buckets): Parquet footers, no column is read."""
         return self._frame(v, buckets).count()
 
+    @tracked
     def insert_ignore(self, name: str, df: DataFrame, keys: Sequence[str] = (ID,), order_by: str | None = None,
                       observation: Observation | None = None) -> str:
         """Add batch rows whose key is absent (a new part; nothing is rewritten). Null keys are rejected.
@@ -488,41 +485,63 @@ class TableStore:
             add = add.observe(observation, F.count(F.lit(1)).alias("inserted_rows"))
         return self._add_part(name, add, "insert_ignore", v, False, started)
 
+    @tracked
     def compact(self, name: str) -> str:
         """The same rows as one part."""
         def work() -> str:
             started, v = int(time.time() * 1000), self._need(name)
-            part, rows = self._write(name, self._frame(v), v.lay, v.bucket_col)
-            return self._commit(name, v, v.schema, v.lay, v.bucket_col, [part],
-                                self._load(name, "compact", part, rows, started)).load["location"]
+            part, rows = self._write(name, self._frame(v), v)
+            return self._commit(name, v, v.next([part], self._load(name, "compact", part, rows, started), content=v.content)).load["location"]
         return self._again(work)
 
     def n_parts(self, name: str) -> int:
         return len(self._need(name).parts)
 
-    def expire_versions(self, name: str, keep: int = 2) -> list[str]:
-        """Delete the part folders that none of the last ``keep`` versions uses; returns them. Commits stay."""
-        last, used, every = self._latest_number(name), set(), set()
-        for number in range(1, last + 1):
-            fs, path = self._fs(self._commit_file(name, number))
-            stream = fs.open(path)
-            try:
-                v = Version.from_json(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-            finally:
-                stream.close()
-            paths = {p.path for p in v.parts}
-            every |= paths
-            if number > last - max(1, keep):
-                used |= paths
-        for path in sorted(every - used):
-            delete_path(self.spark, path)
-        return sorted(every - used)
+    def _uses(self, folder: str) -> list:
+        """(path, last) of a table's parts: the newest version that uses each (one scan of its commits)."""
+        commits = self.spark.read.schema("number bigint, parts array<array<string>>").option("pathGlobFilter", "*.json").json(f"{folder}/_commits")
+        return commits.select("number", F.explode("parts").alias("p")).groupBy(F.col("p")[0].alias("path")) \
+            .agg(F.max("number").alias("last")).collect()
+
+    def _number(self, path: str) -> int:
+        fs, jpath = self._fs(path)
+        return int(self._text(path)) if fs.exists(jpath) else 0
+
+    def _children(self, path: str) -> list[str]:
+        fs, jpath = self._fs(path)
+        return [f.getPath().getName() for f in fs.listStatus(jpath)] if fs.exists(jpath) else []
 
+    def expire_versions(self, name: str, keep: int = 2) -> list[str]:
+        """Forget all but the last ``keep`` versions and delete the part folders that no version uses any more, neither of this
+        table nor of one that shares them; returns those folders. Commits stay, as the load history."""
+        own = self._folder(name)
+        fs, path = self._fs(f"{own}/_expired")
+        out = fs.create(path, True)
+        out.write(bytearray(str(max(0, self._latest_number(name) - max(1, keep))).encode()))
+        out.close()
+        gone = {r["path"] for r in self._uses(own)}
+        owners = {p.rsplit("/", 1)[0] for p in gone}
+        sharing = {own, *owners, *(f"{self.root}/{t}" for o in owners for t in self._children(f"{o}/_shared"))}
+        for folder in sharing:
+            expired = self._number(f"{folder}/_expired")
+            gone -= {r["path"] for r in self._uses(folder) if r["last"] > expired}
+        for p in sorted(gone):
+            delete_path(self.spark, p)
+        return sorted(gone)
+
+    @tracked
     def save_as(self, source: str, new_name: str) -> str:
-        """Copy a table (and its layout) under a new name."""
+        """The table under a new name, of the same parts: no rows are written, and either may change or expire on its own."""
         if self.exists(new_name):
             raise ValueError(f"table {new_name!r} exists")
-        return self.publish(new_name, self.read(source), self.layout(source), "save_as")
+        v, started = self.version(source), int(time.time() * 1000)
+        if v is None:
+            return self.publish(new_name, self.read(source), None, "save_as")
+        for owner in {p.path.rsplit("/", 1)[0] for p in v.parts}:         # known as a user before it uses them
+            fs, mark = self._fs(f"{owner}/_shared/{self._folder(new_name).rsplit('/', 1)[1]}")
+            fs.create(mark, True).close()
+        load = self._load(new_name, "save_as", None, 0, started) | {"location": v.load.get("location")}
+        return self._commit(new_name, None, v.next(v.parts, load, content=v.content)).load["location"]
 
     def copy_tables(self, names: Sequence[str], dest_database: str) -> dict[str, str]:
         """Copy tables (data and layout) into another database; returns ``name -> new name``."""
@@ -535,6 +554,8 @@ class TableStore:
         return out
 
 
-def _plain(schema: T.StructType) -> T.StructType:
-    """Names and types only (all nullable, no metadata): what the files hold."""
-    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionAll(f)
+    return out

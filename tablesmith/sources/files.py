@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +13,8 @@ from tablesmith.functions import expressions as fx
 from tablesmith.functions.tokens import NA_TOKENS
 from tablesmith.operators.clean import null_tokens
 from tablesmith.operators.mapping import MAPPING_DDL
+from tablesmith.operators.sizing import broadcast_if_small
+from tablesmith.session import staged
 
 POS = "pos"
 
@@ -36,27 +39,97 @@ def _first_header(spark: SparkSession, path, recursive: bool) -> list[str]:
 
 def csv_scan(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, *,
              na_tokens: Iterable[str] | None = NA_TOKENS, multi_line: bool = True, with_position: bool = False,
-             strict: bool = True, recursive: bool = False) -> DataFrame:
+             strict: bool = True, recursive: bool = False, split: bool = False) -> DataFrame:
     """Exported CSV (header row) as text columns, missing-value tokens -> null.
 
     ``columns`` fixes the expected header; otherwise the header of the first
     file names the columns, all as text. Either way every file must have that
     header, in that order, or the scan fails. ``multi_line`` keeps quoted line
     breaks inside one cell (each file is then read by one task; exports come as
-    many part files); without it large files are split.
-    ``with_position`` adds ``pos`` = (file path, row order) for first-wins
-    loads. ``strict`` fails on malformed records instead of nulling them.
+    many part files); without it large files are split. ``split`` does both:
+    files are cut into blocks and records put together across line breaks and
+    cuts (see ``csv_records``), for files too large for one task.
+    ``with_position`` adds ``pos`` = (file path, start of the block, row in the
+    block) for first-wins loads: the order of the file, however it is split.
+    ``strict`` fails on malformed records instead of nulling them.
     ``recursive`` reads files in sub-folders too (folder names never become columns).
     """
     path = path if isinstance(path, str) else list(path)
     names = list(columns) if columns is not None else _first_header(spark, path, recursive)
-    df = csv_reader(spark.read, multi_line=multi_line, strict=strict, recursive=recursive).schema(_text_schema(names)).csv(path)
-    if with_position:
-        df = df.withColumn(POS, F.struct(F.input_file_name().alias("file"),
-                                         F.monotonically_increasing_id().alias("row")))
+    if split and multi_line:
+        df = _parsed_records(csv_records(spark, path, recursive=recursive), names, strict)
+        df = df if with_position else df.drop(POS)
+    else:
+        df = csv_reader(spark.read, multi_line=multi_line, strict=strict, recursive=recursive).schema(_text_schema(names)).csv(path)
+        if with_position:
+            df = df.withColumn(POS, F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"),
+                                             F.monotonically_increasing_id().alias("row")))
     return null_tokens(df, [c for c in df.columns if c != POS], na_tokens) if na_tokens is not None else df
 
 
+def csv_records(spark: SparkSession, path: str | Sequence[str], *, recursive: bool = False) -> DataFrame:
+    """The records of CSV files as text, also of files read in blocks by many tasks: file, block, row, header, record.
+
+    A line begins a record when an even number of quotes stands before it in its
+    file. So quotes are counted per block first (one number a block), added up
+    over the blocks before, and then line by line inside each block: lines of one
+    record share the row of the line that began it. What a cut leaves of a record
+    are pieces, at most two a block; a running count of beginnings over a file's
+    pieces tells which belong together. Only quotes as RFC 4180 has them are
+    understood (doubled inside a quoted cell, none in other cells).
+
+    Lines are brought together by block, so nothing larger than a block, or than
+    one record, meets in a task. As in a whole-file read, empty lines between
+    records are left out, and in a file whose first line ends with CR LF a line
+    break inside a cell becomes LF. The first record of each file is marked as its
+    header.
+    """
+    lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", str(recursive).lower()).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), "value",
+        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.min(F.struct("row", F.col("value").endswith("\r").alias("crlf")))
+    blocks = lines.groupBy("file", "block").agg(F.sum("quotes").alias("quotes"), first.alias("first"))
+    blocks, _ = staged(blocks.select("file", "block", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("before"),
+                                     F.first("first.crlf").over(Window.partitionBy("file").orderBy("block")).alias("crlf")))
+    in_block = Window.partitionBy("file", "block").orderBy("row")
+    above, so_far = in_block.rowsBetween(Window.unboundedPreceding, -1), in_block.rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.join(broadcast_if_small(blocks), ["file", "block"])
+    begins = (F.col("before") + F.coalesce(F.sum("quotes").over(above), F.lit(0))) % 2 == 0
+    lines = lines.withColumn("begins", begins).withColumn("begun", F.max(F.when(F.col("begins"), F.col("row"))).over(so_far)) \
+        .withColumn("header", (F.col("block") == 0) & (F.row_number().over(in_block) == 1))
+    # ``begun`` is null for what the block before began.
+    pieces = lines.groupBy("file", "block", "begun").agg(
+        F.sort_array(F.collect_list(F.struct("row", "value"))).alias("lines"), F.sum("quotes").alias("quotes"), F.max("header").alias("header"), F.max("crlf").alias("crlf")) \
+        .withColumn("text", F.array_join(F.col("lines.value"), "\n"))
+    whole = F.col("begun").isNotNull() & (F.col("quotes") % 2 == 0)
+    parts = pieces.filter(~whole).withColumn("nth", F.sum(F.col("begun").isNotNull().cast("long")).over(
+        Window.partitionBy("file").orderBy("block", F.col("begun").asc_nulls_first())))
+    joined = parts.groupBy("file", "nth").agg(
+        F.sort_array(F.collect_list(F.struct("block", F.coalesce("begun", F.lit(-1)).alias("begun"), "text"))).alias("parts"),
+        F.max("header").alias("header"), F.max("crlf").alias("crlf")).select(
+        "file", F.col("parts")[0]["block"].alias("block"), F.col("parts")[0]["begun"].alias("row"), "header", "crlf",
+        F.array_join(F.col("parts.text"), "\n").alias("record"))
+    records = pieces.filter(whole).select("file", "block", F.col("begun").alias("row"), "header", "crlf", F.col("text").alias("record")) \
+        .unionByName(joined)
+    record = F.when(F.col("record").endswith("\r"), F.expr("substr(record, 1, length(record) - 1)")).otherwise(F.col("record"))
+    record = F.when(F.col("crlf"), F.replace(record, F.lit("\r\n"), F.lit("\n"))).otherwise(record)
+    return records.withColumn("record", record).filter(F.col("record") != "").drop("crlf")
+
+
+def _parsed_records(records: DataFrame, names: Sequence[str], strict: bool) -> DataFrame:
+    """Records as text columns with their position; every file's header must be ``names``."""
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"} | {"mode": "FAILFAST" if strict else "PERMISSIVE", "multiLine": "true"}
+    fields = [f"c{i}" for i in range(len(names))]
+    row = F.from_csv("record", ", ".join(f"{f} string" for f in fields), options)
+    parsed = records.select("header", row.alias("r"), F.struct("file", "block", "row").alias("at"))
+    same = reduce(lambda a, b: a & b, [F.col(f"r.{f}").eqNullSafe(F.lit(n)) for f, n in zip(fields, names)], F.lit(True))
+    wrong = F.raise_error(F.concat(F.lit("CSV header does not conform to the schema: "), F.col("at.file"))).cast("boolean")
+    kept = F.when(~F.col("header"), F.lit(True)).otherwise(F.when(same, F.lit(False)).otherwise(wrong))
+    return parsed.filter(kept).select(*[F.col(f"r.{f}").alias(n) for f, n in zip(fields, names)], F.col("at").alias(POS))
+
+
 #: Types that detection tries, in this order; text otherwise.
 _DETECTED = ("int", "bigint", "double", "boolean", "date", "timestamp")
 
