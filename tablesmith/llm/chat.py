@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.functions.expressions import col
-from tablesmith.llm.common import MAX_ID_BYTES, saved, saved_for_join, shuffle_partitions
+from tablesmith.llm.common import MAX_ID_BYTES, ByValue, saved, saved_for_join, shuffle_partitions
 
 ROLES = ("system", "user", "assistant", "tool")
 #: Speaker words and the role that each usually names (fixed values).
@@ -68,7 +68,7 @@ def observe(lines: list[str], after_empty: bool = True) -> tuple[list[int], list
     return numbers, texts, after_empty
 
 
-class Model:
+class Model(ByValue):
     """Log probabilities: start and transitions (STATES + 1 rows, the last one START), emissions."""
 
     def __init__(self, transitions: np.ndarray, emissions: np.ndarray) -> None:

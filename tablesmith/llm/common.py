@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import itertools
+import operator
+import pickle
 import re
 import sys
 import types
@@ -10,6 +12,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,6 +107,30 @@ def as_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
+class _Pickled:
+    """Bytes that unpickle to what they hold."""
+
+    def __init__(self, data: bytes) -> None:
+        self.data = data
+
+    def __reduce__(self):
+        return pickle.loads, (self.data,)
+
+
+class ByValue:
+    """Objects that a broadcast or a task may carry to workers without this package: their class travels with them."""
+
+    def __reduce__(self):
+        kind, state = type(self), self.__dict__
+
+        def build():
+            out = kind.__new__(kind)
+            out.__dict__.update(state)
+            return out
+
+        return operator.call, (_Pickled(cloudpickle.dumps(build)),)
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker (functions are pickled by value, so module globals do not)."""
     return sys.modules.setdefault("_tablesmith_worker_cache", types.ModuleType("_tablesmith_worker_cache")).__dict__

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.functions.expressions import col
-from tablesmith.llm.common import alnum_words, as_bytes, id_text, runs, slices, without_ids
+from tablesmith.llm.common import ByValue, alnum_words, as_bytes, id_text, runs, slices, without_ids
 
 WINDOW = 13
 BENCHMARK_BYTES = 16 << 20
@@ -39,7 +39,7 @@ INDEX = ("doc_ids array<long>, starts array<int>, n_words array<int>, "
          "terms array<int>, term_starts array<int>, positions array<int>")
 
 
-class Windows:
+class Windows(ByValue):
     """The distinct windows of a block of benchmark items, as term numbers."""
 
     def __init__(self, items: list[tuple[str, bytes | None]], window: int) -> None:

@@ -19,6 +19,7 @@ ones in pieces.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,7 +36,9 @@ SIZES = (1, 2, 3)
 UNDETERMINED = "und"
 #: Characters of a text counted at once, and distinct n-grams a task holds before it passes its counts on.
 PIECE, HELD = 1 << 19, 1 << 20
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters are what ``str.isalpha`` takes; the word characters of patterns also have signs such as superscripts and fractions.
+_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
+LETTERS = re.compile(rf"[^\W\d_{_SIGNS}]+")
 
 
 def _codes(text: str) -> np.ndarray:
@@ -57,10 +60,14 @@ def _codes(text: str) -> np.ndarray:
 
 def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams and their counts."""
-    if len(text) <= PIECE:
-        return np.unique(_codes(text), return_counts=True)
-    grams, counts = zip(*(np.unique(_codes(text[a:a + PIECE]), return_counts=True) for a in range(0, len(text), PIECE)))
-    return summed(np.concatenate(grams), np.concatenate(counts))
+    found, at = [], 0
+    while at < len(text) or not found:
+        end = at + PIECE
+        inside = LETTERS.match(text, end) if end < len(text) else None      # a word is not cut
+        end = inside.end() if inside else end
+        found.append(np.unique(_codes(text[at:end]), return_counts=True))
+        at = end
+    return found[0] if len(found) == 1 else summed(*map(np.concatenate, zip(*found)))
 
 
 def summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tablesmith.functions.expressions import col
-from tablesmith.llm.common import as_bytes, slices, word_hashes
+from tablesmith.llm.common import ByValue, as_bytes, slices, word_hashes
 
 BUCKETS = 1 << 16
 RANK = 8
@@ -90,7 +90,7 @@ def _row_sums(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class Model:
+class Model(ByValue):
     bias: float
     linear: np.ndarray          # buckets, then statistics
     factors: np.ndarray
@@ -126,13 +126,13 @@ def empty_model() -> Model:
                  np.ones(STATISTICS))
 
 
-def train(rows: list[tuple[bytes, int]], *, epochs: int = EPOCHS, rate: float = RATE, seed: int = 11, batch: int = 32) -> Model:
-    """Adagrad on the log loss; both labels weigh alike in all."""
+def train(rows: list[tuple], *, epochs: int = EPOCHS, rate: float = RATE, seed: int = 11, batch: int = 32) -> Model:
+    """Adagrad on the log loss; both labels weigh alike in all. Rows: (text, label), or (text, label, stored character count)."""
     model, y = empty_model(), np.array([r[1] for r in rows], dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return model
     rng = np.random.default_rng(seed)
-    f = features([r[0] for r in rows], [None] * len(rows))
+    f = features([r[0] for r in rows], [r[2] if len(r) > 2 else None for r in rows])
     model.mean, model.spread = f.dense.mean(axis=0), f.dense.std(axis=0) + 1e-3
     model.factors = rng.normal(0, 0.02, model.factors.shape)
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))

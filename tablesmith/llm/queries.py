@@ -24,10 +24,10 @@ def in_fold(id_column: Column, folds: int, fold: int) -> Column:
     return F.coalesce(crc_mod(id_column, folds) == fold, F.lit(False))
 
 
-def label_sample(spark: SparkSession, sf_dir: str, label: str, docs: DataFrame | None = None) -> list[tuple[bytes, int]]:
+def label_sample(spark: SparkSession, sf_dir: str, label: str, docs: DataFrame | None = None, also: str | None = None) -> list[tuple]:
     train = ~in_fold(F.col("doc_id"), LABEL_FOLDS, LABEL_HELD_OUT)
     return labelled_sample(read(spark, sf_dir, "documents") if docs is None else docs, read(spark, sf_dir, "labels"),
-                           label, where=train)
+                           label, where=train, also=also)
 
 
 def predictions(scored: DataFrame, threshold: float) -> DataFrame:
@@ -91,7 +91,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = quality.train(label_sample(spark, sf_dir, "quality"))
+    model = quality.train(label_sample(spark, sf_dir, "quality", also="n_chars"))
     return predictions(quality.score(read(spark, sf_dir, "documents"), model), quality.THRESHOLD)
 
 

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tablesmith.llm.common import ALNUM_TABLE, as_bytes, id_text, mix, slices
+from tablesmith.llm.common import ALNUM_TABLE, ByValue, as_bytes, id_text, mix, slices
 
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 18
@@ -103,7 +103,7 @@ def passage_margins(g: Grams, folded: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 @dataclass(frozen=True)
-class Model:
+class Model(ByValue):
     folded: np.ndarray     # the softmax's margin for label 1, per n-gram bucket
     bias: float
 
