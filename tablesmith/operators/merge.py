@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tablesmith.functions import expressions as fx
 from tablesmith.operators.rowid import ID, dedup, first_wins
-from tablesmith.operators.sizing import DEFAULT_BROADCAST_ROWS, assert_unique, key_stats, within
+from tablesmith.operators.sizing import DEFAULT_BROADCAST_ROWS, assert_unique, key_stats, unique_stats, within
 from tablesmith.session import staged
 
 
@@ -126,7 +126,7 @@ def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str] = (ID,), o
     keys = list(keys)
     if stats is None:
         batch, _ = staged(first_per_key(batch, target.schema, keys, order_by))
-        stats = assert_unique(batch, keys, "insert batch")
+        stats = unique_stats(batch, keys, "insert batch")
     return _absent(target, batch, keys, within(stats, broadcast_max_rows))
 
 

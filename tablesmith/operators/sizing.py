@@ -111,3 +111,14 @@ def assert_unique(df: DataFrame, keys: list[str], what: str, bucket: Column | No
         raise ValueError(f"{what}: {row['dups']} key value(s) of {keys} repeat (up to {row['mx']} times)")
     return row
 
+
+
+def unique_stats(df: DataFrame, keys: list[str], what: str, bucket: Column | None = None):
+    """``key_stats`` of rows that have one row per key already: one aggregate without a shuffle. Raises on null keys."""
+    any_null = reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
+    extra = [F.sort_array(F.collect_set(bucket)).alias("buckets")] if bucket is not None else []
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(any_null).alias("nulls"),
+                 F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes"), *extra).first()
+    if row["nulls"]:
+        raise ValueError(f"{what}: {row['nulls']} row(s) have a null in key {keys}")
+    return row

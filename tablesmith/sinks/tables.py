@@ -44,7 +44,7 @@ from pyspark.sql import types as T
 from tablesmith.functions.expressions import col, fresh, quote
 from tablesmith.operators.merge import conform, conform_batch, first_per_key, new_rows, upsert
 from tablesmith.operators.rowid import ID
-from tablesmith.operators.sizing import assert_unique, key_stats
+from tablesmith.operators.sizing import assert_unique, key_stats, unique_stats
 from tablesmith.session import delete_path, staged, work_path
 from tablesmith.sinks.changes import ColumnChanges, Refresh, RowChanges
 from tablesmith.sinks.loads import LoadJobs, load_id, tracked
@@ -478,7 +478,7 @@ class TableStore(RowChanges, ColumnChanges, Refresh, LoadJobs):
     def _insert_ignore(self, name: str, batch: DataFrame, keys: list[str], observation: Observation | None, started: int) -> str:
         v = self._need(name)
         own = v.lay.bucketed and tuple(keys) == v.lay.keys
-        stats = assert_unique(batch, keys, "insert batch", bucket=v.lay.bucket() if own else None)
+        stats = unique_stats(batch, keys, "insert batch", bucket=v.lay.bucket() if own else None)
         target = self._frame(v, sorted(stats["buckets"])) if own and stats["buckets"] else self._frame(v)
         add = new_rows(target, batch, keys, stats=stats)
         if observation is not None:
