@@ -36,9 +36,17 @@ SIZES = (1, 2, 3)
 UNDETERMINED = "und"
 #: Characters of a text counted at once, and distinct n-grams a task holds before it passes its counts on.
 PIECE, HELD = 1 << 19, 1 << 20
-#: Letters are what ``str.isalpha`` takes; the word characters of patterns also have signs such as superscripts and fractions.
-_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
-LETTERS = re.compile(rf"[^\W\d_{_SIGNS}]+")
+#: Runs of letters, in texts without SIGNS: these (superscripts, fractions, Roman numerals) are word characters of a pattern,
+#: but no letters (``str.isalpha``).
+LETTERS = re.compile(r"[^\W\d_]+")
+SIGNS = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
+_BLANK = {ord(c): " " for c in SIGNS}
+#: A quick look: the signs of Latin-1, and all characters from the first sign beyond it.
+_MAYBE = re.compile(f"[{''.join(c for c in SIGNS if c < chr(256))}{min(c for c in SIGNS if c > chr(255))}-{chr(sys.maxunicode)}]")
+
+
+def without_signs(text: str) -> str:
+    return text.translate(_BLANK) if _MAYBE.search(text) and not SIGNS.isdisjoint(text) else text
 
 
 def _codes(text: str) -> np.ndarray:
@@ -60,7 +68,7 @@ def _codes(text: str) -> np.ndarray:
 
 def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams and their counts."""
-    found, at = [], 0
+    text, found, at = without_signs(text), [], 0
     while at < len(text) or not found:
         end = at + PIECE
         inside = LETTERS.match(text, end) if end < len(text) else None      # a word is not cut
@@ -131,7 +139,7 @@ def predict(docs: DataFrame, known: dict[str, np.ndarray], *, top: int = TOP) ->
 
     def nearest(text: str | None) -> tuple[str, float]:
         grams, places = shared.value
-        if not text or not len(grams) or not LETTERS.search(text):
+        if not text or not len(grams) or not LETTERS.search(without_signs(text)):
             return UNDETERMINED, 0.0
         own = most_frequent(*ngram_counts(text), top)
         at = np.minimum(np.searchsorted(grams, own), len(grams) - 1)
