@@ -494,6 +494,32 @@ class TableStore(RowChanges, ColumnChanges, Refresh, LoadJobs):
             return self._commit(name, v, v.next([part], self._load(name, "compact", part, rows, started), content=v.content)).load["location"]
         return self._again(work)
 
+    @tracked
+    def compact_small(self, name: str) -> list[str]:
+        """Bring the small parts together: from the smallest on, as long as a part has no more rows than those before it have
+        together. Larger parts keep their folders, so a row is written again about as often as its part doubles. Returns the
+        parts that were replaced."""
+        def work() -> list[str]:
+            started, v = int(time.time() * 1000), self._need(name)
+            sizes: dict[str, int] = {}
+            for part, _, n in self._hits(v, F.lit(True)):          # rows per part: no column is read
+                sizes[part] = sizes.get(part, 0) + n
+            rows = lambda p: sizes.get(p.path.rsplit("/", 1)[1], 0)
+            small, total = [], 0
+            for p in sorted(v.parts, key=rows):
+                if len(small) > 1 and rows(p) > total:
+                    break
+                small.append(p)
+                total += rows(p)
+            if len(small) < 2:
+                return []
+            part, n = self._write(name, self._frame(replace(v, parts=tuple(small))), v)
+            parts = [*[p for p in v.parts if p not in small], part]
+            self._commit(name, v, v.next(parts, self._load(name, "compact", part, n, started), content=v.content))
+            return [p.path for p in small]
+
+        return self._again(work)
+
     def n_parts(self, name: str) -> int:
         return len(self._need(name).parts)
 

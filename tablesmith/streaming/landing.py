@@ -33,8 +33,9 @@ def landing_sync(spark: SparkSession, landing_dir: str, columns: Sequence[str],
     Every file must have the header ``columns`` and whole records, or the query
     fails. A new target is bucketed by id when ``buckets`` is given, so that a
     micro-batch searches only the buckets it touches. When the target has more
-    than ``compact_parts`` parts it is compacted; with ``keep_versions``, parts
-    that only older versions use are then deleted.
+    than ``compact_parts`` parts its small ones are brought together (large ones
+    stay as they are); with ``keep_versions``, parts that only older versions use
+    are then deleted.
     """
     text_schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     # Files anywhere below the folder; folder names are never read as columns.
@@ -51,7 +52,7 @@ def landing_sync(spark: SparkSession, landing_dir: str, columns: Sequence[str],
         own = store.with_session(batch.sparkSession)
         own.insert_ignore(spec.target_table, batch, [ID], order_by=spec.order_col)
         if own.n_parts(spec.target_table) > compact_parts:
-            own.compact(spec.target_table)
+            own.compact_small(spec.target_table)
             if keep_versions:
                 own.expire_versions(spec.target_table, keep_versions)
 

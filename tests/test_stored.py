@@ -230,6 +230,25 @@ def test_copies_share_parts_and_expire_on_their_own(spark, store, three):
     assert _rows(store.read(copy)) == _rows(o.filter("o_orderkey % 3 <> 1")) and store.read(name).count() == 2
 
 
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_compaction_leaves_large_parts_alone(spark, store, buckets):
+    name = _name("t_small")
+    big = spark.range(0, 1000).selectExpr("id as k", "cast(id as string) as v")
+    store.import_new_table(name, big, **({"bucket_keys": ["k"], "buckets": buckets} if buckets else {}))
+    [first] = _parts(store, name)
+    for i in range(5):
+        store.append(name, spark.range(2000 + 3 * i, 2003 + 3 * i).selectExpr("id as k", "'new' as v"))
+    store.update_add(name, spark.createDataFrame([(2001, "changed")], "k bigint, v string"), ["k"]) if buckets else None
+    before, parts = _rows(store.read(name)), _parts(store, name)
+    gone = store.compact_small(name)
+    assert _rows(store.read(name)) == before == _rows(spark.table(name))
+    assert first in _parts(store, name) and len(gone) > 2 and len(_parts(store, name)) == len(parts) - len(gone) + 1
+    assert store.n_parts(name) <= 3
+    one = _name("t_one")
+    store.import_new_table(one, big)
+    assert store.compact_small(one) == []
+
+
 # -- loads by id ------------------------------------------------------------------------------------------
 def test_loads_are_found_by_id(spark):
     store, name = TableStore(spark, work_path(spark, "loads")), _name("t_loads")
