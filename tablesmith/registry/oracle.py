@@ -251,5 +251,6 @@ ORACLE |= {
     "save_as_shared": ("select *, 'source' as of from orders where o_orderkey % 3 <> 1 union all by name "
                        "select * replace (case when o_orderkey % 3 = 2 then 'C' else o_orderstatus end as o_orderstatus), 'copy' as of from orders"),
     "csv_scan_split": ORACLE["csv_scan"],
+    "auto_identify": ORACLE["csv_scan"],
     "first_wins_file": "select cast(o_custkey as varchar) as o_custkey, cast(max(o_orderkey) as varchar) as o_orderkey from orders group by o_custkey",
 }

@@ -17,6 +17,7 @@ from tablesmith.registry.inputs import (EXPORT_COLUMNS, ORDERS_MAPPING, jobs_fra
 from tablesmith.session import work_path
 from tablesmith.sinks.files import csv_export, view_export, write_documents
 from tablesmith.sinks.tables import TableStore
+from tablesmith.sources.dialects import Dialect
 from tablesmith.sources.files import csv_scan, inline_rows, mapping_scan, parse_text_rows, read_file
 from tablesmith.sources.sql import Variables, select_all, sql_source
 
@@ -663,7 +664,18 @@ def q_first_wins_file(spark, sf):
     return ts.first_wins(scan, ["o_custkey"], "pos").select("o_custkey", "o_orderkey")
 
 
+def q_auto_identify(spark, sf):
+    """The dirty export in three files of different layout, each imported without saying which it has."""
+    rows, found = _dirty_export(spark, sf), []
+    k = F.col("o_orderkey").cast("bigint") % 3
+    for i, dialect in enumerate((Dialect(";"), Dialect("\t"), Dialect("|", "'"))):
+        path = work_path(spark, "exports", f"orders_layout_{i}")
+        rows.filter(k == i).write.options(**dialect.options).csv(path)
+        found.append(csv_scan(spark, path, EXPORT_COLUMNS, dialect=None))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 QUERIES |= {"sync_jobs_shared": q_sync_jobs_shared, "update_where_stored": q_update_where_stored, "delete_where_stored": q_delete_where_stored,
             "add_row_stored": q_add_row_stored, "columns_stored": q_columns_stored, "refresh_difference": q_refresh_difference,
             "load_details": q_load_details, "save_as_shared": q_save_as_shared, "csv_scan_split": q_csv_scan_split,
-            "first_wins_file": q_first_wins_file}
+            "first_wins_file": q_first_wins_file, "auto_identify": q_auto_identify}

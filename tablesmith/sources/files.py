@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,31 +16,33 @@ from tablesmith.operators.clean import null_tokens
 from tablesmith.operators.mapping import MAPPING_DDL
 from tablesmith.operators.sizing import broadcast_if_small
 from tablesmith.session import staged
+from tablesmith.sources.dialects import Dialect, identify
 
 POS = "pos"
 
 # RFC 4180 quoting: a quote inside a quoted cell is doubled.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+CSV_OPTIONS = Dialect().options
 
 
 def _text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def csv_reader(reader, *, multi_line: bool = True, strict: bool = True, recursive: bool = False):
+def csv_reader(reader, *, multi_line: bool = True, strict: bool = True, recursive: bool = False, dialect: Dialect = Dialect()):
     """The options every CSV source shares: quoting, strictness (malformed records fail, and every file's header is checked)."""
-    return reader.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower()).option("enforceSchema", "false") \
+    return reader.options(**dialect.options).option("multiLine", str(multi_line).lower()).option("enforceSchema", "false") \
         .option("mode", "FAILFAST" if strict else "PERMISSIVE").option("recursiveFileLookup", str(recursive).lower())
 
 
-def _first_header(spark: SparkSession, path, recursive: bool) -> list[str]:
-    return spark.read.options(**CSV_OPTIONS).option("inferSchema", "false") \
+def _first_header(spark: SparkSession, path, recursive: bool, dialect: Dialect) -> list[str]:
+    return spark.read.options(**dialect.options).option("inferSchema", "false") \
         .option("recursiveFileLookup", str(recursive).lower()).csv(path).columns
 
 
 def csv_scan(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, *,
              na_tokens: Iterable[str] | None = NA_TOKENS, multi_line: bool = True, with_position: bool = False,
-             strict: bool = True, recursive: bool = False, split: bool = False) -> DataFrame:
+             strict: bool = True, recursive: bool = False, split: bool = False,
+             dialect: Dialect | None = Dialect()) -> DataFrame:
     """Exported CSV (header row) as text columns, missing-value tokens -> null.
 
     ``columns`` fixes the expected header; otherwise the header of the first
@@ -53,21 +56,25 @@ def csv_scan(spark: SparkSession, path: str | Sequence[str], columns: Sequence[s
     block) for first-wins loads: the order of the file, however it is split.
     ``strict`` fails on malformed records instead of nulling them.
     ``recursive`` reads files in sub-folders too (folder names never become columns).
+    ``dialect`` names another delimiter or quote; with None they are identified
+    first, from all records (``dialects.identify``).
     """
     path = path if isinstance(path, str) else list(path)
-    names = list(columns) if columns is not None else _first_header(spark, path, recursive)
+    dialect = dialect or identify(spark, path, recursive=recursive)
+    names = list(columns) if columns is not None else _first_header(spark, path, recursive, dialect)
     if split and multi_line:
-        df = _parsed_records(csv_records(spark, path, recursive=recursive), names, strict)
+        df = _parsed_records(csv_records(spark, path, recursive=recursive, quote=dialect.quote), names, strict, dialect)
         df = df if with_position else df.drop(POS)
     else:
-        df = csv_reader(spark.read, multi_line=multi_line, strict=strict, recursive=recursive).schema(_text_schema(names)).csv(path)
+        df = csv_reader(spark.read, multi_line=multi_line, strict=strict, recursive=recursive, dialect=dialect) \
+            .schema(_text_schema(names)).csv(path)
         if with_position:
             df = df.withColumn(POS, F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"),
                                              F.monotonically_increasing_id().alias("row")))
     return null_tokens(df, [c for c in df.columns if c != POS], na_tokens) if na_tokens is not None else df
 
 
-def csv_records(spark: SparkSession, path: str | Sequence[str], *, recursive: bool = False) -> DataFrame:
+def csv_records(spark: SparkSession, path: str | Sequence[str], *, recursive: bool = False, quote: str = '"') -> DataFrame:
     """The records of CSV files as text, also of files read in blocks by many tasks: file, block, row, header, record.
 
     A line begins a record when an even number of quotes stands before it in its
@@ -87,7 +94,7 @@ def csv_records(spark: SparkSession, path: str | Sequence[str], *, recursive: bo
     lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", str(recursive).lower()).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"), "value",
-        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"))
+        (F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))).alias("quotes"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     first = F.min(F.struct("row", F.col("value").endswith("\r").alias("crlf")))
     blocks = lines.groupBy("file", "block").agg(F.sum("quotes").alias("quotes"), first.alias("first"))
@@ -118,9 +125,9 @@ def csv_records(spark: SparkSession, path: str | Sequence[str], *, recursive: bo
     return records.withColumn("record", record).filter(F.col("record") != "").drop("crlf")
 
 
-def _parsed_records(records: DataFrame, names: Sequence[str], strict: bool) -> DataFrame:
+def _parsed_records(records: DataFrame, names: Sequence[str], strict: bool, dialect: Dialect) -> DataFrame:
     """Records as text columns with their position; every file's header must be ``names``."""
-    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"} | {"mode": "FAILFAST" if strict else "PERMISSIVE", "multiLine": "true"}
+    options = {k: v for k, v in dialect.options.items() if k != "header"} | {"mode": "FAILFAST" if strict else "PERMISSIVE", "multiLine": "true"}
     fields = [f"c{i}" for i in range(len(names))]
     row = F.from_csv("record", ", ".join(f"{f} string" for f in fields), options)
     parsed = records.select("header", row.alias("r"), F.struct("file", "block", "row").alias("at"))
@@ -171,7 +178,9 @@ def read_file(spark: SparkSession, path: str, file_type: str = "csv", *, auto_id
               schema: str | T.StructType | None = None, options: dict | None = None, multi_line: bool = True) -> DataFrame:
     """A file to import: csv, json or parquet; malformed records fail, in csv missing-value tokens are null.
 
-    csv: the cells are scanned as text; with ``schema`` they are then parsed to
+    csv: ``auto_identify`` finds delimiter and quote (``dialects.identify``), else
+    they are comma and double quote; ``sep`` and ``quote`` in ``options`` hold over
+    both. The cells are scanned as text; with ``schema`` they are then parsed to
     its types, else with ``auto_identify`` to the types that all values have,
     else they stay text.
     """
@@ -180,7 +189,9 @@ def read_file(spark: SparkSession, path: str, file_type: str = "csv", *, auto_id
         declared = None
         if schema is not None:
             declared = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-        df = csv_scan(spark, path, declared.names if declared else None, multi_line=multi_line)
+        given = {k: opts[k] for k in ("sep", "quote") if k in opts}
+        dialect = identify(spark, path) if auto_identify and len(given) < 2 else Dialect()
+        df = csv_scan(spark, path, declared.names if declared else None, multi_line=multi_line, dialect=replace(dialect, **given))
         if declared is not None:
             return df.select(*[_typed(fx.col(f.name), f.dataType, opts).alias(f.name) for f in declared.fields])
         return _detected(df) if auto_identify else df
