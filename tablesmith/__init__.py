@@ -15,6 +15,7 @@ from tablesmith.operators.merge import append, conform, insert_ignore, truncate_
 from tablesmith.operators.profile import ReportSpec, load_audit, profile_column, profile_table, similar_report
 from tablesmith.operators.rowid import dedup, first_wins, row_id
 from tablesmith.operators.rows import add_rows, delete_where, update_where
+from tablesmith.operators.sketches import merge_sketches, sketch_report, table_sketches
 
 __all__ = [
     "fx", "clean_number", "clean_numbers", "normalise_boolean", "null_normalise", "null_tokens",
@@ -26,4 +27,5 @@ __all__ = [
     "ReportSpec", "load_audit", "profile_column", "profile_table", "similar_report",
     "dedup", "first_wins", "row_id",
     "add_rows", "delete_where", "update_where",
+    "merge_sketches", "sketch_report", "table_sketches",
 ]

@@ -251,6 +251,13 @@ ORACLE |= {
     "save_as_shared": ("select *, 'source' as of from orders where o_orderkey % 3 <> 1 union all by name "
                        "select * replace (case when o_orderkey % 3 = 2 then 'C' else o_orderstatus end as o_orderstatus), 'copy' as of from orders"),
     "csv_scan_split": ORACLE["csv_scan"],
+    "profile_sketches": " union all ".join(
+        f"select '{c}' as col_name, (select count(*) from lineitem) as n_rows, (select count({c}) from lineitem) as n_non_null, "
+        "true as distinct_ok, true as ranks_ok, true as counts_ok, coalesce((select string_agg(v, ',' order by v) from ("
+        f"select cast({c} as varchar) as v, count(*) as n from lineitem where {c} is not null group by {c}) "
+        f"where n > 7.0 / 4096 * (select count({c}) from lineitem)), '') as common"
+        for c in ("l_partkey", "l_quantity", "l_discount", "l_returnflag", "l_linestatus")),
+    "profile_default": f"select * exclude (n_distinct), true as distinct_ok from ({_profile(['l_partkey', 'l_quantity', 'l_shipdate', 'l_returnflag'], 'lineitem')})",
     "auto_identify": ORACLE["csv_scan"],
     "first_wins_file": "select cast(o_custkey as varchar) as o_custkey, cast(max(o_orderkey) as varchar) as o_orderkey from orders group by o_custkey",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 import tablesmith as ts
 from tablesmith.functions import expressions as fx
 from tablesmith.functions.tokens import NA_TOKENS
+from tablesmith.operators.sketches import count_error, rank_error
 from tablesmith.plans import jobs as jobplan
 from tablesmith.plans.sync import SyncSpec, sync_rows, sync_table
 from tablesmith.registry.inputs import (EXPORT_COLUMNS, ORDERS_MAPPING, jobs_frame, mapping_rows, orders_export,
@@ -675,7 +677,48 @@ def q_auto_identify(spark, sf):
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+SKETCHED = ["l_partkey", "l_quantity", "l_discount", "l_returnflag", "l_linestatus"]
+
+
+def q_profile_sketches(spark, sf):
+    """Sketches of four parts of lineitem, merged, and whether each figure read off them is within its stated bound.
+
+    ``common`` lists the values that more than twice the error's share of all rows hold: the sketch must have them all.
+    """
+    li, quantiles = table(spark, sf, "lineitem"), (0.1, 0.5, 0.9)
+    parts = [ts.table_sketches(li.filter(F.pmod("l_orderkey", F.lit(4)) == k), SKETCHED) for k in range(4)]
+    report = ts.sketch_report(ts.merge_sketches(reduce(DataFrame.unionByName, parts)), quantiles=quantiles, top=1000)
+    report = spark.createDataFrame(report.collect(), report.schema)         # one row per column
+    cells = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).cast("string").alias("value")) for c in SKETCHED])
+    exact = li.select(F.inline(cells)).groupBy("col_name", "value").agg(F.count(F.lit(1)).alias("n_exact"))
+    n, error = F.col("n_non_null"), count_error()
+    distinct = exact.groupBy("col_name").agg(F.count("value").alias("n_exact"))
+    asked = report.select("col_name", "n_non_null", F.posexplode("quantiles").alias("i", "at"))
+    share, value, at = F.element_at(F.array(*map(F.lit, quantiles)), F.col("i") + 1), F.col("value").cast("double"), F.col("at").cast("double")
+    ranks = exact.join(F.broadcast(asked), "col_name").groupBy("col_name", "i", "n_non_null").agg(
+        F.sum(F.when(value < at, F.col("n_exact")).otherwise(0)).alias("below"), F.sum(F.when(value <= at, F.col("n_exact")).otherwise(0)).alias("upto"))
+    bound = 2 * rank_error()        # the bound holds at 99 %, twice of it always
+    ranks = ranks.groupBy("col_name").agg(F.bool_and((F.col("below") <= (share + bound) * n) & (F.col("upto") >= (share - bound) * n)).alias("ranks_ok"))
+    common = report.select("col_name", "n_non_null", F.inline("frequent")).join(exact, ["col_name", "value"]).groupBy("col_name").agg(
+        F.bool_and((F.col("n") >= F.col("n_exact")) & (F.col("n") <= F.col("n_exact") + error * n)).alias("counts_ok"),
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("n_exact") > 2 * error * n, F.col("value")))), ",").alias("common"))
+    return report.join(distinct, "col_name").join(ranks, "col_name", "left").join(common, "col_name", "left").select(
+        "col_name", "n_rows", "n_non_null", (F.abs(F.col("n_distinct") - F.col("n_exact")) <= 0.08 * F.col("n_exact")).alias("distinct_ok"),
+        F.coalesce("ranks_ok", F.lit(True)).alias("ranks_ok"), F.coalesce("counts_ok", F.lit(True)).alias("counts_ok"),
+        F.coalesce("common", F.lit("")).alias("common"))
+
+
+def q_profile_default(spark, sf):
+    """The default profile of lineitem; its distinct counts, which are estimates, as whether they are within 15 % of the exact ones."""
+    li = table(spark, sf, "lineitem").select("l_partkey", "l_quantity", "l_shipdate", "l_returnflag")
+    exact = ts.profile_table(li, exact=True).select("col_name", F.col("n_distinct").alias("n_exact"))
+    return ts.profile_table(li).join(exact, "col_name").select(
+        "col_name", "n_rows", "n_non_null", "min_value", "max_value",
+        (F.abs(F.col("n_distinct") - F.col("n_exact")) <= 0.15 * F.col("n_exact")).alias("distinct_ok"))
+
+
 QUERIES |= {"sync_jobs_shared": q_sync_jobs_shared, "update_where_stored": q_update_where_stored, "delete_where_stored": q_delete_where_stored,
             "add_row_stored": q_add_row_stored, "columns_stored": q_columns_stored, "refresh_difference": q_refresh_difference,
             "load_details": q_load_details, "save_as_shared": q_save_as_shared, "csv_scan_split": q_csv_scan_split,
-            "first_wins_file": q_first_wins_file, "auto_identify": q_auto_identify}
+            "first_wins_file": q_first_wins_file, "auto_identify": q_auto_identify,
+            "profile_sketches": q_profile_sketches, "profile_default": q_profile_default}
