@@ -47,12 +47,11 @@ from tablesmith.operators.rowid import ID
 from tablesmith.operators.sizing import assert_unique, key_stats, unique_stats
 from tablesmith.session import delete_path, staged, work_path
 from tablesmith.sinks.changes import ColumnChanges, Refresh, RowChanges
+from tablesmith.sinks.history import History
 from tablesmith.sinks.loads import LoadJobs, load_id, tracked
 from tablesmith.sinks.versions import Layout, Part, Version, layout, plain
 from tablesmith.sources.sql import table_name
 
-LOAD_DDL = ("load_id string, table_name string, mode string, location string, rows_written bigint, "
-            "updated bigint, added bigint, removed bigint, started_ms bigint, ended_ms bigint")
 #: Times an update-add or insert-ignore starts again after another writer was faster.
 RETRIES = 5
 #: Seconds after which a claim without its commit is taken for a dead writer's (between the two lies one rename).
@@ -67,7 +66,7 @@ def _sql_text(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-class TableStore(RowChanges, ColumnChanges, Refresh, LoadJobs):
+class TableStore(RowChanges, ColumnChanges, Refresh, LoadJobs, History):
     """Tables whose parts and commits live under ``root``, each readable by name through its view.
 
     ``root`` defaults to ``<spark.checkpoint.dir>/tablesmith/tables``, the
@@ -168,6 +167,10 @@ class TableStore(RowChanges, ColumnChanges, Refresh, LoadJobs):
         new = replace(new, number=number + 1)
         if not self._create_exclusively(self._commit_file(name, new.number), new.to_json()):
             raise ConcurrentWrite(f"version {new.number} of table {name!r} was taken")
+        if new.number <= self._number(f"{self._folder(name)}/_expired"):        # taken long ago, expired and packed since
+            fs, path = self._fs(self._commit_file(name, new.number))
+            fs.delete(path, False)
+            raise ConcurrentWrite(f"version {new.number} of table {name!r} was taken")
         self._swap(name)
         return new
 
@@ -275,16 +278,6 @@ class TableStore(RowChanges, ColumnChanges, Refresh, LoadJobs):
                 out.setdefault(b, []).append(p.path)
         return out
 
-    # -- load history ------------------------------------------------------------
-    def load_history(self, name: str) -> DataFrame:
-        """Every load of the table, oldest first by ``started_ms``: mode, folder, row counts, times."""
-        fs, path = self._fs(f"{self._folder(name)}/_commits")
-        if not fs.exists(path):
-            return self.spark.createDataFrame([], LOAD_DDL)
-        rows = self.spark.read.schema(f"number bigint, load struct<{', '.join(f.replace(' ', ':', 1) for f in LOAD_DDL.split(', '))}>") \
-            .option("pathGlobFilter", "*.json").json(f"{self._folder(name)}/_commits")
-        return rows.filter(F.col("load.load_id").isNotNull()).sort("number").select("load.*")
-
     def last_load(self, name: str):
         """Details of the table's most recent load, or None."""
         v = self.version(name)

@@ -35,7 +35,7 @@ def landing_sync(spark: SparkSession, landing_dir: str, columns: Sequence[str],
     micro-batch searches only the buckets it touches. When the target has more
     than ``compact_parts`` parts its small ones are brought together (large ones
     stay as they are); with ``keep_versions``, parts that only older versions use
-    are then deleted.
+    are then deleted, and the load history of those is packed into few files.
     """
     text_schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     # Files anywhere below the folder; folder names are never read as columns.
@@ -54,7 +54,7 @@ def landing_sync(spark: SparkSession, landing_dir: str, columns: Sequence[str],
         if own.n_parts(spec.target_table) > compact_parts:
             own.compact_small(spec.target_table)
             if keep_versions:
-                own.expire_versions(spec.target_table, keep_versions)
+                own.pack_history(spec.target_table, keep_versions)
 
     w = (rows.writeStream.foreachBatch(load)
          .option("checkpointLocation", checkpoint or work_path(spark, "streams", spec.target_table)))

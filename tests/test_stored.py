@@ -367,3 +367,68 @@ def test_split_files_check_their_headers(spark, folder, tmp_path):
     (tmp_path / "f.csv").write_text('a,b\n1,2,3\n')
     with pytest.raises(Exception):
         csv_scan(spark, str(tmp_path), split=True).collect()
+
+
+# -- history --------------------------------------------------------------------------------------------
+def test_packed_history(spark, store):
+    """Loads stay known, versions kept stay readable, few commits are left; a second call finds nothing to do."""
+    name = _name("t_history")
+    store.create_table(name, "a int")
+    for i in range(7):
+        store.append(name, spark.createDataFrame([(i,)], "a int"))
+    store.truncate_add(name, spark.createDataFrame([(9,)], "a int"))
+    before = store.load_history(name).collect()
+    assert store.pack_history(name, keep=2, least=100) == 0                 # not worth it yet
+    assert store.pack_history(name, keep=2, least=5) == 7
+    assert store.load_history(name).collect() == before and len(before) == 9
+    commits = [f for f in store._children(f"{store._folder(name)}/_commits") if f.endswith(".json")]
+    assert len(commits) == 2 and store.pack_history(name, keep=2, least=1) == 0
+    store.append(name, spark.createDataFrame([(10,)], "a int"))
+    assert _rows(store.read(name)) == _rows(spark.table(name)) and store.read(name).count() == 2
+    assert store.pack_history(name, keep=1, least=1) == 2
+    assert [r["load_id"] for r in store.load_history(name).collect()][:9] == [r["load_id"] for r in before]
+    assert store.load_details(name, before[0]["load_id"])["status"] == "COMPLETED" and store.read(name).count() == 2
+
+
+def test_packing_that_was_interrupted_counts_no_load_twice(spark, store):
+    name = _name("t_history")
+    store.create_table(name, "a int")
+    for i in range(3):
+        store.append(name, spark.createDataFrame([(i,)], "a int"))
+    before = store.load_history(name).collect()
+    own = store._folder(name)
+    store._commit_loads(f"{own}/_commits").filter("number <= 2").write.json(f"{own}/_history/0000000002-dead")
+    assert store.load_history(name).collect() == before
+    assert store.pack_history(name, keep=1, least=1) == 3 and store.load_history(name).collect() == before
+
+
+def test_a_writer_that_slept_through_packing_starts_again(spark, store):
+    from tablesmith.sinks.tables import ConcurrentWrite
+    name = _name("t_history")
+    store.create_table(name, "a int")
+    slow = store.version(name)
+    for i in range(4):
+        store.append(name, spark.createDataFrame([(i,)], "a int"))
+    store.pack_history(name, keep=1, least=1)
+    latest, current = store._latest_number, store.version
+    store._latest_number, store.version = lambda n: slow.number, lambda n: slow
+    try:
+        with pytest.raises(ConcurrentWrite):
+            store._commit(name, slow, slow.next(slow.parts, {"load_id": "x"}))
+    finally:
+        store._latest_number, store.version = latest, current
+    assert store.read(name).count() == 4 and len(store.load_history(name).collect()) == 5
+
+
+def test_packed_tables_share_parts(spark, store):
+    """A part that a copy still reads outlives the packing of its own table's commits, and goes with the copy's."""
+    name = _name("t_history")
+    store.import_new_table(name, spark.range(5).toDF("a"))
+    copy, part = name + "_copy", _parts(store, name)[0]
+    store.save_as(name, copy)
+    for _ in range(2):
+        store.truncate_add(name, spark.range(1).toDF("a"))
+    store.pack_history(name, keep=1, least=1)
+    assert store.read(copy).count() == 5
+    store.truncate_add(copy, spark.range(2).toDF("a"))
+    assert part in store.expire_versions(copy, keep=1) and store.read(copy).count() == 2 and store.read(name).count() == 1
