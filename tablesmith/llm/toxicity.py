@@ -141,14 +141,22 @@ def document_margin(best: np.ndarray) -> np.ndarray:
 
 
 def _cut(text: bytes | None) -> Iterator[list[bytes | None]]:
-    """A very long text in pieces of about HELD_BYTES, cut at spaces: all of it is scored."""
-    text, at = text or b"", 0
-    while len(text) - at > HELD_BYTES:
-        end = text.rfind(b" ", at + 1, at + HELD_BYTES)
-        end = end if end > 0 else at + HELD_BYTES
+    """A very long text in pieces of about HELD_BYTES, cut where a passage begins: all of it is scored, in the passages of the whole."""
+    text = text or b""
+    if len(text) <= HELD_BYTES:
+        yield [text]
+        return
+    letter = np.frombuffer(text.translate(ALNUM_TABLE), dtype=np.uint8) != 32
+    begins = np.flatnonzero(letter[1:] & ~letter[:-1]) + 1
+    begins = (np.concatenate(([0], begins)) if letter[0] else begins)[::PASSAGE]
+    at, k = 0, 0
+    while k < len(begins):
+        k = max(k + 1, int(np.searchsorted(begins, at + HELD_BYTES, side="right")) - 1)     # one passage at least
+        end = int(begins[k]) if k < len(begins) else len(text)
+        if k == len(begins) - 1 and len(text) - at <= HELD_BYTES:
+            end, k = len(text), len(begins)
         yield [text[at:end]]
         at = end
-    yield [text[at:]]
 
 
 NOTHING = Model(np.zeros(BUCKETS, np.float32), -np.inf)
