@@ -102,12 +102,12 @@ def key_stats(df: DataFrame, keys: list[str], bucket: Column | None = None):
                        F.coalesce(F.sum(size), F.lit(0)).alias("bytes"), *extra).first()
 
 
-def assert_unique(df: DataFrame, keys: list[str], what: str, bucket: Column | None = None):
-    """Raise when ``keys`` repeat or are null in ``df``; returns the ``key_stats`` row."""
+def assert_unique(df: DataFrame, keys: list[str], what: str, bucket: Column | None = None, *, repeats: bool = False):
+    """Raise when ``keys`` are null or (unless ``repeats`` are allowed) repeat in ``df``; returns the ``key_stats`` row."""
     row = key_stats(df, keys, bucket)
     if row["nulls"]:
         raise ValueError(f"{what}: {row['nulls']} row(s) have a null in key {keys}")
-    if row["dups"]:
+    if row["dups"] and not repeats:
         raise ValueError(f"{what}: {row['dups']} key value(s) of {keys} repeat (up to {row['mx']} times)")
     return row
 

@@ -408,6 +408,8 @@ class TableStore(RowChanges, ColumnChanges, Refresh, LoadJobs, History):
 
         The batch is computed once, into the shared folder. Of a table bucketed
         on ``keys`` only the buckets that the batch touches are read and written.
+        With ``repeats`` a key may come several times in the batch, as in
+        ``upsert``; the rows that the table gains by it count as added.
         """
         started = int(time.time() * 1000)
         batch, path = staged(conform_batch(self._need(name).schema, df, keys))
@@ -416,12 +418,14 @@ class TableStore(RowChanges, ColumnChanges, Refresh, LoadJobs, History):
         finally:
             delete_path(self.spark, path)
 
-    def _update_add(self, name: str, batch: DataFrame, keys: list[str], started: int, check: bool = True, **kw) -> str:
+    def _update_add(self, name: str, batch: DataFrame, keys: list[str], started: int, check: bool = True,
+                    repeats: bool = False, **kw) -> str:
         v = self._need(name)
         own = v.lay.bucketed and tuple(keys) == v.lay.keys
         bucket = v.lay.bucket() if own else None
         # One job checks the batch's keys, measures it and lists the buckets it touches.
-        stats = (assert_unique(batch, keys, "upsert batch", bucket=bucket) if check else key_stats(batch, keys, bucket=bucket))
+        stats = (assert_unique(batch, keys, "upsert batch", bucket=bucket, repeats=repeats) if check
+                 else key_stats(batch, keys, bucket=bucket))
         touched = set(stats["buckets"]) if own else None
         if own and not touched:
             return self._commit(name, v, v.next(v.parts, self._load(name, "updateadd", None, 0, started, 0, 0))).load["location"]

@@ -219,6 +219,22 @@ def test_bucketed_update_add_still_checks_batch_keys(spark, store):
     assert _rows(store.read(name)) == _rows(o)
 
 
+@pytest.mark.parametrize("buckets", [None, 4])
+@pytest.mark.parametrize("bound", [10**6, 0])
+def test_update_add_keeps_repeated_batch_keys_when_asked(spark, store, buckets, bound):
+    name = _name("t_repeats")
+    store.import_new_table(name, spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "k int, s string, x double"),
+                           **({"bucket_keys": ["k"], "buckets": buckets} if buckets else {}))
+    batch = spark.createDataFrame([(2, 3.0), (2, 4.0), (5, 5.0), (5, 5.0)], "k int, x double")
+    store.update_add(name, batch, ["k"], repeats=True, broadcast_max_rows=bound)
+    want = [(1, "a", 1.0), (2, "b", 3.0), (2, "b", 4.0), (5, None, 5.0), (5, None, 5.0)]
+    assert sorted(map(tuple, store.read(name).collect()), key=str) == want
+    load = store.last_load(name)
+    assert (load.updated, load.added) == (1, 3)
+    with pytest.raises(ValueError, match="null"):
+        store.update_add(name, spark.createDataFrame([(None, 1.0)], "k int, x double"), ["k"], repeats=True)
+
+
 # -- safe publishing -----------------------------------------------------------------
 def test_failed_schema_change_keeps_the_table(spark, store):
     """A refresh that the catalog or the writer refuses leaves the table as it was; odd nested names load."""

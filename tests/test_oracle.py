@@ -50,3 +50,22 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["id", "order_no", "amount", "order_date", "priority", "status"]
     assert df.count() > 0
+
+
+#: Orders beyond a million: the key that a load adds for order 0 is that of another order, and both are in the batch.
+KEYS = (0, 5, 10, 100, 300, 1_000_000, 1_000_005, 1_000_100, 2_000_000)
+
+
+def _matches_beyond_a_million_orders(spark, tmp_path, key):
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"create table orders as select k::bigint as o_orderkey, k % 7 as o_custkey, 'F' as o_orderstatus, k / 4 as o_totalprice, "
+                f"timestamp '1995-01-01' as o_orderdate, '1-URGENT' as o_orderpriority from unnest({list(KEYS)}) t(k)")
+    con.execute(f"copy orders to '{tmp_path}/orders.parquet' (format parquet)")
+    r = compare(spark, str(tmp_path), key, QUERIES[key], ORACLE[key], con)
+    assert r["status"] == "ok", r
+    assert r["spark_rows"] == len(KEYS) + 6     # three added keys are there already, three are new
+
+
+def test_import_updateadd_beyond_a_million_orders(spark, tmp_path):
+    _matches_beyond_a_million_orders(spark, tmp_path, "import_updateadd")
