@@ -46,13 +46,16 @@ def truncate_add(target: DataFrame, batch: DataFrame) -> DataFrame:
     return conform(batch, target.schema)
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, check: bool = True,
+def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, check: bool = True, repeats: bool = False,
            broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS, stats=None) -> DataFrame:
     """Update rows whose keys are in the batch, add the rest.
 
-    Batch keys must be non-null and unique (checked when ``check``). The batch
-    is computed once, into the shared folder, then checked, measured and merged
-    (``stats``: its ``key_stats`` when the caller already stored and checked it).
+    Batch keys must be non-null and unique (checked when ``check``). With
+    ``repeats`` a key may come several times: no batch row is dropped for another,
+    so a whole-row batch is stored as it is, and each batch row of some columns
+    gives a row with every target row of its key (one new row if it has none).
+    The batch is computed once, into the shared folder, then checked, measured and
+    merged (``stats``: its ``key_stats`` when the caller already stored and checked it).
     When the batch has every target column, matched target rows are
     replaced whole: ``target anti-join batch keys`` plus the batch. When it has
     some columns, only those change on matched rows and new keys get nulls
@@ -63,7 +66,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, check: b
     tcols = target.columns
     if stats is None:
         batch, _ = staged(conform_batch(target.schema, batch, keys))
-        stats = assert_unique(batch, keys, "upsert batch") if check else key_stats(batch, keys)
+        stats = assert_unique(batch, keys, "upsert batch", repeats=repeats) if check else key_stats(batch, keys)
     else:
         batch = conform_batch(target.schema, batch, keys)
     small = within(stats, broadcast_max_rows)

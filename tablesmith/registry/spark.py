@@ -305,7 +305,7 @@ def _full_batch(o):
 
 def q_upsert(spark, sf):
     o = table(spark, sf, "orders")
-    return ts.upsert(o, _full_batch(o), ["o_orderkey"])
+    return ts.upsert(o, _full_batch(o), ["o_orderkey"], repeats=True)
 
 
 def q_insert_ignore(spark, sf):

@@ -209,6 +209,18 @@ def test_partial_upsert_sets_given_columns_only(spark):
     assert _rows(ts.upsert(t, b, ["k"])) == [(1, "a", 1.0), (2, "b", None), (3, None, 9.0)]
 
 
+@pytest.mark.parametrize("bound", [10**6, 0])
+def test_upsert_keeps_repeated_batch_keys_when_asked(spark, bound):
+    t = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "k int, s string, x double")
+    whole = spark.createDataFrame([(2, "c", 3.0), (2, "d", 4.0), (5, "e", 5.0), (5, "e", 5.0)], t.schema)
+    ask = dict(keys=["k"], repeats=True, broadcast_max_rows=bound)
+    assert _rows(ts.upsert(t, whole, **ask)) == [(1, "a", 1.0), (2, "c", 3.0), (2, "d", 4.0), (5, "e", 5.0), (5, "e", 5.0)]
+    some = sorted(map(tuple, ts.upsert(t, whole.select("x", "k"), **ask).collect()), key=str)
+    assert some == [(1, "a", 1.0), (2, "b", 3.0), (2, "b", 4.0), (5, None, 5.0), (5, None, 5.0)]
+    with pytest.raises(ValueError, match="null"):
+        ts.upsert(t, spark.createDataFrame([(None, "z", 1.0)], t.schema), **ask)
+
+
 def test_bucketed_update_add_still_checks_batch_keys(spark, store):
     o = table(spark, SF001, "orders")
     name = _name("t_bucket_dup")

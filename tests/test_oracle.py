@@ -69,3 +69,7 @@ def _matches_beyond_a_million_orders(spark, tmp_path, key):
 
 def test_import_updateadd_beyond_a_million_orders(spark, tmp_path):
     _matches_beyond_a_million_orders(spark, tmp_path, "import_updateadd")
+
+
+def test_upsert_beyond_a_million_orders(spark, tmp_path):
+    _matches_beyond_a_million_orders(spark, tmp_path, "upsert")
