@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablesmith.functions.expressions import col
@@ -74,14 +74,26 @@ def unpacked(blob: bytes) -> dict[str, np.ndarray]:
 
 
 def small(matrix: np.ndarray) -> np.ndarray:
-    """In half the bytes where that keeps every integer."""
-    return matrix.astype(np.float32) if np.abs(matrix).max(initial=0) < 1 << 24 else matrix
+    """In as few bytes as keep every integer."""
+    most = np.abs(matrix).max(initial=0)
+    return matrix.astype(np.int16 if most < 1 << 15 else np.float32 if most < 1 << 24 else np.float64)
+
+
+def exact_in(reach: float) -> type | None:
+    """The type in which products of integers are exact where the lengths' product is at most ``reach`` (None: in neither).
+
+    By the Cauchy-Schwarz inequality no partial sum is beyond it either.
+    """
+    return np.float32 if reach < 0.999 * (1 << 24) else np.float64 if reach < 0.999 * EXACT else None
 
 
 def products(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
     """Exact scores (longs) of each query with each row: a matrix product, and integers of any size where that would round."""
     reach = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(rows, axis=1)
-    far = reach >= EXACT
+    kind = exact_in(reach.max(initial=0))
+    if kind is not None:
+        return (queries.astype(kind) @ rows.astype(kind).T).astype(np.int64)
+    far = reach >= 0.999 * EXACT
     out = np.where(far, 0, queries @ rows.T).astype(np.int64)
     for i, j in zip(*np.nonzero(far)):
         exact = sum(int(a) * int(b) for a, b in zip(queries[i].tolist(), rows[j].tolist()))
@@ -89,15 +101,40 @@ def products(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
     return out
 
 
-def paired(blocks: DataFrame, n_blocks: int, queries: DataFrame) -> DataFrame:
+#: Scores that make a task worthwhile, scores that a task has at most (about), and bytes of query blocks that meet a group of rows.
+FEW, MANY, HELD = 1 << 24, 1 << 34, 16 << 20
+
+
+def grid(spark: SparkSession, rows: int, queries: int, query_blocks: int, query_bytes: int) -> tuple[int, int]:
+    """(groups of row blocks, shares of query blocks) for ``paired``.
+
+    Each group gets a copy of every query and gives it back its best, each share
+    a copy of every row: their number is balanced so that few bytes are copied
+    in all, whatever the tables' sizes.
+    """
+    scores = rows * queries
+    tasks = max(1, min(shuffle_partitions(spark), scores // FEW), scores // MANY)
+    groups = max(1, min(tasks, round((tasks * rows / (3 * max(1, queries))) ** 0.5)))
+    return groups, max(1, min(query_blocks, max(-(-tasks // groups), -(-query_bytes // HELD))))
+
+
+def paired(blocks: DataFrame, n_blocks: int, queries: DataFrame, groups: int | None = None, shares: int = 1) -> DataFrame:
     """Every block of rows with every block of queries of its ``dim``: the stated query set against all rows.
 
     Blocks of rows are dealt into groups, and the (far fewer) query blocks go to
-    each group, so that no key has more than a few blocks of rows.
+    each group, so that no key has more than a few blocks of rows; query blocks
+    are dealt into ``shares``, and row blocks go to each share. Both sides are
+    shuffled: the copies are not in Spark's estimate of a side's size, so that
+    it would broadcast what no driver holds.
     """
-    groups = max(1, min(n_blocks, 4 * shuffle_partitions(blocks.sparkSession)))
-    dealt = blocks.withColumn("g", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
-    return dealt.join(queries.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))), ["dim", "g"])
+    groups, keys = max(1, min(n_blocks, groups or 4 * shuffle_partitions(blocks.sparkSession))), ["dim", "g", "share"]
+
+    def dealt(df: DataFrame, name: str, n: int, other: str, copies: int) -> DataFrame:
+        blob = next(c for c, kind in df.dtypes if kind == "binary")
+        return df.withColumn(name, F.pmod(F.xxhash64(blob), F.lit(n)).cast("int")) \
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).repartition(2 * groups * shares, *keys).hint("merge")
+
+    return dealt(blocks, "g", groups, "share", shares).join(dealt(queries, "share", shares, "g", groups), keys)
 
 
 def gathered(rows: DataFrame, most: int) -> DataFrame:

@@ -188,6 +188,50 @@ def test_units_without_broadcasts(spark, odd):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_copies_are_not_broadcast(spark):
+    """A side that is copied to every group looks small to Spark: broadcast, its copies would all be in the driver."""
+    blocks = spark.range(64).select(F.lit(3).alias("dim"), F.col("id").cast("string").cast("binary").alias("block"))
+    asked = spark.range(6).select(F.lit(3).alias("dim"), F.concat(F.lit("q"), F.col("id").cast("string")).cast("binary").alias("queries"))
+    for groups, shares in ((None, 1), (5, 3)):
+        pairs = vectors.paired(blocks, 64, asked, groups, shares) if groups else vectors.paired(blocks, 64, asked)
+        assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+        assert pairs.select("block", "queries").distinct().count() == pairs.count() == 64 * 6
+
+
+def test_few_bytes_are_copied(spark):
+    """Neither copies of the queries nor of the rows grow with rows times queries; no group meets too many bytes of queries."""
+    for rows, asked in ((10, 1), (51_282, 1026), (615_000, 12_300), (2_500_000, 50_000), (15_000_000, 300_000), (15_000_000, 150_000)):
+        n_blocks, size = -(-asked // 4096), 136 * asked
+        groups, shares = vectors.grid(spark, rows, asked, n_blocks, size)
+        assert groups >= 1 and 1 <= shares <= n_blocks and size / shares <= vectors.HELD
+        assert rows * asked / (groups * shares) <= 2 * vectors.MANY and groups * asked + shares * rows <= 8 * (rows + asked)
+    assert vectors.grid(spark, 0, 0, 0, 0) == (1, 1)
+
+
+def test_top_k_over_groups_and_shares(spark, odd, monkeypatch):
+    """What a query finds in one tree goes on to the next, in every group and share."""
+    monkeypatch.setattr(topk, "TREE", 30)
+    monkeypatch.setattr(topk, "PAGE", 8)
+    monkeypatch.setattr(topk, "BLOCK", 1)
+    monkeypatch.setattr(topk, "TOGETHER", 2)
+    want = brute.top_k([(i, v) for i, v, _ in odd_rows()], lambda i: i % 50 == 0)
+    for few, held in ((1, 1 << 20), (1 << 30, 1)):
+        monkeypatch.setattr(vectors, "FEW", few)
+        monkeypatch.setattr(vectors, "HELD", held)
+        found = topk.top_k(odd, F.col("vec_id") % 50 == 0)
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == want
+
+
+def test_products_are_exact_in_every_type():
+    rng = np.random.default_rng(9)
+    for most in (100, 1 << 11, 1 << 20, 1 << 40, 1 << 58):
+        rows, own = rng.integers(-most, most + 1, (30, 7)).astype(np.float64), rng.integers(-most, most + 1, (4, 7)).astype(np.float64)
+        kept = vectors.small(rows)
+        assert np.array_equal(kept.astype(np.float64), rows)
+        want = [[min(max(sum(int(a) * int(b) for a, b in zip(q, r)), vectors.LONG[0]), vectors.LONG[1]) for r in rows.tolist()] for q in own.tolist()]
+        assert vectors.products(kept, own).tolist() == want
+
+
 def test_hard_negatives_of_odd_rows(odd, monkeypatch):
     monkeypatch.setattr(negatives, "ROWS", 70)
     monkeypatch.setattr(negatives, "ANCHORS", 3)
