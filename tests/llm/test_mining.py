@@ -243,6 +243,61 @@ def test_hard_negatives_of_odd_rows(odd, monkeypatch):
     assert negatives.mine(odd.filter("false"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def found_negatives(df):
+    return sorted((r.anchor_id, r.positive_id, r["rank"], r.negative_id, r.positive_score, r.negative_score) for r in df.collect())
+
+
+def test_hard_negatives_over_groups_and_shares(odd, monkeypatch):
+    """What a window of scores has found goes on to the task's next block, in every group and share; nothing copied is broadcast."""
+    monkeypatch.setattr(negatives, "ROWS", 25)
+    monkeypatch.setattr(negatives, "ANCHORS", 8)
+    monkeypatch.setattr(negatives, "TOGETHER", 3)
+    want = sorted(brute.negatives([(i, y, v) for i, v, y in odd_rows()], lambda i: i % 50 == 0))
+    own, plans = negatives.paired, []
+
+    def paired(*args):
+        plans.append((own(*args)._jdf.queryExecution().executedPlan().toString(), args[3:]))
+        return own(*args)
+
+    monkeypatch.setattr(negatives, "paired", paired)
+    for few, held in ((1, 1 << 20), (1 << 30, 1)):
+        monkeypatch.setattr(vectors, "FEW", few)
+        monkeypatch.setattr(vectors, "HELD", held)
+        assert found_negatives(negatives.mine(odd, F.col("vec_id") % 50 == 0)) == want and len(want) > 100
+    assert len(plans) == 4 and all("Broadcast" not in p for p, _ in plans)
+    assert max(g for _, (g, _) in plans) > 1 and max(s for _, (_, s) in plans) > 1
+
+
+def test_an_anchor_is_stored_once_for_its_windows(spark):
+    rows = [(a, a % 3, [float(a), 1.0], p, 10 * p) for a in (300, 100, 200) for p in range(5)]
+    windows = spark.createDataFrame(rows, "vec_id long, label long, v array<double>, positive_id long, positive_score long").repartition(4)
+    blocks = [vectors.unpacked(r.anchors) for r in negatives.anchor_blocks(windows, 1, ["positive_id", "positive_score"]).collect()]
+    assert sum(len(b["v"]) for b in blocks) == 3
+    got = [(int(b["vec_id"][o]), int(b["label"][o]), b["v"][o].tolist(), int(p), int(s)) for b in blocks
+           for o, p, s in zip(b["of"], b["positive_id"], b["positive_score"])]
+    assert sorted(got) == sorted(rows)
+
+
+def test_best_of_windows_over_blocks():
+    """Found rows arrive block by block; rows that agree in id and score count once, fewer than k leave a window open."""
+    rng = random.Random(3)
+    best, every = negatives.Best.none(4, 3), set()
+    for _ in range(30):
+        new = [(rng.randrange(3), rng.choice([-5, 0, 7, 2 ** 60, rng.randrange(100)]), rng.randrange(6)) for _ in range(rng.randrange(1, 9))]
+        every |= set(new)
+        best.add(*(np.array(x, dtype=np.int64) for x in zip(*new)))
+        for w in range(4):
+            want = sorted((-s, i) for o, s, i in every if o == w)[:3]
+            assert [(-int(s), int(i)) for s, i in zip(best.scores[w], best.ids[w])][:best.n[w]] == want
+
+
+def test_scores_at_the_end_of_the_range(spark):
+    """Scores beyond a long's range count as its ends, for positives as well."""
+    rows = [(100, [2.0 ** 54, 0.0], 1), (1, [2.0 ** 54, 1.0], 1), (2, [1 / 256, 0.0], 2), (3, [2 / 256, 0.0], 2), (4, [-2.0 ** 54, 0.0], 1)]
+    got = found_negatives(negatives.mine(spark.createDataFrame(rows, ROWS), F.col("vec_id") == 100))
+    assert got == brute.negatives([(i, y, v) for i, v, y in rows], lambda i: i == 100) and len(got) == 1
+
+
 def test_summaries_bound_every_score():
     rng = np.random.default_rng(6)
     rows, own = np.floor(rng.normal(0, 300, (200, 37))), np.floor(rng.normal(0, 300, (1, 37)))
